@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokens
+from tessera.sources.tables import spread
 
 
 def word_counts(docs: DataFrame, id_col: str, text_col: str = "text",
                 lower: bool = True) -> DataFrame:
     """(id, word, count) for every word of every text (whole texts, no prefix)."""
-    return (docs.select(id_col, F.explode(tokens(text_col, lower)).alias("word"))
+    return (spread(docs.select(id_col, text_col))
+            .select(id_col, F.explode(tokens(text_col, lower)).alias("word"))
             .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("count")))
 
 

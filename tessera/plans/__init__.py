@@ -1,3 +1,4 @@
 """Registered queries: each module registers (spark query, DuckDB oracle) pairs."""
 
+from tessera.plans import relational_queries  # noqa: F401
 from tessera.plans import text_queries  # noqa: F401

@@ -58,3 +58,17 @@ def write_model_table(df: DataFrame, path: str, partition_by: list[str] | None =
 
 def read_model_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over the cluster before CPU-heavy per-row work (tokenising, vector math).
+
+    Only when the scan yields fewer partitions than the cluster's parallelism
+    (e.g. one large row group); a big multi-file table is left as scanned, so no
+    extra shuffle is paid at scale.
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
