@@ -2,6 +2,9 @@
 
 Fixed values (chosen once, used by query and oracle alike):
   selected words: the in and to of a is on that was as be for it with this are by at from
+  stop words: a an and are as at be but by for if in into is it no not of on or such that the
+              their then there these they this to was will with
+  all-words set: the and of to
   scored lineitem view:
     cents  = round(l_extendedprice * 100) as bigint
     label  = +1 if (l_quantity - 25 + 100 * (l_discount - 0.05) > 0) XOR (cents % 10 = 0) else -1
@@ -14,12 +17,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # fixed values
+STOP_WORDS = ["a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into",
+              "is", "it", "no", "not", "of", "on", "or", "such", "that", "the", "their", "then",
+              "there", "these", "they", "this", "to", "was", "will", "with"]
+ALL_WORDS_SET = ["the", "and", "of", "to"]
 SELECTED_WORDS = ["the", "in", "and", "to", "of", "a", "is", "on", "that", "was",
                   "as", "be", "for", "it", "with", "this", "are", "by", "at", "from"]
 
 
-def words_values_sql() -> str:
-    return "(VALUES " + ", ".join(f"('{w}')" for w in SELECTED_WORDS) + ") AS sw(word)"
+def words_values_sql(words=None, alias: str = "sw") -> str:
+    words = SELECTED_WORDS if words is None else words
+    return "(VALUES " + ", ".join(f"('{w}')" for w in words) + f") AS {alias}(word)"
 
 
 def lineitem_cents(li: DataFrame) -> DataFrame:
