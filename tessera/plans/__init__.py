@@ -3,3 +3,4 @@
 from tessera.plans import relational_queries  # noqa: F401
 from tessera.plans import text_queries  # noqa: F401
 from tessera.plans import similarity_queries  # noqa: F401
+from tessera.plans import regression_queries  # noqa: F401
