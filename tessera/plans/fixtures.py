@@ -8,7 +8,9 @@ Fixed values (chosen once, used by query and oracle alike):
   scored lineitem view:
     cents  = round(l_extendedprice * 100) as bigint
     label  = +1 if (l_quantity - 25 + 100 * (l_discount - 0.05) > 0) XOR (cents % 10 = 0) else -1
-    score  = 1 / (1 + exp(-(0.1 * (l_quantity - 25) + 10 * (l_discount - 0.05))))
+    z      = round(0.1 * (l_quantity - 25) + 10 * (l_discount - 0.05), 9)   (rounded so both
+             engines group identical margins)
+    score  = 1 / (1 + exp(-z))
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def scored_lineitem(li: DataFrame) -> DataFrame:
     truth = (F.col("l_quantity") - 25 + 100 * (F.col("l_discount") - 0.05)) > 0
     flip = (F.col("cents") % 10) == 0
     label = F.when(truth != flip, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
-    z = 0.1 * (F.col("l_quantity") - 25) + 10 * (F.col("l_discount") - 0.05)
+    z = F.round(0.1 * (F.col("l_quantity") - 25) + 10 * (F.col("l_discount") - 0.05), 9)
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents",
                      "l_quantity", "l_discount", "l_tax", label.alias("label"),
@@ -50,6 +52,6 @@ SCORED_LINEITEM_SQL = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, cents, l_quantity, l_discount, l_tax,
        (CASE WHEN ((l_quantity - 25 + 100 * (l_discount - 0.05)) > 0) <> (cents % 10 = 0)
              THEN 1 ELSE -1 END)::BIGINT AS label,
-       1.0 / (1.0 + exp(-(0.1 * (l_quantity - 25) + 10 * (l_discount - 0.05)))) AS score
+       1.0 / (1.0 + exp(-round(0.1 * (l_quantity - 25) + 10 * (l_discount - 0.05), 9))) AS score
 FROM (SELECT *, round(l_extendedprice * 100)::BIGINT AS cents FROM lineitem)
 """
