@@ -5,3 +5,4 @@ from tessera.plans import text_queries  # noqa: F401
 from tessera.plans import similarity_queries  # noqa: F401
 from tessera.plans import regression_queries  # noqa: F401
 from tessera.plans import classification_queries  # noqa: F401
+from tessera.plans import tree_queries  # noqa: F401
