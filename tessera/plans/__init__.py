@@ -7,3 +7,4 @@ from tessera.plans import regression_queries  # noqa: F401
 from tessera.plans import classification_queries  # noqa: F401
 from tessera.plans import tree_queries  # noqa: F401
 from tessera.plans import cluster_queries  # noqa: F401
+from tessera.plans import recommend_queries  # noqa: F401
