@@ -9,3 +9,4 @@ from tessera.plans import tree_queries  # noqa: F401
 from tessera.plans import cluster_queries  # noqa: F401
 from tessera.plans import recommend_queries  # noqa: F401
 from tessera.plans import topic_queries  # noqa: F401
+from tessera.plans import model_queries  # noqa: F401
