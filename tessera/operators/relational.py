@@ -68,7 +68,7 @@ def with_prefix_sums(df: DataFrame, order_cols: list, values: dict[str, Column],
     for name, expr in values.items():
         base = base.withColumn(f"_v_{name}", expr)
     ranged = _ranged(base, order_cols)
-    aggs = [F.count(F.lit(1)).alias("c")] + [F.sum(f"_v_{n}").alias(n) for n in values]
+    aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values]
     totals = {r["_pid"]: r for r in ranged.groupBy("_pid").agg(*aggs).collect()}
     w = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)
     out = ranged
@@ -76,13 +76,13 @@ def with_prefix_sums(df: DataFrame, order_cols: list, values: dict[str, Column],
         offs, acc = {}, 0.0
         for pid in sorted(totals):
             offs[pid] = acc
-            acc += totals[pid][name] or 0.0
+            acc += totals[pid][f"_t_{name}"] or 0.0
         out = out.withColumn(name, _offset_map(offs)[F.col("_pid")] + F.sum(f"_v_{name}").over(w))
     if index_name:
         offs, acc = {}, 0
         for pid in sorted(totals):
             offs[pid] = acc
-            acc += totals[pid]["c"]
+            acc += totals[pid]["_cnt"]
         local = F.col("_loc") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
         out = out.withColumn(index_name, (_offset_map(offs)[F.col("_pid")] + local).cast("bigint"))
     return out.drop("_pid", "_loc", *[f"_v_{n}" for n in values])

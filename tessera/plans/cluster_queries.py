@@ -224,7 +224,8 @@ def colours(spark, sf_dir):
                      (F.col("l_discount") * 10 + 0.0).alias("g"), (F.col("l_tax") * 10 + 0.0).alias("b"))
 
 
-XS = [F.col("r"), F.col("g"), F.col("b")]
+def xs():
+    return [F.col("r"), F.col("g"), F.col("b")]
 
 
 def gmm_start(col_df):
@@ -300,7 +301,7 @@ def gmm_loglik(spark, sf_dir):
     """Mixture log likelihood Σ log Σ_k π_k N(x | μ_k, Σ_k) with a stable log-sum-exp."""
     c = colours(spark, sf_dir)
     w, m, cv = gmm_start(c)
-    ll = GM.loglik_full(c, XS, w, m, cv)
+    ll = GM.loglik_full(c, xs(), w, m, cv)
     return spark.createDataFrame([(round(ll, 3),)], "loglik double")
 
 
@@ -312,7 +313,7 @@ def gmm_responsibilities(spark, sf_dir):
     """E-step: each row's responsibilities, from log densities (normalised in log space)."""
     c = colours(spark, sf_dir)
     w, m, cv = gmm_start(c)
-    lj = GM.log_joint_full(XS, w, m, cv)
+    lj = GM.log_joint_full(xs(), w, m, cv)
     return c.select("l_orderkey", "l_linenumber",
                     F.transform(GM.responsibilities(lj), lambda x: F.round(x, 6)).alias("resp"))
 
@@ -343,7 +344,7 @@ def gmm_em_step(spark, sf_dir):
     w, m, cv = gmm_start(c)
     rows = []
     for s in range(EM_STEPS):
-        w, m, cv, ll = GM.em_step_full(c, XS, w, m, cv)
+        w, m, cv, ll = GM.em_step_full(c, xs(), w, m, cv)
         for k in range(GMM_K):
             cov6 = [cv[k][i][j] for i in range(3) for j in range(3) if j >= i]
             rows.append((s + 1, k, round(w[k], 6), [round(float(x), 6) for x in m[k]],
@@ -366,7 +367,7 @@ def gmm_top(spark, sf_dir):
     component (top-k per group)."""
     c = colours(spark, sf_dir)
     w, m, cv = gmm_start(c)
-    lj = GM.log_joint_full(XS, w, m, cv)
+    lj = GM.log_joint_full(xs(), w, m, cv)
     best = F.array_max(F.transform(lj, lambda z, i: F.struct(z.alias("v"), (-i).alias("ni"))))
     h = c.select("l_orderkey", "l_linenumber", "rowkey", best["v"].alias("score"),
                  (-best["ni"]).cast("bigint").alias("component"))

@@ -21,7 +21,7 @@ from tessera.operators import gmm as GM
 from tessera.operators import gram as G
 from tessera.operators import kmeans as KM
 from tessera.plans.classification_queries import dense_features, scored
-from tessera.plans.cluster_queries import XS, colours, gmm_start, init_centroids, vectors
+from tessera.plans.cluster_queries import xs, colours, gmm_start, init_centroids, vectors
 from tessera.plans.fixtures import STOP_WORDS
 from tessera.plans.regression_queries import LI_FEATURES, _normalised_system, li_frame
 from tessera.plans.tree_queries import FEATURES as TREE_FEATURES
@@ -230,9 +230,9 @@ def bisect_clusters(spark, sf_dir):
 def gmm_fit(spark, sf_dir):
     """EM on the colour triples until the log-likelihood gain < 1e-4 (at most 10 iterations):
     likelihood trace; must be non-decreasing."""
-    c = colours(spark, sf_dir).select(*XS).persist()
+    c = colours(spark, sf_dir).select(*xs()).persist()
     w, m, cv = gmm_start(colours(spark, sf_dir))
-    w, m, cv, trace = GM.em_fit_full(c, XS, w, m, cv, 10, 1e-4)
+    w, m, cv, trace = GM.em_fit_full(c, xs(), w, m, cv, 10, 1e-4)
     c.unpersist()
     return spark.createDataFrame([(it, float(ll)) for it, ll in trace], "iteration bigint, loglik double")
 

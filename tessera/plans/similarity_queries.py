@@ -287,3 +287,142 @@ def lsh_precision(spark, sf_dir):
         F.round(F.avg(F.coalesce("n_cand", F.lit(0)).cast("double")), 6).alias("avg_candidates"),
         F.round(F.avg("md"), 6).alias("avg_distance")).select(
         F.col("r").cast("bigint").alias("radius"), "precision", "avg_candidates", "avg_distance")
+
+
+# ---------------------------------------------------------------- kNN regression (2-d, exact)
+
+from pyspark.sql import Window  # noqa: E402
+
+from tessera.functions.hashing import bucket, sql_hash32  # noqa: E402
+from tessera.operators.knn_strata import knn_strata  # noqa: E402
+
+KNN_MAX_K, KNN_K = 15, 5
+
+
+def _knn_parts(spark, sf_dir):
+    p = Tables(spark, sf_dir).part.select(
+        "p_partkey", F.col("p_size").cast("bigint").alias("p_size"), "p_retailprice",
+        F.when(bucket("p_partkey", 51) < 800, "train").otherwise("valid").alias("split"))
+    nr = p.where(F.col("split") == "train").agg(
+        F.sqrt(F.sum(F.col("p_size") * F.col("p_size"))).alias("ns"),
+        F.sqrt(F.sum(F.col("p_partkey").cast("double") * F.col("p_partkey"))).alias("nk")).collect()[0]
+    ref = p.where(F.col("split") == "train").select(
+        F.col("p_partkey").alias("rid"), F.col("p_size").alias("s"),
+        F.col("p_partkey").cast("double").alias("t"), F.col("p_retailprice").alias("y"))
+    q = p.where(F.col("split") == "valid").select(
+        F.col("p_partkey").alias("qid"), F.col("p_size").alias("s"),
+        F.col("p_partkey").cast("double").alias("t"), F.col("p_retailprice").alias("qy"))
+    ns, nk = nr["ns"], nr["nk"]
+
+    def dist(qs, qt, rs, rt):
+        return F.sqrt(F.pow((qs - rs) / F.lit(ns), 2) + F.pow((qt - rt) / F.lit(nk), 2))
+    nn = knn_strata(ref, q.select("qid", "s", "t"), KNN_MAX_K, dist, ["y"])
+    return nn.join(q.select("qid", "qy"), "qid")
+
+
+_KNN_SQL = f"""
+p AS (SELECT p_partkey, p_size, p_retailprice,
+             CASE WHEN {sql_hash32('p_partkey', 51)} % 1000 < 800 THEN 'train' ELSE 'valid' END AS split FROM part),
+nr AS (SELECT sqrt(sum(p_size * p_size)) AS ns, sqrt(sum(p_partkey::DOUBLE * p_partkey)) AS nk
+       FROM p WHERE split = 'train'),
+d AS (SELECT q.p_partkey AS qid, q.p_retailprice AS qy, r.p_retailprice AS y,
+             sqrt(pow((q.p_size - r.p_size) / nr.ns, 2) + pow((q.p_partkey - r.p_partkey) / nr.nk, 2)) AS dist,
+             row_number() OVER (PARTITION BY q.p_partkey ORDER BY round(sqrt(pow((q.p_size - r.p_size) / nr.ns, 2)
+               + pow((q.p_partkey - r.p_partkey) / nr.nk, 2)), 12), r.p_partkey) AS rk
+      FROM p q, p r, nr WHERE q.split = 'valid' AND r.split = 'train'),
+nn AS (SELECT * FROM d WHERE rk <= {KNN_MAX_K})"""
+
+
+@query("knn_regression", rows=("N5",), oracle=f"""
+WITH {_KNN_SQL}
+SELECT qid AS p_partkey, round(avg(y), 6) AS prediction FROM nn WHERE rk <= {KNN_K} GROUP BY qid
+""")
+def knn_regression(spark, sf_dir):
+    """k-NN regression (k = 5) of p_retailprice on (p_size, p_partkey) normalised by the
+    training norms, for every validation part; exact neighbours without a pair table."""
+    nn = _knn_parts(spark, sf_dir)
+    return (nn.where(F.col("rank") <= KNN_K).groupBy(F.col("qid").alias("p_partkey"))
+            .agg(F.round(F.avg("y"), 6).alias("prediction")))
+
+
+@query("knn_choose_k", rows=("N6",), oracle=f"""
+WITH {_KNN_SQL},
+pk AS (SELECT qid, rk AS k, qy, avg(y) OVER (PARTITION BY qid ORDER BY rk ROWS UNBOUNDED PRECEDING) AS pred
+       FROM nn),
+r AS (SELECT k, sum((qy - pred) ^ 2) AS rss FROM pk GROUP BY k)
+SELECT k::BIGINT AS k, round(rss, 4) AS rss, k = (SELECT k FROM r ORDER BY rss, k LIMIT 1) AS best FROM r
+""")
+def knn_choose_k(spark, sf_dir):
+    """Validation RSS for k = 1..15 from one ranked neighbour table (running mean per query),
+    and the best k — one kNN search instead of fifteen."""
+    nn = _knn_parts(spark, sf_dir)
+    w = Window.partitionBy("qid").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    pk = nn.select("qid", F.col("rank").alias("k"), "qy", F.avg("y").over(w).alias("pred"))
+    r = pk.groupBy("k").agg(F.sum(F.pow(F.col("qy") - F.col("pred"), 2)).alias("rss"))
+    best = r.orderBy("rss", "k").limit(1).select(F.col("k").alias("bk"))
+    return (r.join(F.broadcast(best), how="left", on=F.col("k") == F.col("bk"))
+            .select(F.col("k").cast("bigint").alias("k"), F.round("rss", 4).alias("rss"),
+                    F.col("bk").isNotNull().alias("best")))
+
+
+# ---------------------------------------------------------------- LSH quality vs signature length
+
+_SWEEP_BITS = list(range(5, SWEEP_BITS + 1))
+
+
+@query("lsh_vectors_sweep", rows=("N12",), oracle=f"""
+WITH {_EV_SQL},
+{_bins_sql(SWEEP_BITS, SWEEP_SEED)},
+cb AS (SELECT c.query_id, sum(CASE WHEN list_sum(list_transform(range(1, len(p.p) + 1),
+         lambda i: c.c[i] * p.p[i])) >= 0 THEN (1::BIGINT << ({SWEEP_BITS - 1} - p.j)) ELSE 0 END)::BIGINT AS qbin
+       FROM cent c, planes_eb p GROUP BY c.query_id),
+alld AS (SELECT c.query_id, e.vec_id, {_COSINE_SQL} AS dist FROM ev e, cent c),
+truth AS (SELECT query_id, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id
+            ORDER BY round(dist, 9), vec_id) AS rk FROM alld) WHERE rk <= 25),
+bs AS (SELECT unnest(range(5, {SWEEP_BITS + 1})) AS b),
+cand AS (SELECT bs.b, cb.query_id, eb.vec_id, alld.dist FROM bs, cb
+         JOIN eb ON true JOIN alld ON alld.query_id = cb.query_id AND alld.vec_id = eb.vec_id
+         WHERE (eb.bin >> ({SWEEP_BITS} - bs.b)) = (cb.qbin >> ({SWEEP_BITS} - bs.b))),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY b, query_id ORDER BY round(dist, 9), vec_id)
+        AS rk FROM cand) WHERE rk <= 10),
+per AS (SELECT bs.b, c.query_id,
+          (SELECT count(*) FROM cand WHERE cand.b = bs.b AND cand.query_id = c.query_id) AS n_cand,
+          (SELECT count(*) FROM top JOIN truth USING (query_id, vec_id) WHERE top.b = bs.b
+             AND top.query_id = c.query_id) AS hits,
+          (SELECT avg(dist) FROM top WHERE top.b = bs.b AND top.query_id = c.query_id) AS md
+        FROM bs, cent c)
+SELECT b::BIGINT AS n_bits, round(avg(hits / 10.0), 6) AS precision, round(avg(n_cand), 6) AS avg_candidates,
+       round(avg(md), 6) AS avg_distance FROM per GROUP BY b
+""")
+def lsh_vectors_sweep(spark, sf_dir):
+    """LSH quality by number of hyperplanes (5..19), exact-bin candidates: precision of the top 10
+    against the exact top 25, candidates, mean distance. One 19-bit signature serves every
+    length (its leading bits), one candidate join for all lengths."""
+    ev = scaled_embeddings(spark, sf_dir)
+    planes = L.hyperplanes(SWEEP_BITS, 64, SWEEP_SEED)
+    cent = label_centroids(ev)
+    qb = cent.withColumn("sig", L.signature(F.col("c"), planes))
+    eb = ev.withColumn("sig", L.signature("w", planes))
+
+    def prefixes(col):
+        return F.explode(F.array(*[F.struct(F.lit(b).cast("bigint").alias("b"),
+                                            F.shiftright(F.col(col), SWEEP_BITS - b).alias("bin"))
+                                   for b in _SWEEP_BITS])).alias("pb")
+    qp = qb.select("query_id", "c", prefixes("sig")).select("query_id", "c", "pb.*")
+    cp = eb.select("vec_id", "w", prefixes("sig")).select("vec_id", "w", "pb.*")
+    cand = (cp.join(F.broadcast(qp), ["b", "bin"])      # queries: labels × 15 prefixes
+            .select("b", "query_id", "vec_id", V.cosine_distance("w", "c").alias("distance")))
+    truth = NB.dense_knn(ev, "vec_id", "w", cent, "query_id", "c", 25, metric="cosine") \
+        .select("query_id", "vec_id", F.lit(1).alias("hit"))
+    ncand = cand.groupBy("b", "query_id").agg(F.count(F.lit(1)).alias("n_cand"))
+    top = NB.topk_per_group(cand.withColumn("g", F.concat_ws(":", "b", "query_id")), "g",
+                            [F.round("distance", 9), F.col("vec_id")], 10)
+    agg = (top.join(truth, ["query_id", "vec_id"], "left")
+           .groupBy("b", "query_id").agg(F.sum(F.coalesce("hit", F.lit(0))).alias("hits"),
+                                         F.avg("distance").alias("md")))
+    grid = cent.select("query_id", F.explode(F.array(*[F.lit(b).cast("bigint") for b in _SWEEP_BITS])).alias("b"))
+    per = grid.join(ncand, ["b", "query_id"], "left").join(agg, ["b", "query_id"], "left")
+    return per.groupBy(F.col("b").alias("n_bits")).agg(
+        F.round(F.avg(F.coalesce("hits", F.lit(0)) / 10.0), 6).alias("precision"),
+        F.round(F.avg(F.coalesce("n_cand", F.lit(0)).cast("double")), 6).alias("avg_candidates"),
+        F.round(F.avg("md"), 6).alias("avg_distance"))
