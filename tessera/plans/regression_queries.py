@@ -588,3 +588,34 @@ def covariance_matrix(spark, sf_dir):
     return wide.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("i"), F.lit(b).alias("j"), F.round(F.col(f"{a}_{b}"), 8).alias("cov"))
         for a, b in pairs])).alias("s")).select("s.*")
+
+
+# ------------------------------------------------------------------ degree selection (TSQR)
+
+MAX_DEGREE = 15
+
+
+@query("degree_selection", rows=("R18", "R20"))
+def degree_selection(spark, sf_dir):
+    """Polynomial degree 1..15 chosen by validation RSS. x = p_size/50 is scaled to [0, 1];
+    the degree-15 powers are too ill-conditioned for the Gram, so one tall-skinny QR of
+    [1, x, …, x¹⁵, y] over the training rows serves every degree (leading columns), and
+    one scoring pass computes all fifteen validation RSS values."""
+    from tessera.operators.qr import nested_least_squares, tsqr_r
+    p = part_frame(spark, sf_dir)
+    train = p.where(F.col("split") == "train")
+    cols = [F.lit(1.0)] + poly_columns("x", MAX_DEGREE) + [F.col("y")]
+    R = tsqr_r(train, cols)
+    ws = {deg: nested_least_squares(R, deg + 1) for deg in range(1, MAX_DEGREE + 1)}
+    aggs = []
+    for deg, w in ws.items():
+        pred = F.lit(float(w[-1]))
+        for c in reversed(w[:-1]):               # Horner
+            pred = pred * F.col("x") + F.lit(float(c))
+        err = F.col("y") - pred
+        aggs.append(F.sum(err * err).alias(f"d{deg}"))
+    r = p.groupBy("split").agg(*aggs).collect()
+    by = {row["split"]: row for row in r}
+    best = min(ws, key=lambda d: (by["test"][f"d{d}"], d))
+    rows = [(d, float(by["train"][f"d{d}"]), float(by["test"][f"d{d}"]), d == best) for d in ws]
+    return spark.createDataFrame(rows, "degree bigint, train_rss double, validation_rss double, best boolean")

@@ -286,3 +286,17 @@ def rank_position(spark, sf_dir):
             .agg(F.count_if(before).cast("bigint").alias("pos_counts"))
             .select("item_id", F.col("target").alias("doc_id"), F.lit(0).cast("bigint")
                     .alias("pos_tfidf"), "pos_counts"))
+
+
+@query("sparse_triples", rows=("S8", "F23", "F14"), oracle=f"""
+WITH {_TFIDF_CTES},
+wid AS (SELECT word, (row_number() OVER (ORDER BY word) - 1)::BIGINT AS word_id FROM (SELECT DISTINCT word FROM dt))
+SELECT doc_id, word_id, round_even(tfidf, 4) AS value FROM dt JOIN wid USING (word)
+""")
+def sparse_triples(spark, sf_dir):
+    """TF-IDF dict column → (row, word id, value) sparse matrix: dense word ids in word order
+    from a distributed row index over the distinct words; values rounded half-to-even."""
+    from tessera.operators.relational import with_row_index
+    _, _, t = TF.fit_tfidf(Tables(spark, sf_dir).documents, "doc_id")
+    wid = with_row_index(t.select("word").distinct(), [F.col("word")], "word_id")
+    return t.join(wid, "word").select("doc_id", "word_id", F.bround("tfidf", 4).alias("value"))
