@@ -90,3 +90,4 @@ def argmin_struct(values) -> Column:
     arr = _c(values)
     structs = F.transform(arr, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
     return F.array_min(structs)["i"]
+

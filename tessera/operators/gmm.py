@@ -48,8 +48,22 @@ def log_density_diag(vec: Column, mean, var) -> Column:
 
 
 def log_joint_full(xs, weights, means, covs) -> Column:
-    return F.array(*[_lit(math.log(w)) + log_density_full(xs, m, c)
-                     for w, m, c in zip(weights, means, covs)])
+    return F.array(*log_joint_cols(xs, weights, means, covs))
+
+
+def log_joint_cols(xs, weights, means, covs) -> list[Column]:
+    return [_lit(math.log(w)) + log_density_full(xs, m, c) for w, m, c in zip(weights, means, covs)]
+
+
+def e_step_columns(df: DataFrame, xs: list[Column], weights, means, covs, keep: list[str]) -> DataFrame:
+    """Per row: log joints ``_l{k}``, ``_lse`` and responsibilities ``_r{k}`` as scalar columns."""
+    k = len(weights)
+    base = df.select(*keep, *[(lj).alias(f"_l{j}") for j, lj in
+                              enumerate(log_joint_cols([x.cast("double") for x in xs], weights, means, covs))])
+    base = base.select(*keep, *[f"_l{j}" for j in range(k)],
+                       _lse([F.col(f"_l{j}") for j in range(k)]).alias("_lse"))
+    return base.select(*keep, *[f"_l{j}" for j in range(k)], "_lse",
+                       *[F.exp(F.col(f"_l{j}") - F.col("_lse")).alias(f"_r{j}") for j in range(k)])
 
 
 def log_joint_diag(vec, weights, means, variances) -> Column:
@@ -62,17 +76,31 @@ def responsibilities(lj: Column) -> Column:
     return F.transform(lj, lambda z: F.exp(z - lse))
 
 
+def _lse(ljs: list[Column]) -> Column:
+    """log Σ exp(z_k) over a few scalar columns (stable; stays in whole-stage codegen)."""
+    if len(ljs) == 1:
+        return ljs[0]
+    m = F.greatest(*ljs)
+    return m + F.log(sum(F.exp(z - m) for z in ljs))
+
+
 def em_step_full(df: DataFrame, xs: list[Column], weights, means, covs):
-    """One EM iteration; returns (new weights, means, covs, log likelihood at the old params)."""
+    """One EM iteration; returns (new weights, means, covs, log likelihood at the old params).
+    Log densities, log-sum-exp and responsibilities are scalar columns (no array lambdas),
+    so the whole E-step and the M-step sums run in generated code."""
     k, d = len(weights), len(xs)
     base = df.select(*[x.cast("double").alias(f"_x{i}") for i, x in enumerate(xs)])
     cx = [F.col(f"_x{i}") for i in range(d)]
-    lj = log_joint_full(cx, weights, means, covs)
-    base = base.select(*cx, lj.alias("_lj")).select(
-        *cx, V.log_sum_exp(F.col("_lj")).alias("_lse"), responsibilities(F.col("_lj")).alias("_r"))
+    ljs = [(_lit(math.log(w)) + log_density_full(cx, m, c)).alias(f"_l{j}")
+           for j, (w, m, c) in enumerate(zip(weights, means, covs))]
+    base = base.select(*cx, *ljs)
+    lse = _lse([F.col(f"_l{j}") for j in range(k)])
+    base = base.select(*cx, *[F.col(f"_l{j}") for j in range(k)], lse.alias("_lse"))
+    base = base.select(*cx, "_lse", *[F.exp(F.col(f"_l{j}") - F.col("_lse")).alias(f"_r{j}")
+                                      for j in range(k)])
     aggs = [F.sum("_lse").alias("ll"), F.count(F.lit(1)).alias("n")]
     for c in range(k):
-        r = F.col("_r")[c]
+        r = F.col(f"_r{c}")
         aggs.append(F.sum(r).alias(f"n{c}"))
         for i in range(d):
             aggs.append(F.sum(r * cx[i]).alias(f"s{c}_{i}"))
@@ -94,8 +122,8 @@ def em_step_full(df: DataFrame, xs: list[Column], weights, means, covs):
 
 
 def loglik_full(df: DataFrame, xs, weights, means, covs) -> float:
-    lj = log_joint_full([x.cast("double") for x in xs], weights, means, covs)
-    return df.agg(F.sum(V.log_sum_exp(lj))).collect()[0][0]
+    lj = log_joint_cols([x.cast("double") for x in xs], weights, means, covs)
+    return df.agg(F.sum(_lse(lj))).collect()[0][0]
 
 
 def em_fit_full(df: DataFrame, xs, weights, means, covs, max_iter: int, tol: float):

@@ -90,33 +90,49 @@ def _side_stats(df: DataFrame, node: Column, features: list[str], label: Column,
 def build_tree(df: DataFrame, features: list[str], label: str, max_depth: int,
                weight: Column | None = None, min_node_size: float = 0,
                min_error_reduction: float | None = None) -> dict[int, Node]:
-    """Grow the tree level-wise on ``df`` (its rows are the training rows)."""
+    """Grow the tree level-wise on ``df`` (its rows are the training rows).
+
+    A child's label totals are already known from its parent's split statistics, so a
+    level is aggregated only for the nodes that may still split (not pure, depth below the
+    maximum, above the minimum size): a stump costs one pass, a depth-d tree ≤ d passes."""
     weighted = weight is not None
     y = F.col(label)
+    d = len(features)
     tree: dict[int, Node] = {}
     paths: dict[int, set[int]] = {1: set()}
-    open_nodes = [1]
+    pending: dict[int, tuple[float, float] | None] = {1: None}
     depth = 0
-    while open_nodes:
-        stats = _side_stats(df, node_column(tree, features, open_nodes), features, y, weight,
-                            open_nodes)
-        nxt = []
-        for k in open_nodes:
+
+    def is_pure(p, q):
+        return min(p, q) <= 1e-15 if weighted else min(p, q) == 0
+
+    def may_split(k, pq):
+        if pq is None:
+            return True
+        p, q = pq
+        return (not is_pure(p, q) and depth < max_depth and p + q > min_node_size
+                and len(paths[k]) < d)
+
+    while pending:
+        need = [k for k, pq in pending.items() if may_split(k, pq)]
+        stats = (_side_stats(df, node_column(tree, features, need), features, y, weight, need)
+                 if need else {})
+        nxt: dict[int, tuple[float, float]] = {}
+        for k, pq in pending.items():
             r = stats.get(k)
-            if r is None:           # no training row reached this node (cannot happen for children
-                continue            # of a non-empty split, kept for safety)
-            p = float(r["p0_0"] + r["p1_0"])
-            q = float(r["q0_0"] + r["q1_0"])
+            if r is not None:
+                p = float(r["p0_0"] + r["p1_0"])
+                q = float(r["q0_0"] + r["q1_0"])
+            elif pq is not None:
+                p, q = pq
+            else:
+                continue
             nd = Node(k, depth, p, q)
             tree[k] = nd
-            if weighted:
-                pred = -1 if p < q else 1
-                pure = nd.mistakes <= 1e-15
-            else:
-                pred = 1 if p > q else -1
-                pure = nd.mistakes == 0
-            allowed = [i for i in range(len(features)) if i not in paths[k]]
-            if pure or not allowed or depth >= max_depth or nd.n <= min_node_size:
+            pred = (-1 if p < q else 1) if weighted else (1 if p > q else -1)
+            allowed = [i for i in range(d) if i not in paths[k]]
+            if r is None or is_pure(p, q) or not allowed or depth >= max_depth \
+                    or nd.n <= min_node_size:
                 nd.prediction = pred
                 continue
             best, best_m = None, None
@@ -134,8 +150,8 @@ def build_tree(df: DataFrame, features: list[str], label: str, max_depth: int,
             nd.feature = best
             for v in (0, 1):
                 paths[2 * k + v] = paths[k] | {best}
-                nxt.append(2 * k + v)
-        open_nodes = nxt
+                nxt[2 * k + v] = (float(r[f"p{v}_{best}"]), float(r[f"q{v}_{best}"]))
+        pending = nxt
         depth += 1
     return tree
 

@@ -313,9 +313,9 @@ def gmm_responsibilities(spark, sf_dir):
     """E-step: each row's responsibilities, from log densities (normalised in log space)."""
     c = colours(spark, sf_dir)
     w, m, cv = gmm_start(c)
-    lj = GM.log_joint_full(xs(), w, m, cv)
-    return c.select("l_orderkey", "l_linenumber",
-                    F.transform(GM.responsibilities(lj), lambda x: F.round(x, 6)).alias("resp"))
+    e = GM.e_step_columns(c, xs(), w, m, cv, ["l_orderkey", "l_linenumber"])
+    return e.select("l_orderkey", "l_linenumber",
+                    F.array(*[F.round(F.col(f"_r{j}"), 6) for j in range(GMM_K)]).alias("resp"))
 
 
 EM_STEPS = 2
@@ -367,9 +367,10 @@ def gmm_top(spark, sf_dir):
     component (top-k per group)."""
     c = colours(spark, sf_dir)
     w, m, cv = gmm_start(c)
-    lj = GM.log_joint_full(xs(), w, m, cv)
-    best = F.array_max(F.transform(lj, lambda z, i: F.struct(z.alias("v"), (-i).alias("ni"))))
-    h = c.select("l_orderkey", "l_linenumber", "rowkey", best["v"].alias("score"),
+    e = GM.e_step_columns(c, xs(), w, m, cv, ["l_orderkey", "l_linenumber", "rowkey"])
+    # hard assignment: largest log joint, lowest component index on ties
+    best = F.greatest(*[F.struct(F.col(f"_l{j}").alias("v"), F.lit(-j).alias("ni")) for j in range(GMM_K)])
+    h = e.select("l_orderkey", "l_linenumber", "rowkey", best["v"].alias("score"),
                  (-best["ni"]).cast("bigint").alias("component"))
     top = NB.topk_per_group(h, "component", [F.desc(F.round("score", 9)), F.col("rowkey")], 5)
     return top.select("component", "rank", "l_orderkey", "l_linenumber",
