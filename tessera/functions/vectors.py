@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -91,3 +93,48 @@ def argmin_struct(values) -> Column:
     structs = F.transform(arr, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
     return F.array_min(structs)["i"]
 
+
+
+# ---- batched dense math against a small literal matrix (centroids, query points, planes).
+# Arrow batches + numpy: one vectorised pass per batch instead of per-element lambdas.
+# Sums run over the dimensions in order (0.0 + t0 + t1 + ...), exactly as the array forms.
+
+def _stack(s):
+    return np.stack(s.to_numpy()).astype(float) if len(s) else np.zeros((0, 0))
+
+
+def sq_dists_to(vec, points) -> Column:
+    """array<double>: squared Euclidean distance of each row vector to every literal point."""
+    P = np.asarray(points, dtype=float)
+
+    @F.pandas_udf("array<double>")
+    def f(s: pd.Series) -> pd.Series:
+        X = _stack(s)
+        acc = np.zeros((X.shape[0], P.shape[0]))
+        for i in range(P.shape[1]):
+            t = X[:, i, None] - P[None, :, i]
+            acc = acc + t * t
+        return pd.Series(list(acc))
+    return f(_c(vec))
+
+
+def dots_to(vec, points) -> Column:
+    """array<double>: dot product of each row vector with every literal point."""
+    P = np.asarray(points, dtype=float)
+
+    @F.pandas_udf("array<double>")
+    def f(s: pd.Series) -> pd.Series:
+        X = _stack(s)
+        acc = np.zeros((X.shape[0], P.shape[0]))
+        for i in range(P.shape[1]):
+            acc = acc + X[:, i, None] * P[None, :, i]
+        return pd.Series(list(acc))
+    return f(_c(vec))
+
+
+def seq_norm(v) -> float:
+    import math
+    acc = 0.0
+    for x in v:
+        acc = acc + float(x) * float(x)
+    return math.sqrt(acc)

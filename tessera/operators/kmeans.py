@@ -19,7 +19,7 @@ from tessera.functions.hashing import hash32, uniform
 
 
 def sq_dists(vec: Column, centroids: np.ndarray) -> Column:
-    return F.array(*[V.sq_euclidean(vec, V.lit_vector(c)) for c in centroids])
+    return V.sq_dists_to(vec, centroids)
 
 
 def nearest(vec: Column, centroids: np.ndarray) -> Column:
@@ -45,9 +45,7 @@ def revise(old: np.ndarray, sums: dict) -> np.ndarray:
 
 
 def _member_sq_dist(x: Column, centroids: np.ndarray, idx: Column) -> Column:
-    c = F.element_at(F.array(*[V.lit_vector(c) for c in centroids]), idx + 1)
-    return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                       lambda acc, t: acc + t)
+    return F.element_at(sq_dists(x, centroids), idx + 1)
 
 
 def _pass(df: DataFrame, vec: str, cur: np.ndarray, prev: np.ndarray | None):

@@ -36,14 +36,12 @@ def planes_sql(n_bits: int, dim: int, seed: int) -> str:
 
 def signature(vec, planes: list[list[float]]) -> Column:
     """Integer bin: bit j set when v·plane_j ≥ 0; the first plane is the highest bit."""
-    v = V.to_double(vec) if isinstance(vec, str) else vec
+    v = F.col(vec) if isinstance(vec, str) else vec
     n = len(planes)
-    bits = [F.when(V.dot(v, V.lit_vector(p)) >= 0, F.lit(1 << (n - 1 - j))).otherwise(F.lit(0))
-            for j, p in enumerate(planes)]
-    total = bits[0]
-    for b in bits[1:]:
-        total = total + b
-    return total.cast("bigint")
+    dots = V.dots_to(v, planes)           # all projections in one batched pass
+    weights = F.array(*[F.lit(1 << (n - 1 - j)).cast("bigint") for j in range(n)])
+    return F.aggregate(F.zip_with(dots, weights, lambda d, w: F.when(d >= 0, w).otherwise(F.lit(0).cast("bigint"))),
+                       F.lit(0).cast("bigint"), lambda acc, b: acc + b)
 
 
 def hamming_masks(n_bits: int, max_radius: int) -> list[tuple[int, int]]:

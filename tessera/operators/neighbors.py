@@ -60,20 +60,20 @@ def collect_bounded(df: DataFrame, max_rows: int = MAX_DENSE_QUERIES) -> list:
 
 def dense_distances(corpus: DataFrame, vec_col: str, queries: list[tuple], metric: str,
                     keep: list[str]) -> DataFrame:
-    """Explode one row per (corpus row, query) with the distance; queries = [(qid, vector)]."""
-    v = V.to_double(vec_col)
-    dists = []
-    for qid, qvec in queries:
-        lv = V.lit_vector(qvec)
-        if metric == "euclidean":
-            d = V.euclidean(v, lv)
-        elif metric == "cosine":
-            d = V.cosine_distance(v, lv)
-        else:
-            raise ValueError(metric)
-        dists.append(F.struct(F.lit(qid).cast("bigint").alias("query_id"), d.alias("distance")))
-    return (corpus.select(*keep, F.explode(F.array(*dists)).alias("qd"))
-            .select(*keep, "qd.query_id", "qd.distance"))
+    """One row per (corpus row, query) with the distance; queries = [(qid, vector)].
+    The distances of a row to all queries come from one batched numpy pass."""
+    qids = F.array(*[F.lit(q).cast("bigint") for q, _ in queries])
+    pts = [v for _, v in queries]
+    if metric == "euclidean":
+        dist = F.transform(V.sq_dists_to(vec_col, pts), lambda x: F.sqrt(x))
+    elif metric == "cosine":
+        norms = F.array(*[F.lit(V.seq_norm(v)) for v in pts])
+        vn = V.norm(vec_col)
+        dist = F.zip_with(V.dots_to(vec_col, pts), norms, lambda d, qn: F.lit(1.0) - d / (vn * qn))
+    else:
+        raise ValueError(metric)
+    return (corpus.select(*keep, F.posexplode(dist).alias("qpos", "distance"))
+            .select(*keep, F.element_at(qids, F.col("qpos") + 1).alias("query_id"), "distance"))
 
 
 def dense_knn(corpus: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
