@@ -10,15 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import tokens
+from tessera.functions.text import WHITESPACE
+from tessera.session import cut_lineage
 from tessera.sources.tables import spread
 
 
 def word_counts(docs: DataFrame, id_col: str, text_col: str = "text",
                 lower: bool = True) -> DataFrame:
     """(id, word, count) for every word of every text (whole texts, no prefix)."""
+    t = F.lower(F.col(text_col)) if lower else F.col(text_col)
     return (spread(docs.select(id_col, text_col))
-            .select(id_col, F.explode(tokens(text_col, lower)).alias("word"))
+            .select(id_col, F.explode(F.split(t, WHITESPACE)).alias("word"))
+            .where(F.col("word") != "")          # empty pieces dropped after the explode (compiled)
             .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -44,7 +47,11 @@ def tfidf(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
 
 
 def fit_tfidf(docs: DataFrame, id_col: str, text_col: str = "text"):
-    """Returns (counts, idf, tfidf) for a corpus."""
-    counts = word_counts(docs, id_col, text_col)
+    """Returns (counts, idf, tfidf) for a corpus.
+
+    The bag-of-words table feeds several branches (document frequencies, weights, norms,
+    the inverted-index join); it is materialised once in the shared checkpoint folder so
+    the texts are scanned and tokenised once per query, not once per branch."""
+    counts = cut_lineage(word_counts(docs, id_col, text_col))
     idf = idf_table(counts, docs.count())
     return counts, idf, tfidf(counts, idf, id_col)
