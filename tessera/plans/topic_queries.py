@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 
 from tessera.operators import text_features as TF
 from tessera.operators.neighbors import topk_per_group
-from tessera.operators.relational import with_prefix_sums
+from tessera.operators.relational import distinct_values, with_prefix_sums
 from tessera.plans.fixtures import STOP_WORDS, words_values_sql
 from tessera.registry import query
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
 
 def topic_word_counts(spark, sf_dir):
     docs = Tables(spark, sf_dir).documents.where(F.col("lang") == "en")
     stop = F.broadcast(spark.createDataFrame([(w,) for w in STOP_WORDS], "word string"))
-    wc = TF.word_counts(docs, "doc_id").join(stop, "word", "left_anti")
+    # materialised once: the counts feed the topic table, its totals and the projections
+    wc = cut_lineage(TF.word_counts(docs, "doc_id").join(stop, "word", "left_anti"))
     return docs, wc
 
 
@@ -98,13 +100,16 @@ def topic_weight_counts(spark, sf_dir):
     """Per document: number of topics with weight > 0.3 and < 0.05, where the document's
     topic weights are its word counts projected on the topic-word table, normalised."""
     tt, wc = topic_table(spark, sf_dir)
-    k = tt.select("topic").distinct().count()
-    phi = tt.select("topic", "word", (F.col("cnt") / F.col("total")).alias("p"))
-    s = (wc.join(phi, "word").groupBy("doc_id", "topic")
-         .agg(F.sum(F.col("count") * F.col("p")).alias("s")))
-    tot = s.groupBy("doc_id").agg(F.sum("s").alias("z"))
-    th = s.join(tot, "doc_id").withColumn("theta", F.col("s") / F.col("z"))
-    return th.groupBy("doc_id").agg(
-        F.count_if(F.col("theta") > 0.3).cast("bigint").alias("n_high"),
-        (F.count_if(F.col("theta") < 0.05) + F.lit(k) - F.count(F.lit(1))).cast("bigint")
-        .alias("n_low"))
+    topics = distinct_values(tt, "topic")          # bounded (checked) number of topics
+    # topic-word weights as one wide row per word: the projection is then one join on word
+    # and compiled multiply-adds, instead of a (doc, word, topic) row per shared word
+    phi = (tt.select("topic", "word", (F.col("cnt") / F.col("total")).alias("p"))
+           .groupBy("word").pivot("topic", topics).agg(F.first("p")).na.fill(0.0))
+    cols = [F.col(f"`{t}`") for t in topics]
+    s = wc.join(phi, "word").groupBy("doc_id").agg(
+        *[F.sum(F.col("count") * c).alias(f"s{i}") for i, c in enumerate(cols)])
+    z = sum(F.col(f"s{i}") for i in range(len(topics)))
+    theta = [F.col(f"s{i}") / z for i in range(len(topics))]
+    return s.select("doc_id",
+                    sum((t > 0.3).cast("bigint") for t in theta).alias("n_high"),
+                    sum((t < 0.05).cast("bigint") for t in theta).alias("n_low"))
