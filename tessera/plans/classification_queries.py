@@ -352,19 +352,27 @@ def sgd_epoch(spark, sf_dir):
     allb = epochs[0]
     for e in epochs[1:]:
         allb = allb.unionByName(e)
-    allb = allb.persist()
+    allb = allb.withColumn("step", F.col("epoch") * SGD_BATCHES + F.col("batch")).persist()
     xs = [F.col("x0"), F.col("x1"), F.col("x2")]
     w = np.zeros(3)
     rows = []
+    n_steps = SGD_EPOCHS * SGD_BATCHES
     try:
-        for k in range(SGD_EPOCHS * SGD_BATCHES):
-            batch = allb.where((F.col("epoch") == k // SGD_BATCHES) & (F.col("batch") == k % SGD_BATCHES))
+        # one pass per step: the gradient of batch k and the log likelihood of batch k-1 both
+        # use the same weights (those after step k-1), so they share a scan
+        for k in range(n_steps + 1):
+            cur, prev = F.col("step") == k, F.col("step") == k - 1
             err = F.col("ind") - LG.sigmoid(LG.margin(w, xs))
-            r = batch.agg(F.count(F.lit(1)).alias("c"),
-                          *[F.sum(err * x).alias(f"g{j}") for j, x in enumerate(xs)]).collect()[0]
-            w = w + SGD_STEP / r["c"] * np.array([r["g0"], r["g1"], r["g2"]])
-            ll = batch.agg(F.avg(LG.loglik_expr(LG.margin(w, xs), F.col("ind")))).collect()[0][0]
-            rows.append((k + 1, round(ll, 6), *[round(float(v), 6) for v in w]))
+            ll = LG.loglik_expr(LG.margin(w, xs), F.col("ind"))
+            r = (allb.where(F.col("step").isin(k - 1, k))
+                 .agg(F.count_if(cur).alias("c"), F.count_if(prev).alias("pc"),
+                      F.sum(F.when(prev, ll)).alias("ll"),
+                      *[F.sum(F.when(cur, err * x)).alias(f"g{j}") for j, x in enumerate(xs)])
+                 .collect()[0])
+            if k > 0:
+                rows.append((k, round(r["ll"] / r["pc"], 6), *[round(float(v), 6) for v in w]))
+            if k < n_steps:
+                w = w + SGD_STEP / r["c"] * np.array([r["g0"], r["g1"], r["g2"]])
     finally:
         allb.unpersist()
     return spark.createDataFrame(rows, "step bigint, batch_avg_loglik double, w0 double, w1 double, "
