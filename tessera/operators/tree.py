@@ -87,73 +87,105 @@ def _side_stats(df: DataFrame, node: Column, features: list[str], label: Column,
     return {r["_node"]: r for r in rows}
 
 
-def build_tree(df: DataFrame, features: list[str], label: str, max_depth: int,
-               weight: Column | None = None, min_node_size: float = 0,
-               min_error_reduction: float | None = None) -> dict[int, Node]:
-    """Grow the tree level-wise on ``df`` (its rows are the training rows).
+def _multi_side_stats(df: DataFrame, targets: list[tuple[int, Column]], features: list[str],
+                      label: Column, weight: Column | None) -> dict:
+    """Side statistics of the open nodes of several trees in one aggregation: each row is
+    replicated once per tree in which it sits in an open node (≤ number of trees)."""
+    w = weight if weight is not None else F.lit(1)
+    structs = [F.struct(F.lit(t).alias("t"), node.alias("n")) for t, node in targets]
+    base = (df.select(*[F.col(c) for c in features], label.alias("_y"), w.alias("_w"),
+                      F.explode(F.array(*structs)).alias("_tn"))
+            .where(F.col("_tn.n").isNotNull()))
+    aggs = []
+    for i, c in enumerate(features):
+        x = F.col(c)
+        for v in (0, 1):
+            for lab, nm in ((1, "p"), (-1, "q")):
+                aggs.append(F.sum(F.when((x == v) & (F.col("_y") == lab), F.col("_w"))
+                                  .otherwise(F.lit(0))).alias(f"{nm}{v}_{i}"))
+    rows = base.groupBy(F.col("_tn.t").alias("_t"), F.col("_tn.n").alias("_n")).agg(*aggs).collect()
+    return {(r["_t"], r["_n"]): r for r in rows}
 
-    A child's label totals are already known from its parent's split statistics, so a
-    level is aggregated only for the nodes that may still split (not pure, depth below the
-    maximum, above the minimum size): a stump costs one pass, a depth-d tree ≤ d passes."""
+
+def build_trees(df: DataFrame, features: list[str], label: str, configs: dict,
+                weight: Column | None = None) -> dict[str, dict[int, Node]]:
+    """Grow several trees (``configs``: name → max_depth, min_node_size, min_error_reduction)
+    level by level on ``df`` (the training rows), sharing one aggregation per level.
+
+    A child's label totals are already known from its parent's split statistics, so a level
+    is aggregated only for the nodes that may still split (not pure, depth below the maximum,
+    above the minimum size): a stump costs one pass, a depth-d tree at most d passes."""
     weighted = weight is not None
     y = F.col(label)
     d = len(features)
-    tree: dict[int, Node] = {}
-    paths: dict[int, set[int]] = {1: set()}
-    pending: dict[int, tuple[float, float] | None] = {1: None}
-    depth = 0
+    names = list(configs)
+    state = {name: {"tree": {}, "paths": {1: set()}, "pending": {1: None}} for name in names}
 
     def is_pure(p, q):
         return min(p, q) <= 1e-15 if weighted else min(p, q) == 0
 
-    def may_split(k, pq):
-        if pq is None:
-            return True
-        p, q = pq
-        return (not is_pure(p, q) and depth < max_depth and p + q > min_node_size
-                and len(paths[k]) < d)
-
-    while pending:
-        need = [k for k, pq in pending.items() if may_split(k, pq)]
-        stats = (_side_stats(df, node_column(tree, features, need), features, y, weight, need)
-                 if need else {})
-        nxt: dict[int, tuple[float, float]] = {}
-        for k, pq in pending.items():
-            r = stats.get(k)
-            if r is not None:
-                p = float(r["p0_0"] + r["p1_0"])
-                q = float(r["q0_0"] + r["q1_0"])
-            elif pq is not None:
-                p, q = pq
-            else:
-                continue
-            nd = Node(k, depth, p, q)
-            tree[k] = nd
-            pred = (-1 if p < q else 1) if weighted else (1 if p > q else -1)
-            allowed = [i for i in range(d) if i not in paths[k]]
-            if r is None or is_pure(p, q) or not allowed or depth >= max_depth \
-                    or nd.n <= min_node_size:
-                nd.prediction = pred
-                continue
-            best, best_m = None, None
-            for i in allowed:
-                m = (min(r[f"p0_{i}"], r[f"q0_{i}"]) + min(r[f"p1_{i}"], r[f"q1_{i}"]))
-                if best_m is None or m < best_m:
-                    best, best_m = i, m
-            n_left = r[f"p0_{best}"] + r[f"q0_{best}"]
-            n_right = r[f"p1_{best}"] + r[f"q1_{best}"]
-            if (min_error_reduction is not None
-                    and (nd.mistakes - best_m) / nd.n <= min_error_reduction) \
-                    or n_left == 0 or n_right == 0:
-                nd.prediction = pred
-                continue
-            nd.feature = best
-            for v in (0, 1):
-                paths[2 * k + v] = paths[k] | {best}
-                nxt[2 * k + v] = (float(r[f"p{v}_{best}"]), float(r[f"q{v}_{best}"]))
-        pending = nxt
+    depth = 0
+    while any(state[nm]["pending"] for nm in names):
+        targets, need = [], {}
+        for ti, nm in enumerate(names):
+            cfg, st = configs[nm], state[nm]
+            need[nm] = [k for k, pq in st["pending"].items()
+                        if pq is None or (not is_pure(*pq) and depth < cfg["max_depth"]
+                                          and pq[0] + pq[1] > cfg.get("min_node_size", 0)
+                                          and len(st["paths"][k]) < d)]
+            if need[nm]:
+                targets.append((ti, node_column(st["tree"], features, need[nm])))
+        stats = _multi_side_stats(df, targets, features, y, weight) if targets else {}
+        for ti, nm in enumerate(names):
+            cfg, st = configs[nm], state[nm]
+            tree, paths = st["tree"], st["paths"]
+            min_size = cfg.get("min_node_size", 0)
+            min_red = cfg.get("min_error_reduction")
+            nxt: dict[int, tuple[float, float]] = {}
+            for k, pq in st["pending"].items():
+                r = stats.get((ti, k))
+                if r is not None:
+                    p = float(r["p0_0"] + r["p1_0"])
+                    q = float(r["q0_0"] + r["q1_0"])
+                elif pq is not None:
+                    p, q = pq
+                else:
+                    continue
+                nd = Node(k, depth, p, q)
+                tree[k] = nd
+                pred = (-1 if p < q else 1) if weighted else (1 if p > q else -1)
+                allowed = [i for i in range(d) if i not in paths[k]]
+                if r is None or is_pure(p, q) or not allowed or depth >= cfg["max_depth"] \
+                        or nd.n <= min_size:
+                    nd.prediction = pred
+                    continue
+                best, best_m = None, None
+                for i in allowed:
+                    m = (min(r[f"p0_{i}"], r[f"q0_{i}"]) + min(r[f"p1_{i}"], r[f"q1_{i}"]))
+                    if best_m is None or m < best_m:
+                        best, best_m = i, m
+                n_left = r[f"p0_{best}"] + r[f"q0_{best}"]
+                n_right = r[f"p1_{best}"] + r[f"q1_{best}"]
+                if (min_red is not None and (nd.mistakes - best_m) / nd.n <= min_red) \
+                        or n_left == 0 or n_right == 0:
+                    nd.prediction = pred
+                    continue
+                nd.feature = best
+                for v in (0, 1):
+                    paths[2 * k + v] = paths[k] | {best}
+                    nxt[2 * k + v] = (float(r[f"p{v}_{best}"]), float(r[f"q{v}_{best}"]))
+            st["pending"] = nxt
         depth += 1
-    return tree
+    return {nm: state[nm]["tree"] for nm in names}
+
+
+def build_tree(df: DataFrame, features: list[str], label: str, max_depth: int,
+               weight: Column | None = None, min_node_size: float = 0,
+               min_error_reduction: float | None = None) -> dict[int, Node]:
+    """One tree (see ``build_trees``)."""
+    cfg = {"max_depth": max_depth, "min_node_size": min_node_size,
+           "min_error_reduction": min_error_reduction}
+    return build_trees(df, features, label, {"t": cfg}, weight)["t"]
 
 
 def tree_rows(tree: dict[int, Node], features: list[str]):

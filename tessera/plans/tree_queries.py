@@ -247,9 +247,9 @@ def tree_early_stop(spark, sf_dir):
     leaves and train/test error of each tree; every tree's errors in one scoring pass."""
     d = tree_frame(spark, sf_dir).persist()
     train = d.where(F.col("split") == "train")
-    trees = {name: T.build_tree(train, FEATURES, "y", depth, min_node_size=size,
-                                min_error_reduction=red)
-             for name, depth, size, red in EARLY_STOP}
+    trees = T.build_trees(train, FEATURES, "y", {
+        name: {"max_depth": depth, "min_node_size": size, "min_error_reduction": red}
+        for name, depth, size, red in EARLY_STOP})     # all five trees share each level's pass
     aggs = []
     for j, (name, tree) in enumerate(trees.items()):
         pred = T.predict_column(tree, FEATURES)
