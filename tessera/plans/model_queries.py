@@ -27,6 +27,7 @@ from tessera.plans.regression_queries import LI_FEATURES, _normalised_system, li
 from tessera.plans.tree_queries import FEATURES as TREE_FEATURES
 from tessera.plans.tree_queries import tree_frame
 from tessera.registry import query
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables, spread
 
 
@@ -238,10 +239,14 @@ def gmm_fit(spark, sf_dir):
 
 
 def _lda_input(spark, sf_dir):
+    """Stop-word-trimmed bags of words of the English documents as count vectors. Splitting and
+    removal (empty pieces and stop words via ``StopWordsRemover``) stay JVM-side."""
+    from pyspark.ml.feature import StopWordsRemover
+    from tessera.functions.text import WHITESPACE
     docs = Tables(spark, sf_dir).documents.where(F.col("lang") == "en")
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    words = F.filter(tokens("text"), lambda w: ~F.array_contains(stop, w))
-    d = spread(docs.select("doc_id", words.alias("words")))
+    d = spread(docs.select("doc_id", F.split(F.lower("text"), WHITESPACE).alias("pieces")))
+    d = StopWordsRemover(inputCol="pieces", outputCol="words", stopWords=STOP_WORDS + [""],
+                         caseSensitive=True).transform(d)
     cv = CountVectorizer(inputCol="words", outputCol="features", minDF=2.0).fit(d)
     return cv.transform(d).select("doc_id", "features").persist(), cv.vocabulary
 
@@ -267,7 +272,7 @@ def lda_fit(spark, sf_dir):
         best = F.array_max(F.transform("td", lambda v, i: F.struct(v.alias("w"), (-i).alias("ni"))))
         r = t.select(F.lit(name).alias("setting"), "doc_id", (-best["ni"]).cast("bigint").alias("topic"),
                      best["w"].alias("weight"))
-        r = spark.createDataFrame(r.collect(), r.schema)
+        r = cut_lineage(r)        # materialised in the shared folder before the input is released
         out = r if out is None else out.unionByName(r)
     x.unpersist()
     return out
@@ -292,7 +297,7 @@ def lda_average(spark, sf_dir):
     acc = None
     for seed in (1, 2, 3):
         t = _lda(x, 10, seed).transform(x).select("doc_id", vector_to_array("topicDistribution").alias(f"t{seed}"))
-        t = spark.createDataFrame(t.collect(), t.schema)
+        t = cut_lineage(t)
         acc = t if acc is None else acc.join(t, "doc_id")
     x.unpersist()
     avg = F.zip_with(F.zip_with("t1", "t2", lambda a, b: a + b), "t3", lambda a, b: (a + b) / 3.0)
