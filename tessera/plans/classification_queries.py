@@ -9,7 +9,6 @@ Text model: documents ⋈ labels, label = 2·quality − 1, word weights = log-o
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import bucket, hash32, sql_hash32

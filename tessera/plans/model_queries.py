@@ -5,8 +5,6 @@ formulation (LBFGS/OWLQN, GBT, LDA, k-means||), and searches that loop over fits
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        LogisticRegression)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash32, sql_hash32, sql_uniform
+from tessera.functions.hashing import sql_hash32, sql_uniform
 from tessera.operators import relational as R
 from tessera.operators import split as S
 from tessera.operators.quantiles import grouped_quantiles

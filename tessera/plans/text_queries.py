@@ -48,8 +48,6 @@ def tfidf_cosine(spark, sf_dir):
 
 # ---------------------------------------------------------------- word-level queries
 
-from pyspark.sql import Window  # noqa: E402
-
 from tessera.functions import text as TX  # noqa: E402
 from tessera.plans.fixtures import (ALL_WORDS_SET, SELECTED_WORDS, STOP_WORDS,  # noqa: E402
                                     words_values_sql)
