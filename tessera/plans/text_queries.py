@@ -13,13 +13,20 @@ from tessera.sources.tables import Tables
 K_RETRIEVE = 5
 
 
-def benchmark_tfidf_neighbours(spark, sf_dir, k=K_RETRIEVE):
+def benchmark_neighbours_with_counts(spark, sf_dir, k=K_RETRIEVE):
+    """(neighbours, document bag of words, benchmark bag of words): the bags are computed once
+    (documents materialised) and reused by queries that need them beside the neighbours."""
     t = Tables(spark, sf_dir)
-    docs = t.documents
-    counts, idf, doc_tfidf = TF.fit_tfidf(docs, "doc_id")
-    q_tfidf = TF.tfidf(TF.word_counts(t.benchmark, "item_id"), idf, "item_id")
+    counts, idf, doc_tfidf = TF.fit_tfidf(t.documents, "doc_id")
+    q_counts = TF.word_counts(t.benchmark, "item_id")
+    q_tfidf = TF.tfidf(q_counts, idf, "item_id")
     res = NB.sparse_cosine_topk(q_tfidf, doc_tfidf, "item_id", "doc_id", k)
-    return res.select("item_id", "doc_id", "rank", F.round("distance", 6).alias("distance"))
+    res = res.select("item_id", "doc_id", "rank", F.round("distance", 6).alias("distance"))
+    return res, counts, q_counts
+
+
+def benchmark_tfidf_neighbours(spark, sf_dir, k=K_RETRIEVE):
+    return benchmark_neighbours_with_counts(spark, sf_dir, k)[0]
 
 
 _TFIDF_COSINE_SQL = f"""
@@ -226,11 +233,10 @@ FROM nn JOIN qw ON qw.item_id = nn.item_id JOIN dw ON dw.doc_id = nn.doc_id AND
 def join_common_words(spark, sf_dir):
     """Words shared by each benchmark item and its nearest document, with both counts
     (the clashing ``count`` columns renamed before the join)."""
-    t = Tables(spark, sf_dir)
-    nn = benchmark_tfidf_neighbours(spark, sf_dir).where(F.col("rank") == 1) \
-        .select("item_id", "doc_id")
-    qw = TF.word_counts(t.benchmark, "item_id").withColumnsRenamed({"count": "count_item"})
-    dw = TF.word_counts(t.documents, "doc_id").withColumnsRenamed({"count": "count_doc"})
+    res, d_counts, q_counts = benchmark_neighbours_with_counts(spark, sf_dir)
+    nn = res.where(F.col("rank") == 1).select("item_id", "doc_id")
+    qw = q_counts.withColumnsRenamed({"count": "count_item"})
+    dw = d_counts.withColumnsRenamed({"count": "count_doc"})
     return (nn.join(qw, "item_id").join(dw, ["doc_id", "word"])
             .select("item_id", "doc_id", "word", "count_item", "count_doc"))
 
@@ -269,13 +275,12 @@ def rank_position(spark, sf_dir):
 
     Position = number of candidates ordered before the target; an aggregate, no full sort.
     """
-    t = Tables(spark, sf_dir)
-    qc = TF.word_counts(t.benchmark, "item_id").withColumn("w", F.col("count").cast("double"))
-    dc = TF.word_counts(t.documents, "doc_id").withColumn("w", F.col("count").cast("double"))
+    res, d_counts, q_counts = benchmark_neighbours_with_counts(spark, sf_dir)
+    qc = q_counts.withColumn("w", F.col("count").cast("double"))
+    dc = d_counts.withColumn("w", F.col("count").cast("double"))
     sc = NB.sparse_cosine_scores(qc, dc, "item_id", "doc_id", weight="w") \
         .withColumn("rd", F.round("distance", 9))
-    nn = benchmark_tfidf_neighbours(spark, sf_dir).where(F.col("rank") == 1) \
-        .select("item_id", F.col("doc_id").alias("target"))
+    nn = res.where(F.col("rank") == 1).select("item_id", F.col("doc_id").alias("target"))
     tgt = nn.join(sc.select("item_id", F.col("doc_id").alias("target"), F.col("rd").alias("td")),
                   ["item_id", "target"])
     before = (F.col("rd") < F.col("td")) | ((F.col("rd") == F.col("td")) &
