@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import embed_dedup, url_filter
+from tessera.llm import embed_dedup, suffix_dedup, url_filter
 from tessera.llm.url_filter import Rule
 from tessera.sources.tables import table
 
@@ -81,6 +82,14 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+# ------------------------------------------------------------------ 2: suffix-array dedup
+
+@_query("op2_suffix_array_dedup")
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # ------------------------------------------------------------------ 7: embeddings
 
 @_query("op7_embedding_near_dedup")
