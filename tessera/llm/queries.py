@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, embed_dedup, suffix_dedup, url_filter
+from tessera.llm import bpe, decontaminate, embed_dedup, suffix_dedup, url_filter
 from tessera.llm.url_filter import Rule
 from tessera.sources.tables import table
 
@@ -97,15 +97,29 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+# ------------------------------------------------------------------ 8: byte-level BPE
+
+def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@_query("op8_byte_bpe")
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    vocabulary = bpe.share(docs, vocabulary_path())
+    out = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 # ------------------------------------------------------------------ 9: decontamination
 
 _OP9_SQL = r"""
 WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w FROM documents),
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (
-  SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w FROM benchmark),
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 bw AS (
   SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
   FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
