@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,7 @@ class Vocabulary:
     """Tokens as one byte array, and a hash table (id, id) → id of the merged token."""
 
     def __init__(self, tokens: list[bytes]):
-        self.size = len(tokens)
+        self.name = sha256(b"\n".join(tokens)).hexdigest()
         self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         self.starts = offsets_of(np.array([len(t) for t in tokens]))
         rank = {t: i for i, t in enumerate(tokens)}
@@ -329,7 +330,7 @@ class Encoder:
         return self.ids[ranges(self.starts[mine], n)], np.diff(total[piece])
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def _binary(parts: list[np.ndarray], sizes: np.ndarray) -> pa.Array:
@@ -339,10 +340,11 @@ def _binary(parts: list[np.ndarray], sizes: np.ndarray) -> pa.Array:
 
 def _encode(shared, carry: list[str]):
     def run(batches):
-        if shared.id not in _ENCODERS:
+        vocab = shared.value
+        if vocab.name not in _ENCODERS:
             _ENCODERS.clear()
-            _ENCODERS[shared.id] = Encoder(shared.value)
-        encoder = _ENCODERS[shared.id]
+            _ENCODERS[vocab.name] = Encoder(vocab)
+        encoder = _ENCODERS[vocab.name]
         for batch in batches:
             texts = Texts(batch.column("text"))
             parts, counts = [], []
