@@ -7,6 +7,7 @@ batch or the corpus; only a single text longer than a slice widens it.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -49,9 +50,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: a cut of the lineage
     that survives the loss of any executor."""
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path, schema = scratch_path(spark, name), df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    # the shuffles behind the table are no longer needed; Spark removes their files when the
+    # driver's JVM collects the plans that refer to them
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

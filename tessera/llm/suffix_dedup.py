@@ -6,7 +6,7 @@ smaller id (judged on the input; strings never cross documents).
 Suffixes start in q-gram buckets (q = 8: the packed bytes are the bucket's identifier) and
 buckets are refined by the identifiers at later offsets: an identifier of depth 16 is made
 of those of depth 8 at offsets 0 and 8, one of depth 50 of those of depth 16 at offsets
-0, 16, 32 and 34, each level reusing the one before. Only sampled suffixes are sorted
+0, 16, 32 and 34, each level reusing the one before (depth 33: offsets 0 and 17). Only sampled suffixes are sorted
 across the cluster: in every window the leftmost 16-gram of least (hashed) identifier.
 Equal windows sample the same offset, so all copies of a window meet in one bucket.
 
@@ -14,13 +14,17 @@ Equal windows sample the same offset, so all copies of a window meet in one buck
    document). The zone is the identifier of all bytes whose windows sample this suffix, two
    depth-50 identifiers at its ends. A suffix whose zone is also in a smaller document is
    settled: its whole zone is repeated. A bucket with a single zone needs no more.
-2. Refinement: what is left of the buckets with several zones is refined to windows: every
-   window of these zones is sorted by its depth-50 identifier and document.
+2. Refinement: what is left of the buckets with several zones is refined by the identifiers
+   of depth 33 at the sampled offset and 17 bytes before it (every window of the zone holds
+   one of the two); halves that only one document has need no more.
+3. The windows of the remaining halves are sorted by depth-50 identifier and document.
 
 Buckets are read as a sorted stream with one group's minimum held, never gathered. Before
 each shuffle a batch settles what it can by itself, so a frequent string sends one row per
 batch and zone; settled rows are spread by document. Identifiers are 96 bits where equality
-decides (64 + 32). Texts are shuffled once, for the join with their marks.
+decides (64 + 32). Texts are shuffled once; the joins with their marks reuse that exchange.
+
+A text may have up to 512 MB.
 
 Defined results: null text is empty; documents under ``WINDOW`` bytes lose nothing; rows
 that share a doc_id never shorten one another, and each row gets its own result (marks carry
@@ -45,7 +49,12 @@ LAST = (1 << 63) - 1             # stands for a missing doc_id
 
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _POS_BITS = np.uint64((1 << 30) - 1)
-_DONE = 1 << 31                  # in a mark: settled before the shuffle
+# a mark is the check (32 bits), three flags and the place in the text (29 bits)
+_DONE = 1 << 31                  # settled before the shuffle
+_LEFT = 1 << 30                  # the half before the sampled offset
+_SHARED = 1 << 29                # another document has this half, known before the shuffle
+_PLACE = _SHARED - 1
+HALF = 17
 ROWS = "key bigint, mark bigint, doc bigint"
 MARKS = "doc bigint, mark bigint, settled boolean"
 
@@ -68,6 +77,10 @@ def buckets16(data: np.ndarray) -> np.ndarray:
     return refine(b8[:-8], b8[8:])
 
 
+def depth33(b16: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return refine(b16[at], b16[at + HALF])
+
+
 def depth50(b16: np.ndarray, at: np.ndarray) -> np.ndarray:
     b32 = refine(b16[at], b16[at + 16])
     return refine(b32, refine(b16[at + 32], b16[at + 34]))
@@ -117,9 +130,9 @@ def _docs(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc").to_numpy(zero_copy_only=False)
 
 
-def _settle_here(key: np.ndarray, mark: np.ndarray, doc: np.ndarray) -> pa.RecordBatch | None:
+def _settle_here(key: np.ndarray, mark: np.ndarray, doc: np.ndarray, flag: bool = False) -> pa.RecordBatch | None:
     """Rows of one batch: those whose (key, check) the batch also has in a smaller document
-    are settled and spread by document."""
+    are settled and spread by document; with ``flag`` the smallest one's rows say so."""
     if len(key) == 0:
         return None
     check = mark.view(np.uint64) >> np.uint64(32)
@@ -129,6 +142,10 @@ def _settle_here(key: np.ndarray, mark: np.ndarray, doc: np.ndarray) -> pa.Recor
     new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
     low = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
     done = doc > low
+    if flag:
+        run = np.cumsum(new) - 1
+        known = np.bincount(run, weights=done)[run] > 0
+        mark = np.where(known, mark | _SHARED, mark)
     key = np.where(done, mix64(mix64(doc.view(np.uint64)) + mark.view(np.uint64)), key)
     mark = np.where(done, mark | _DONE, mark)
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(mark), pa.array(doc)],
@@ -224,11 +241,55 @@ def window_marks(batches):
     yield from _stream(batches, False)
 
 
+def shared_halves(batches):
+    """Rows sorted by (key, check, doc) → all rows of a check that two documents have.
+    State: the last key, check and document, and its rows while it is alone."""
+    last = None
+    wait: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def out(doc, mark):
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(mark)], ["doc", "mark"])
+
+    for batch in batches:
+        key, mark, doc = (batch.column(c).to_numpy() for c in ("key", "mark", "doc"))
+        done = (mark & _DONE) != 0
+        if done.any():
+            yield out(doc[done], mark[done])
+            key, mark, doc = key[~done], mark[~done], doc[~done]
+        n = len(key)
+        if n == 0:
+            continue
+        check = mark >> 32
+        new = np.ones(n, dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
+        goes_on = last is not None and (key[0], check[0]) == last[:2]
+        new[0] = not goes_on
+        run = np.cumsum(new) - (0 if goes_on else 1)
+        n_runs = int(run[-1]) + 1
+        low = np.full(n_runs, LAST)
+        high = np.full(n_runs, -LAST)
+        np.minimum.at(low, run, doc)
+        np.maximum.at(high, run, doc)
+        if goes_on:
+            low[0] = min(low[0], last[2])
+        several = high > low
+        if goes_on and several[0]:
+            for d, m in wait:
+                yield out(d, m)
+        if not goes_on or several[0]:
+            wait = []
+        take = several[run] | ((mark & _SHARED) != 0)
+        if take.any():
+            yield out(doc[take], mark[take])
+        own = ~take & (run == n_runs - 1)
+        wait = [*(wait if goes_on and n_runs == 1 else []), (doc[own], mark[own])]
+        last = (key[-1], check[-1], low[-1])
+
+
 def _lists(column: pa.Array, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
-    """Values of rows [i, j) of a list column, and the row (from 0) of each."""
+    """Values of rows [i, j) of a list column (null: none), and the row (from 0) of each."""
     part = column.slice(i, j - i)
-    lens = np.diff(part.offsets.to_numpy()) if part.null_count == 0 else np.array(
-        [0 if x is None else x for x in part.value_lengths().to_pylist()], dtype=np.int64)
+    lens = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     return part.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(j - i), lens)
 
 
@@ -245,7 +306,7 @@ def _find(z: Zones, offsets: np.ndarray, marks: np.ndarray, row: np.ndarray) ->
     """Index of the zone each mark names; marks of another row with the same id fall out."""
     if len(marks) == 0 or len(z.pos) == 0:
         return np.zeros(0, dtype=np.int64)
-    pos = offsets[row] + (marks & (_DONE - 1))
+    pos = offsets[row] + (marks & _PLACE)
     i = np.minimum(np.searchsorted(z.pos, pos), len(z.pos) - 1)
     ok = (z.pos[i] == pos) & (z.check[i] == marks.view(np.uint64) >> np.uint64(32)) & (pos < offsets[row + 1])
     return i[ok]
@@ -256,17 +317,55 @@ def _window_ids(z: Zones, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix64(full), mix64(full * _C3 + z.b16[at]) >> np.uint64(32)
 
 
-def open_windows(batches):
-    """Texts with their unsettled zones → a row for each window of these zones."""
+def _half_ids(z: Zones, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    full = depth33(z.b16, at)
+    return mix64(full), mix64(full * _C3 + z.b16[at]) >> np.uint64(32)
+
+
+def open_halves(batches):
+    """Texts with their unsettled zones → a row for each half of these zones: the 33 bytes
+    from the sampled offset lie in the windows that begin up to 17 bytes before it, the 33
+    bytes from 17 before it in the others."""
     for batch in batches:
         ids = _docs(batch)
         keys, marks, docs = [], [], []
         for i, j, data, offsets, z in _marked(batch, ["open"]):
             if z is None:
                 continue
-            vals, row = _lists(batch.column("open"), i, j)
-            k = np.unique(_find(z, offsets, vals, row))
-            at = ranges(z.lo[k], z.hi[k] - z.lo[k] + 1)
+            k = np.unique(_find(z, offsets, *_lists(batch.column("open"), i, j)))
+            own = np.searchsorted(offsets, z.pos[k], side="right") - 1
+            for left in (False, True):
+                some = (z.pos[k] - z.lo[k] > HALF) if left else (z.pos[k] - z.hi[k] <= HALF)
+                pos, doc = z.pos[k][some], own[some]
+                if len(pos) == 0:
+                    continue
+                key, check = _half_ids(z, pos - HALF if left else pos)
+                keys.append(key)
+                marks.append(_mark(check, (pos - offsets[doc]) | (_LEFT if left else 0)))
+                docs.append(ids[i + doc])
+        if keys:
+            yield _settle_here(np.concatenate(keys), np.concatenate(marks), np.concatenate(docs), flag=True)
+
+
+def open_windows(batches):
+    """Texts with their shared halves → a row for each window of these halves."""
+    for batch in batches:
+        ids = _docs(batch)
+        keys, marks, docs = [], [], []
+        for i, j, data, offsets, z in _marked(batch, ["halves"]):
+            if z is None or len(z.pos) == 0:
+                continue
+            vals, row = _lists(batch.column("halves"), i, j)
+            pos = offsets[row] + (vals & _PLACE)
+            left = (vals & _LEFT) != 0
+            k = np.minimum(np.searchsorted(z.pos, pos), len(z.pos) - 1)
+            ok = (z.pos[k] == pos) & np.where(left, z.pos[k] - z.lo[k] > HALF, z.pos[k] - z.hi[k] <= HALF)
+            k, left, vals = k[ok], left[ok], vals[ok]
+            same = _half_ids(z, np.where(left, z.pos[k] - HALF, z.pos[k]))[1] == vals.view(np.uint64) >> np.uint64(32)
+            k, left = k[same], left[same]
+            lo = np.where(left, z.lo[k], np.maximum(z.lo[k], z.pos[k] - HALF))
+            hi = np.where(left, np.minimum(z.hi[k], z.pos[k] - HALF - 1), z.hi[k])
+            at = ranges(lo, hi - lo + 1)
             if len(at) == 0:
                 continue
             key, check = _window_ids(z, at)
@@ -275,9 +374,7 @@ def open_windows(batches):
             marks.append(_mark(check, at - offsets[own]))
             docs.append(ids[i + own])
         if keys:
-            out = _settle_here(np.concatenate(keys), np.concatenate(marks), np.concatenate(docs))
-            if out is not None:
-                yield out
+            yield _settle_here(np.concatenate(keys), np.concatenate(marks), np.concatenate(docs))
 
 
 def _removal(z: Zones | None, n: int, offsets: np.ndarray, batch: pa.RecordBatch, i: int, j: int) -> np.ndarray:
@@ -290,7 +387,7 @@ def _removal(z: Zones | None, n: int, offsets: np.ndarray, batch: pa.RecordBatch
     np.add.at(edge, z.hi[k] + WINDOW, -1)
     vals, row = _lists(batch.column("windows"), i, j)
     if len(vals):
-        at = offsets[row] + (vals & (_DONE - 1))
+        at = offsets[row] + (vals & _PLACE)
         inside = at + WINDOW <= offsets[row + 1]
         at, vals = at[inside], vals[inside]
         ok = _window_ids(z, at)[1] == vals.view(np.uint64) >> np.uint64(32)
@@ -331,34 +428,35 @@ def _shorten(carry: list[str]):
     return run
 
 
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key").sortWithinPartitions("key", F.shiftright("mark", 32), "doc")
+
+
+def _listed(marks: DataFrame, name: str) -> DataFrame:
+    return marks.groupBy("doc").agg(F.collect_list("mark").alias(name))
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, the columns in ``carry``, kept (binary: the
     remaining bytes), n_bytes, n_removed, n_spans (maximal removed runs)."""
     others = [c for c in carry if c not in (doc_id, text)]
-    base = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc"),
-                       F.coalesce(F.col(text), F.lit("")).alias("text"))
-    marks = (base.mapInArrow(sampled_suffixes, ROWS).repartition("key")
-             .sortWithinPartitions("key", F.shiftright("mark", 32), "doc").mapInArrow(zone_marks, MARKS))
-    marks = materialise(marks, "zones")
-    lists = marks.groupBy("doc").agg(
-        F.collect_list(F.when(F.col("settled"), F.col("mark"))).alias("settled"),
-        F.collect_list(F.when(~F.col("settled"), F.col("mark"))).alias("open"))
-    windows = (base.join(lists.select("doc", "open").where(F.size("open") > 0), "doc")
-               .mapInArrow(open_windows, ROWS).repartition("key")
-               .sortWithinPartitions("key", F.shiftright("mark", 32), "doc")
-               .mapInArrow(window_marks, MARKS)
-               .groupBy("doc").agg(F.collect_list("mark").alias("windows")))
-    none = F.expr("cast(array() as array<bigint>)")
-    row = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc"),
-                      F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(doc_id).alias("doc_id"),
-                      F.struct(*others).alias("_carry") if others else F.lit(0).alias("_carry"))
-    joined = (row.join(lists.select("doc", "settled"), "doc", "left").join(windows, "doc", "left")
-              .select("doc_id", "_carry", "text", F.coalesce("settled", none).alias("settled"),
-                      F.coalesce("windows", none).alias("windows")))
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType),
-                           T.StructField("_carry", joined.schema["_carry"].dataType),
-                           T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()),
-                           T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType())])
-    out = joined.mapInArrow(_shorten(["doc_id", "_carry"]), schema)
+    doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc")
+    body = F.coalesce(F.col(text), F.lit("")).alias("text")
+    marks = materialise(_sorted(docs.select(doc, body).mapInArrow(sampled_suffixes, ROWS))
+                        .mapInArrow(zone_marks, MARKS), "zones")
+    # all joins below read the same exchange of the texts: each takes all of its columns
+    extra = [F.struct(*others).alias("_carry")] if others else []
+    rows = docs.select(doc, body, F.col(doc_id).alias("doc_id"), *extra).repartition("doc")
+    halves = (_sorted(rows.join(_listed(marks.where("not settled"), "open"), "doc", "left")
+                      .mapInArrow(open_halves, ROWS)).mapInArrow(shared_halves, "doc bigint, mark bigint"))
+    windows = (_sorted(rows.join(_listed(halves, "halves"), "doc", "left").mapInArrow(open_windows, ROWS))
+               .mapInArrow(window_marks, MARKS))
+    joined = (rows.join(_listed(marks.where("settled"), "settled"), "doc", "left")
+              .join(_listed(windows, "windows"), "doc", "left"))
+    keep = ["doc_id", *(["_carry"] if others else [])]
+    schema = T.StructType([*(joined.schema[c] for c in keep), T.StructField("kept", T.BinaryType()),
+                           T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
+                           T.StructField("n_spans", T.LongType())])
+    out = joined.mapInArrow(_shorten(keep), schema)
     return out.select("doc_id", *([f"_carry.{c}" for c in others]), "kept", "n_bytes", "n_removed", "n_spans")
