@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, embed_dedup, suffix_dedup, url_filter
+from tessera.llm import bpe, decontaminate, embed_dedup, license_scan, suffix_dedup, url_filter
 from tessera.llm.url_filter import Rule
 from tessera.sources.tables import table
 
@@ -90,6 +90,52 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# ------------------------------------------------------------------ 4: licence scan
+
+def _op4_sql() -> str:
+    def values(rows) -> str:
+        return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x).lower() for x in r) + ")" for r in rows)
+    templates = license_scan.TEMPLATES
+    index = values([(i, w, q, t.key_at <= q < t.key_at + len(t.key_words))
+                    for i, t in enumerate(templates) for q, w in enumerate(t.words)])
+    about = values([(i, t.label, t.base, len(t.key_words), t.key_at) for i, t in enumerate(templates)])
+    return rf"""
+WITH idx(t, word, place, is_key) AS (VALUES {index}),
+about(t, label, base, key_size, key_at) AS (VALUES {about}),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+h AS (SELECT doc_id, word, pos FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d)
+  WHERE word IN (SELECT word FROM idx)),
+weights AS (
+  SELECT word, ln(((SELECT count(*) FROM documents) + 1) / (count(DISTINCT doc_id) + 1)) + 1e-9 AS weight
+  FROM (SELECT DISTINCT word FROM idx) LEFT JOIN h USING (word) GROUP BY word),
+totals AS (SELECT t, sum(weight) AS total FROM idx JOIN weights USING (word) GROUP BY t),
+m AS (
+  SELECT doc_id, label, base, off + key_at AS start, least(1.0, round(weight / total, 6)) AS score
+  FROM (SELECT doc_id, t, pos - place AS off, sum(weight) AS weight, sum(CAST(is_key AS INTEGER)) AS keys
+        FROM h JOIN idx USING (word) JOIN weights USING (word) GROUP BY ALL)
+    JOIN about USING (t) JOIN totals USING (t)
+  WHERE keys = key_size),
+f AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+    max(start) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN f USING (doc_id)
+"""
+
+
+@_query("op4_license_scan", _op4_sql())
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.label_files(table(spark, sf_dir, "documents"))
+    return out.withColumn("base_labels", F.array_join("base_labels", ",")).withColumn("labels", F.array_join("labels", ","))
+
+
 # ------------------------------------------------------------------ 7: embeddings
 
 @_query("op7_embedding_near_dedup")
