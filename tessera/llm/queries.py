@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, embed_dedup, license_scan, suffix_dedup, url_filter
+from tessera.llm import bpe, decontaminate, embed_dedup, license_scan, quality, suffix_dedup, url_filter
 from tessera.llm.url_filter import Rule
 from tessera.sources.tables import table
 
@@ -192,3 +192,18 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                         (n_hit > 0).alias("contaminated"))
+
+
+# ------------------------------------------------------------------ 10: quality
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.AdditiveModel:
+    """Learned from the labels outside the held-out fifth."""
+    return quality.fit(docs, labels.where(quality.fold(F.col("doc_id"), 5) != 0))
+
+
+@_query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (quality.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= quality.SCORE_BOUND).cast("int").alias("predicted"))
