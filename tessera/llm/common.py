@@ -8,6 +8,7 @@ batch or the corpus; only a single text longer than a slice widens it.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -50,15 +51,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: a cut of the lineage
     that survives the loss of any executor."""
-    spark = df.sparkSession
-    path, schema = scratch_path(spark, name), df.schema
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    del df
-    # the shuffles behind the table are no longer needed; Spark removes their files when the
-    # driver's JVM collects the plans that refer to them
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished queries now rather than at the driver's
+    next full collection: it does so when the plans that refer to them are collected. The
+    listeners hold a finished query's plan for a moment longer."""
+    time.sleep(1)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

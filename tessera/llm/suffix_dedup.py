@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Texts, materialise, mix64, ranges
+from tessera.llm.common import Texts, materialise, mix64, ranges, release_shuffles
 
 WINDOW = 50
 DEPTH = 16                       # of the identifiers that are sampled
@@ -445,6 +445,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     body = F.coalesce(F.col(text), F.lit("")).alias("text")
     marks = materialise(_sorted(docs.select(doc, body).mapInArrow(sampled_suffixes, ROWS))
                         .mapInArrow(zone_marks, MARKS), "zones")
+    release_shuffles(docs.sparkSession)
     # all joins below read the same exchange of the texts: each takes all of its columns
     extra = [F.struct(*others).alias("_carry")] if others else []
     rows = docs.select(doc, body, F.col(doc_id).alias("doc_id"), *extra).repartition("doc")
