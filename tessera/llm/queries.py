@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, embed_dedup, license_scan, quality, suffix_dedup, url_filter
+from tessera.llm import bpe, decontaminate, embed_dedup, language_id, license_scan, quality, suffix_dedup, url_filter
 from tessera.llm.url_filter import Rule
 from tessera.sources.tables import table
 
@@ -136,6 +136,16 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("base_labels", F.array_join("base_labels", ",")).withColumn("labels", F.array_join("labels", ","))
 
 
+# ------------------------------------------------------------------ 6: language
+
+@_query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality.fold(F.col("doc_id"), 4) == 2
+    found = language_id.predict(docs, language_id.fit(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 # ------------------------------------------------------------------ 7: embeddings
 
 @_query("op7_embedding_near_dedup")
