@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.cells import local_roots, with_cells
+from tessera.llm.cells import Links, bounds, cells_of, dealt, lists_of
 from tessera.llm.common import materialise, sorted_groups
 from tessera.llm.components import connected_components
 
@@ -32,7 +32,7 @@ BUCKET = 8          # classes in a bucket, on average
 BLOCK = 512         # members of a block of a large bucket
 SEED = 7
 
-SIGNED = "_class string, _ids bigint, vec array<double>, sig array<int>"
+SIGNED = "member bigint, size bigint, vec array<double>, sig array<int>"
 
 
 def tables_for(n: int, threshold: float, recall: float) -> tuple[int, int]:
@@ -74,67 +74,40 @@ def _signatures(bits: int, tables: int):
                 sig[rows] = (signs * (1 << np.arange(bits))).sum(axis=2)
             out = pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, tables, dtype=np.int32)),
                                            pa.array(sig.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("_class"), batch.column("_ids"), vec, out],
-                                             ["_class", "_ids", "vec", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column("member"), batch.column("size"), vec, out],
+                                             ["member", "size", "vec", "sig"])
     return run
 
 
 def _links(threshold: float):
-    """Cells → per member: number of vectors linked (counted in this cell), and a link to the
-    first member of its group within the cell."""
+    """Cells → per member the number of vectors linked, counted in this cell, and a link to
+    the first member of its group within the cell."""
     def run(batches):
-        for t in sorted_groups(batches, ["_cell"]):
-            cell = t.column("_cell").to_numpy()
-            name = t.column("_class").to_numpy()
-            size = t.column("_ids").to_numpy()
-            side = t.column("_side").to_numpy()
-            table = t.column("_table").to_numpy()
-            flat_v = t.column("vec").combine_chunks()
-            flat_s = t.column("sig").combine_chunks()
-            if isinstance(flat_v, pa.ChunkedArray):
-                flat_v, flat_s = flat_v.chunk(0), flat_s.chunk(0)
-            lens = np.diff(flat_v.offsets.to_numpy())
-            vals = flat_v.flatten().to_numpy()
-            at = np.concatenate([[0], np.cumsum(lens)])
-            sigs = flat_s.flatten().to_numpy().reshape(len(cell), -1)
-            bounds = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
-            ids, linked, ends = [], [], []
-            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                if hi - lo < 2:
-                    continue
-                d = int(lens[lo])
-                m = vals[at[lo]:at[hi]].reshape(hi - lo, d)
+        for t in sorted_groups(batches, ["cell"]):
+            member, size, side, number = (t.column(c).to_numpy() for c in ("member", "size", "side", "number"))
+            vals, at = lists_of(t, "vec")
+            sigs, _ = lists_of(t, "sig")
+            sigs = sigs.reshape(len(member), -1)
+            links = Links()
+            for lo, hi in bounds(t.column("cell").to_numpy()):
+                d = int(at[lo + 1] - at[lo])
+                m = vals[at[lo]:at[hi]].astype(np.float64).reshape(hi - lo, d)
                 m = m / np.abs(m).max(axis=1, keepdims=True)
                 m = m / np.sqrt((m * m).sum(axis=1, keepdims=True))
+                i, j = np.nonzero(np.triu(m @ m.T >= threshold - 1e-9, 1))
                 s = side[lo:hi]
-                cross = s.min() != s.max()
-                i, j = np.nonzero(np.triu(m @ m.T >= threshold, 1))
-                if cross:
+                if s.min() != s.max():
                     ok = s[i] != s[j]
                     i, j = i[ok], j[ok]
-                if len(i) == 0:
-                    continue
                 # the row-wise product decides at the threshold itself
                 ok = (m[i] * m[j]).sum(axis=1) >= threshold
                 i, j = i[ok], j[ok]
-                k = int(table[lo])
-                if k and len(i):
-                    ok = ~(sigs[lo + i, :k] == sigs[lo + j, :k]).any(axis=1)
-                    i, j = i[ok], j[ok]
-                if len(i) == 0:
-                    continue
-                n = np.zeros(hi - lo, dtype=np.int64)
-                np.add.at(n, i, size[lo + j])
-                np.add.at(n, j, size[lo + i])
-                root = local_roots(hi - lo, i, j)
-                got = np.flatnonzero(n)
-                ids.append(name[lo + got])
-                linked.append(n[got])
-                ends.append(name[lo + root[got]])
-            if ids:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(ids)), pa.array(np.concatenate(linked)), pa.array(np.concatenate(ends))],
-                    ["_class", "_linked", "_other"])
+                k = int(number[lo])
+                ok = ~(sigs[lo + i, :k] == sigs[lo + j, :k]).any(axis=1)
+                links.add(member[lo:hi], size[lo:hi], i[ok], j[ok])
+            out = links.batch()
+            if out is not None:
+                yield out
     return run
 
 
@@ -142,34 +115,28 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                     threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept, class_id (smallest id with
     the same components)."""
-    spark = vectors.sparkSession
     rows = _classes(vectors, vec_id, embedding)
-    classes = materialise(rows.where("_class is not null").groupBy("_class")
-                          .agg(F.count(F.lit(1)).alias("_ids"), F.min("vec_id").alias("class_id"),
-                               F.first("vec").alias("vec")), "classes")
+    classes = (rows.where("_class is not null").groupBy("_class")
+               .agg(F.count(F.lit(1)).alias("size"), F.min("vec_id").alias("class_id"), F.first("vec").alias("vec")))
+    # the number names the class from here on: written once, it can't change
+    classes = materialise(classes.withColumn("member", F.monotonically_increasing_id()), "classes")
     bits, tables = tables_for(classes.count(), threshold, recall)
-    signed = materialise(classes.select("_class", "_ids", "vec")
-                         .mapInArrow(_signatures(bits, tables), SIGNED), "signatures")
-    keyed = signed.select("*", F.posexplode("sig").alias("_table", "_sig"))
-    keyed = keyed.withColumn("_key", F.concat_ws("/", F.size("vec"), "_table", "_sig"))
-    sizes = (signed.select(F.size("vec").alias("_d"), F.posexplode("sig").alias("_table", "_sig"))
-             .select(F.concat_ws("/", "_d", "_table", "_sig").alias("_key"))
-             .groupBy("_key").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1"))
-    cells = with_cells(keyed.drop("_sig"), sizes, "_key", "_class", BLOCK)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    found = materialise(
-        cells.select("_cell", "_class", "_ids", "_side", "_table", "vec", "sig")
-        .repartition(n, "_cell").sortWithinPartitions("_cell")
-        .mapInArrow(_links(threshold), "_class string, _linked bigint, _other string"), "links")
-    comp = connected_components(found, "_class", "_other")
-    linked = found.groupBy("_class").agg(F.sum("_linked").alias("_linked"))
-    full = (classes.drop("vec").join(linked, "_class", "left")
-            .join(comp.withColumnRenamed("node", "_class"), "_class", "left")
-            .withColumn("component", F.coalesce("component", "_class")))
+    signed = materialise(classes.select("member", "size", "vec").mapInArrow(_signatures(bits, tables), SIGNED), "signatures")
+    keyed = (signed.select("member", F.size("vec").alias("_d"), F.posexplode("sig").alias("number", "_sig"))
+             .select("member", "number", F.concat_ws("/", "_d", "number", "_sig").alias("key")))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    cells = F.transform(cells_of(F.col("key"), F.col("member"), F.col("n"), BLOCK),
+                        lambda c: F.struct(c["cell"].alias("cell"), c["side"].alias("side"), F.col("number").alias("number")))
+    members = keyed.join(sizes, "key").groupBy("member").agg(F.flatten(F.collect_list(cells)).alias("_cells"))
+    found = materialise(dealt(members, signed, "member").mapInArrow(_links(threshold), "member bigint, linked bigint, other bigint"),
+                        "links")
+    comp = connected_components(found, "member", "other")
+    linked = found.groupBy("member").agg(F.sum("linked").alias("linked"))
+    full = (classes.drop("vec").join(linked, "member", "left").join(comp.withColumnRenamed("node", "member"), "member", "left")
+            .withColumn("component", F.coalesce("component", "member")))
     first = full.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    full = materialise(full.join(first, "component").select(
-        "_class", "class_id", "component_id",
-        (F.col("_ids") - 1 + F.coalesce("_linked", F.lit(0))).alias("n_links")), "result")
+    full = full.join(first, "component").select(
+        "_class", "class_id", "component_id", (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
     out = rows.select("vec_id", "_class").join(full, "_class", "left")
     comp_id = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
