@@ -59,10 +59,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished queries now rather than at the driver's
     next full collection: it does so when the plans that refer to them are collected. The
-    listeners hold a finished query's plan for a moment longer."""
-    time.sleep(1)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    listeners hold a finished query's plan for some moments longer."""
+    for _ in range(3):
+        time.sleep(1.5)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
