@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, embed_dedup, language_id, license_scan, quality, suffix_dedup, url_filter
+from tessera.llm import bpe, decontaminate, embed_dedup, jaccard_join, language_id, license_scan, quality, suffix_dedup, url_filter
 from tessera.llm.url_filter import Rule
 from tessera.sources.tables import table
 
@@ -136,6 +136,13 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("base_labels", F.array_join("base_labels", ",")).withColumn("labels", F.array_join("labels", ","))
 
 
+# ------------------------------------------------------------------ 5: Jaccard join
+
+@_query("op5_ngram_jaccard_join")
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(table(spark, sf_dir, "documents")).drop("digest")
+
+
 # ------------------------------------------------------------------ 6: language
 
 @_query("op6_language_id")
