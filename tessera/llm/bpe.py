@@ -56,6 +56,7 @@ class Vocabulary:
     """Tokens as one byte array, and a hash table (id, id) → id of the merged token."""
 
     def __init__(self, tokens: list[bytes]):
+        self.size = len(tokens)
         self.name = sha256(b"\n".join(tokens)).hexdigest()
         self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         self.starts = offsets_of(np.array([len(t) for t in tokens]))
@@ -293,26 +294,17 @@ class Encoder:
         out[:len(a)] = a
         return out
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of all documents, and the number of tokens of each."""
-        begins = split_pieces(data, offsets)
-        if len(begins) == 0:
-            return np.zeros(0, dtype=np.int32), np.zeros(len(offsets) - 1, dtype=np.int64)
-        ends = np.concatenate([begins[1:], [len(data)]])
-        up, down = _powers(len(data))
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_CODE[data] * up, out=sums[1:])
-        key = mix64((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
-        distinct, first, which = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.slot) + len(distinct) > CACHE:
+    def lookup(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Slots of distinct pieces (``keys`` are their hashes); their ids are
+        ``ids[starts[slot]:][:counts[slot]]`` until the next call."""
+        if len(self.slot) + len(keys) > CACHE:
             self.clear()
         get = self.slot.get
-        names = distinct.tolist()
+        names = keys.tolist()
         slots = np.array([get(k, -1) for k in names], dtype=np.int64)
         new = np.flatnonzero(slots < 0)
         if len(new):
-            begin = begins[first[new]]
-            flat, counts = merge_pieces(self.vocab, data, begin, ends[first[new]] - begin)
+            flat, counts = merge_pieces(self.vocab, data, starts[new], sizes[new])
             base = len(self.slot)
             self.ids = self._grown(self.ids, self.used + len(flat))
             self.starts = self._grown(self.starts, base + len(new))
@@ -323,6 +315,20 @@ class Encoder:
             self.used += len(flat)
             slots[new] = np.arange(base, base + len(new))
             self.slot.update(zip([names[i] for i in new.tolist()], slots[new].tolist(), strict=True))
+        return slots
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all documents, and the number of tokens of each."""
+        begins = split_pieces(data, offsets)
+        if len(begins) == 0:
+            return np.zeros(0, dtype=np.int32), np.zeros(len(offsets) - 1, dtype=np.int64)
+        ends = np.concatenate([begins[1:], [len(data)]])
+        up, down = _powers(len(data))
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_CODE[data] * up, out=sums[1:])
+        key = mix64((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
+        distinct, first, which = np.unique(key, return_index=True, return_inverse=True)
+        slots = self.lookup(distinct, data, begins[first], ends[first] - begins[first])
         mine = slots[which]
         n = self.counts[mine]
         total = np.concatenate([[0], np.cumsum(n)])
@@ -333,6 +339,14 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def encoder_of(vocab: Vocabulary) -> Encoder:
+    """The worker's encoder for a vocabulary."""
+    if vocab.name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[vocab.name] = Encoder(vocab)
+    return _ENCODERS[vocab.name]
+
+
 def _binary(parts: list[np.ndarray], sizes: np.ndarray) -> pa.Array:
     body = pa.py_buffer(np.ascontiguousarray(np.concatenate(parts)).view(np.uint8))
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets_of(sizes).astype(np.int32)), body])
@@ -340,11 +354,7 @@ def _binary(parts: list[np.ndarray], sizes: np.ndarray) -> pa.Array:
 
 def _encode(shared, carry: list[str]):
     def run(batches):
-        vocab = shared.value
-        if vocab.name not in _ENCODERS:
-            _ENCODERS.clear()
-            _ENCODERS[vocab.name] = Encoder(vocab)
-        encoder = _ENCODERS[vocab.name]
+        encoder = encoder_of(shared.value)
         for batch in batches:
             texts = Texts(batch.column("text"))
             parts, counts = [], []

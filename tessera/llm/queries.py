@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, embed_dedup, jaccard_join, language_id, license_scan, quality, suffix_dedup, url_filter
+from tessera.llm import bpe, decontaminate, embed_dedup, jaccard_join, language_id, license_scan, lm_score, quality, suffix_dedup, url_filter
 from tessera.llm.url_filter import Rule
 from tessera.sources.tables import table
 
@@ -90,6 +90,16 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# ------------------------------------------------------------------ 3: language model
+
+@_query("op3_lm_score")
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learns = quality.fold(F.col("doc_id"), 10) != 0
+    out = lm_score.score(docs, learns, bpe.share(docs, vocabulary_path()))
+    return out.select("doc_id", (~F.col("learns")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 # ------------------------------------------------------------------ 4: licence scan
 
 def _op4_sql() -> str:
