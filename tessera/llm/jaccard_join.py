@@ -279,3 +279,32 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     return (sketches.select("doc_id", "digest").join(full, "digest", "left").select(
         "doc_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), comp_id.alias("component_id"),
         F.col("doc_id").eqNullSafe(comp_id).alias("kept"), F.coalesce("class_id", "doc_id").alias("class_id"), "digest"))
+
+
+def _tagged(k: int, names: list[str]):
+    def rows(batches):
+        for batch in batches:
+            texts = Texts(batch.column("_text"))
+            digests = [_digest(s) for i, j in texts.slices() for s in token_sets(*texts.part(i, j), k)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(digests, type=pa.string())],
+                                             [*names, "_digest"])
+    return rows
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+             threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """The rows of ``docs`` without those whose component has a smaller id: one document of
+    each component stays. Of repeated rows one stays; in a component without any id, one row
+    of each set of shingles."""
+    found = similar(docs, doc_id, text, shingle, threshold, recall)
+    names = docs.columns
+    repeated = docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        kept = found.where("kept").select(F.col("doc_id").alias("_kept"))
+        return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
+    schema = T.StructType([*docs.schema, T.StructField("_digest", T.StringType())])
+    tagged = docs.withColumn("_text", F.col(text)).mapInArrow(_tagged(shingle, names), schema)
+    kept = found.where("kept").select(F.col("doc_id").alias("_kept"), F.col("digest").alias("_of")).distinct()
+    stay = tagged.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")) & F.col("_digest").eqNullSafe(F.col("_of")), "left_semi")
+    bare = stay.where("_digest is null")
+    return stay.where("_digest is not null").dropDuplicates([doc_id, "_digest"]).unionByName(bare).select(*names)

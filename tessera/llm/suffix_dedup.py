@@ -396,7 +396,15 @@ def _removal(z: Zones | None, n: int, offsets: np.ndarray, batch: pa.RecordBatch
     return np.cumsum(edge[:n]) > 0
 
 
-def _shorten(carry: list[str]):
+def _readable(text: pa.Array, kept: pa.Array, removed: np.ndarray) -> pa.Array:
+    """Remaining bytes as text, without the bytes of characters that were cut apart."""
+    if not removed.any():
+        return text.cast(pa.string())
+    return pa.array([b.decode("utf-8", "ignore") if cut else b.decode("utf-8")
+                     for b, cut in zip(kept.to_pylist(), (removed > 0).tolist(), strict=True)], type=pa.string())
+
+
+def _shorten(carry: list[str], as_text: bool):
     def run(batches):
         for batch in batches:
             removed, spans, sizes, kept, kept_sizes = [], [], [], [], []
@@ -421,6 +429,8 @@ def _shorten(carry: list[str]):
             body = pa.py_buffer(np.ascontiguousarray(np.concatenate(kept)))
             binary = pa.Array.from_buffers(pa.binary(), batch.num_rows,
                                            [None, pa.py_buffer(ends.astype(np.int32)), body])
+            if as_text:
+                binary = _readable(batch.column("text"), binary, np.concatenate(removed))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carry), binary, pa.array(np.concatenate(sizes)),
                  pa.array(np.concatenate(removed)), pa.array(np.concatenate(spans))],
@@ -437,9 +447,10 @@ def _listed(marks: DataFrame, name: str) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                   carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, the columns in ``carry``, kept (binary: the
-    remaining bytes), n_bytes, n_removed, n_spans (maximal removed runs)."""
+                   carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, the columns in ``carry``, kept (the remaining
+    bytes, binary; ``as_text``: as text, without characters that were cut apart), n_bytes,
+    n_removed, n_spans (maximal removed runs)."""
     others = [c for c in carry if c not in (doc_id, text)]
     doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc")
     body = F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -456,8 +467,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     joined = (rows.join(_listed(marks.where("settled"), "settled"), "doc", "left")
               .join(_listed(windows, "windows"), "doc", "left"))
     keep = ["doc_id", *(["_carry"] if others else [])]
-    schema = T.StructType([*(joined.schema[c] for c in keep), T.StructField("kept", T.BinaryType()),
+    schema = T.StructType([*(joined.schema[c] for c in keep), T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
                            T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("n_spans", T.LongType())])
-    out = joined.mapInArrow(_shorten(keep), schema)
+    out = joined.mapInArrow(_shorten(keep, as_text), schema)
     return out.select("doc_id", *([f"_carry.{c}" for c in others]), "kept", "n_bytes", "n_removed", "n_spans")
