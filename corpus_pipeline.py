@@ -19,7 +19,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality classifier accepts."""
     model = quality_model(docs, table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model, carry=tuple(docs.columns))
-    return scored.where(F.col("score") >= quality.SCORE_BOUND).select(*docs.columns)
+    return scored.where(F.col("score") >= quality.SCORE_BOUND).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,18 +29,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document with a smaller id has; characters that
-    a cut divides go, and n_chars follows the text. A document may become empty."""
+    a cut divides go, and n_chars follows the text. A document may become empty; a missing
+    text becomes an empty one."""
     out = suffix_dedup.remove_repeats(docs, carry=tuple(docs.columns), as_text=True)
-    out = out.withColumn("text", F.col("kept"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+
+    def column(name: str):
+        if name == "text":
+            return F.col("kept")
+        if name == "n_chars":
+            return F.length("kept").cast(docs.schema[name].dataType)
+        return F.col("row").getField(name)
+    return out.select(*(column(c).alias(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark passage."""
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=tuple(docs.columns))
-    return found.where(F.size("hit_words") == 0).select(*docs.columns)
+    return found.where(F.size("hit_words") == 0).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
 
@@ -66,8 +67,18 @@ def release_shuffles(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def packed(docs: DataFrame, carry: tuple[str, ...], text: str) -> list[Column]:
+    """The carried columns but the text as one struct column ``row`` (none: no column), so that
+    no name of the input can clash with one of the operator's."""
+    others = [docs[f"`{c}`"] for c in carry if c != text]
+    return [F.struct(*others).alias("row")] if others else []
+
+
+def unpacked(carry: tuple[str, ...], text: str, body: str = "text") -> list[Column]:
+    """All carried columns, the text among them, as one struct column ``row``."""
+    if not carry:
+        return []
+    return [F.struct(*(F.col(body).alias(c) if c == text else F.col("row").getField(c).alias(c) for c in carry)).alias("row")]
 
 
 # ------------------------------------------------------------------ bytes and words

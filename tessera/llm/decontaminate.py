@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import (ALNUM_WORD, Texts, ranges, shingle_hashes, word_hashes,
+from tessera.llm.common import (ALNUM_WORD, Texts, packed, ranges, shingle_hashes, unpacked, word_hashes,
                                 word_spans)
 
 WINDOW = 10
@@ -190,17 +190,15 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> list[i
 def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        item_id: str = "item_id", item_text: str = "text", carry: tuple[str, ...] = (),
                        window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: doc_id, the columns in ``carry``, text, n_words, hit_words
-    (positions inside an occurrence of an item window) and items (ids as sorted texts)."""
+    """One row per document: doc_id, n_words, hit_words (positions inside an occurrence of an
+    item window), items (ids as sorted texts) and, with ``carry``, the struct ``row``."""
     spark = docs.sparkSession
-    others = [c for c in carry if c not in (doc_id, text)]
-    out = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("doc_id"),
-                      (F.struct(*others) if others else F.lit(0)).alias("_carry"))
+    out = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("doc_id"), *packed(docs, carry, text))
     source = docs.select(F.col(text).alias("text"))
     items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
     blocks = _blocks(items, "id", "text", block_bytes)
-    bare = [out.schema["text"], out.schema["doc_id"], out.schema["_carry"]]
-    schema = T.StructType([*bare, T.StructField("n_words", T.LongType()),
+    own = [c for c in out.columns if c != "text"]
+    schema = T.StructType([out.schema["text"], *(out.schema[c] for c in own), T.StructField("n_words", T.LongType()),
                            T.StructField("hit_words", T.ArrayType(T.LongType())),
                            T.StructField("items", T.ArrayType(T.StringType()))])
     for b in blocks:
@@ -213,5 +211,5 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
             for r in counts.groupBy("k").agg(F.sum("n").alias("n")).toLocalIterator():
                 frequency[r["k"]] = r["n"]
         index = spark.sparkContext.broadcast(w.index(frequency))
-        out = out.mapInArrow(_join(index, ["doc_id", "_carry"], b > 0), schema)
-    return out.select("doc_id", *([f"_carry.{c}" for c in others]), "text", "n_words", "hit_words", "items")
+        out = out.mapInArrow(_join(index, own, b > 0), schema)
+    return out.select("doc_id", "n_words", "hit_words", "items", *unpacked(carry, text))

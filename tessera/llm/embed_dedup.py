@@ -44,11 +44,11 @@ def tables_for(n: int, threshold: float, recall: float) -> tuple[int, int]:
 
 def _classes(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """All rows with ``_class``: a digest of the components, null where the vector links with nothing."""
-    v = F.transform(F.col(embedding), lambda x: x.cast("double") + F.lit(0.0))  # -0.0 becomes 0.0
-    usable = (F.col(embedding).isNotNull() & (F.size(embedding) > 0)
+    v = F.transform("emb", lambda x: x.cast("double") + F.lit(0.0))  # -0.0 becomes 0.0
+    usable = (F.col("vec").isNotNull() & (F.size("vec") > 0)
               & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
               & F.exists("vec", lambda x: x != 0))
-    return (vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding), v.alias("vec"))
+    return (vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("emb")).withColumn("vec", v)
             .select("vec_id", F.when(usable, F.md5(F.to_json(F.struct("vec")).cast("binary"))).alias("_class"),
                     F.when(usable, F.col("vec")).alias("vec")))
 

@@ -284,10 +284,10 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
 def _tagged(k: int, names: list[str]):
     def rows(batches):
         for batch in batches:
-            texts = Texts(batch.column("_text"))
+            texts = Texts(batch.column("text"))
             digests = [_digest(s) for i, j in texts.slices() for s in token_sets(*texts.part(i, j), k)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(digests, type=pa.string())],
-                                             [*names, "_digest"])
+                                             [*names, "digest"])
     return rows
 
 
@@ -297,14 +297,14 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     each component stays. Of repeated rows one stays; in a component without any id, one row
     of each set of shingles."""
     found = similar(docs, doc_id, text, shingle, threshold, recall)
-    names = docs.columns
     repeated = docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if repeated.isEmpty():
         kept = found.where("kept").select(F.col("doc_id").alias("_kept"))
-        return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
-    schema = T.StructType([*docs.schema, T.StructField("_digest", T.StringType())])
-    tagged = docs.withColumn("_text", F.col(text)).mapInArrow(_tagged(shingle, names), schema)
+        return docs.join(kept, docs[doc_id].eqNullSafe(kept["_kept"]), "left_semi")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"))
+    schema = T.StructType([rows.schema["doc_id"], rows.schema["row"], T.StructField("digest", T.StringType())])
+    tagged = rows.mapInArrow(_tagged(shingle, ["doc_id", "row"]), schema)
     kept = found.where("kept").select(F.col("doc_id").alias("_kept"), F.col("digest").alias("_of")).distinct()
-    stay = tagged.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")) & F.col("_digest").eqNullSafe(F.col("_of")), "left_semi")
-    bare = stay.where("_digest is null")
-    return stay.where("_digest is not null").dropDuplicates([doc_id, "_digest"]).unionByName(bare).select(*names)
+    stay = tagged.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")) & F.col("digest").eqNullSafe(F.col("_of")), "left_semi")
+    one = stay.where("digest is not null").dropDuplicates(["doc_id", "digest"])
+    return one.unionByName(stay.where("digest is null")).select("row.*")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import SPACE_WORD, Texts, word_hashes, word_spans
+from tessera.llm.common import SPACE_WORD, Texts, packed, unpacked, word_hashes, word_spans
 
 TRAIN_ROWS = 20_000
 SCORE_BOUND = 0.3
@@ -246,11 +246,10 @@ def _scores(shared, carry: list[str]):
 
 def score(docs: DataFrame, model: AdditiveModel, doc_id: str = "doc_id", text: str = "text",
           carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, the columns in ``carry``, score (0 to 1)."""
-    others = [c for c in carry if c not in (doc_id, text)]
-    rows = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("doc_id"),
-                       (F.struct(*others) if others else F.lit(0)).alias("_carry"))
-    keep = ["doc_id", "_carry"] + (["text"] if text in carry else [])
+    """One row per document: doc_id, score (0 to 1) and, with ``carry``, the struct ``row`` of
+    these columns."""
+    rows = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("doc_id"), *packed(docs, carry, text))
+    keep = [c for c in rows.columns if c != "text" or text in carry]
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
     out = rows.mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast(model), keep), schema)
-    return out.select("doc_id", *([f"_carry.{c}" for c in others]), *(["text"] if text in carry else []), "score")
+    return out.select("doc_id", "score", *unpacked(carry, text))

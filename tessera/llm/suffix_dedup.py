@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Texts, materialise, mix64, ranges, release_shuffles
+from tessera.llm.common import Texts, materialise, mix64, packed, ranges, release_shuffles
 
 WINDOW = 50
 DEPTH = 16                       # of the identifiers that are sampled
@@ -448,27 +448,25 @@ def _listed(marks: DataFrame, name: str) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, the columns in ``carry``, kept (the remaining
-    bytes, binary; ``as_text``: as text, without characters that were cut apart), n_bytes,
-    n_removed, n_spans (maximal removed runs)."""
-    others = [c for c in carry if c not in (doc_id, text)]
+    """One row per row of ``docs``: doc_id, kept (the remaining bytes, binary; ``as_text``: as
+    text, without characters that were cut apart), n_bytes, n_removed, n_spans (maximal
+    removed runs) and, with ``carry``, the struct ``row`` of these columns but the text."""
+    others = tuple(c for c in carry if c != text)
     doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc")
     body = F.coalesce(F.col(text), F.lit("")).alias("text")
     marks = materialise(_sorted(docs.select(doc, body).mapInArrow(sampled_suffixes, ROWS))
                         .mapInArrow(zone_marks, MARKS), "zones")
     release_shuffles(docs.sparkSession)
     # all joins below read the same exchange of the texts: each takes all of its columns
-    extra = [F.struct(*others).alias("_carry")] if others else []
-    rows = docs.select(doc, body, F.col(doc_id).alias("doc_id"), *extra).repartition("doc")
+    rows = docs.select(doc, body, F.col(doc_id).alias("doc_id"), *packed(docs, others, text)).repartition("doc")
     halves = (_sorted(rows.join(_listed(marks.where("not settled"), "open"), "doc", "left")
                       .mapInArrow(open_halves, ROWS)).mapInArrow(shared_halves, "doc bigint, mark bigint"))
     windows = (_sorted(rows.join(_listed(halves, "halves"), "doc", "left").mapInArrow(open_windows, ROWS))
                .mapInArrow(window_marks, MARKS))
     joined = (rows.join(_listed(marks.where("settled"), "settled"), "doc", "left")
               .join(_listed(windows, "windows"), "doc", "left"))
-    keep = ["doc_id", *(["_carry"] if others else [])]
+    keep = ["doc_id", *(["row"] if others else [])]
     schema = T.StructType([*(joined.schema[c] for c in keep), T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
                            T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("n_spans", T.LongType())])
-    out = joined.mapInArrow(_shorten(keep, as_text), schema)
-    return out.select("doc_id", *([f"_carry.{c}" for c in others]), "kept", "n_bytes", "n_removed", "n_spans")
+    return joined.mapInArrow(_shorten(keep, as_text), schema)
