@@ -123,7 +123,7 @@ def _frequencies(known, sizes: list[int]):
 
 def _hits(words: np.ndarray, first: np.ndarray, ix: dict):
     """(start, window) of each verified occurrence in the slice."""
-    starts, which = [], []
+    starts, which = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     for k in ix["sizes"]:
         at, tok = _find(ix["tokens"], _sized(words, k))
         n = ix["n"][tok]
