@@ -3,8 +3,10 @@
 Parameters (weights, means, covariances) are model state on the driver; inverse
 and log-determinant of each covariance are computed there and embedded as
 literals, so every row's k log densities, log-sum-exp and responsibilities are
-one projection. The M-step statistics Σr, Σr·x, Σr·xxᵀ per component (full) or
-Σr, Σr·x, Σr·x² (diagonal) and the log likelihood come from one aggregation.
+one projection. The M-step statistics per component — Σr, Σr·δ, Σr·δδᵀ about the old
+mean (full), weighted mean and variance (diagonal) — and the log likelihood come from one
+aggregation; centred sums keep their digits however far the data lie from zero. A
+component that no row belongs to keeps its mean and covariance, with weight near zero.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +24,14 @@ from tessera.functions import vectors as V
 LOG_2PI = math.log(2 * math.pi)
 
 
+#: Soft counts below this share of the rows leave a component as it is.
+EMPTY = 1e-12
+
+
+def _log_weight(w: float) -> float:
+    return math.log(max(w, 1e-300))
+
+
 def _lit(x: float) -> Column:
     return F.lit(float(x))
 
@@ -52,7 +64,7 @@ def log_joint_full(xs, weights, means, covs) -> Column:
 
 
 def log_joint_cols(xs, weights, means, covs) -> list[Column]:
-    return [_lit(math.log(w)) + log_density_full(xs, m, c) for w, m, c in zip(weights, means, covs)]
+    return [_lit(_log_weight(w)) + log_density_full(xs, m, c) for w, m, c in zip(weights, means, covs)]
 
 
 def e_step_columns(df: DataFrame, xs: list[Column], weights, means, covs, keep: list[str]) -> DataFrame:
@@ -67,7 +79,7 @@ def e_step_columns(df: DataFrame, xs: list[Column], weights, means, covs, keep:
 
 
 def log_joint_diag(vec, weights, means, variances) -> Column:
-    return F.array(*[_lit(math.log(w)) + log_density_diag(vec, m, v)
+    return F.array(*[_lit(_log_weight(w)) + log_density_diag(vec, m, v)
                      for w, m, v in zip(weights, means, variances)])
 
 
@@ -91,7 +103,7 @@ def em_step_full(df: DataFrame, xs: list[Column], weights, means, covs):
     k, d = len(weights), len(xs)
     base = df.select(*[x.cast("double").alias(f"_x{i}") for i, x in enumerate(xs)])
     cx = [F.col(f"_x{i}") for i in range(d)]
-    ljs = [(_lit(math.log(w)) + log_density_full(cx, m, c)).alias(f"_l{j}")
+    ljs = [(_lit(_log_weight(w)) + log_density_full(cx, m, c)).alias(f"_l{j}")
            for j, (w, m, c) in enumerate(zip(weights, means, covs))]
     base = base.select(*cx, *ljs)
     lse = _lse([F.col(f"_l{j}") for j in range(k)])
@@ -101,22 +113,28 @@ def em_step_full(df: DataFrame, xs: list[Column], weights, means, covs):
     aggs = [F.sum("_lse").alias("ll"), F.count(F.lit(1)).alias("n")]
     for c in range(k):
         r = F.col(f"_r{c}")
+        delta = [cx[i] - _lit(means[c][i]) for i in range(d)]
         aggs.append(F.sum(r).alias(f"n{c}"))
         for i in range(d):
-            aggs.append(F.sum(r * cx[i]).alias(f"s{c}_{i}"))
+            aggs.append(F.sum(r * delta[i]).alias(f"s{c}_{i}"))
             for j in range(i, d):
-                aggs.append(F.sum(r * cx[i] * cx[j]).alias(f"q{c}_{i}_{j}"))
+                aggs.append(F.sum(r * delta[i] * delta[j]).alias(f"q{c}_{i}_{j}"))
     row = base.agg(*aggs).collect()[0]
     nw, nm, nc = [], [], []
     for c in range(k):
-        nk = row[f"n{c}"]
-        mu = np.array([row[f"s{c}_{i}"] / nk for i in range(d)])
+        nk = row[f"n{c}"] or 0.0
+        if not row["n"] or nk <= EMPTY * row["n"]:
+            nw.append(nk / row["n"] if row["n"] else weights[c])
+            nm.append(np.asarray(means[c], dtype=float))
+            nc.append(np.asarray(covs[c], dtype=float))
+            continue
+        step = np.array([row[f"s{c}_{i}"] / nk for i in range(d)])
         cov = np.empty((d, d))
         for i in range(d):
             for j in range(i, d):
-                cov[i, j] = cov[j, i] = row[f"q{c}_{i}_{j}"] / nk - mu[i] * mu[j]
+                cov[i, j] = cov[j, i] = row[f"q{c}_{i}_{j}"] / nk - step[i] * step[j]
         nw.append(nk / row["n"])
-        nm.append(mu)
+        nm.append(np.asarray(means[c], dtype=float) + step)
         nc.append(cov)
     return nw, nm, nc, row["ll"]
 
@@ -141,27 +159,30 @@ def em_fit_full(df: DataFrame, xs, weights, means, covs, max_iter: int, tol: flo
 
 
 def em_step_diag(df: DataFrame, vec: str, weights, means, variances, floor: float = 1e-8):
-    """One diagonal-covariance EM step on an array column (variances floored)."""
+    """One diagonal-covariance EM step on an array column (variances smoothed by a floor): one
+    pass, with a weighted vector summary per component."""
     k = len(weights)
     v = F.col(vec)
     lj = log_joint_diag(v, weights, means, variances)
     base = df.select(v.alias("_x"), lj.alias("_lj")).select(
-        "_x", V.log_sum_exp(F.col("_lj")).alias("_lse"), responsibilities(F.col("_lj")).alias("_r"))
-    ex = base.select("_lse", "_r", F.posexplode("_x").alias("i", "x"))
-    aggs = []
+        array_to_vector("_x").alias("_v"), V.log_sum_exp(F.col("_lj")).alias("_lse"),
+        responsibilities(F.col("_lj")).alias("_r"))
+    stat = Summarizer.metrics("mean", "variance")
+    aggs = [F.sum("_lse").alias("ll"), F.count(F.lit(1)).alias("n")]
     for c in range(k):
         r = F.col("_r")[c]
-        aggs += [F.sum(r * F.col("x")).alias(f"s{c}"), F.sum(r * F.col("x") * F.col("x")).alias(f"q{c}")]
-    per_dim = {r["i"]: r for r in ex.groupBy("i").agg(*aggs).collect()}
-    tot = base.agg(F.sum("_lse").alias("ll"), F.count(F.lit(1)).alias("n"),
-                   *[F.sum(F.col("_r")[c]).alias(f"n{c}") for c in range(k)]).collect()[0]
-    d = len(per_dim)
+        aggs += [stat.summary(F.col("_v"), r).alias(f"c{c}"), F.sum(r).alias(f"n{c}"), F.sum(r * r).alias(f"w{c}")]
+    row = base.agg(*aggs).first()
     nw, nm, nv = [], [], []
     for c in range(k):
-        nk = tot[f"n{c}"]
-        mu = np.array([per_dim[i][f"s{c}"] / nk for i in range(d)])
-        var = np.array([per_dim[i][f"q{c}"] / nk for i in range(d)]) - mu * mu
-        nw.append(nk / tot["n"])
-        nm.append(mu)
-        nv.append(np.maximum(var, floor))
-    return nw, nm, nv, tot["ll"]
+        nk = row[f"n{c}"] or 0.0
+        nw.append(nk / row["n"] if row["n"] else weights[c])
+        if not row["n"] or nk <= EMPTY * row["n"]:
+            nm.append(np.asarray(means[c], dtype=float))
+            nv.append(np.asarray(variances[c], dtype=float))
+            continue
+        # the summary divides by W - Σr²/W (unbiased); the mixture's variance divides by W
+        unbias = (nk - row[f"w{c}"] / nk) / nk
+        nm.append(row[f"c{c}"]["mean"].toArray())
+        nv.append(np.maximum(row[f"c{c}"]["variance"].toArray() * unbias, floor))
+    return nw, nm, nv, row["ll"]

@@ -23,11 +23,18 @@ def _n_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _offset_map(offsets: dict[int, float | int]) -> Column:
-    kv = []
-    for k, v in sorted(offsets.items()):
-        kv += [F.lit(int(k)), F.lit(v)]
-    return F.create_map(*kv) if kv else F.create_map(F.lit(0), F.lit(0))
+def _with_offsets(df: DataFrame, totals: list, names: list[str]) -> DataFrame:
+    """Join each partition's running offsets (``_o_<name>``) of the ``names`` in ``totals``: one
+    row per partition, a bound that does not follow the data, so it is broadcast."""
+    acc, rows = [0] * len(names), []
+    for r in sorted(totals, key=lambda r: r["_pid"]):
+        rows.append((r["_pid"], *[float(a) if isinstance(a, float) else a for a in acc]))
+        acc = [a + (r[n] or 0) for a, n in zip(acc, names)]
+    kinds = ["double" if any(isinstance(r[n], float) for r in totals) else "bigint" for n in names]
+    rows = [(r[0], *[float(v) if k == "double" else int(v) for v, k in zip(r[1:], kinds)]) for r in rows]
+    schema = "_pid int, " + ", ".join(f"_o_{n} {k}" for n, k in zip(names, kinds))
+    offsets = df.sparkSession.createDataFrame(rows, schema)
+    return df.join(F.broadcast(offsets), "_pid")
 
 
 def _ranged(df: DataFrame, order_cols: list) -> DataFrame:
@@ -45,16 +52,11 @@ def with_row_index(df: DataFrame, order_cols: list, name: str = "row_id",
     ``order_cols`` must form a unique key, so positions are reproducible.
     """
     ranged = _ranged(df, order_cols)
-    counts = {r["_pid"]: r["c"] for r in
-              ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect()}
-    offsets, acc = {}, 0
-    for pid in sorted(counts):
-        offsets[pid] = acc
-        acc += counts[pid]
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect()
     local = F.col("_loc") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return (ranged.withColumn(name, (_offset_map(offsets)[F.col("_pid")] + local + F.lit(start))
-                              .cast("bigint"))
-            .drop("_pid", "_loc"))
+    return (_with_offsets(ranged, counts, ["c"])
+            .withColumn(name, (F.col("_o_c") + local + F.lit(start)).cast("bigint"))
+            .select(*df.columns, name))
 
 
 def with_prefix_sums(df: DataFrame, order_cols: list, values: dict[str, Column],
@@ -69,23 +71,30 @@ def with_prefix_sums(df: DataFrame, order_cols: list, values: dict[str, Column],
         base = base.withColumn(f"_v_{name}", expr)
     ranged = _ranged(base, order_cols)
     aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values]
-    totals = {r["_pid"]: r for r in ranged.groupBy("_pid").agg(*aggs).collect()}
+    totals = ranged.groupBy("_pid").agg(*aggs).collect()
     w = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)
-    out = ranged
+    out = _with_offsets(ranged, totals, ["_cnt", *[f"_t_{n}" for n in values]])
     for name in values:
-        offs, acc = {}, 0.0
-        for pid in sorted(totals):
-            offs[pid] = acc
-            acc += totals[pid][f"_t_{name}"] or 0.0
-        out = out.withColumn(name, _offset_map(offs)[F.col("_pid")] + F.sum(f"_v_{name}").over(w))
+        out = out.withColumn(name, F.col(f"_o__t_{name}") + F.sum(f"_v_{name}").over(w))
     if index_name:
-        offs, acc = {}, 0
-        for pid in sorted(totals):
-            offs[pid] = acc
-            acc += totals[pid]["_cnt"]
         local = F.col("_loc") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-        out = out.withColumn(index_name, (_offset_map(offs)[F.col("_pid")] + local).cast("bigint"))
-    return out.drop("_pid", "_loc", *[f"_v_{n}" for n in values])
+        out = out.withColumn(index_name, (F.col("_o__cnt") + local).cast("bigint"))
+    return out.select(*df.columns, *values, *([index_name] if index_name else []))
+
+
+def rolling_mean(df: DataFrame, order_cols: list, value: str, window: int, name: str,
+                 block: int = 1 << 16) -> DataFrame:
+    """Mean of ``value`` over the last ``window`` rows in the order of a unique key, full windows
+    only. Rows are numbered and dealt into blocks of consecutive positions; each block also gets
+    the ``window`` - 1 rows before it, so a window frame stays inside its block and its sum is
+    as short as the window itself."""
+    block = max(block, window)
+    rows = with_row_index(df, order_cols, "_i").withColumn("_b", F.floor(F.col("_i") / block))
+    tail = rows.where(F.col("_i") % block > block - window).withColumn("_b", F.col("_b") + 1)
+    both = rows.withColumn("_own", F.lit(True)).unionByName(tail.withColumn("_own", F.lit(False)))
+    frame = Window.partitionBy("_b").orderBy("_i").rowsBetween(1 - window, 0)
+    return (both.withColumn(name, F.avg(value).over(frame))
+            .where(F.col("_own") & (F.col("_i") >= window - 1)).select(*df.columns, name))
 
 
 def onehot_columns(df: DataFrame, col: str, values: list[str], prefix: str | None = None,

@@ -45,12 +45,15 @@ def kfold_assign(df: DataFrame, key: str, k: int, seed: int, n: int | None = Non
 
 
 def undersample_majority(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
-    """Keep all minority rows and each majority row with probability n_min / n_maj."""
-    counts = {r[label]: r["c"] for r in
-              df.groupBy(label).agg(F.count(F.lit(1)).alias("c")).collect()}
-    (minority, n_min), (majority, n_maj) = sorted(counts.items(), key=lambda kv: (kv[1], kv[0]))[:2]
-    ratio = n_min / n_maj
-    return df.where((F.col(label) != F.lit(majority)) | (uniform(key, seed) < F.lit(ratio)))
+    """Keep each row of the largest class with probability n_min / n_maj (n_min: the smallest
+    class) and all rows of the others; with a single class, everything. Rows without a label
+    are no class and stay."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("c"))
+    ends = counts.agg(F.min("c").alias("n_min"), F.max(F.struct("c", F.col(label).alias("v"))).alias("top")).first()
+    if ends["n_min"] is None or ends["n_min"] == ends["top"]["c"]:
+        return df
+    ratio = ends["n_min"] / ends["top"]["c"]
+    return df.where(F.coalesce(F.col(label) != F.lit(ends["top"]["v"]), F.lit(True)) | (uniform(key, seed) < F.lit(ratio)))
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:

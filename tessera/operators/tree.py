@@ -5,7 +5,7 @@ label totals on both sides of every candidate feature — 4·d conditional sums
 node, partially aggregated map-side, so the driver receives only
 open-nodes × 4·d numbers. A row's node id is never stored and updated: it is
 recomputed from the tree so far as one closed-form expression (the lineage
-does not grow with depth): a flat CASE over the path conditions of the targets.
+does not grow with depth): a nested CASE, one test per level.
 
 Rules (unweighted): leaf when the node has no mistakes, no unused features, depth ≥
 max_depth, n ≤ min_node_size, the best split reduces the error by ≤
@@ -41,35 +41,25 @@ class Node:
         return min(self.p, self.q)
 
 
-def _path_condition(k: int, tree: dict[int, Node], features: list[str]) -> Column:
-    """Conjunction of the feature tests on the path from the root to node ``k``."""
-    cond = F.lit(True)
-    depth = k.bit_length() - 1
-    for j in range(depth):
-        anc = k >> (depth - j)
-        bit = (k >> (depth - j - 1)) & 1
-        cond = cond & (F.col(features[tree[anc].feature]) == F.lit(bit))
-    return cond
+def _descend(tree: dict[int, Node], features: list[str], leaf, k: int = 1) -> Column:
+    """Nested CASE from node ``k`` down: one test per level of a row's path, an expression
+    linear in the nodes. ``leaf``: value of a node that is not split (a Column)."""
+    nd = tree.get(k)
+    if nd is None or nd.feature is None:
+        return leaf(k)
+    return (F.when(F.col(features[nd.feature]) == 0, _descend(tree, features, leaf, 2 * k))
+            .otherwise(_descend(tree, features, leaf, 2 * k + 1)))
 
 
 def node_column(tree: dict[int, Node], features: list[str], targets: list[int]) -> Column:
-    """Which of ``targets`` (disjoint nodes) a row falls in, NULL otherwise: one flat CASE,
-    size linear in the tree (a row's node is recomputed, never carried as mutable state)."""
-    e = None
-    for k in targets:
-        c = _path_condition(k, tree, features)
-        e = F.when(c, F.lit(k)) if e is None else e.when(c, F.lit(k))
-    return e.cast("bigint")
+    """Which of ``targets`` (disjoint nodes) a row falls in, NULL otherwise (a row's node is
+    recomputed, never carried as mutable state)."""
+    wanted = set(targets)
+    return _descend(tree, features, lambda k: F.lit(k if k in wanted else None).cast("bigint"))
 
 
 def predict_column(tree: dict[int, Node], features: list[str]) -> Column:
-    e = None
-    for k, nd in sorted(tree.items()):
-        if nd.prediction is None:
-            continue
-        c = _path_condition(k, tree, features)
-        e = F.when(c, F.lit(nd.prediction)) if e is None else e.when(c, F.lit(nd.prediction))
-    return e.cast("bigint")
+    return _descend(tree, features, lambda k: F.lit(tree[k].prediction).cast("bigint"))
 
 
 def _side_stats(df: DataFrame, node: Column, features: list[str], label: Column,

@@ -424,17 +424,24 @@ lj AS (SELECT e.vec_id, e.v, list(ln(p.w) - 0.5 * list_sum(list_transform(range(
        FROM ev e, p GROUP BY e.vec_id, e.v),
 ls AS (SELECT *, list_max(lj) + ln(list_sum(list_transform(lj, lambda z: exp(z - list_max(lj))))) AS lse FROM lj),
 r AS (SELECT vec_id, v, unnest(range(0, len(lj))) AS k, unnest(list_transform(lj, lambda z: exp(z - lse))) AS r FROM ls),
-nw AS (SELECT k, sum(r) AS nk FROM r GROUP BY k)
-SELECT k AS component, round(nk / (SELECT count(*) FROM ev), 6) AS weight,
-       round((SELECT sum(lse) FROM ls), 3) AS loglik_before FROM nw
+nw AS (SELECT k, sum(r) AS nk FROM r GROUP BY k),
+x AS (SELECT k, r, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM r),
+mu2 AS (SELECT k, i, sum(r * x) / sum(r) AS m FROM x GROUP BY k, i),
+va AS (SELECT k, i, any_value(m) AS m, greatest(sum(r * (x - m) ^ 2) / sum(r), 1e-8) AS var
+       FROM x JOIN mu2 USING (k, i) GROUP BY k, i),
+mv AS (SELECT k, list(round(m, 6) ORDER BY i) AS mean, list(round(var, 9) ORDER BY i) AS variance FROM va GROUP BY k)
+SELECT k AS component, round(nk / (SELECT count(*) FROM ev), 6) AS weight, mean, variance,
+       round((SELECT sum(lse) FROM ls), 3) AS loglik_before FROM nw JOIN mv USING (k)
 """)
 def gmm_diag_step(spark, sf_dir):
-    """One diagonal-covariance EM step on the 64-d vectors from the k-means start: new weights
-    and the log likelihood at the start."""
+    """One diagonal-covariance EM step on the 64-d vectors from the k-means start: new weights,
+    means and smoothed variances, and the log likelihood at the start."""
     ev = vectors(spark, sf_dir).persist()
     a = KM.assign(ev, "v", init_centroids(ev))
     ks, w, m, v = _diag_init(ev, a)
-    nw, _, _, ll = GM.em_step_diag(ev, "v", w, m, v)
+    nw, nm, nv, ll = GM.em_step_diag(ev, "v", w, m, v)
     ev.unpersist()
-    rows = [(int(k), round(nw[j], 6), round(ll, 3)) for j, k in enumerate(ks)]
-    return spark.createDataFrame(rows, "component bigint, weight double, loglik_before double")
+    rows = [(int(k), round(nw[j], 6), [round(float(x), 6) for x in nm[j]], [round(float(x), 9) for x in nv[j]],
+             round(ll, 3)) for j, k in enumerate(ks)]
+    return spark.createDataFrame(rows, "component bigint, weight double, mean array<double>, "
+                                       "variance array<double>, loglik_before double")

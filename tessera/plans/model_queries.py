@@ -29,6 +29,10 @@ from tessera.session import cut_lineage
 from tessera.sources.tables import Tables, spread
 
 
+#: No cap on the vocabulary (the estimator asks for a number).
+WHOLE = 2**31 - 1
+
+
 @query("sketch_summary", rows=("A6",))
 def sketch_summary(spark, sf_dir):
     """Sketch summary of the numeric lineitem columns: count, mean, stddev, min, approximate
@@ -74,10 +78,9 @@ def lasso_sparsity(spark, sf_dir):
 
 def _labelled_docs(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    docs = t.documents.join(t.labels, "doc_id").select(
+    return spread(t.documents.select("doc_id", "text")).join(t.labels, "doc_id").select(
         "doc_id", tokens("text").alias("words"), F.col("quality").cast("double").alias("label"),
         F.when(bucket("doc_id", 1) < 800, "train").otherwise("test").alias("split"))
-    return spread(docs)
 
 
 @query("logistic_mllib", rows=("C1", "C3"))
@@ -85,11 +88,11 @@ def logistic_mllib(spark, sf_dir):
     """Logistic regression on sparse word counts (CountVectorizer → MLlib LBFGS); coefficient
     signs and accuracy by split. L2 penalty λ maps to regParam = 2λ/n (SURVEY §4)."""
     d = _labelled_docs(spark, sf_dir).persist()
-    cv = CountVectorizer(inputCol="words", outputCol="features", minDF=2.0).fit(d.where(F.col("split") == "train"))
+    cv = CountVectorizer(inputCol="words", outputCol="features", minDF=1.0, vocabSize=WHOLE).fit(d.where(F.col("split") == "train"))
     x = cv.transform(d)
     train = x.where(F.col("split") == "train")
     n = train.count()
-    model = LogisticRegression(regParam=2 * 1.0 / max(n, 1), maxIter=50).fit(train)
+    model = LogisticRegression(regParam=2 * 1.0 / max(n, 1), maxIter=50, standardization=False).fit(train)
     coef = model.coefficients.toArray()
     acc = (model.transform(x).groupBy("split")
            .agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
@@ -237,15 +240,15 @@ def gmm_fit(spark, sf_dir):
 
 
 def _lda_input(spark, sf_dir):
-    """Stop-word-trimmed bags of words of the English documents as count vectors. Splitting and
+    """Stop-word-trimmed bags of words of all documents as count vectors over the whole vocabulary. Splitting and
     removal (empty pieces and stop words via ``StopWordsRemover``) stay JVM-side."""
     from pyspark.ml.feature import StopWordsRemover
     from tessera.functions.text import WHITESPACE
-    docs = Tables(spark, sf_dir).documents.where(F.col("lang") == "en")
-    d = spread(docs.select("doc_id", F.split(F.lower("text"), WHITESPACE).alias("pieces")))
+    docs = Tables(spark, sf_dir).documents
+    d = spread(docs.select("doc_id", "text")).select("doc_id", F.split(F.lower("text"), WHITESPACE).alias("pieces"))
     d = StopWordsRemover(inputCol="pieces", outputCol="words", stopWords=STOP_WORDS + [""],
                          caseSensitive=True).transform(d)
-    cv = CountVectorizer(inputCol="words", outputCol="features", minDF=2.0).fit(d)
+    cv = CountVectorizer(inputCol="words", outputCol="features", minDF=1.0, vocabSize=WHOLE).fit(d)
     return cv.transform(d).select("doc_id", "features").persist(), cv.vocabulary
 
 

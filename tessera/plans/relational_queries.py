@@ -247,16 +247,12 @@ FROM (SELECT p_brand, sum(l_quantity::BIGINT)::BIGINT AS total_qty
 """)
 def group_sum_sorted(spark, sf_dir):
     """Play totals per 'artist' (quantity per brand), ranked both directions."""
-    from pyspark.sql import Window
     t = Tables(spark, sf_dir)
     s = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
          .groupBy("p_brand").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("total_qty")))
-    # the grouped table has one row per brand; its global ranking is a small final step
-    return (s.withColumn("rank_desc", F.row_number().over(
-                Window.orderBy(F.desc("total_qty"), "p_brand")).cast("bigint"))
-             .withColumn("rank_asc", F.row_number().over(
-                 Window.orderBy("total_qty", "p_brand")).cast("bigint"))
-             .orderBy(F.desc("total_qty"), "p_brand"))
+    down = R.with_row_index(s, [F.desc("total_qty"), F.col("p_brand")], "rank_desc", start=1)
+    both = R.with_row_index(down, [F.col("total_qty"), F.col("p_brand")], "rank_asc", start=1)
+    return both.orderBy(F.desc("total_qty"), "p_brand")
 
 
 @query("column_stats", rows=("A4",), oracle="""
@@ -301,10 +297,11 @@ SELECT o_orderpriority AS value, count(*)::BIGINT AS n,
 FROM orders GROUP BY 1
 """)
 def value_counts(spark, sf_dir):
-    from pyspark.sql import Window
     o = Tables(spark, sf_dir).orders
     c = o.groupBy(F.col("o_orderpriority").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return c.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
+    total = o.agg(F.count(F.lit(1)).alias("total"))          # one row
+    return (c.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
+            .select("value", "n", F.round(F.col("n") / F.col("total"), 6).alias("share")))
 
 
 @query("class_balance", rows=("A10",), oracle="""
@@ -451,15 +448,8 @@ SELECT event_id, round(ma, 6) AS moving_avg FROM (
 WHERE rn >= 10
 """)
 def moving_average(spark, sf_dir):
-    """10-row moving average of event value along (ts, event_id), full windows only.
-
-    Prefix sums along the global order (range-partitioned, no single-partition
-    window), then S[i] - S[i-10] via an equi-join on the shifted index.
-    """
-    w = 10
+    """10-row moving average of event value along (ts, event_id), full windows only: window
+    frames inside blocks of consecutive rows (no global prefix sums, no self-join)."""
     ev = Tables(spark, sf_dir).events.select("event_id", "ts", "value")
-    pre = R.with_prefix_sums(ev, [F.col("ts"), F.col("event_id")], {"s": F.col("value")}, "i")
-    prev = pre.select((F.col("i") + w).alias("i"), F.col("s").alias("s_prev"))
-    full = pre.where(F.col("i") >= w - 1).join(prev, "i", "left")
-    return full.select("event_id", F.round((F.col("s") - F.coalesce("s_prev", F.lit(0.0))) / w, 6)
-                       .alias("moving_avg"))
+    out = R.rolling_mean(ev, [F.col("ts"), F.col("event_id")], "value", 10, "ma")
+    return out.select("event_id", F.round("ma", 6).alias("moving_avg"))

@@ -29,9 +29,10 @@ def scaled_embeddings(spark, sf_dir):
 
 def label_centroids(ev):
     """Mean vector per label as a small frame (query_id, c): posexplode + grouped mean,
-    partial aggregation map-side; the result is labels × d numbers."""
+    partial aggregation map-side; the result is labels × d numbers. Means are rounded to 9
+    places, so that the order of summation does not reach what is derived from them."""
     means = (ev.select("label", F.posexplode("w").alias("pos", "x"))
-             .groupBy("label", "pos").agg(F.avg("x").alias("a")))
+             .groupBy("label", "pos").agg(F.round(F.avg("x"), 9).alias("a")))
     rows = NB.collect_bounded(means, max_rows=NB.MAX_DENSE_QUERIES * 4096)
     vecs: dict[int, dict[int, float]] = {}
     for r in rows:
@@ -44,7 +45,7 @@ _EV_SQL = """
 ev AS (SELECT vec_id, label::BIGINT AS label,
               list_transform(embedding, lambda x: x::DOUBLE * (1 + vec_id % 3)) AS w FROM embeddings),
 cent AS (SELECT label AS query_id, list(a ORDER BY i) AS c FROM (
-           SELECT label, i, avg(x) AS a FROM (
+           SELECT label, i, round(avg(x), 9) AS a FROM (
              SELECT label, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM ev) GROUP BY 1, 2)
          GROUP BY 1)"""
 

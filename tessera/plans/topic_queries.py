@@ -1,6 +1,6 @@
 """Topic-model queries.
 
-Oracle-checked parts use a topic-word table derived from counts (fixed values): English
+Oracle-checked parts use a topic-word table derived from counts (fixed values): all
 documents, lower-cased whitespace tokens without the stop words, topic = document source,
 weight(word | topic) = count of the word in the topic's documents / all its word count.
 The fitted LDA (MLlib) queries are rows-only (``model_queries``).
@@ -20,7 +20,7 @@ from tessera.sources.tables import Tables
 
 
 def topic_word_counts(spark, sf_dir):
-    docs = Tables(spark, sf_dir).documents.where(F.col("lang") == "en")
+    docs = Tables(spark, sf_dir).documents
     stop = F.broadcast(spark.createDataFrame([(w,) for w in STOP_WORDS], "word string"))
     # materialised once: the counts feed the topic table, its totals and the projections
     wc = cut_lineage(TF.word_counts(docs, "doc_id").join(stop, "word", "left_anti"))
@@ -37,8 +37,7 @@ def topic_table(spark, sf_dir):
 
 _TT_SQL = f"""
 wc AS (SELECT doc_id, w AS word, count(*) AS cnt FROM
-        (SELECT doc_id, unnest(string_split_regex(lower(text), '[ \\t\\r\\n]+')) AS w FROM documents
-         WHERE lang = 'en') WHERE w <> '' AND w NOT IN (SELECT word FROM {words_values_sql(STOP_WORDS)})
+        (SELECT doc_id, unnest(string_split_regex(lower(text), '[ \\t\\r\\n]+')) AS w FROM documents) WHERE w <> '' AND w NOT IN (SELECT word FROM {words_values_sql(STOP_WORDS)})
        GROUP BY 1, 2),
 tw AS (SELECT d.source AS topic, wc.word, sum(wc.cnt) AS cnt FROM wc JOIN documents d USING (doc_id)
        GROUP BY d.source, wc.word),

@@ -209,7 +209,7 @@ SELECT a.split, round(avg(CASE WHEN n.prediction = a.y THEN 0.0 ELSE 1.0 END), 6
 FROM {_T_ASSIGN} a JOIN {_T_NODES} n ON a.node = n.node GROUP BY a.split
 """)
 def tree_predict(spark, sf_dir):
-    """Classify every row with the depth-6 tree (one CASE over leaf paths); error by split."""
+    """Classify every row with the depth-6 tree (a nested CASE, one test per level); error by split."""
     d = tree_frame(spark, sf_dir).persist()
     tree = T.build_tree(d.where(F.col("split") == "train"), FEATURES, "y", TREE_DEPTH)
     pred = T.predict_column(tree, FEATURES)
@@ -221,7 +221,8 @@ def tree_predict(spark, sf_dir):
     return res
 
 
-EARLY_STOP = [("depth_2", 2, 0, None), ("depth_6", 6, 0, None),
+EARLY_STOP = [("depth_2", 2, 0, None), ("depth_6", 6, 0, None), ("depth_14", 14, 0, None),
+              ("depth_14_min_size_50000", 14, 50000, None),
               ("depth_6_min_size_2000", 6, 2000, None), ("depth_6_min_reduction_0", 6, 0, 0.0),
               ("depth_6_min_reduction_5", 6, 0, 5.0)]
 
@@ -249,7 +250,7 @@ def tree_early_stop(spark, sf_dir):
     train = d.where(F.col("split") == "train")
     trees = T.build_trees(train, FEATURES, "y", {
         name: {"max_depth": depth, "min_node_size": size, "min_error_reduction": red}
-        for name, depth, size, red in EARLY_STOP})     # all five trees share each level's pass
+        for name, depth, size, red in EARLY_STOP})     # all trees share each level's pass
     aggs = []
     for j, (name, tree) in enumerate(trees.items()):
         pred = T.predict_column(tree, FEATURES)

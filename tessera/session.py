@@ -48,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The cluster names it in ``spark.checkpoint.dir``; we only set our own when
-    it is unset (local tests), never overriding a platform setting.
+    it is unset and the session runs in one process (tests); a cluster session without it is
+    an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -60,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

@@ -11,8 +11,6 @@
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,13 +35,19 @@ def score_stream(stream: DataFrame, weights) -> DataFrame:
                          F.when(m > 0, 1).otherwise(-1).alias("prediction"))
 
 
+def _has_versions(spark: SparkSession, model_dir: str) -> bool:
+    """Whether the folder holds a model version, asked of its own file system (any URI)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(model_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(path) and any(s.getPath().getName().startswith("batch_id=") for s in fs.listStatus(path))
+
+
 def _latest_weights(spark: SparkSession, model_dir: str, below: int, d: int) -> np.ndarray:
-    if not os.path.exists(model_dir):
-        return np.zeros(d)
-    try:
-        m = spark.read.parquet(model_dir)
-    except Exception:  # noqa: BLE001 - empty folder
+    """Weights of the newest version below a batch; zeros before the first. A folder that
+    can't be read raises."""
+    if not _has_versions(spark, model_dir):
         return np.zeros(d)
+    m = spark.read.schema("index bigint, weight double, batch_id bigint").parquet(model_dir)
     prev = m.where(F.col("batch_id") < below).agg(F.max("batch_id")).collect()[0][0]
     if prev is None:
         return np.zeros(d)
