@@ -192,9 +192,9 @@ def _links(threshold: float):
     return rows
 
 
-def _leaves(first: DataFrame, sets, threshold: float) -> DataFrame:
+def _leaves(first: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(member, key, n) of all buckets to compare. ``first``: (member, key) of the first level;
-    ``sets``: function from a table of members to their sets."""
+    ``sets``: (member, tokens) of the members that share a bucket."""
     def sizes(rows: DataFrame) -> DataFrame:
         return rows.groupBy("parent", "key").agg(
             F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("member")).alias("x"),
@@ -217,7 +217,10 @@ def _leaves(first: DataFrame, sets, threshold: float) -> DataFrame:
             break
         inside = materialise(inside, "large")
         paths = inside.groupBy("member").agg(F.collect_list("key").alias("paths"))
-        below = materialise(sets().join(paths, "member").select("member", "tokens", "paths")
+        if level == 0:
+            # deeper levels only hold members of these buckets
+            sets = materialise(sets.join(paths.select("member"), "member", "left_semi"), "split_sets")
+        below = materialise(sets.join(paths, "member").select("member", "tokens", "paths")
                             .mapInArrow(_children(threshold), "member bigint, parent bigint, key bigint"), "children")
         children = materialise(sizes(below), "buckets")
         together = (children.groupBy("parent").agg(
@@ -261,7 +264,8 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
         sets = sets.dropDuplicates(["member"])
     sets = materialise(sets, "sets")
     release_shuffles(spark)
-    leaves = materialise(_leaves(first, lambda: sets, threshold), "leaves")
+    leaves = materialise(_leaves(first, sets, threshold), "leaves")
+    release_shuffles(spark)
     per_member = leaves.withColumn("_c", cells_of(F.col("key"), F.col("member"), F.col("n"), BLOCK)).groupBy("member").agg(
         F.sort_array(F.collect_set("key")).alias("keys"),
         F.flatten(F.collect_list(F.transform("_c", lambda c: F.struct(
