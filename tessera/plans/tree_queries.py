@@ -356,7 +356,7 @@ def adaboost(spark, sf_dir):
                                        "right_prediction bigint, weighted_error double, alpha double")
 
 
-STAGED_ROUNDS = 5
+STAGED_ROUNDS = 30
 _st_ctes, _ = _ada_sql(STAGED_ROUNDS)
 
 
@@ -369,7 +369,7 @@ staged AS (""" + "\nUNION ALL\n".join(
 SELECT t::BIGINT AS n_stumps, split, round(avg(wrong), 6) AS error FROM staged GROUP BY t, split
 """)
 def adaboost_staged(spark, sf_dir):
-    """Train and test error of the ensemble of the first t stumps, t = 1..5, in one pass:
+    """Train and test error of the ensemble of the first t stumps, t = 1..30, in one pass:
     the staged margins are running sums over the stump index (sign, 0 → −1)."""
     d = tree_frame(spark, sf_dir).persist()
     stumps = adaboost_fit(d, STAGED_ROUNDS)
