@@ -10,3 +10,5 @@ from tessera.plans import cluster_queries  # noqa: F401
 from tessera.plans import recommend_queries  # noqa: F401
 from tessera.plans import topic_queries  # noqa: F401
 from tessera.plans import model_queries  # noqa: F401
+from tessera.plans import text_cluster_queries  # noqa: F401
+from tessera.plans import search_queries  # noqa: F401

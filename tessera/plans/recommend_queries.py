@@ -1,9 +1,9 @@
 """Recommendation queries.
 
 Fixtures (fixed values): interactions = distinct (customer = o_custkey, part = l_partkey) of
-lineitem ⋈ orders. Served users: a seeded sample of customers (the smallest md5(customer:41));
-the reference evaluates its recommenders on user samples too. Query items for the similarity
-table: the 10 most popular parts. Evaluation split of interactions: md5(customer:part:43) % 1000
+lineitem ⋈ orders. Served and evaluated users: a seeded 5 % of the customers (md5(customer:41)
+% 1000 < 50), the share on which the recommenders are compared; it grows with the table. Query
+items for the similarity table: a seeded 5 % of the parts (md5(part:42) % 1000 < 50). Evaluation split of interactions: md5(customer:part:43) % 1000
 < 800 → train.
 """
 
@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import bucket, hash32, sql_hash32
+from tessera.functions.hashing import bucket, sql_hash32
 from tessera.operators import recommend as RC
 from tessera.operators.neighbors import topk_per_group
 from tessera.registry import query
 from tessera.sources.tables import Tables
 
 U, I = "customer", "part"
-SAMPLE_SEED, N_SERVED, N_EVAL = 41, 20, 50
+SAMPLE_SEED, ITEM_SEED, SHARE = 41, 42, 50      # of 1000
 
 
 def interactions(spark, sf_dir):
@@ -27,18 +27,15 @@ def interactions(spark, sf_dir):
     return j.select(F.col("o_custkey").alias(U), F.col("l_partkey").alias(I)).distinct()
 
 
-def user_sample(inter, n):
-    users = inter.select(U).distinct()
-    return users.orderBy(hash32(U, SAMPLE_SEED), U).limit(n)
+def user_sample(inter):
+    return inter.select(U).distinct().where(bucket(U, SAMPLE_SEED) < SHARE)
 
 
 INTER_SQL = ("inter AS (SELECT DISTINCT o_custkey AS customer, l_partkey AS part FROM lineitem "
              "JOIN orders ON l_orderkey = o_orderkey)")
 
 
-def _sample_sql(n, name="S"):
-    return (f"{name} AS (SELECT customer FROM (SELECT DISTINCT customer FROM inter) "
-            f"ORDER BY {sql_hash32('customer', SAMPLE_SEED)}, customer LIMIT {n})")
+SAMPLE_SQL = f"S AS (SELECT DISTINCT customer FROM inter WHERE {sql_hash32('customer', SAMPLE_SEED)} % 1000 < {SHARE})"
 
 
 def _itemsim_sql(inter: str, users: str, k: int, p: str = "") -> str:
@@ -83,36 +80,34 @@ def popularity_recommend(spark, sf_dir):
     return RC.popularity_recommend(inter, users, 5, U, I)
 
 
-_POPULAR_SQL = ("popular AS (SELECT part AS qpart FROM inter GROUP BY part "
-                "ORDER BY count(*) DESC, part LIMIT 10)")
+_ITEMS_SQL = f"asked AS (SELECT DISTINCT part AS qpart FROM inter WHERE {sql_hash32('part', ITEM_SEED)} % 1000 < {SHARE})"
 
 
-def _popular(inter):
-    return (inter.groupBy(I).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), I).limit(10)
-            .select(I))
+def _asked(inter):
+    return inter.select(I).distinct().where(bucket(I, ITEM_SEED) < SHARE)
 
 
 @query("item_similarity", rows=("D2",), oracle=f"""
-WITH {INTER_SQL}, {_POPULAR_SQL},
+WITH {INTER_SQL}, {_ITEMS_SQL},
 deg AS (SELECT part, count(*) AS deg FROM inter GROUP BY part),
-co AS (SELECT p.qpart, b.part, count(*) AS co FROM popular p JOIN inter a ON a.part = p.qpart
+co AS (SELECT p.qpart, b.part, count(*) AS co FROM asked p JOIN inter a ON a.part = p.qpart
        JOIN inter b ON a.customer = b.customer GROUP BY p.qpart, b.part)
 SELECT co.qpart AS qitem, co.part, co.co::BIGINT AS co, round(co.co / (dq.deg + d.deg - co.co), 6) AS sim
 FROM co JOIN deg dq ON dq.part = co.qpart JOIN deg d ON d.part = co.part WHERE co.part <> co.qpart
 """)
 def item_similarity(spark, sf_dir):
-    """Jaccard similarity (customer sets) between the 10 most popular parts and every part
-    bought together with them."""
+    """Jaccard similarity (customer sets) between 5 % of the parts and every part bought together
+    with them."""
     inter = interactions(spark, sf_dir)
-    s = RC.jaccard_for(inter, _popular(inter), U, I)
+    s = RC.jaccard_for(inter, _asked(inter), U, I)
     return s.where(F.col("qitem") != F.col(I)).select(
         "qitem", I, F.col("co").cast("bigint").alias("co"), F.round("sim", 6).alias("sim"))
 
 
 @query("similar_items", rows=("D4",), oracle=f"""
-WITH {INTER_SQL}, {_POPULAR_SQL},
+WITH {INTER_SQL}, {_ITEMS_SQL},
 deg AS (SELECT part, count(*) AS deg FROM inter GROUP BY part),
-co AS (SELECT p.qpart, b.part, count(*) AS co FROM popular p JOIN inter a ON a.part = p.qpart
+co AS (SELECT p.qpart, b.part, count(*) AS co FROM asked p JOIN inter a ON a.part = p.qpart
        JOIN inter b ON a.customer = b.customer GROUP BY p.qpart, b.part),
 s AS (SELECT co.qpart, co.part, co.co / (dq.deg + d.deg - co.co) AS sim FROM co JOIN deg dq ON dq.part = co.qpart
       JOIN deg d ON d.part = co.part WHERE co.part <> co.qpart)
@@ -120,35 +115,35 @@ SELECT qpart AS qitem, part, rk::BIGINT AS rank, round(sim, 6) AS sim FROM (
   SELECT *, row_number() OVER (PARTITION BY qpart ORDER BY round(sim, 9) DESC, part) AS rk FROM s) WHERE rk <= 5
 """)
 def similar_items(spark, sf_dir):
-    """Five most similar parts of each of the 10 most popular parts."""
+    """Five most similar parts of each of 5 % of the parts."""
     inter = interactions(spark, sf_dir)
-    s = RC.jaccard_for(inter, _popular(inter), U, I).where(F.col("qitem") != F.col(I))
+    s = RC.jaccard_for(inter, _asked(inter), U, I).where(F.col("qitem") != F.col(I))
     top = topk_per_group(s, "qitem", [F.desc(F.round("sim", 9)), F.col(I)], 5)
     return top.select("qitem", I, "rank", F.round("sim", 6).alias("sim"))
 
 
 @query("item_recommend", rows=("D3",), oracle=f"""
-WITH {INTER_SQL}, {_sample_sql(N_SERVED)},
+WITH {INTER_SQL}, {SAMPLE_SQL},
 {_itemsim_sql('inter', 'S', 5)}
 SELECT customer, part, rank::BIGINT AS rank, round(score, 6) AS score FROM rec
 """)
 def item_recommend(spark, sf_dir):
     """Item-similarity recommendations (mean Jaccard to the customer's parts), top 5, for a
-    seeded sample of customers."""
+    seeded 5 % of the customers."""
     inter = interactions(spark, sf_dir)
-    r = RC.item_similarity_recommend(inter, user_sample(inter, N_SERVED), 5, U, I)
+    r = RC.item_similarity_recommend(inter, user_sample(inter), 5, U, I)
     return r.select(U, I, "rank", F.round("score", 6).alias("score"))
 
 
 @query("top1_item_counts", rows=("A3", "D5"), oracle=f"""
-WITH {INTER_SQL}, {_sample_sql(N_EVAL)},
+WITH {INTER_SQL}, {SAMPLE_SQL},
 {_itemsim_sql('inter', 'S', 1)}
 SELECT part, count(*)::BIGINT AS n_users FROM rec GROUP BY part
 """)
 def top1_item_counts(spark, sf_dir):
-    """How often each part is the top recommendation over a sample of customers."""
+    """How often each part is the top recommendation over a seeded 5 % of the customers."""
     inter = interactions(spark, sf_dir)
-    r = RC.item_similarity_recommend(inter, user_sample(inter, N_EVAL), 1, U, I)
+    r = RC.item_similarity_recommend(inter, user_sample(inter), 1, U, I)
     return r.groupBy(I).agg(F.count(F.lit(1)).alias("n_users"))
 
 
@@ -157,7 +152,7 @@ CUTOFFS = list(range(1, 11))
 
 def _pr_sql():
     return f"""
-WITH {INTER_SQL}, {_sample_sql(N_EVAL)},
+WITH {INTER_SQL}, {SAMPLE_SQL},
 tr AS (SELECT * FROM inter WHERE {sql_hash32("concat_ws(':', customer, part)", 43)} % 1000 < 800),
 te AS (SELECT * FROM inter WHERE {sql_hash32("concat_ws(':', customer, part)", 43)} % 1000 >= 800),
 {_pop_sql('tr', 'S', 10, 'p_')},
@@ -184,7 +179,7 @@ def recommender_pr(spark, sf_dir):
     key = F.concat_ws(":", F.col(U).cast("string"), F.col(I).cast("string"))
     tr = inter.where(bucket(key, 43) < 800)
     te = inter.where(bucket(key, 43) >= 800)
-    users = user_sample(inter, N_EVAL)
+    users = user_sample(inter)
     recs = (RC.popularity_recommend(tr, users, 10, U, I).select(F.lit("popularity").alias("model"), U, I, "rank")
             .unionByName(RC.item_similarity_recommend(tr, users, 10, U, I)
                          .select(F.lit("item_similarity").alias("model"), U, I, "rank")))
