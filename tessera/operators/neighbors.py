@@ -4,9 +4,8 @@
   produces only (query, document) pairs that share a word; a partial+final
   aggregation sums the products; ``row_number() <= k`` per query becomes a
   ``WindowGroupLimit`` that trims candidates before the shuffle.
-* Dense: the query set is model-sized state (checked row bound); its vectors are
-  embedded in one projection over the corpus, one distance per query, then the
-  same per-query top-k. No join, no pair table.
+* Dense: queries go in blocks of a bounded number; a block's vectors are embedded in one
+  projection over the corpus, one distance per query, then the same per-query top-k.
 """
 
 from __future__ import annotations
@@ -80,8 +79,16 @@ def dense_knn(corpus: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
               qid_col: str, qvec_col: str, k: int, metric: str = "euclidean",
               keep: list[str] | None = None) -> DataFrame:
     """(query_id, id, distance, rank) for the k nearest corpus rows of each query."""
-    qrows = [(r[qid_col], [float(x) for x in r[qvec_col]])
-             for r in collect_bounded(queries.select(qid_col, qvec_col))]
     keep = [id_col] + (keep or [])
-    d = dense_distances(corpus, vec_col, qrows, metric, keep)
+    q = queries.select(qid_col, qvec_col)
+    blocks = max(1, -(-q.count() // MAX_DENSE_QUERIES))     # one pass over the corpus per block
+    d = None
+    for b in range(blocks):
+        part = q if blocks == 1 else q.where(F.pmod(F.xxhash64(qid_col), F.lit(blocks)) == b)
+        qrows = [(r[qid_col], [float(x) for x in r[qvec_col]]) for r in part.toLocalIterator()]
+        if qrows:
+            found = dense_distances(corpus, vec_col, qrows, metric, keep)
+            d = found if d is None else d.unionByName(found)
+    if d is None:
+        d = corpus.where("false").select(*keep, F.lit(0).cast("bigint").alias("query_id"), F.lit(0.0).alias("distance"))
     return topk_per_group(d, "query_id", [F.round("distance", 9), F.col(id_col)], k)

@@ -18,6 +18,7 @@ from tessera.functions.text import tokens
 from tessera.operators import gmm as GM
 from tessera.operators import gram as G
 from tessera.operators import kmeans as KM
+from tessera.operators.neighbors import topk_per_group
 from tessera.plans.classification_queries import dense_features, scored
 from tessera.plans.cluster_queries import xs, colours, gmm_start, init_centroids, vectors
 from tessera.plans.fixtures import STOP_WORDS
@@ -136,7 +137,7 @@ def sgd_stepsize(spark, sf_dir):
                          [F.col("_h"), F.col("rk"), F.col("x1"), F.col("x2"), F.col("ind")], "p")
     b = pos.where(F.col("p") < bsize * nb).select((F.col("p") / bsize).cast("bigint").alias("batch"),
                                                   "x0", "x1", "x2", "ind").persist()
-    steps = [1e-4, 1e-2, 1.0, 1e2]
+    steps = [10.0 ** e for e in range(-4, 3)]
     xs = [F.col("x0"), F.col("x1"), F.col("x2")]
     ws = {st: np.zeros(3) for st in steps}
     rows = []
@@ -179,25 +180,30 @@ def tree_mllib(spark, sf_dir):
 
 @query("gbt_staged", rows=("C29",))
 def gbt_staged(spark, sf_dir):
-    """Gradient-boosted trees: one fit of 20 trees; log loss after every number of trees on
-    train and test from the staged evaluation (no refit per size)."""
+    """Gradient-boosted trees: one fit of 50 trees; classification error after every number of
+    trees on train and test, in one pass over the trees' running margins (no refit per size)."""
     d = _tree_vectors(spark, sf_dir).persist()
-    train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    m = GBTClassifier(maxIter=20, maxDepth=3, seed=1).fit(train)
-    tr, te = m.evaluateEachIteration(train), m.evaluateEachIteration(test)
+    m = GBTClassifier(maxIter=50, maxDepth=3, seed=1).fit(d.where(F.col("split") == "train"))
+    staged, margin, wrong = d, F.lit(0.0), []
+    for i, (tree, w) in enumerate(zip(m.trees, m.treeWeights)):
+        staged = tree.setPredictionCol(f"t{i}").transform(staged)
+        margin = margin + F.lit(float(w)) * F.col(f"t{i}")
+        wrong.append(F.avg(((margin > 0).cast("double") != F.col("label")).cast("double")).alias(str(i)))
+    errors = {r["split"]: r for r in staged.groupBy("split").agg(*wrong).collect()}
     d.unpersist()
-    rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tr, te))]
-    return spark.createDataFrame(rows, "n_trees bigint, train_loss double, test_loss double")
+    rows = [(i + 1, *[float(errors[s][str(i)]) if s in errors else None for s in ("train", "test")])
+            for i in range(len(m.trees))]
+    return spark.createDataFrame(rows, "n_trees bigint, train_error double, test_error double")
 
 
 @query("kmeans_seeds", rows=("K6", "K8"))
 def kmeans_seeds(spark, sf_dir):
-    """Lloyd k-means (k = 5, ≤ 10 iterations) from several hash-chosen starts: final
+    """Lloyd k-means (k = 5, until no row changes) from seven hash-chosen starts: final
     heterogeneity, largest cluster, and the best run."""
     ev = vectors(spark, sf_dir).persist()
     rows = []
-    for seed in (21, 22, 23, 24):
-        cents, trace = KM.lloyd(ev, "v", init_centroids(ev, seed=seed), 10)
+    for seed in range(21, 28):
+        cents, trace = KM.lloyd(ev, "v", init_centroids(ev, seed=seed), 400)
         sizes = KM.assign(ev, "v", cents).groupBy("cluster").count().collect()
         rows.append((seed, float(trace[-1][1]), max(r["count"] for r in sizes), len(trace)))
     ev.unpersist()
@@ -212,7 +218,7 @@ def kmeans_elbow(spark, sf_dir):
     """Heterogeneity by k (MLlib k-means with k-means|| initialisation)."""
     ev = vectors(spark, sf_dir).select(array_to_vector("v").alias("features")).persist()
     rows = []
-    for k in (2, 5, 10, 25):
+    for k in (2, 10, 25, 50, 100):
         m = KMeans(k=k, seed=1, maxIter=20).fit(ev)
         rows.append((k, float(m.summary.trainingCost)))
     ev.unpersist()
@@ -261,24 +267,42 @@ def _lda(x, k, seed, alpha=None, beta=None):
     return lda.fit(x)
 
 
+LDA_SETTINGS = [("default", None, None), ("low_alpha", 0.05, None), ("high_alpha", 5.0, None),
+                ("low_beta", None, 0.002), ("high_beta", None, 0.5)]
+
+
 @query("lda_fit", rows=("M1", "M5", "M7"))
 def lda_fit(spark, sf_dir):
-    """LDA (10 topics, online variational Bayes) at two concentration settings; each
-    document's most probable topic and its weight."""
+    """LDA (10 topics, online variational Bayes) at low and high concentrations of topics in a
+    document and of words in a topic: each document's topic distribution and its heaviest topic."""
     x, _ = _lda_input(spark, sf_dir)
     out = None
-    for name, a, b in (("default", None, None), ("low_alpha", 0.05, None), ("high_alpha", 5.0, None)):
-        m = _lda(x, 10, 1, a, b)
-        t = m.transform(x).select("doc_id", vector_to_array("topicDistribution").alias("td"))
+    for name, a, b in LDA_SETTINGS:
+        t = _lda(x, 10, 1, a, b).transform(x).select("doc_id", vector_to_array("topicDistribution").alias("td"))
         best = F.array_max(F.transform("td", lambda v, i: F.struct(v.alias("w"), (-i).alias("ni"))))
-        r = t.select(F.lit(name).alias("setting"), "doc_id", (-best["ni"]).cast("bigint").alias("topic"),
-                     best["w"].alias("weight"))
+        r = t.select(F.lit(name).alias("setting"), "doc_id", F.col("td").alias("distribution"),
+                     (-best["ni"]).cast("bigint").alias("topic"), best["w"].alias("weight"))
         r = cut_lineage(r)        # materialised in the shared folder before the input is released
         out = r if out is None else out.unionByName(r)
     x.unpersist()
     return out
 
 
+@query("lda_neighbours", rows=("M9",))
+def lda_neighbours(spark, sf_dir):
+    """Retrieval on topic vectors: the 5 documents with the nearest topic distribution (cosine)
+    for every document whose id is divisible by 50."""
+    from tessera.operators.block_search import search
+    x, _ = _lda_input(spark, sf_dir)
+    t = cut_lineage(_lda(x, 10, 1).transform(x).select("doc_id", vector_to_array("topicDistribution").alias("vec")))
+    x.unpersist()
+    near = search(t.select(F.col("doc_id").alias("row"), F.lit(0).alias("label"), "vec"),
+                  t.where(F.col("doc_id") % 50 == 0).select(F.col("doc_id").alias("query_id"), "vec"), 6, metric="cosine")
+    others = near.where(F.col("query_id") != F.col("row"))
+    return topk_per_group(others, "query_id", [F.col("distance"), F.col("row")], 5).select(
+        "query_id", F.col("row").alias("doc_id"), "rank", F.round("distance", 6).alias("distance"))
+
+
 @query("lda_topics", rows=("M2",))
 def lda_topics(spark, sf_dir):
     """Ten most probable words of each topic with their weights (topic rows sum to ≤ 1)."""
