@@ -14,13 +14,13 @@ bias; a linear layer over the token before and what it attends to gives the clas
 of 2 * ``STEP`` tokens overlap by half, so that each token is scored once, with ``STEP`` to
 2 * STEP - 1 tokens before it (fewer at the start of a text), in batches with masks.
 
-All training texts count. The attention is trained in numpy by local steps over one of
-``EVERY`` windows of each training text in a round (other windows in the next round), in
-every task, and the tasks' parameters are averaged by their windows.
+All training texts count. The attention is trained in numpy by local steps in every task over
+one of ``EVERY`` windows of each training text, each text in one of ``ROUNDS`` rounds; after a
+round the tasks' parameters are averaged by their windows.
 
 Counting: texts are dealt into blocks of about ``BLOCK_BYTES`` by a hash of the row; a block
-sends each of its distinct words once, gets back the word's corpus count, and is scored with
-that dictionary. A frequent word sends one row per block.
+sends each of its distinct words once, with its subword ids, gets back the word's corpus count,
+and is scored with that dictionary. A frequent word sends one row per block.
 
 Defined results: null and empty texts have one token, the end; without training texts every
 token is unknown; repeated rows each get their row; an empty table gives an empty result.
@@ -43,14 +43,14 @@ from tessera.llm.common import (LOWER, SPACE_WORD, Texts, materialise, mix64, of
 from tessera.llm.language_id import sum_arrays
 
 SMOOTH = 0.1
-STEP = 32
+STEP = 16
 DIM = 16
 CLASSES = 64             # 0: unknown, 1: end
 OWN_CLASS = 40           # first subwords with a class of their own
 HASHED = 2048            # rows of the embedding table
 EVERY = 16
 ROUNDS = 2
-BATCH = 64               # windows of a training step
+BATCH = 128              # windows of a training step
 RATE = 0.1
 BLOCK_BYTES = 16 << 20
 START = HASHED           # embedding row of the text's start; END follows
@@ -70,12 +70,23 @@ class Tokens:
         self.key, at, self.which = np.unique(self.hash, return_index=True, return_inverse=True)
         self.data, self.starts, self.sizes = LOWER[data], starts[at], (stops - starts)[at]
 
-    def subwords(self, encoder: bpe.Encoder) -> tuple[np.ndarray, np.ndarray]:
-        """Subword ids of the distinct words: flat ids and counts."""
-        slot = encoder.lookup(self.key, self.data, self.starts, self.sizes)
+    def subwords(self, encoder: bpe.Encoder, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Subword ids of the distinct words (or of ``some`` of them): flat ids and counts."""
+        some = np.arange(len(self.key)) if some is None else some
+        slot = encoder.lookup(self.key[some], self.data, self.starts[some], self.sizes[some])
         n = encoder.counts[slot]
         return encoder.ids[ranges(encoder.starts[slot], n)], n
 
+    def narrow(self, text: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Number the distinct words of some windows (inputs and targets) from 0, in ``which``;
+        returns their places in ``key``."""
+        at = np.unique(np.clip(self.first[text][:, None] + start[:, None] + np.arange(-STEP - 1, STEP), 0, max(len(self.which) - 1, 0)))
+        used = np.unique(self.which[at]) if len(self.which) else at[:0]
+        number = np.full(len(self.key), -1, dtype=np.int64)
+        number[used] = np.arange(len(used))
+        self.which = number[self.which]
+        return used
+
 
 def first_of(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return flat[offsets_of(counts)[:-1]] if len(counts) else np.zeros(0, dtype=np.int32)
@@ -95,6 +106,9 @@ def class_table(mass: dict[int, float], size: int) -> np.ndarray:
 
 # ------------------------------------------------------------------ the attention model
 
+HIGH = np.float32(60)    # exponents are held below this instead of subtracting each row's maximum
+_ONES, _ONES_C = np.ones(2 * STEP, dtype=np.float32), np.ones(CLASSES, dtype=np.float32)
+
 SHAPES = {"emb": (HASHED + 2, DIM), "wq": (DIM, DIM), "wk": (DIM, DIM), "wv": (DIM, DIM), "rel": (2 * STEP,),
           "wo": (2 * DIM, CLASSES), "bias": (CLASSES,)}
 
@@ -152,10 +166,10 @@ def forward(p: dict, x: np.ndarray, inside: np.ndarray):
     s = q @ k.transpose(0, 2, 1)
     s *= np.float32(DIM ** -0.5)
     s += p["rel"][np.clip(_GAP, 0, 2 * STEP - 1)]
+    np.minimum(s, HIGH, out=s)
     s = np.where(_CAUSAL & inside[:, None, :], s, np.float32(-1e9))
-    s -= s.max(axis=2, keepdims=True)
     np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
+    s /= (s @ np.ones(2 * STEP, dtype=s.dtype))[:, :, None]
     h = np.concatenate([asked, s @ v], axis=2)
     return h @ p["wo"] + p["bias"], (asked, q, k, v, s, h)
 
@@ -163,9 +177,9 @@ def forward(p: dict, x: np.ndarray, inside: np.ndarray):
 def gradients(p: dict, x: np.ndarray, inside: np.ndarray, y: np.ndarray, real: np.ndarray) -> tuple[dict, np.ndarray, float]:
     """Gradients of the mean cross entropy, also with respect to ``x``; and the loss."""
     logits, (asked, q, k, v, a, h) = forward(p, x, inside)
-    logits -= logits.max(axis=2, keepdims=True)
+    np.minimum(logits, HIGH, out=logits)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=2, keepdims=True)
+    logits /= (logits @ np.ones(CLASSES, dtype=logits.dtype))[:, :, None]
     w, t = np.nonzero(real)
     loss = float(-np.log(np.maximum(logits[w, t, y[w, t]], 1e-30)).sum())
     logits[w, t, y[w, t]] -= 1
@@ -239,7 +253,7 @@ def targets_of(tokens: Tokens, classes: np.ndarray, text: np.ndarray, start: np.
     return np.where(last, 1, cls), real
 
 
-def _train(vocabulary, params, table, turn: int):
+def _train(vocabulary, params, table):
     """Training texts → the parameters after this task's steps, times its windows."""
     def run(batches):
         trainer = Trainer(params.value)
@@ -251,10 +265,10 @@ def _train(vocabulary, params, table, turn: int):
             for i, j in texts.slices():
                 tokens = Tokens(*texts.part(i, j))
                 text, start, size = windows_of(tokens.first)
-                mine = np.flatnonzero((start // STEP + lot[i:j][text] + turn * (EVERY // ROUNDS)) % EVERY == 0)
+                mine = np.flatnonzero((start // STEP + lot[i:j][text] // ROUNDS) % EVERY == 0)
                 if len(mine) == 0:
                     continue
-                flat, counts = tokens.subwords(encoder)
+                flat, counts = tokens.subwords(encoder, tokens.narrow(text[mine], start[mine]))
                 classes, flat = of[first_of(flat, counts)], hashed(flat)
                 for k in range(0, len(mine), BATCH):
                     w = mine[k:k + BATCH]
@@ -265,40 +279,74 @@ def _train(vocabulary, params, table, turn: int):
     return run
 
 
-def class_scores(p: dict, tokens: Tokens, flat: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text, natural log of P(class | before)) of every token, window by window."""
-    vectors = word_vectors(p["emb"], flat, counts)
-    text, start, size = windows_of(tokens.first)
-    for k in range(0, len(text), 256):
-        w = slice(k, k + 256)
-        word, inside = inputs_of(tokens.first, tokens.which, text[w], start[w])
-        logits, _ = forward(p, vectors[word], inside)
-        y, real = targets_of(tokens, classes, text[w], start[w], size[w])
-        at, place = np.nonzero(real)
-        flat_logits = logits[at, place]
-        top = flat_logits.max(axis=1)
-        total = np.log(np.exp(flat_logits - top[:, None]).sum(axis=1)) + top
-        yield text[w][at], (flat_logits[np.arange(len(at)), y[at, place]] - total).astype(np.float64)
+class Scores:
+    """Class scores of texts whose words have numbers in one dictionary (``flat``, ``counts``:
+    hashed subword ids of its words): what the attention needs of each word, made once."""
+
+    def __init__(self, p: dict, flat: np.ndarray, counts: np.ndarray):
+        x = word_vectors(p["emb"], flat, counts)
+        self.asked = np.concatenate([x, (x @ p["wq"]) * np.float32(DIM ** -0.5)], axis=1)
+        self.seen = np.concatenate([x @ p["wk"], x @ p["wv"]], axis=1)
+        self.bias = np.where(_CAUSAL, p["rel"][np.clip(_GAP, 0, 2 * STEP - 1)], np.float32(-1e9))
+        self.wo, self.out = p["wo"], p["bias"]
+
+    def of(self, tokens: Tokens, classes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(text, natural log of P(class | before)) of every token, windows at a time."""
+        text, start, size = windows_of(tokens.first)
+        for k in range(0, len(text), 256):
+            w = slice(k, k + 256)
+            word, _ = inputs_of(tokens.first, tokens.which, text[w], start[w])
+            seen, asked = self.seen[word], self.asked[word[:, STEP:]]
+            s = asked[:, :, DIM:] @ seen[:, :, :DIM].transpose(0, 2, 1)
+            s += self.bias
+            s[start[w] == 0, :, :STEP] = -1e9           # nothing before a text's start
+            np.minimum(s, HIGH, out=s)
+            np.exp(s, out=s)
+            s /= (s @ _ONES)[:, :, None]
+            y, real = targets_of(tokens, classes, text[w], start[w], size[w])
+            at, place = np.nonzero(real)
+            h = np.concatenate([asked[:, :, :DIM], s @ seen[:, :, DIM:]], axis=2)[at, place]
+            logits = h @ self.wo
+            logits += self.out
+            np.minimum(logits, HIGH, out=logits)
+            own = logits[np.arange(len(at)), y[at, place]].astype(np.float64)
+            np.exp(logits, out=logits)
+            yield text[w][at], own - np.log((logits @ _ONES_C).astype(np.float64))
+
+
+def class_scores(p: dict, tokens: Tokens, flat: np.ndarray, counts: np.ndarray, classes: np.ndarray):
+    """The scores of a slice by its own dictionary."""
+    return Scores(p, flat, counts).of(tokens, classes)
 
 
 # ------------------------------------------------------------------ on the cluster
 
 def _occurrences(vocabulary):
-    """Texts sorted by block → (block, word, training tokens, first subword), once per block."""
+    """Texts sorted by block → (block, word, training tokens, subword ids), once per block. A
+    word is encoded when the block first has it."""
     def run(batches):
         encoder = bpe.encoder_of(vocabulary.value)
-        block, held = None, []
+        block = None
+        keys, counts, flats, sizes = [], [], [], []
+        seen = np.zeros(0, dtype=np.uint64)
 
         def flush():
-            if not held:
+            if not keys:
                 return None
-            key = np.concatenate([h[0] for h in held])
-            key, at, inv = np.unique(key, return_index=True, return_inverse=True)
-            n = np.bincount(inv, np.concatenate([h[1] for h in held])).astype(np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), block)), pa.array(key.view(np.int64)), pa.array(n),
-                 pa.array(np.concatenate([h[2] for h in held])[at].astype(np.int32))], ["block", "word", "n", "sub"])
-
+            key, inv = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.bincount(inv, np.concatenate(counts)).astype(np.int64)
+            size = np.concatenate(sizes)                 # in the order of ``seen``'s additions
+            added = np.concatenate(new_keys)
+            order = np.argsort(added)
+            flat, start = np.concatenate(flats), offsets_of(size)[:-1]
+            flat = flat[ranges(start[order], size[order])].astype("<u4")
+            body = pa.Array.from_buffers(pa.binary(), len(key), [
+                None, pa.py_buffer(offsets_of(4 * size[order]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat).view(np.uint8))])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), block)), pa.array(key.view(np.int64)),
+                                               pa.array(n), pa.array(first_of(flat, size[order]).astype(np.int32)), body],
+                                              ["block", "word", "n", "sub", "subs"])
+
+        new_keys: list[np.ndarray] = []
         for batch in batches:
             texts, blocks = Texts(batch.column("text")), batch.column("block").to_numpy()
             learns = batch.column("learns").to_numpy(zero_copy_only=False).astype(bool)
@@ -310,7 +358,8 @@ def _occurrences(vocabulary):
                     out = flush()
                     if out is not None:
                         yield out
-                    block, held = blocks[lo], []
+                    block, seen = blocks[lo], np.zeros(0, dtype=np.uint64)
+                    keys, counts, flats, sizes, new_keys = [], [], [], [], []
                 i = lo
                 while i < hi:
                     j = int(np.searchsorted(texts.offsets, texts.offsets[i] + (1 << 20), side="right")) - 1
@@ -318,8 +367,15 @@ def _occurrences(vocabulary):
                     t = Tokens(*texts.part(i, j))
                     if len(t.key):
                         own = np.repeat(learns[i:j], np.diff(t.first))
-                        flat, counts = t.subwords(encoder)
-                        held.append((t.key, np.bincount(t.which, own, len(t.key)), first_of(flat, counts)))
+                        keys.append(t.key)
+                        counts.append(np.bincount(t.which, own, len(t.key)))
+                        at = np.searchsorted(seen, t.key)
+                        new = np.flatnonzero((at == len(seen)) | (seen[np.minimum(at, max(len(seen) - 1, 0))] != t.key)) if len(seen) else np.arange(len(t.key))
+                        flat, size = t.subwords(encoder, new)
+                        flats.append(flat)
+                        sizes.append(size)
+                        new_keys.append(t.key[new])
+                        seen = np.union1d(seen, t.key[new])
                     i = j
         out = flush()
         if out is not None:
@@ -333,30 +389,34 @@ class Scorer:
         self.total, self.ends = n + SMOOTH * (v + 1), ends
 
 
-def _score(vocabulary, scorer):
-    """One block: its texts and its words' counts → a row per text."""
+def _score(scorer):
+    """One block: its texts and its words' counts and subwords → a row per text."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        sc, encoder = scorer.value, bpe.encoder_of(vocabulary.value)
+        sc = scorer.value
         known = right.column("word").to_numpy().view(np.uint64)
         order = np.argsort(known)
         known, count = known[order], right.column("count").to_numpy()[order]
+        subs = Texts(right.column("subs"))
+        flat, size = np.frombuffer(subs.data.tobytes(), dtype="<u4"), np.diff(subs.offsets) // 4
+        flat = flat[ranges((subs.offsets[:-1] // 4)[order], size[order])].astype(np.int64)
+        size = size[order]
+        classes = np.where(count > 0, sc.table[first_of(flat, size)], 0) if len(count) else count
         log_class = np.log10(sc.class_mass / sc.total)
+        base = np.log10((count + SMOOTH) / sc.total)
+        inner = base - log_class[classes]
+        end = np.log10((sc.ends + SMOOTH) / sc.total)
+        scores = Scores(sc.params, hashed(flat), size)
         out: list[tuple] = []
         for batch in left.to_batches():
             texts = Texts(batch.column("text"))
             for i, j in texts.slices():
                 t = Tokens(*texts.part(i, j))
-                c = count[np.searchsorted(known, t.key)] if len(t.key) else np.zeros(0, dtype=np.int64)
-                flat, counts = t.subwords(encoder)
-                classes = np.where(c > 0, sc.table[first_of(flat, counts)], 0) if len(c) else np.zeros(0, dtype=np.int64)
-                base = np.log10((c + SMOOTH) / sc.total)
-                inner = base - log_class[classes]
+                t.which = np.searchsorted(known, t.key)[t.which] if len(t.key) else t.which
                 docs = j - i
                 own = np.repeat(np.arange(docs), np.diff(t.first))
-                end = np.log10((sc.ends + SMOOTH) / sc.total)
-                sums = [np.bincount(own, x[t.which], docs) if len(own) else np.zeros(docs) for x in (base, inner, (c > 0).astype(np.float64))]
+                sums = [np.bincount(own, x[t.which], docs) if len(own) else np.zeros(docs) for x in (base, inner, (count > 0).astype(np.float64))]
                 model = sums[1] + end - log_class[1]
-                for text, lp in class_scores(sc.params, t, hashed(flat), counts, classes):
+                for text, lp in scores.of(t, classes):
                     model += np.bincount(text, lp, docs) / np.log(10)
                 out.append((np.diff(t.first) + 1, sums[2].astype(np.int64) + (sc.ends > 0), sums[0] + end, model))
         n, k, b, m = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
@@ -370,7 +430,8 @@ def train(docs: DataFrame, vocabulary, table: np.ndarray, params: dict) -> dict:
     sc = docs.sparkSession.sparkContext
     of = sc.broadcast(table)
     for turn in range(ROUNDS):
-        got = sum_arrays(docs.mapInArrow(_train(vocabulary, sc.broadcast(params), of, turn), "part int, sums binary"))
+        part = docs.where(F.col("lot") % ROUNDS == turn)
+        got = sum_arrays(part.mapInArrow(_train(vocabulary, sc.broadcast(params), of), "part int, sums binary"))
         if 0 in got:
             params = unpack(got[0][:-3] / got[0][-3])
     return params
@@ -386,11 +447,11 @@ def score(docs: DataFrame, learns: Column, vocabulary, doc_id: str = "doc_id", t
     ends = about["ends"] or 0
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
     dealt = rows.repartition("block")
-    found = dealt.sortWithinPartitions("block").mapInArrow(_occurrences(vocabulary), "block bigint, word bigint, n bigint, sub int")
+    found = dealt.sortWithinPartitions("block").mapInArrow(_occurrences(vocabulary), "block bigint, word bigint, n bigint, sub int, subs binary")
     same = Window.partitionBy("word")
     words = materialise(found.withColumn("count", F.sum("n").over(same))
                         .withColumn("one", F.row_number().over(same.orderBy("block")) == 1)
-                        .select("block", "word", "count", "sub", "one"), "words")
+                        .select("block", "word", "count", "sub", "subs", "one"), "words")
     # one row per subword id at most
     mass, n, v = {}, ends, int(ends > 0)
     for r in (words.where("one and count > 0").groupBy("sub").agg(F.count(F.lit(1)).alias("v"), F.sum("count").alias("n"))
@@ -402,12 +463,12 @@ def score(docs: DataFrame, learns: Column, vocabulary, doc_id: str = "doc_id", t
     class_mass[:2] = SMOOTH, ends + SMOOTH
     for s, m in mass.items():
         class_mass[table[s]] += m
-    params = train(rows.where("learns").select("text", F.pmod(F.xxhash64("doc_id"), F.lit(EVERY)).alias("lot")),
+    params = train(rows.where("learns").select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS * EVERY)).alias("lot")),
                    vocabulary, table, initial(class_mass))
     scorer = spark.sparkContext.broadcast(Scorer(params, table, np.maximum(class_mass, 1e-300), n, v, ends))
     schema = T.StructType([rows.schema["doc_id"], rows.schema["learns"], T.StructField("n_tokens", T.LongType()),
                            T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),
                            T.StructField("score", T.DoubleType())])
-    counts = words.select("block", "word", "count")
-    out = dealt.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_score(vocabulary, scorer), schema)
+    counts = words.select("block", "word", "count", "subs")
+    out = dealt.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_score(scorer), schema)
     return out.withColumn("train_tokens", F.lit(n).cast("bigint"))
