@@ -1,9 +1,9 @@
 """k-means over array-valued rows: assignment, centroid revision, heterogeneity, k-means++.
 
 Centroids are model state (k × d) embedded as literals; each Lloyd iteration is
-one pass: nearest centroid (first index wins ties), the previous assignment for
-the change count, the heterogeneity of the previous step, and per-cluster
-vector sums (``Summarizer``, JVM-side, partial aggregation) for the next centroids.
+one scan in Arrow batches: nearest centroid (first index wins ties), the previous
+assignment for the change count, the heterogeneity of the previous step, and per-cluster
+vector sums for the next centroids. Several starts share the scans.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
 from tessera.functions.hashing import hash32, uniform
+from tessera.operators.arrays import SCHEMA, packed, sum_arrays
 
 
 def sq_dists(vec: Column, centroids: np.ndarray) -> Column:
@@ -44,50 +45,74 @@ def revise(old: np.ndarray, sums: dict) -> np.ndarray:
     return new
 
 
-def _member_sq_dist(x: Column, centroids: np.ndarray, idx: Column) -> Column:
-    return F.element_at(sq_dists(x, centroids), idx + 1)
-
-
-def _pass(df: DataFrame, vec: str, cur: np.ndarray, prev: np.ndarray | None):
-    """One scan: assignment to ``cur`` (grouping key), per-cluster count and vector sum, and —
-    when ``prev`` is given — the change count against the ``prev`` assignment and the
-    heterogeneity of the ``prev`` assignment measured against ``cur``."""
-    v = F.col(vec)
-    cols = [v.alias("_x"), nearest(v, cur)["i"].alias("_k")]
-    if prev is not None:
-        cols.append(nearest(v, prev)["i"].alias("_pk"))
-    base = df.select(*cols)
-    aggs = [F.count(F.lit(1)).alias("n"), Summarizer.sum(array_to_vector(F.col("_x"))).alias("s")]
-    if prev is not None:
-        aggs += [F.sum(_member_sq_dist(F.col("_x"), cur, F.col("_pk"))).alias("het"),
-                 F.count_if(F.col("_pk") != F.col("_k")).alias("changed")]
-    rows = base.groupBy("_k").agg(*aggs).collect()
-    sums = {r["_k"]: (r["n"], r["s"].toArray()) for r in rows}
-    het = sum(r["het"] for r in rows) if prev is not None else None
-    changed = sum(r["changed"] for r in rows) if prev is not None else None
-    return sums, het, changed
+def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+
+
+def _passes(cur: dict[int, np.ndarray], prev: dict[int, np.ndarray]):
+    """One scan for all runs: per run the members' count and sum of each cluster, and against
+    the previous centroids the changed rows and the heterogeneity of the previous assignment
+    about the current means. Every distance is computed once."""
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            column = batch.column("v")
+            x = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
+            for lo in range(0, len(x), 4096):
+                part = x[lo:lo + 4096]
+                for r, c in cur.items():
+                    k, d = c.shape
+                    dist = _squared(part, c)
+                    near = dist.argmin(axis=1)
+                    sums = np.zeros((k, d))
+                    np.add.at(sums, near, part)
+                    changed = het = 0.0
+                    if r in prev:
+                        old = _squared(part, prev[r]).argmin(axis=1)
+                        changed, het = float((old != near).sum()), float(dist[np.arange(len(part)), old].sum())
+                    got = np.concatenate([[changed, het], np.bincount(near, minlength=k), sums.ravel()])
+                    total[r] = total[r] + got if r in total else got
+        if total:
+            yield packed(total)
+    return run
+
+
+def lloyd_runs(df: DataFrame, vec: str, init: dict[int, np.ndarray], max_iter: int) -> dict[int, tuple]:
+    """Lloyd iterations of several starts in the same scans: assign, revise, stop a run when no
+    assignment changes; record heterogeneity (new centroids, current assignment) and change
+    count. A record's heterogeneity is read in the following scan. Returns by run
+    (centroids, trace[(iteration, heterogeneity, changed or None)])."""
+    rows = df.select(F.col(vec).alias("v"))
+    cur = {r: np.asarray(c, dtype=float) for r, c in init.items()}
+    prev: dict[int, np.ndarray] = {}
+    traces: dict[int, list] = {r: [] for r in cur}
+    done: dict[int, tuple] = {}
+    for it in range(max_iter + 1):
+        live = {r: c for r, c in cur.items() if r not in done}
+        if not live:
+            break
+        sums = sum_arrays(rows.mapInArrow(_passes(live, {r: prev[r] for r in live if r in prev}), SCHEMA))
+        for r, c in live.items():
+            k, d = c.shape
+            got = sums.get(r, np.zeros(2 + k + k * d))
+            changed = int(got[0]) if r in prev else None
+            if traces[r]:
+                traces[r][-1][1] = float(got[1])
+            if it == max_iter or (r in prev and changed == 0):
+                done[r] = (c, [tuple(t) for t in traces[r]])
+                continue
+            n, s = got[2:2 + k], got[2 + k:].reshape(k, d)
+            prev[r] = c
+            cur[r] = revise(c, {j: (n[j], s[j]) for j in range(k)})
+            traces[r].append([it, None, changed])
+    return done
 
 
 def lloyd(df: DataFrame, vec: str, init: np.ndarray, max_iter: int):
-    """Lloyd iterations as in the reference loop: assign, revise, stop when no assignment
-    changes, record heterogeneity (new centroids, current assignment) and change count.
-    One scan per iteration; a record's heterogeneity is read in the following scan.
-    Returns (centroids, trace[(iteration, heterogeneity, changed or None)])."""
-    cur = np.asarray(init, dtype=float)
-    prev = None
-    trace: list[list] = []
-    for it in range(max_iter):
-        sums, het_prev, changed = _pass(df, vec, cur, prev)
-        if trace:
-            trace[-1][1] = het_prev
-        if prev is not None and changed == 0:
-            return cur, [tuple(t) for t in trace]
-        new = revise(cur, sums)
-        trace.append([it, None, changed])
-        prev, cur = cur, new
-    _, het_prev, _ = _pass(df, vec, cur, prev)
-    trace[-1][1] = het_prev
-    return cur, [tuple(t) for t in trace]
+    """Lloyd iterations from one start: (centroids, trace)."""
+    return lloyd_runs(df, vec, {0: init}, max_iter)[0]
 
 
 def assign(df: DataFrame, vec: str, centroids: np.ndarray) -> DataFrame:

@@ -201,9 +201,9 @@ def kmeans_seeds(spark, sf_dir):
     """Lloyd k-means (k = 5, until no row changes) from seven hash-chosen starts: final
     heterogeneity, largest cluster, and the best run."""
     ev = vectors(spark, sf_dir).persist()
+    runs = KM.lloyd_runs(ev, "v", {seed: init_centroids(ev, seed=seed) for seed in range(21, 28)}, 400)
     rows = []
-    for seed in range(21, 28):
-        cents, trace = KM.lloyd(ev, "v", init_centroids(ev, seed=seed), 400)
+    for seed, (cents, trace) in sorted(runs.items()):
         sizes = KM.assign(ev, "v", cents).groupBy("cluster").count().collect()
         rows.append((seed, float(trace[-1][1]), max(r["count"] for r in sizes), len(trace)))
     ev.unpersist()
