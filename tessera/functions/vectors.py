@@ -87,14 +87,6 @@ def log_sum_exp(a) -> Column:
                                  lambda acc, v: acc + v))
 
 
-def argmin_struct(values) -> Column:
-    """Index of the smallest element; lowest index wins ties (as NumPy argmin)."""
-    arr = _c(values)
-    structs = F.transform(arr, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
-    return F.array_min(structs)["i"]
-
-
-
 # ---- batched dense math against a small literal matrix (centroids, query points, planes).
 # Arrow batches + numpy: one vectorised pass per batch instead of per-element lambdas.
 # Sums run over the dimensions in order (0.0 + t0 + t1 + ...), exactly as the array forms.

@@ -171,7 +171,7 @@ def em_step_diag(df: DataFrame, vec: str, weights, means, variances, floor: floa
     aggs = [F.sum("_lse").alias("ll"), F.count(F.lit(1)).alias("n")]
     for c in range(k):
         r = F.col("_r")[c]
-        aggs += [stat.summary(F.col("_v"), r).alias(f"c{c}"), F.sum(r).alias(f"n{c}"), F.sum(r * r).alias(f"w{c}")]
+        aggs += [stat.summary(F.col("_v"), F.greatest(r, F.lit(1e-300))).alias(f"c{c}"), F.sum(r).alias(f"n{c}"), F.sum(r * r).alias(f"w{c}")]
     row = base.agg(*aggs).first()
     nw, nm, nv = [], [], []
     for c in range(k):

@@ -132,15 +132,6 @@ def predict_expr(b0: float, w, features: dict[str, Column]) -> Column:
     return e
 
 
-def coefficient_table(spark, names: list[str], b0: float, w, extra: dict | None = None) -> DataFrame:
-    rows = [("(intercept)", 0, float(b0))] + [(n, i + 1, float(v)) for i, (n, v) in
-                                               enumerate(zip(names, w))]
-    df = spark.createDataFrame(rows, "name string, index bigint, value double")
-    for k, v in (extra or {}).items():
-        df = df.withColumn(k, F.lit(v))
-    return df
-
-
 # ------------------------------------------------------------------ iterative solvers on G
 
 def gradient_descent(G: np.ndarray, b: np.ndarray, w0: np.ndarray, step: float,
@@ -175,6 +166,11 @@ def lasso_rho(G: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
     return b - G @ w + np.diag(G) * w
 
 
+def soft_threshold(x: float, by: float) -> float:
+    """``x`` moved towards zero by ``by``, and zero where it would cross."""
+    return x - by if x > by else (x + by if x < -by else 0.0)
+
+
 def lasso_coordinate_descent(G: np.ndarray, b: np.ndarray, w0: np.ndarray, l1: float,
                              tolerance: float, max_cycles: int = 10000):
     """Cyclical coordinate descent on normalised features (G_ii = 1), covariance updates.
@@ -186,14 +182,7 @@ def lasso_coordinate_descent(G: np.ndarray, b: np.ndarray, w0: np.ndarray, l1: f
         change = 0.0
         for i in range(len(w)):
             rho = b[i] - G[i] @ w + G[i, i] * w[i]
-            if i == 0:
-                new = rho
-            elif rho < -l1 / 2.0:
-                new = rho + l1 / 2.0
-            elif rho > l1 / 2.0:
-                new = rho - l1 / 2.0
-            else:
-                new = 0.0
+            new = rho if i == 0 else soft_threshold(rho, l1 / 2.0)
             change += abs(new - w[i])
             w[i] = new
         cycles += 1

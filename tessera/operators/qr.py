@@ -1,8 +1,8 @@
 """Tall-skinny QR (TSQR) least squares: numerically stable where the Gram is not.
 
 Each task folds its rows into a small R factor (numpy QR on Arrow batches, memory
-bounded by one batch plus R); the driver stacks the per-partition R factors
-(partitions × d² numbers) and factors them once more. With the target appended as
+bounded by one batch plus R); the factors are merged in a few tasks and once more on the
+driver. With the target appended as
 the last column, R = [[R_xx, z], [0, ρ]] gives the least-squares fit of every leading
 column subset (nested models, e.g. polynomial degrees) from the single factorisation:
 w = R_xx[:m, :m]⁻¹ z[:m], and ρ² is the residual of the full model.
@@ -10,6 +10,8 @@ w = R_xx[:m, :m]⁻¹ z[:m], and ρ² is the residual of the full model.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,8 +31,20 @@ def tsqr_r(df: DataFrame, cols: list[Column]) -> np.ndarray:
         if r is not None:
             yield pd.DataFrame({"r": [r.ravel().tolist()], "rows": [r.shape[0]]})
 
+    def merge(batches):
+        r = None
+        for pdf in batches:
+            for flat, rows in zip(pdf["r"], pdf["rows"]):
+                a = np.array(flat).reshape(rows, d)
+                r = np.linalg.qr(a if r is None else np.vstack([r, a]), mode="r")
+        if r is not None:
+            yield pd.DataFrame({"r": [r.ravel().tolist()], "rows": [r.shape[0]]})
+
     named = df.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    parts = named.mapInPandas(fold, "r array<double>, rows int").collect()
+    schema = "r array<double>, rows int"
+    # the factors meet in about as many tasks as the square root of the shuffle partitions first
+    tasks = max(1, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    parts = named.mapInPandas(fold, schema).repartition(tasks).mapInPandas(merge, schema).collect()
     stack = np.vstack([np.array(p["r"]).reshape(p["rows"], d) for p in parts])
     return np.linalg.qr(stack, mode="r")
 

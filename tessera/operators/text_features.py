@@ -25,10 +25,6 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str = "text",
             .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("count")))
 
 
-def document_frequency(counts: DataFrame, id_col: str) -> DataFrame:
-    return counts.groupBy("word").agg(F.countDistinct(id_col).alias("df"))
-
-
 def idf_table(counts: DataFrame, n_docs: int) -> DataFrame:
     """(word, idf) with idf = ln(N / df), unsmoothed. Words in every document (idf 0) are
     kept out: their TF-IDF weight is exactly zero, and they are the hottest join keys.
