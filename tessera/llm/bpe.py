@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Texts, _powers, mix64, offsets_of, ranges
+from tessera.llm.common import Texts, _powers, mix64, offsets_of, ranges, small
 
 LONG = 2048
 CACHE = 300_000          # pieces a worker remembers
@@ -355,7 +355,7 @@ def _binary(parts: list[np.ndarray], sizes: np.ndarray) -> pa.Array:
 def _encode(shared, carry: list[str]):
     def run(batches):
         encoder = encoder_of(shared.value)
-        for batch in batches:
+        for batch in small(batches):
             texts = Texts(batch.column("text"))
             parts, counts = [], []
             for i, j in texts.slices():
@@ -375,7 +375,7 @@ def _decode(shared, column: str, names: list[str]):
     def run(batches):
         vocab = shared.value
         size = np.diff(vocab.starts)
-        for batch in batches:
+        for batch in small(batches, column):
             raw = Texts(batch.column(column))
             parts, counts = [], []
             for i, j in raw.slices():

@@ -1,7 +1,7 @@
 """Helpers shared by the corpus operators: scratch tables, byte and word arrays, hashing.
 
 Texts reach Python as Arrow batches. The helpers here view a batch as one byte array with
-document offsets and work on slices of about a megabyte, so memory does not follow the
+document offsets and work on slices of about half a megabyte, so memory does not follow the
 batch or the corpus; only a single text longer than a slice widens it.
 """
 
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+BATCH_BYTES = 8 << 20
 
 #: Odd multiplier of the polynomial word hash, and its inverse modulo 2**64.
 _R = 0x9E3779B97F4A7C15
@@ -54,7 +55,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     that survives the loss of any executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote, once nothing lazy reads them any more."""
+    for t in tables:
+        path = getattr(t, "_scratch_path", None)
+        if path:
+            spark = t.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def release_shuffles(spark: SparkSession) -> None:
@@ -120,6 +133,15 @@ class Texts:
         return self.data[lo:hi], self.offsets[i:j + 1] - lo
 
 
+def small(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that ``column`` has about ``limit`` bytes in each (one row at least), so
+    that what a task makes of a batch stays bounded, however many rows Arrow puts in one."""
+    for batch in batches:
+        if batch.num_rows:
+            for i, j in Texts(batch.column(column)).slices(limit):
+                yield batch.slice(i, j - i)
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, word_class: np.ndarray):
     """Start and end of each word, and the index of its document. Words end at documents."""
     n = len(data)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import discard, materialise
 
 
 def _state(e: DataFrame) -> tuple:
@@ -38,7 +38,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         small = large.join(near, "u")
         e2 = (small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
               .unionByName(near.select("u", F.col("m").alias("v"))).distinct())
-        e = materialise(e2, "edges")
+        last, e = e, materialise(e2, "edges")
+        discard(last)
         before, state = state, _state(e)
         if before == state:
             break

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import (ALNUM_WORD, Texts, packed, ranges, shingle_hashes, unpacked, word_hashes,
-                                word_spans)
+                                word_spans, small)
 
 WINDOW = 10
 SHINGLE = 3
@@ -104,7 +104,7 @@ def _frequencies(known, sizes: list[int]):
     """Texts → (shingle number, documents) per batch, for the shingles in ``known``."""
     def run(batches):
         keys = known.value
-        for batch in batches:
+        for batch in small(batches):
             t = Texts(batch.column("text"))
             total = np.zeros(len(keys), dtype=np.int64)
             for i, j in t.slices():
@@ -146,7 +146,7 @@ def _hits(words: np.ndarray, first: np.ndarray, ix: dict):
 def _join(index, carry: list[str], again: bool):
     def run(batches):
         ix = index.value
-        for batch in batches:
+        for batch in small(batches):
             t = Texts(batch.column("text"))
             n_words, hits, items = [], [], []
             for i, j in t.slices():

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.cells import Links, bounds, cells_of, dealt, lists_of
-from tessera.llm.common import materialise, sorted_groups
+from tessera.llm.common import discard, materialise, sorted_groups
 from tessera.llm.components import connected_components
 
 THRESHOLD = 0.95
@@ -130,6 +130,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     members = keyed.join(sizes, "key").groupBy("member").agg(F.flatten(F.collect_list(cells)).alias("_cells"))
     found = materialise(dealt(members, signed, "member").mapInArrow(_links(threshold), "member bigint, linked bigint, other bigint"),
                         "links")
+    discard(signed)
     comp = connected_components(found, "member", "other")
     linked = found.groupBy("member").agg(F.sum("linked").alias("linked"))
     full = (classes.drop("vec").join(linked, "member", "left").join(comp.withColumnRenamed("node", "member"), "member", "left")

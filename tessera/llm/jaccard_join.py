@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.cells import Links, bounds, cells_of, dealt, lists_of
-from tessera.llm.common import (ALNUM_WORD, Texts, list_array, materialise, mix64, release_shuffles, shingle_hashes,
-                                sorted_groups, word_hashes, word_spans)
+from tessera.llm.common import (ALNUM_WORD, Texts, discard, list_array, materialise, mix64, release_shuffles, shingle_hashes,
+                                sorted_groups, word_hashes, word_spans, small)
 from tessera.llm.components import connected_components
 
 SHINGLE = 5
@@ -43,7 +43,7 @@ SPLIT = 1.5              # expected common tokens of such a pair at each further
 SMALL = 64               # classes that are compared without further splits
 TOGETHER = 0.7           # share of a bucket's paths that stay in large children: near copies
 LEVELS = 5
-BLOCK = 1024
+BLOCK = 512
 
 
 def runs_for(recall: float) -> int:
@@ -85,7 +85,7 @@ def chosen(tokens: np.ndarray, path: int, times: float, threshold: float) -> np.
 
 def _sketches(k: int, runs: int, threshold: float):
     def rows(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = Texts(batch.column("text"))
             digests, counts, keys = [], [], []
             for i, j in texts.slices():
@@ -104,7 +104,7 @@ def _sketches(k: int, runs: int, threshold: float):
 
 def _sets(k: int):
     def rows(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = Texts(batch.column("text"))
             digest, number = batch.column("digest").to_pylist(), batch.column("member").to_numpy()
             members, counts, tokens = [], [], []
@@ -192,9 +192,14 @@ def _links(threshold: float):
     return rows
 
 
-def _leaves(first: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def _leaves(first: DataFrame, sets: DataFrame, threshold: float, scratch: list[DataFrame]) -> DataFrame:
     """(member, key, n) of all buckets to compare. ``first``: (member, key) of the first level;
-    ``sets``: (member, tokens) of the members that share a bucket."""
+    ``sets``: (member, tokens) of the members that share a bucket; ``scratch`` takes the
+    tables that the result reads."""
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(materialise(df, name))
+        return scratch[-1]
+
     def sizes(rows: DataFrame) -> DataFrame:
         return rows.groupBy("parent", "key").agg(
             F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("member")).alias("x"),
@@ -205,7 +210,7 @@ def _leaves(first: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         return buckets.where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("key", "parent")).alias("b")).select("b.*", "n")
 
     rows = first.withColumn("parent", F.lit(0).cast("bigint"))
-    buckets = materialise(distinct(sizes(rows)), "buckets")
+    buckets = keep(distinct(sizes(rows)), "buckets")
     done = [rows.join(buckets.where(F.col("n") <= SMALL), ["parent", "key"]).select("member", "key", "n")]
     large = buckets.where(F.col("n") > SMALL)
     for level in range(LEVELS):
@@ -215,21 +220,21 @@ def _leaves(first: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         if level == LEVELS - 1:
             done.append(inside)
             break
-        inside = materialise(inside, "large")
+        inside = keep(inside, "large")
         paths = inside.groupBy("member").agg(F.collect_list("key").alias("paths"))
         if level == 0:
             # deeper levels only hold members of these buckets
-            sets = materialise(sets.join(paths.select("member"), "member", "left_semi"), "split_sets")
-        below = materialise(sets.join(paths, "member").select("member", "tokens", "paths")
+            sets = keep(sets.join(paths.select("member"), "member", "left_semi"), "split_sets")
+        below = keep(sets.join(paths, "member").select("member", "tokens", "paths")
                             .mapInArrow(_children(threshold), "member bigint, parent bigint, key bigint"), "children")
-        children = materialise(sizes(below), "buckets")
+        children = keep(sizes(below), "buckets")
         together = (children.groupBy("parent").agg(
             F.sum("n").alias("all"), F.sum(F.when(F.col("n") > SMALL, F.col("n")).otherwise(0)).alias("stay"))
             .select(F.col("parent").alias("key"), (F.col("stay") >= TOGETHER * F.col("all")).alias("copies")))
-        judged = materialise(large.join(together, "key", "left").select("key", F.coalesce("copies", F.lit(False)).alias("copies")), "judged")
+        judged = keep(large.join(together, "key", "left").select("key", F.coalesce("copies", F.lit(False)).alias("copies")), "judged")
         done.append(inside.join(judged.where("copies").select("key"), "key", "left_semi").select("member", "key", "n"))
         split = judged.where("not copies").select(F.col("key").alias("parent"))
-        buckets = materialise(distinct(children.join(split, "parent", "left_semi")), "buckets")
+        buckets = keep(distinct(children.join(split, "parent", "left_semi")), "buckets")
         rows = below
         done.append(rows.join(buckets.where(F.col("n") <= SMALL), ["parent", "key"]).select("member", "key", "n"))
         large = buckets.where(F.col("n") > SMALL)
@@ -264,7 +269,9 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
         sets = sets.dropDuplicates(["member"])
     sets = materialise(sets, "sets")
     release_shuffles(spark)
-    leaves = materialise(_leaves(first, sets, threshold), "leaves")
+    scratch: list[DataFrame] = []
+    leaves = materialise(_leaves(first, sets, threshold, scratch), "leaves")
+    discard(*scratch)
     release_shuffles(spark)
     per_member = leaves.withColumn("_c", cells_of(F.col("key"), F.col("member"), F.col("n"), BLOCK)).groupBy("member").agg(
         F.sort_array(F.collect_set("key")).alias("keys"),
@@ -272,6 +279,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
             c["cell"].alias("cell"), c["side"].alias("side"), F.col("key").alias("key"))))).alias("_cells"))
     payload = sets.join(classes.select("member", "copies"), "member")
     links = materialise(dealt(per_member, payload, "member").mapInArrow(_links(threshold), "member bigint, linked bigint, other bigint"), "links")
+    discard(sets, leaves)
     comp = connected_components(links, "member", "other")
     linked = links.groupBy("member").agg(F.sum("linked").alias("linked"))
     full = (classes.drop("keys").join(linked, "member", "left").join(comp.withColumnRenamed("node", "member"), "member", "left")
@@ -287,7 +295,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
 
 def _tagged(k: int, names: list[str]):
     def rows(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = Texts(batch.column("text"))
             digests = [_digest(s) for i, j in texts.slices() for s in token_sets(*texts.part(i, j), k)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(digests, type=pa.string())],

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Texts
+from tessera.llm.common import Texts, small
 
 SPACES = {2: 2048, 3: 4096, 4: 8192}
 WIDTH = sum(SPACES.values())
@@ -77,7 +77,7 @@ def _kernel(p: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
 
 
 def _presence_rows(batches):
-    for batch in batches:
+    for batch in small(batches):
         texts = Texts(batch.column("text"))
         packed = [np.packbits(p.astype(bool), axis=1) for _, _, p in _blocks(texts)]
         if packed:
@@ -91,7 +91,7 @@ def _moments(shared, langs: list[str]):
         landmarks = shared.value
         number = {x: i for i, x in enumerate(langs)}
         sums: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in small(batches):
             texts = Texts(batch.column("text"))
             lang = np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()])
             for i, j, p in _blocks(texts):
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 def _predict(shared):
     def run(batches):
         model = shared.value
-        for batch in batches:
+        for batch in small(batches):
             texts = Texts(batch.column("text"))
             best, value = [], []
             for _, _, p in _blocks(texts):

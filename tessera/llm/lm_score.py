@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import bpe
-from tessera.llm.common import (LOWER, SPACE_WORD, Texts, materialise, mix64, offsets_of, ranges,
-                                word_hashes, word_spans)
+from tessera.llm.common import (LOWER, SLICE_BYTES, SPACE_WORD, Texts, materialise, mix64, offsets_of, ranges,
+                                word_hashes, word_spans, small)
 from tessera.llm.language_id import sum_arrays
 
 SMOOTH = 0.1
@@ -259,7 +259,7 @@ def _train(vocabulary, params, table):
         trainer = Trainer(params.value)
         encoder = bpe.encoder_of(vocabulary.value)
         of = table.value
-        for batch in batches:
+        for batch in small(batches):
             texts = Texts(batch.column("text"))
             lot = batch.column("lot").to_numpy()
             for i, j in texts.slices():
@@ -362,7 +362,7 @@ def _occurrences(vocabulary):
                     keys, counts, flats, sizes, new_keys = [], [], [], [], []
                 i = lo
                 while i < hi:
-                    j = int(np.searchsorted(texts.offsets, texts.offsets[i] + (1 << 20), side="right")) - 1
+                    j = int(np.searchsorted(texts.offsets, texts.offsets[i] + SLICE_BYTES, side="right")) - 1
                     j = min(max(j, i + 1), hi)
                     t = Tokens(*texts.part(i, j))
                     if len(t.key):

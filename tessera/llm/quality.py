@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import SPACE_WORD, Texts, packed, unpacked, word_hashes, word_spans
+from tessera.llm.common import SPACE_WORD, Texts, packed, small, unpacked, word_hashes, word_spans
 
 TRAIN_ROWS = 20_000
 SCORE_BOUND = 0.3
@@ -204,7 +204,7 @@ def fold(doc_id: Column, modulus: int) -> Column:
 
 
 def _feature_rows(batches):
-    for batch in batches:
+    for batch in small(batches):
         texts = Texts(batch.column("text"))
         parts = [features(*texts.part(i, j)) for i, j in texts.slices()]
         if parts:
@@ -235,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 def _scores(shared, carry: list[str]):
     def run(batches):
         model = shared.value
-        for batch in batches:
+        for batch in small(batches):
             texts = Texts(batch.column("text"))
             parts = [model.score(features(*texts.part(i, j))) for i, j in texts.slices()]
             if parts:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Texts, materialise, mix64, packed, ranges, release_shuffles
+from tessera.llm.common import Texts, materialise, mix64, packed, ranges, release_shuffles, small
 
 WINDOW = 50
 DEPTH = 16                       # of the identifiers that are sampled
@@ -154,7 +154,7 @@ def _settle_here(key: np.ndarray, mark: np.ndarray, doc: np.ndarray, flag: bool
 
 def sampled_suffixes(batches):
     """Texts → a row for each sampled suffix."""
-    for batch in batches:
+    for batch in small(batches):
         texts, ids = Texts(batch.column("text")), _docs(batch)
         keys, marks, docs = [], [], []
         for i, j in texts.slices():
@@ -326,7 +326,7 @@ def open_halves(batches):
     """Texts with their unsettled zones → a row for each half of these zones: the 33 bytes
     from the sampled offset lie in the windows that begin up to 17 bytes before it, the 33
     bytes from 17 before it in the others."""
-    for batch in batches:
+    for batch in small(batches):
         ids = _docs(batch)
         keys, marks, docs = [], [], []
         for i, j, data, offsets, z in _marked(batch, ["open"]):
@@ -349,7 +349,7 @@ def open_halves(batches):
 
 def open_windows(batches):
     """Texts with their shared halves → a row for each window of these halves."""
-    for batch in batches:
+    for batch in small(batches):
         ids = _docs(batch)
         keys, marks, docs = [], [], []
         for i, j, data, offsets, z in _marked(batch, ["halves"]):
@@ -406,7 +406,7 @@ def _readable(text: pa.Array, kept: pa.Array, removed: np.ndarray) -> pa.Array:
 
 def _shorten(carry: list[str], as_text: bool):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             removed, spans, sizes, kept, kept_sizes = [], [], [], [], []
             for i, j, data, offsets, z in _marked(batch, ["settled", "windows"]):
                 gone = _removal(z, len(data), offsets, batch, i, j)
