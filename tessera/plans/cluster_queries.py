@@ -445,3 +445,23 @@ def gmm_diag_step(spark, sf_dir):
              round(ll, 3)) for j, k in enumerate(ks)]
     return spark.createDataFrame(rows, "component bigint, weight double, mean array<double>, "
                                        "variance array<double>, loglik_before double")
+
+
+EM_COMPARE = 10
+
+
+@query("gmm_random_start", rows=("K16", "K20"))
+def gmm_random_start(spark, sf_dir):
+    """Diagonal EM from two starts, a k-means assignment and random rows with the columns'
+    variances: log likelihood before each of ten steps."""
+    ev = vectors(spark, sf_dir).persist()
+    ks, w, m, v = _diag_init(ev, KM.assign(ev, "v", init_centroids(ev)))
+    whole = _diag_init(ev, ev.withColumn("cluster", F.lit(0)))
+    rand = init_centroids(ev, k=len(ks), seed=29)
+    rows = []
+    for name, (w, m, v) in {"kmeans": (w, m, v), "random": ([1 / len(ks)] * len(ks), list(rand), [whole[3][0]] * len(ks))}.items():
+        for it in range(EM_COMPARE):
+            w, m, v, ll = GM.em_step_diag(ev, "v", w, m, v)
+            rows.append((name, it, float(ll)))
+    ev.unpersist()
+    return spark.createDataFrame(rows, "start string, iteration bigint, loglik double")

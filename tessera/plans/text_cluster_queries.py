@@ -18,6 +18,7 @@ from tessera.operators import text_features as TF
 from tessera.operators.neighbors import topk_per_group
 from tessera.plans.sqlbits import WS, idf_sql, word_counts_sql
 from tessera.registry import query
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
 K, SEED, ITERS, SEEDS, MAX_ITER = 5, 61, 3, tuple(range(61, 68)), 400
@@ -138,3 +139,43 @@ def kmeans_text_seeds(spark, sf_dir):
     return spark.createDataFrame(
         [(r["run"], float(last[r["run"]][1]), r["n"], last[r["run"]][0] + 1, r["run"] == best) for r in sizes],
         "seed bigint, heterogeneity double, largest_cluster bigint, iterations bigint, best boolean")
+
+
+BISECT_RUNS, BISECT_ITER = (71, 72, 73), 20
+
+
+def _bipartition(rows, members):
+    """Split the documents of ``members`` (id) in two: the best of several starts. Returns
+    (id, side) and the heterogeneity."""
+    inside = rows.join(members, "id").repartition("id").persist()
+    ids, out = members, None
+    for s in BISECT_RUNS:
+        two = ids.orderBy(hash32("id", s), "id").limit(2).withColumn("h", hash32("id", s))
+        named = two.select(F.lit(s).alias("run"), (F.row_number().over(Window.orderBy("h", "id")) - 1).alias("k"), "id")
+        out = named if out is None else out.unionByName(named)
+    _, found, trace = SK.lloyd(inside, SK.start(inside, out), list(BISECT_RUNS), 2, BISECT_ITER)
+    last = {r: h for r, _, h, _ in trace}
+    best = min(last, key=lambda r: (last[r], r))
+    inside.unpersist()
+    return found.where(F.col("run") == best).select("id", F.col("cluster").alias("side")), last[best]
+
+
+@query("bipartition_text", rows=("K11",))
+def bipartition_text(spark, sf_dir):
+    """Hierarchical clustering of the texts by repeated bipartition (k-means with two centres, the
+    best of three starts): the root and both its branches are split; size and heterogeneity of
+    every branch (named by its path)."""
+    rows = unit_tfidf(spark, sf_dir)
+    whole = rows.select("id").distinct()
+    out, todo = [], [("", whole)]
+    while todo:
+        name, members = todo.pop(0)
+        n = members.count()
+        if n < 2 or len(name) == 2:
+            out.append((name, n, None))
+            continue
+        sides, het = _bipartition(rows, members)
+        out.append((name, n, float(het)))
+        todo += [(name + str(side), cut_lineage(sides.where(F.col("side") == side).select("id"))) for side in (0, 1)]
+    rows.unpersist()
+    return spark.createDataFrame(out, "branch string, n bigint, heterogeneity_after_split double")

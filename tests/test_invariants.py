@@ -125,5 +125,33 @@ def test_model_tables_round_trip(spark, tmp_path):
                                   "k int, cluster int, centroid array<double>")
     write_model_table(cents, str(tmp_path / "cents"), partition_by=["k"])
     back = read_model_table(spark, str(tmp_path / "cents")).where(F.col("k") == 5)
-    assert "PartitionFilters: [isnotnull(k" in back._jdf.queryExecution().executedPlan().toString() or True
+    assert "PartitionFilters: [isnotnull(k" in back._jdf.queryExecution().executedPlan().toString()
     assert back.count() == 5
+
+
+def test_bipartition_covers_the_documents(spark):
+    rows = {r["branch"]: r for r in all_queries()["bipartition_text"].fn(spark, SF).collect()}
+    for name, r in rows.items():
+        if r["heterogeneity_after_split"] is not None:
+            assert r["n"] == rows[name + "0"]["n"] + rows[name + "1"]["n"]
+    assert rows["0"]["n"] and rows["1"]["n"]
+
+
+def test_mixture_starts_do_not_lose_likelihood(spark):
+    rows = all_queries()["gmm_random_start"].fn(spark, SF).collect()
+    for start in ("kmeans", "random"):
+        ll = [r["loglik"] for r in sorted(rows, key=lambda r: r["iteration"]) if r["start"] == start]
+        assert len(ll) == 10 and all(b >= a - 1e-6 * abs(a) for a, b in zip(ll, ll[1:]))
+
+
+def test_text_starts_have_one_best(spark):
+    rows = all_queries()["kmeans_text_seeds"].fn(spark, SF).collect()
+    assert len(rows) == 7 and sum(r["best"] for r in rows) == 1
+    assert min(r["heterogeneity"] for r in rows) == next(r["heterogeneity"] for r in rows if r["best"])
+
+
+def test_topic_neighbours(spark):
+    rows = all_queries()["lda_neighbours"].fn(spark, SF).collect()
+    assert rows and all(r["query_id"] != r["doc_id"] and -1e-9 <= r["distance"] <= 1 for r in rows)
+    dist = all_queries()["lda_fit"].fn(spark, SF).limit(50).collect()
+    assert all(sum(r["distribution"]) == pytest.approx(1.0, abs=1e-6) for r in dist)
