@@ -84,7 +84,25 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ 2: suffix-array dedup
 
-@_query("op2_suffix_array_dedup")
+_OP2_SQL = r"""
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM b)),
+m AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+f AS (SELECT w.doc_id, w.p FROM w JOIN m USING (s) WHERE first < w.doc_id),
+g AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS new FROM f),
+i AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM g),
+sp AS (SELECT doc_id, min(p) AS lo, max(p) + 50 AS hi FROM i GROUP BY doc_id, k),
+t AS (SELECT doc_id, count(*) AS n_spans, sum(hi - lo) AS n_removed, max(hi) AS hi FROM sp GROUP BY doc_id),
+seg AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS z FROM sp
+  UNION ALL SELECT doc_id, hi, n FROM t JOIN b USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY a) AS k FROM seg JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT b.doc_id, b.n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM b LEFT JOIN t USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@_query("op2_suffix_array_dedup", _OP2_SQL)
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
