@@ -107,17 +107,17 @@ def _sets(k: int):
         for batch in small(batches):
             texts = Texts(batch.column("text"))
             digest, number = batch.column("digest").to_pylist(), batch.column("member").to_numpy()
-            members, counts, tokens = [], [], []
+            own, counts, tokens = [], [], []
             for i, j in texts.slices():
                 for n, s in enumerate(token_sets(*texts.part(i, j), k), start=i):
                     if _digest(s) == digest[n]:      # another row may have the same id
-                        members.append(number[n])
+                        own.append(n)
                         counts.append(len(s))
                         tokens.append(s)
-            if members:
+            if own:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(members)), list_array(np.concatenate(tokens).view(np.int64), np.array(counts), pa.int64())],
-                    ["member", "tokens"])
+                    [pa.array(number[own]), list_array(np.concatenate(tokens).view(np.int64), np.array(counts), pa.int64()),
+                     batch.column("paths").take(pa.array(own))], ["member", "tokens", "paths"])
     return rows
 
 
@@ -192,52 +192,51 @@ def _links(threshold: float):
     return rows
 
 
-def _leaves(first: DataFrame, sets: DataFrame, threshold: float, scratch: list[DataFrame]) -> DataFrame:
-    """(member, key, n) of all buckets to compare. ``first``: (member, key) of the first level;
-    ``sets``: (member, tokens) of the members that share a bucket; ``scratch`` takes the
-    tables that the result reads."""
+def _sizes(rows: DataFrame) -> DataFrame:
+    """Members of each bucket: their number and a digest of who they are."""
+    return rows.groupBy("parent", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("member")).alias("x"),
+        F.bit_xor(F.xxhash64("member", F.lit(1))).alias("y"))
+
+
+def _distinct(buckets: DataFrame) -> DataFrame:
+    """Buckets of several members; those with the same members are compared once."""
+    return (buckets.where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("key", "parent")).alias("b"))
+            .select("b.*", "n"))
+
+
+def _leaves(inside: DataFrame, sets: DataFrame, threshold: float, scratch: list[DataFrame]) -> DataFrame:
+    """(member, key, n) of all buckets to compare. ``inside``: (member, key, n) of the first
+    level; ``sets``: (member, tokens, paths), paths being the member's large buckets of the
+    first level; ``scratch`` takes the tables that the result reads."""
     def keep(df: DataFrame, name: str) -> DataFrame:
         scratch.append(materialise(df, name))
         return scratch[-1]
 
-    def sizes(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("parent", "key").agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("member")).alias("x"),
-            F.bit_xor(F.xxhash64("member", F.lit(1))).alias("y"))
-
-    def distinct(buckets: DataFrame) -> DataFrame:
-        # buckets with the same members are compared once
-        return buckets.where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("key", "parent")).alias("b")).select("b.*", "n")
-
-    rows = first.withColumn("parent", F.lit(0).cast("bigint"))
-    buckets = keep(distinct(sizes(rows)), "buckets")
-    done = [rows.join(buckets.where(F.col("n") <= SMALL), ["parent", "key"]).select("member", "key", "n")]
-    large = buckets.where(F.col("n") > SMALL)
+    done = [inside.where(F.col("n") <= SMALL)]
+    inside = inside.where(F.col("n") > SMALL)
+    split = sets.where(F.size("paths") > 0)
     for level in range(LEVELS):
-        if large.isEmpty():
+        if inside.isEmpty():
             break
-        inside = rows.join(large.select("parent", "key", "n"), ["parent", "key"]).select("member", "key", "n")
         if level == LEVELS - 1:
             done.append(inside)
             break
-        inside = keep(inside, "large")
-        paths = inside.groupBy("member").agg(F.collect_list("key").alias("paths"))
-        if level == 0:
-            # deeper levels only hold members of these buckets
-            sets = keep(sets.join(paths.select("member"), "member", "left_semi"), "split_sets")
-        below = keep(sets.join(paths, "member").select("member", "tokens", "paths")
-                            .mapInArrow(_children(threshold), "member bigint, parent bigint, key bigint"), "children")
-        children = keep(sizes(below), "buckets")
+        below = keep(split.mapInArrow(_children(threshold), "member bigint, parent bigint, key bigint"), "children")
+        children = keep(_sizes(below), "buckets")
         together = (children.groupBy("parent").agg(
             F.sum("n").alias("all"), F.sum(F.when(F.col("n") > SMALL, F.col("n")).otherwise(0)).alias("stay"))
             .select(F.col("parent").alias("key"), (F.col("stay") >= TOGETHER * F.col("all")).alias("copies")))
-        judged = keep(large.join(together, "key", "left").select("key", F.coalesce("copies", F.lit(False)).alias("copies")), "judged")
+        judged = keep(inside.select("key").distinct().join(together, "key", "left")
+                      .select("key", F.coalesce("copies", F.lit(False)).alias("copies")), "judged")
         done.append(inside.join(judged.where("copies").select("key"), "key", "left_semi").select("member", "key", "n"))
-        split = judged.where("not copies").select(F.col("key").alias("parent"))
-        buckets = keep(distinct(children.join(split, "parent", "left_semi")), "buckets")
-        rows = below
-        done.append(rows.join(buckets.where(F.col("n") <= SMALL), ["parent", "key"]).select("member", "key", "n"))
-        large = buckets.where(F.col("n") > SMALL)
+        buckets = keep(_distinct(children.join(judged.where("not copies").select(F.col("key").alias("parent")),
+                                               "parent", "left_semi")), "buckets")
+        found = keep(below.join(buckets, ["parent", "key"]).select("member", "key", "n"), "inside")
+        done.append(found.where(F.col("n") <= SMALL))
+        inside = found.where(F.col("n") > SMALL)
+        paths = inside.groupBy("member").agg(F.collect_list("key").alias("paths"))
+        split = split.drop("paths").join(paths, "member").select("member", "tokens", "paths")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -259,25 +258,26 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
                           .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("class_id"), F.first("keys").alias("keys"))
                           .withColumn("member", F.monotonically_increasing_id()), "classes")
     first = classes.select("member", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = first.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    active = first.join(shared, "key", "left_semi").select("member").distinct()
-    wanted = classes.join(active, "member", "left_semi").select("member", "digest", "class_id")
-    found = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["class_id"])).select("text", "digest", "member")
-    sets = found.mapInArrow(_sets(shingle), "member bigint, tokens array<bigint>")
+    first = first.withColumn("parent", F.lit(0).cast("bigint"))
+    inside = materialise(first.join(_distinct(_sizes(first)), ["parent", "key"]).select("member", "key", "n"), "inside")
+    paths = inside.groupBy("member").agg(F.collect_list(F.when(F.col("n") > SMALL, F.col("key"))).alias("paths"))
+    wanted = classes.join(paths, "member").select("member", "digest", "class_id", "paths")
+    found = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["class_id"])).select("text", "digest", "member", "paths")
+    sets = found.mapInArrow(_sets(shingle), "member bigint, tokens array<bigint>, paths array<bigint>")
     twice = rows.select("doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not twice.isEmpty():
         sets = sets.dropDuplicates(["member"])
     sets = materialise(sets, "sets")
     release_shuffles(spark)
     scratch: list[DataFrame] = []
-    leaves = materialise(_leaves(first, sets, threshold, scratch), "leaves")
-    discard(*scratch)
+    leaves = materialise(_leaves(inside, sets, threshold, scratch), "leaves")
+    discard(inside, *scratch)
     release_shuffles(spark)
     per_member = leaves.withColumn("_c", cells_of(F.col("key"), F.col("member"), F.col("n"), BLOCK)).groupBy("member").agg(
         F.sort_array(F.collect_set("key")).alias("keys"),
         F.flatten(F.collect_list(F.transform("_c", lambda c: F.struct(
             c["cell"].alias("cell"), c["side"].alias("side"), F.col("key").alias("key"))))).alias("_cells"))
-    payload = sets.join(classes.select("member", "copies"), "member")
+    payload = sets.drop("paths").join(classes.select("member", "copies"), "member")
     links = materialise(dealt(per_member, payload, "member").mapInArrow(_links(threshold), "member bigint, linked bigint, other bigint"), "links")
     discard(sets, leaves)
     comp = connected_components(links, "member", "other")
