@@ -188,8 +188,9 @@ def merge_pieces(vocab: Vocabulary, data: np.ndarray, starts: np.ndarray, sizes:
     """Token ids of pieces (spans of ``data``): flat ids and counts, in the order given."""
     counts = np.zeros(len(starts), dtype=np.int64)
     parts: list[tuple[np.ndarray, np.ndarray]] = []
-    width = np.where(sizes <= 16, sizes, 1 << np.ceil(np.log2(np.maximum(sizes, 1) * 4)).astype(np.int64) >> 2)
-    width = np.where(sizes <= 16, sizes, -(-sizes // np.maximum(width // 8, 1)) * np.maximum(width // 8, 1))
+    # rows of up to 16 bytes share a matrix with their like, longer ones with lengths up to an eighth more
+    step = np.maximum((1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)) // 8, 1)
+    width = np.where(sizes <= 16, sizes, -(-sizes // step) * step)
     for w in np.unique(width[sizes <= LONG]):
         mine = np.flatnonzero((width == w) & (sizes <= LONG))
         step = max(1, (1 << 20) // int(w))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import (ALNUM_WORD, Texts, packed, ranges, shingle_hashes, unpacked, word_hashes,
+from tessera.llm.common import (ALNUM_WORD, Texts, mix64, packed, ranges, shingle_hashes, unpacked, word_hashes,
                                 word_spans, small)
 
 WINDOW = 10
@@ -39,7 +39,8 @@ def _doc_words(data: np.ndarray, offsets: np.ndarray):
 
 
 def _sized(words: np.ndarray, k: int) -> np.ndarray:
-    return shingle_hashes(words, k) * np.uint64(2) + np.uint64(1) if k == SHINGLE else shingle_hashes(words, k) * np.uint64(2 * k + 8)
+    """Shingle hashes that also tell the shingle's size."""
+    return mix64(shingle_hashes(words, k) + np.uint64(k))
 
 
 def _whole(first: np.ndarray, n: int, k: int) -> np.ndarray:
