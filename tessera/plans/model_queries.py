@@ -234,7 +234,7 @@ def bisect_clusters(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("gmm_fit", rows=("K15", "K16", "K20"))
+@query("gmm_fit", rows=("K15", "K16"))
 def gmm_fit(spark, sf_dir):
     """EM on the colour triples until the log-likelihood gain < 1e-4 (at most 10 iterations):
     likelihood trace; must be non-decreasing."""
