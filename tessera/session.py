@@ -7,6 +7,7 @@ On a cluster the session is built by the platform; we only read its settings.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -69,6 +70,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per context, whatever their
+    working folder and installation: Spark hands the archive to every executor."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    at = os.path.join(tempfile.mkdtemp(prefix="tessera-"), "tessera_package")
+    sc.addPyFile(shutil.make_archive(at, "zip", root, "tessera"))
+    sc._tessera_shipped = True
+
+
 def cut_lineage(df):
     """Materialise an iterative state frame to the shared checkpoint folder.
 
