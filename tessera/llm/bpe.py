@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from tessera.llm.common import Texts, _powers, mix64, offsets_of, ranges, small
 
 LONG = 2048
-CACHE = 300_000          # pieces a worker remembers
+CACHE = 200_000          # pieces a worker remembers
 MAX_RANKS = 1 << 20
 NONE = np.int32(2**31 - 1)
 _CODE = np.random.default_rng(77).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)

@@ -7,6 +7,7 @@ batch or the corpus; only a single text longer than a slice widens it.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 import uuid
@@ -133,6 +134,15 @@ class Texts:
         return self.data[lo:hi], self.offsets[i:j + 1] - lo
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark reuses its Python workers from stage to stage, and
+    the allocators would keep what one stage needed at its peak through all later ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def small(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that ``column`` has about ``limit`` bytes in each (one row at least), so
     that what a task makes of a batch stays bounded, however many rows Arrow puts in one."""
@@ -140,6 +150,7 @@ def small(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         if batch.num_rows:
             for i, j in Texts(batch.column(column)).slices(limit):
                 yield batch.slice(i, j - i)
+    give_back()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, word_class: np.ndarray):
@@ -277,3 +288,4 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         held = [rest.slice(cut)]
     if held:
         yield pa.Table.from_batches(held)
+    give_back()
