@@ -322,31 +322,34 @@ def class_scores(p: dict, tokens: Tokens, flat: np.ndarray, counts: np.ndarray,
 # ------------------------------------------------------------------ on the cluster
 
 def _occurrences(vocabulary):
-    """Texts sorted by block → (block, word, training tokens, subword ids), once per block. A
-    word is encoded when the block first has it."""
+    """Texts sorted by block → (block, word, training tokens, subword ids), once per block. The
+    words are counted slice by slice and encoded when the block is complete."""
     def run(batches):
         encoder = bpe.encoder_of(vocabulary.value)
-        block = None
-        keys, counts, flats, sizes = [], [], [], []
-        seen = np.zeros(0, dtype=np.uint64)
+        block, held = None, []
 
         def flush():
-            if not keys:
+            if not held:
                 return None
-            key, inv = np.unique(np.concatenate(keys), return_inverse=True)
-            n = np.bincount(inv, np.concatenate(counts)).astype(np.int64)
-            size = np.concatenate(sizes)                 # in the order of ``seen``'s additions
-            added = np.concatenate(new_keys)
-            order = np.argsort(added)
-            flat, start = np.concatenate(flats), offsets_of(size)[:-1]
-            flat = flat[ranges(start[order], size[order])].astype("<u4")
+            base = offsets_of(np.array([len(t.data) for t, _ in held]))[:-1]
+            key, at, inv = np.unique(np.concatenate([t.key for t, _ in held]), return_index=True, return_inverse=True)
+            n = np.bincount(inv, np.concatenate([c for _, c in held])).astype(np.int64)
+            data = np.concatenate([t.data for t, _ in held])
+            starts = np.concatenate([t.starts + b for (t, _), b in zip(held, base, strict=True)])[at]
+            sizes = np.concatenate([t.sizes for t, _ in held])[at]
+            flats, counts = [], []
+            for k in range(0, len(key), 1 << 16):
+                part = slice(k, k + (1 << 16))
+                slot = encoder.lookup(key[part], data, starts[part], sizes[part])
+                counts.append(encoder.counts[slot])
+                flats.append(encoder.ids[ranges(encoder.starts[slot], counts[-1])])
+            flat, size = np.concatenate(flats), np.concatenate(counts)
             body = pa.Array.from_buffers(pa.binary(), len(key), [
-                None, pa.py_buffer(offsets_of(4 * size[order]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat).view(np.uint8))])
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), block)), pa.array(key.view(np.int64)),
-                                               pa.array(n), pa.array(first_of(flat, size[order]).astype(np.int32)), body],
+                None, pa.py_buffer(offsets_of(4 * size).astype(np.int32)), pa.py_buffer(flat.astype("<u4").view(np.uint8))])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), block)), pa.array(key.view(np.int64)), pa.array(n),
+                                               pa.array(first_of(flat, size).astype(np.int32)), body],
                                               ["block", "word", "n", "sub", "subs"])
 
-        new_keys: list[np.ndarray] = []
         for batch in batches:
             texts, blocks = Texts(batch.column("text")), batch.column("block").to_numpy()
             learns = batch.column("learns").to_numpy(zero_copy_only=False).astype(bool)
@@ -358,24 +361,17 @@ def _occurrences(vocabulary):
                     out = flush()
                     if out is not None:
                         yield out
-                    block, seen = blocks[lo], np.zeros(0, dtype=np.uint64)
-                    keys, counts, flats, sizes, new_keys = [], [], [], [], []
+                    block, held = blocks[lo], []
                 i = lo
                 while i < hi:
-                    j = int(np.searchsorted(texts.offsets, texts.offsets[i] + SLICE_BYTES, side="right")) - 1
+                    j = int(np.searchsorted(texts.offsets, texts.offsets[i] + 4 * SLICE_BYTES, side="right")) - 1
                     j = min(max(j, i + 1), hi)
                     t = Tokens(*texts.part(i, j))
                     if len(t.key):
                         own = np.repeat(learns[i:j], np.diff(t.first))
-                        keys.append(t.key)
-                        counts.append(np.bincount(t.which, own, len(t.key)))
-                        at = np.searchsorted(seen, t.key)
-                        new = np.flatnonzero((at == len(seen)) | (seen[np.minimum(at, max(len(seen) - 1, 0))] != t.key)) if len(seen) else np.arange(len(t.key))
-                        flat, size = t.subwords(encoder, new)
-                        flats.append(flat)
-                        sizes.append(size)
-                        new_keys.append(t.key[new])
-                        seen = np.union1d(seen, t.key[new])
+                        count = np.bincount(t.which, own, len(t.key))
+                        t.hash = t.which = t.first = None          # only the distinct words are kept
+                        held.append((t, count))
                     i = j
         out = flush()
         if out is not None:
