@@ -6,10 +6,12 @@ each of its tokens t with probability 1 / (LAMBDA * size), by a hash that all cl
 and goes to the bucket of each chosen token; two classes at the threshold expect to choose a
 common token in every run, so ``runs`` follows from the recall asked for. Buckets with one
 member need no more, small ones are compared by brute force, and large ones are split again
-by further chosen tokens (the path). A large bucket whose members mostly stay together in
-large children is a group of near copies and is compared as it is; so is what is still large
-at the last level. Comparison is exact and goes in cells of bounded size (``cells``): no
-pair ever is a row, and a pair that meets in several buckets counts in the first one.
+by further chosen tokens (the path), each as a try of its own, also where others have the same
+members. A large bucket whose members mostly stay together in large children, or choose few
+children as their common tokens were not drawn, is a group of near copies and is compared as it
+is; so is what is still large at the last level. Comparison is exact and goes in cells of
+bounded size (``cells``): no pair ever is a row, and a pair that meets in several buckets
+counts in the first one.
 
 Recursion handles numbers of classes and hashes only; sets are computed once for the classes
 that share a bucket with another one.
@@ -41,7 +43,7 @@ THRESHOLD = 0.8
 RECALL = 0.9995          # of pairs at exactly the threshold, over all runs
 SPLIT = 1.5              # expected common tokens of such a pair at each further level
 SMALL = 64               # classes that are compared without further splits
-TOGETHER = 0.7           # share of a bucket's paths that stay in large children: near copies
+TOGETHER = 0.7           # near copies: the others of a bucket's paths, or of those expected, leave large children
 LEVELS = 5
 BLOCK = 512
 
@@ -200,9 +202,17 @@ def _sizes(rows: DataFrame) -> DataFrame:
 
 
 def _distinct(buckets: DataFrame) -> DataFrame:
-    """Buckets of several members; those with the same members are compared once."""
-    return (buckets.where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("key", "parent")).alias("b"))
-            .select("b.*", "n"))
+    """Buckets of several members; small ones with the same members are compared once. Large
+    ones are split by chance, so each is a try of its own."""
+    return (buckets.where("n > 1").groupBy("n", "x", "y", F.when(F.col("n") > SMALL, F.col("key")).alias("_own"))
+            .agg(F.min(F.struct("key", "parent")).alias("b")).select("b.*", "n"))
+
+
+def _once(leaves: DataFrame) -> DataFrame:
+    """(member, key, n) of large buckets that are compared as they are: one of those with the
+    same members."""
+    same = _sizes(leaves.withColumn("parent", F.lit(0))).groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+    return leaves.join(same.select("key"), "key", "left_semi").select("member", "key", "n")
 
 
 def _leaves(inside: DataFrame, sets: DataFrame, threshold: float, scratch: list[DataFrame]) -> DataFrame:
@@ -213,23 +223,25 @@ def _leaves(inside: DataFrame, sets: DataFrame, threshold: float, scratch: list[
         scratch.append(materialise(df, name))
         return scratch[-1]
 
-    done = [inside.where(F.col("n") <= SMALL)]
+    done, whole = [inside.where(F.col("n") <= SMALL)], []
     inside = inside.where(F.col("n") > SMALL)
     split = sets.where(F.size("paths") > 0)
     for level in range(LEVELS):
         if inside.isEmpty():
             break
         if level == LEVELS - 1:
-            done.append(inside)
+            whole.append(inside)
             break
         below = keep(split.mapInArrow(_children(threshold), "member bigint, parent bigint, key bigint"), "children")
         children = keep(_sizes(below), "buckets")
         together = (children.groupBy("parent").agg(
-            F.sum("n").alias("all"), F.sum(F.when(F.col("n") > SMALL, F.col("n")).otherwise(0)).alias("stay"))
-            .select(F.col("parent").alias("key"), (F.col("stay") >= TOGETHER * F.col("all")).alias("copies")))
-        judged = keep(inside.select("key").distinct().join(together, "key", "left")
-                      .select("key", F.coalesce("copies", F.lit(False)).alias("copies")), "judged")
-        done.append(inside.join(judged.where("copies").select("key"), "key", "left_semi").select("member", "key", "n"))
+            F.sum("n").alias("all"), F.sum(F.when(F.col("n") <= SMALL, F.col("n")).otherwise(0)).alias("apart"))
+            .withColumnRenamed("parent", "key"))
+        # common tokens that none chose are missing from "all": the expected number stands in
+        paths = F.greatest(F.coalesce("all", F.lit(0)), F.col("n") * F.lit(SPLIT / threshold))
+        judged = keep(inside.select("key", "n").distinct().join(together, "key", "left")
+                      .select("key", (F.coalesce("apart", F.lit(0)) <= (1 - TOGETHER) * paths).alias("copies")), "judged")
+        whole.append(inside.join(judged.where("copies").select("key"), "key", "left_semi").select("member", "key", "n"))
         buckets = keep(_distinct(children.join(judged.where("not copies").select(F.col("key").alias("parent")),
                                                "parent", "left_semi")), "buckets")
         found = keep(below.join(buckets, ["parent", "key"]).select("member", "key", "n"), "inside")
@@ -240,6 +252,11 @@ def _leaves(inside: DataFrame, sets: DataFrame, threshold: float, scratch: list[
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
+    if whole:
+        large = whole[0]
+        for d in whole[1:]:
+            large = large.unionByName(d)
+        out = out.unionByName(_once(large))
     return out
 
 

@@ -113,6 +113,17 @@ def test_jaccard_hot_groups_against_brute_force(spark, monkeypatch):
     assert joined(df, recall=0.99999) == jaccard_truth(rows)
 
 
+def test_jaccard_template_pages_are_never_lost(spark):
+    # more than SMALL pages a template, all but one place the same: first-level buckets have the same members
+    rng = random.Random(8)
+    n, rows = jaccard_join.SMALL + 6, []
+    for t in range(24):
+        page = [f"t{t}w{rng.randrange(10**6)}" for _ in range(120)]
+        rows += [(t * n + i, " ".join([*page[:60], f"number{i}", *page[60:]])) for i in range(n)]
+    got = joined(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    assert got == sorted([(False, i, n - 1, i // n * n) for i, _ in rows], key=str)
+
+
 def test_keep_one(edge_docs, no_docs):
     got = jaccard_join.keep_one(edge_docs).collect()
     assert got[0].asDict().keys() == edge_docs.first().asDict().keys()
