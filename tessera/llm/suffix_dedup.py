@@ -22,7 +22,8 @@ Equal windows sample the same offset, so all copies of a window meet in one buck
 Buckets are read as a sorted stream with one group's minimum held, never gathered. Before
 each shuffle a batch settles what it can by itself, so a frequent string sends one row per
 batch and zone; settled rows are spread by document. Identifiers are 96 bits where equality
-decides (64 + 32). Texts are shuffled once; the joins with their marks reuse that exchange.
+decides (64 + 32; a zone's are its own, the bucket's 64 bits come on top). Texts are shuffled
+once; the joins with their marks reuse that exchange.
 
 A text may have up to 512 MB.
 
@@ -56,6 +57,7 @@ _SHARED = 1 << 29                # another document has this half, known before
 _PLACE = _SHARED - 1
 HALF = 17
 ROWS = "key bigint, mark bigint, doc bigint"
+ZONE_ROWS = "key bigint, zone bigint, mark bigint, doc bigint"
 MARKS = "doc bigint, mark bigint, settled boolean"
 
 
@@ -88,7 +90,8 @@ def depth50(b16: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 class Zones:
     """Sampled suffixes of the documents in one byte array: ``pos`` (offset of the sampled
-    16-gram), ``lo`` and ``hi`` (first and last window that samples it), ``key``, ``check``."""
+    16-gram), ``lo`` and ``hi`` (first and last window that samples it), ``key`` (of the bucket),
+    ``zone`` (64 bits) and ``check`` (32 others) of all bytes of the zone."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         n = len(data) - WINDOW + 1
@@ -96,7 +99,7 @@ class Zones:
         if n <= 0 or len(long) == 0:
             self.pos = self.lo = self.hi = np.zeros(0, dtype=np.int64)
             self.key = np.zeros(0, dtype=np.uint64)
-            self.check = np.zeros(0, dtype=np.uint64)
+            self.zone = self.check = np.zeros(0, dtype=np.uint64)
             self.b16 = np.zeros(0, dtype=np.uint64)
             return
         self.b16 = b16 = buckets16(data)
@@ -120,6 +123,11 @@ class Zones:
         self.key = mix64(b16[self.pos])
         shape = (self.pos - self.lo).astype(np.uint64) << np.uint64(8) | (self.hi - self.lo).astype(np.uint64)
         self.check = mix64(refine(depth50(b16, self.lo), depth50(b16, self.hi)) + shape) >> np.uint64(32)
+        # the same bytes once more, mixed in another way
+        self.zone = mix64(shape)
+        for at in (0, 16, 32, 34):
+            for end in (self.lo, self.hi):
+                self.zone = mix64(self.zone * _C2 + b16[end + at])
 
 
 def _mark(check: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -130,16 +138,20 @@ def _docs(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc").to_numpy(zero_copy_only=False)
 
 
-def _settle_here(key: np.ndarray, mark: np.ndarray, doc: np.ndarray, flag: bool = False) -> pa.RecordBatch | None:
-    """Rows of one batch: those whose (key, check) the batch also has in a smaller document
+def _settle_here(key: np.ndarray, mark: np.ndarray, doc: np.ndarray, flag: bool = False,
+                 zone: np.ndarray | None = None) -> pa.RecordBatch | None:
+    """Rows of one batch: those whose (key, zone, check) the batch also has in a smaller document
     are settled and spread by document; with ``flag`` the smallest one's rows say so."""
     if len(key) == 0:
         return None
     check = mark.view(np.uint64) >> np.uint64(32)
-    order = np.lexsort((doc, check, key))
+    order = np.lexsort((doc, check, key) if zone is None else (doc, check, zone, key))
     key, mark, doc, check = key[order], mark[order], doc[order], check[order]
     new = np.ones(len(key), dtype=bool)
     new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
+    if zone is not None:
+        zone = zone[order]
+        new[1:] |= zone[1:] != zone[:-1]
     low = doc[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
     done = doc > low
     if flag:
@@ -148,36 +160,40 @@ def _settle_here(key: np.ndarray, mark: np.ndarray, doc: np.ndarray, flag: bool
         mark = np.where(known, mark | _SHARED, mark)
     key = np.where(done, mix64(mix64(doc.view(np.uint64)) + mark.view(np.uint64)), key)
     mark = np.where(done, mark | _DONE, mark)
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(mark), pa.array(doc)],
-                                      ["key", "mark", "doc"])
+    out = {"key": pa.array(key.view(np.int64)), "mark": pa.array(mark), "doc": pa.array(doc)}
+    if zone is not None:
+        # a settled row is known by its mark alone
+        out = {"key": out["key"], "zone": pa.array(np.where(done, 0, zone.view(np.int64))), "mark": out["mark"], "doc": out["doc"]}
+    return pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
 
 def sampled_suffixes(batches):
     """Texts → a row for each sampled suffix."""
     for batch in small(batches):
         texts, ids = Texts(batch.column("text")), _docs(batch)
-        keys, marks, docs = [], [], []
+        keys, zones, marks, docs = [], [], [], []
         for i, j in texts.slices():
             data, offsets = texts.part(i, j)
             z = Zones(data, offsets)
             own = np.searchsorted(offsets, z.pos, side="right") - 1
             keys.append(z.key)
+            zones.append(z.zone)
             marks.append(_mark(z.check, z.pos - offsets[own]))
             docs.append(ids[i + own])
         if keys:
-            out = _settle_here(np.concatenate(keys), np.concatenate(marks), np.concatenate(docs))
+            out = _settle_here(np.concatenate(keys), np.concatenate(marks), np.concatenate(docs), zone=np.concatenate(zones))
             if out is not None:
                 yield out
 
 
 def _stream(batches, whole_groups: bool):
-    """Rows sorted by (key, check, doc) → marks.
+    """Rows sorted by (key, zone, check, doc), windows without zone → marks.
 
-    Settled: the check is also in a smaller document. With ``whole_groups`` the others of a
-    key with several checks follow, unsettled. State: the last key, check and least document,
-    and, while a key has had one check, that document's own rows.
+    Settled: zone and check are also in a smaller document. With ``whole_groups`` the others of
+    a key with several of them follow, unsettled. State: the last key, zone, check and least
+    document, and, while a key has had one zone, that document's own rows.
     """
-    key0 = check0 = low0 = None
+    key0 = zone0 = check0 = low0 = None
     several0 = False
     wait: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -187,11 +203,11 @@ def _stream(batches, whole_groups: bool):
             ["doc", "mark", "settled"])
 
     for batch in batches:
-        key, mark, doc = (batch.column(c).to_numpy() for c in ("key", "mark", "doc"))
+        key, zone, mark, doc = (batch.column(c).to_numpy() for c in ("key", "zone" if whole_groups else "key", "mark", "doc"))
         done = (mark & _DONE) != 0
         if done.any():
             yield out(doc[done], mark[done], True)
-            key, mark, doc = key[~done], mark[~done], doc[~done]
+            key, zone, mark, doc = key[~done], zone[~done], mark[~done], doc[~done]
         n = len(key)
         if n == 0:
             continue
@@ -199,10 +215,10 @@ def _stream(batches, whole_groups: bool):
         new_key = np.ones(n, dtype=bool)
         new_key[1:] = key[1:] != key[:-1]
         new_run = new_key.copy()
-        new_run[1:] |= check[1:] != check[:-1]
+        new_run[1:] |= (zone[1:] != zone[:-1]) | (check[1:] != check[:-1])
         goes_on = key0 is not None and key[0] == key0
         new_key[0] = not goes_on
-        new_run[0] = not (goes_on and check[0] == check0)
+        new_run[0] = not (goes_on and zone[0] == zone0 and check[0] == check0)
         at = np.arange(n)
         start = np.maximum.accumulate(np.where(new_run, at, -1))
         low = np.where(start >= 0, doc[np.maximum(start, 0)], low0 if low0 is not None else 0)
@@ -230,7 +246,7 @@ def _stream(batches, whole_groups: bool):
                 wait = [*(wait if n_groups == 1 and goes_on else []), (doc[own], mark[own])]
             else:
                 wait = []
-        key0, check0, low0 = key[-1], check[-1], low[-1]
+        key0, zone0, check0, low0 = key[-1], zone[-1], check[-1], low[-1]
 
 
 def zone_marks(batches):
@@ -439,7 +455,8 @@ def _shorten(carry: list[str], as_text: bool):
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
-    return rows.repartition("key").sortWithinPartitions("key", F.shiftright("mark", 32), "doc")
+    zone = ["zone"] if "zone" in rows.columns else []
+    return rows.repartition("key").sortWithinPartitions("key", *zone, F.shiftright("mark", 32), "doc")
 
 
 def _listed(marks: DataFrame, name: str) -> DataFrame:
@@ -454,7 +471,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     others = tuple(c for c in carry if c != text)
     doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc")
     body = F.coalesce(F.col(text), F.lit("")).alias("text")
-    marks = materialise(_sorted(docs.select(doc, body).mapInArrow(sampled_suffixes, ROWS))
+    marks = materialise(_sorted(docs.select(doc, body).mapInArrow(sampled_suffixes, ZONE_ROWS))
                         .mapInArrow(zone_marks, MARKS), "zones")
     release_shuffles(docs.sparkSession)
     # all joins below read the same exchange of the texts: each takes all of its columns

@@ -4,6 +4,10 @@ import random
 import re
 import string
 
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
 from tessera.llm import decontaminate, jaccard_join, suffix_dedup
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -56,6 +60,18 @@ def test_repeats_random_against_brute_force(spark):
     assert found(df) == removed([(i, t.encode()) for i, t in rows])
 
 
+def test_repeats_distinct_zones_of_a_hot_gram(spark):
+    # every text has the same 16-gram where its zone is sampled, and nothing else twice
+    rng = np.random.default_rng(7)
+    grams = rng.integers(97, 123, (1 << 20, 16), dtype=np.uint8)
+    halves = grams.reshape(-1).view("<u8").reshape(-1, 2)
+    hot = grams[np.argmin(suffix_dedup.refine(halves[:, 0], halves[:, 1]) * suffix_dedup._C3)]
+    n = 300_000
+    texts = np.concatenate([rng.integers(97, 123, (n, 34), dtype=np.uint8), np.tile(hot, (n, 1)), rng.integers(97, 123, (n, 34), dtype=np.uint8)], axis=1)
+    df = spark.createDataFrame(pd.DataFrame({"doc_id": np.arange(n), "text": [t.tobytes().decode() for t in texts]}))
+    assert suffix_dedup.remove_repeats(df).agg(F.sum("n_removed")).first()[0] == 0
+
+
 def test_repeats_as_text_keeps_rows_and_columns(edge_docs):
     out = suffix_dedup.remove_repeats(edge_docs, carry=tuple(edge_docs.columns), as_text=True)
     got = out.select("kept", "row.*").collect()
