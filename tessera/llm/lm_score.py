@@ -15,8 +15,8 @@ of 2 * ``STEP`` tokens overlap by half, so that each token is scored once, with
 2 * STEP - 1 tokens before it (fewer at the start of a text), in batches with masks.
 
 All training texts count. The attention is trained in numpy by local steps in every task over
-one of ``EVERY`` windows of each training text, each text in one of ``ROUNDS`` rounds; after a
-round the tasks' parameters are averaged by their windows.
+every window of each training text, each text in one of ``ROUNDS`` rounds; after a round the
+tasks' parameters are averaged by their windows.
 
 Counting: texts are dealt into blocks of about ``BLOCK_BYTES`` by a hash of the row; a block
 sends each of its distinct words once, with its subword ids, gets back the word's corpus count,
@@ -43,12 +43,11 @@ from tessera.llm.common import (LOWER, SLICE_BYTES, SPACE_WORD, Texts, materiali
 from tessera.llm.language_id import sum_arrays
 
 SMOOTH = 0.1
-STEP = 16
+STEP = 32
 DIM = 16
 CLASSES = 64             # 0: unknown, 1: end
 OWN_CLASS = 40           # first subwords with a class of their own
 HASHED = 2048            # rows of the embedding table
-EVERY = 16
 ROUNDS = 2
 BATCH = 128              # windows of a training step
 RATE = 0.1
@@ -70,23 +69,12 @@ class Tokens:
         self.key, at, self.which = np.unique(self.hash, return_index=True, return_inverse=True)
         self.data, self.starts, self.sizes = LOWER[data], starts[at], (stops - starts)[at]
 
-    def subwords(self, encoder: bpe.Encoder, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Subword ids of the distinct words (or of ``some`` of them): flat ids and counts."""
-        some = np.arange(len(self.key)) if some is None else some
-        slot = encoder.lookup(self.key[some], self.data, self.starts[some], self.sizes[some])
+    def subwords(self, encoder: bpe.Encoder) -> tuple[np.ndarray, np.ndarray]:
+        """Subword ids of the distinct words: flat ids and counts."""
+        slot = encoder.lookup(self.key, self.data, self.starts, self.sizes)
         n = encoder.counts[slot]
         return encoder.ids[ranges(encoder.starts[slot], n)], n
 
-    def narrow(self, text: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """Number the distinct words of some windows (inputs and targets) from 0, in ``which``;
-        returns their places in ``key``."""
-        at = np.unique(np.clip(self.first[text][:, None] + start[:, None] + np.arange(-STEP - 1, STEP), 0, max(len(self.which) - 1, 0)))
-        used = np.unique(self.which[at]) if len(self.which) else at[:0]
-        number = np.full(len(self.key), -1, dtype=np.int64)
-        number[used] = np.arange(len(used))
-        self.which = number[self.which]
-        return used
-
 
 def first_of(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return flat[offsets_of(counts)[:-1]] if len(counts) else np.zeros(0, dtype=np.int32)
@@ -261,17 +249,13 @@ def _train(vocabulary, params, table):
         of = table.value
         for batch in small(batches):
             texts = Texts(batch.column("text"))
-            lot = batch.column("lot").to_numpy()
             for i, j in texts.slices():
                 tokens = Tokens(*texts.part(i, j))
                 text, start, size = windows_of(tokens.first)
-                mine = np.flatnonzero((start // STEP + lot[i:j][text] // ROUNDS) % EVERY == 0)
-                if len(mine) == 0:
-                    continue
-                flat, counts = tokens.subwords(encoder, tokens.narrow(text[mine], start[mine]))
+                flat, counts = tokens.subwords(encoder)
                 classes, flat = of[first_of(flat, counts)], hashed(flat)
-                for k in range(0, len(mine), BATCH):
-                    w = mine[k:k + BATCH]
+                for k in range(0, len(text), BATCH):
+                    w = slice(k, k + BATCH)
                     trainer.step(tokens, flat, counts, classes, text[w], start[w], size[w])
         if trainer.windows:
             x = np.concatenate([pack(trainer.p) * trainer.windows, [trainer.windows, trainer.loss, trainer.tokens]])
@@ -426,7 +410,7 @@ def train(docs: DataFrame, vocabulary, table: np.ndarray, params: dict) -> dict:
     sc = docs.sparkSession.sparkContext
     of = sc.broadcast(table)
     for turn in range(ROUNDS):
-        part = docs.where(F.col("lot") % ROUNDS == turn)
+        part = docs.where(F.col("lot") == turn).select("text")
         got = sum_arrays(part.mapInArrow(_train(vocabulary, sc.broadcast(params), of), "part int, sums binary"))
         if 0 in got:
             params = unpack(got[0][:-3] / got[0][-3])
@@ -459,7 +443,7 @@ def score(docs: DataFrame, learns: Column, vocabulary, doc_id: str = "doc_id", t
     class_mass[:2] = SMOOTH, ends + SMOOTH
     for s, m in mass.items():
         class_mass[table[s]] += m
-    params = train(rows.where("learns").select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS * EVERY)).alias("lot")),
+    params = train(rows.where("learns").select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).alias("lot")),
                    vocabulary, table, initial(class_mass))
     scorer = spark.sparkContext.broadcast(Scorer(params, table, np.maximum(class_mass, 1e-300), n, v, ends))
     schema = T.StructType([rows.schema["doc_id"], rows.schema["learns"], T.StructField("n_tokens", T.LongType()),

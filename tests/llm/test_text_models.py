@@ -7,10 +7,12 @@ import re
 import string
 import struct
 from collections import Counter
+from types import SimpleNamespace
 from zlib import crc32
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,6 +218,18 @@ def test_lm_windows_score_each_token_once(vocabulary):
             k += 1
 
 
+def test_lm_trains_on_every_window(vocabulary):
+    texts = ["one two three", "", "word " * 500] + [f"short text {i}" for i in range(40)]
+    params = lm_score.initial(np.ones(lm_score.CLASSES))
+    held = lambda x: SimpleNamespace(value=x)
+    run = lm_score._train(held(vocabulary), held(params), held(np.full(vocabulary.size, 2)))
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lot": list(range(len(texts)))})
+    windows, _, tokens = np.frombuffer(next(run([batch])).column("sums")[0].as_py())[-3:]
+    sizes = [len(t.split()) + 1 for t in texts]
+    assert tokens == sum(sizes)
+    assert windows == sum(-(-n // lm_score.STEP) for n in sizes)
+
+
 def test_lm_gradients_are_right():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in lm_score.initial(np.ones(lm_score.CLASSES)).items()}
