@@ -122,6 +122,35 @@ def similar_items(spark, sf_dir):
     return top.select("qitem", I, "rank", F.round("sim", 6).alias("sim"))
 
 
+_ALL_SQL = f"""
+WITH {INTER_SQL},
+deg AS (SELECT part, count(*) AS deg FROM inter GROUP BY part),
+co AS (SELECT a.part AS qpart, b.part, count(*) AS co FROM inter a JOIN inter b ON a.customer = b.customer
+       WHERE a.part <> b.part GROUP BY a.part, b.part),
+s AS (SELECT co.qpart, co.part, co.co, co.co / (dq.deg + d.deg - co.co) AS sim FROM co JOIN deg dq ON dq.part = co.qpart
+      JOIN deg d ON d.part = co.part)"""
+
+
+@query("item_similarity_all", rows=("D2",), oracle=f"""{_ALL_SQL}
+SELECT qpart AS qitem, part, co::BIGINT AS co, round(sim, 6) AS sim FROM s
+""")
+def item_similarity_all(spark, sf_dir):
+    """Jaccard similarity (customer sets) of all pairs of parts bought by one customer."""
+    s = RC.jaccard_all(interactions(spark, sf_dir), U, I)
+    return s.select("qitem", I, F.col("co").cast("bigint").alias("co"), F.round("sim", 6).alias("sim"))
+
+
+@query("similar_items_all", rows=("D4",), oracle=f"""{_ALL_SQL}
+SELECT qpart AS qitem, part, rk::BIGINT AS rank, round(sim, 6) AS sim FROM (
+  SELECT *, row_number() OVER (PARTITION BY qpart ORDER BY round(sim, 9) DESC, part) AS rk FROM s) WHERE rk <= 5
+""")
+def similar_items_all(spark, sf_dir):
+    """Five most similar parts of every part."""
+    s = RC.jaccard_all(interactions(spark, sf_dir), U, I)
+    top = topk_per_group(s, "qitem", [F.desc(F.round("sim", 9)), F.col(I)], 5)
+    return top.select("qitem", I, "rank", F.round("sim", 6).alias("sim"))
+
+
 @query("item_recommend", rows=("D3",), oracle=f"""
 WITH {INTER_SQL}, {SAMPLE_SQL},
 {_itemsim_sql('inter', 'S', 5)}
