@@ -30,6 +30,7 @@ _BYTE_CODE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.ui
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+EXACT = np.arange(256, dtype=np.uint8)
 
 
 def _word_class(breaks) -> np.ndarray:
@@ -195,13 +196,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """64-bit hash of each (A-Z lower-cased) word: differences of one running polynomial."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, case: np.ndarray = LOWER) -> np.ndarray:
+    """64-bit hash of each word (its bytes mapped by ``case``; the default lower-cases A-Z):
+    differences of one running polynomial."""
     if len(starts) == 0:
         return np.zeros(0, dtype=np.uint64)
     up, down = _powers(len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODE[LOWER[data]] * up, out=sums[1:])
+    np.cumsum(_BYTE_CODE[case[data]] * up, out=sums[1:])
     return mix64((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, embed_dedup, jaccard_join, language_id, license_scan, lm_score, quality, suffix_dedup, url_filter
+from tessera.llm import bpe, decontaminate, embed_dedup, jaccard_join, language_id, license_scan, lm_score, periodic_runs, quality, suffix_dedup, url_filter
 from tessera.llm.url_filter import Rule
 from tessera.sources.tables import table
 
@@ -252,3 +252,57 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", (quality.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= quality.SCORE_BOUND).cast("int").alias("predicted"))
+
+
+# ------------------------------------------------------------------ 11: periodic runs
+
+def _looped(docs: DataFrame) -> DataFrame:
+    """doc_id, text: the text of every tenth document (by crc32 of its id) repeats a stretch of
+    its own words from some word on, as the contract sets it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    d = docs.select("doc_id", "text", words.alias("_w"), F.floor(h / 10).alias("_g")).withColumn("_n", F.size("_w"))
+    d = d.withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+    d = d.withColumn("_p", (1 + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8))).cast("int"))
+    a, p = F.col("_a"), F.col("_p")
+    again = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.get("_w", F.when(i < a, i).otherwise(a + (i - a) % p)))
+    return d.select("doc_id", F.when(F.col("_n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+_OP11_SQL = r"""
+WITH c AS (
+  SELECT doc_id, coalesce(text, '') AS text, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    [ascii(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')]),
+    lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN (x & 1) = 1 THEN xor(x >> 1, 3988292384) ELSE (x >> 1) END))) AS h
+  FROM documents),
+w0 AS (SELECT doc_id, h, h // 10 AS g, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM c),
+w1 AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN g % len(w) ELSE 0 END AS a FROM w0),
+w2 AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM w1),
+w3 AS (SELECT doc_id, n, unnest(range(n)) AS i, w, h, a, p FROM w2),
+t AS (SELECT doc_id, n, i, w[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM w3),
+eq AS (SELECT y.doc_id, y.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i AND 4 * (y.i - x.i) <= y.n),
+isl AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM eq),
+st AS (SELECT doc_id, q, min(i) - q AS start, count(*) + q AS length FROM isl GROUP BY doc_id, q, k),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM st WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS body FROM t ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id),
+best AS (
+  SELECT x.doc_id, x.start, x.length, x.period FROM r x
+  WHERE NOT EXISTS (FROM r y WHERE y.doc_id = x.doc_id AND (y.length * x.period > x.length * y.period
+    OR (y.length * x.period = x.length * y.period AND (y.start, y.period) < (x.start, x.period))))),
+s AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+  (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@_query("op11_periodic_runs", _OP11_SQL)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(_looped(table(spark, sf_dir, "documents")))
+    found = found.withColumn("best", periodic_runs.strongest())
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
