@@ -77,8 +77,7 @@ def earlier_occurrences(words: np.ndarray, room: np.ndarray) -> tuple[np.ndarray
         size *= 2
         if size > DENSE:
             some = np.arange(n) if some is None else some
-            # a run of such a lag has over REPEATS * size / 2 words
-            some = some[room[some] >= 2 * size - 1]
+            some = some[room[some] >= size - 1]
         if n > size // 2:
             longer = np.zeros(n, dtype=np.uint64)
             longer[size // 2:] = mix64(gram[size // 2:] * _GRAM + gram[:-(size // 2)])
