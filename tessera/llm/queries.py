@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, embed_dedup, jaccard_join, language_id, license_scan, lm_score, periodic_runs, quality, suffix_dedup, url_filter
+from tessera.llm import bpe, decontaminate, embed_dedup, jaccard_join, language_id, license_scan, lm_score, periodic_runs, quality, segment_search, suffix_dedup, token_alignment, url_filter
 from tessera.llm.url_filter import Rule
 from tessera.sources.tables import table
 
@@ -306,3 +306,32 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
                         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
                         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+# ------------------------------------------------------------------ 12: token alignment
+
+@_query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = vocabulary_path("piece_bpe_32k.model")
+    tokenizers = token_alignment.share(spark, vocabulary_path("byte_bpe_50k.json"), b)
+    out = token_alignment.align(table(spark, sf_dir, "documents"), tokenizers, token_alignment.vocabulary_size(b))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+# ------------------------------------------------------------------ 13: exact top-k search
+
+_OP13_SQL = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@_query("op13_exact_topk", _OP13_SQL)
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
