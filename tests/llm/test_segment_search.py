@@ -91,6 +91,6 @@ def test_edge_cases(spark):
 
 def test_few_rows_and_empty_tables(spark):
     assert found(spark, [(50, [1.0, 2.0])]) == []
-    assert found(spark, [(50, [1.0, 2.0]), (51, [1.0, -2.0])]) == [(50, 1, 51, -768)]
+    assert found(spark, [(50, [1.0, 2.0]), (51, [1.0, -2.0])]) == [(50, 1, 51, -196608)]
     assert found(spark, [(51, [1.0, 2.0])]) == []
     assert found(spark, []) == []
