@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from hashlib import sha256
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Texts, give_back, list_array, materialise, offsets_of, small
+from tessera.llm.common import Texts, give_back, list_array, materialise, offsets_of, ranges, small
 
-CACHE_UNITS = 100_000       # units a worker keeps from block to block
-CACHE_CHARS = 64            # of a unit that is kept, at most
+
+KEPT_UNITS = 100_000        # units a worker keeps from block to block, in each of two generations
+KEPT_CHARS = 64             # of a unit that is kept, at most
+ENCODED = 2048              # units encoded as one text
 
 #: A unit: spaces, then no space behind other than white space; the last one has the spaces at the end.
 UNIT = re.compile(r" *(?:\S+|[^\S ] *)+(?: +\Z)?|\A +\Z")
@@ -70,20 +73,51 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-@dataclass
-class Unit:
+class Unit(NamedTuple):
     """Tokens of a unit: ids and byte ends of both sides, byte ends of the groups, the links as
-    id pairs (a * |B| + b) and the groups written out. ``good``: both sides have its bytes."""
+    id pairs (a * |B| + b), all as 64-bit integers, and the groups written out. ``good``: both
+    sides have its bytes."""
     good: bool
-    a: list[int]
-    a_ends: list[int]
-    b: list[int]
-    b_ends: list[int]
-    group_ends: list[int]
-    links: list[int]
+    a: bytes
+    a_ends: bytes
+    b: bytes
+    b_ends: bytes
+    group_ends: bytes
+    links: bytes
     text: bytes
 
 
+def joined(parts) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all parts and the size of each."""
+    parts = list(parts)
+    return np.frombuffer(b"".join(parts), dtype=np.int64), np.array([len(p) for p in parts], dtype=np.int64) // 8
+
+
+class Side:
+    """Bytes and decimal digits of one side's ids."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.start = offsets_of(self.size)[:-1]
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        text = [str(i) + " " for i in range(len(tokens))]       # the last place is for what follows
+        width = len(text[-1])
+        self.digits = np.frombuffer("".join(t.rjust(width) for t in text).encode(), dtype=np.uint8).reshape(-1, width)
+        self.length = np.array([len(t) for t in text], dtype=np.int64)
+
+    def spans(self, ids: np.ndarray, coarse: np.ndarray, holds: np.ndarray, data: np.ndarray):
+        """Ids, byte ends, and whether the tokens have the text's bytes. A coarse end that
+        doesn't hold is that of the token before and the token's own bytes."""
+        total = np.cumsum(self.size[ids])
+        held = np.maximum.accumulate(np.where(holds, np.arange(len(ids)), -1))
+        before = held >= 0
+        ends = np.where(before, coarse[held] - total[held], 0) + total
+        same = int(self.size[ids].sum()) == len(data) and bool((self.bytes[ranges(self.start[ids], self.size[ids])] == data).all())
+        if same and (ends != total).any():
+            raise ValueError("spans and bytes of the tokens don't agree")
+        return ids, ends, same
+
+
 class Aligner:
     """The two tokenizers of a worker."""
 
@@ -105,68 +139,91 @@ class Aligner:
             raise ValueError("a vocabulary has an entry with a space behind other than white space")
         if [(p.begin, p.end) for p in self.b.encode("é", return_type="proto").pieces][-1] != (0, 2):
             raise ValueError("sentencepiece spans are expected in bytes")
-        self.cache: dict[str, Unit] = {}
-
-    def a_cuts(self, unit: str, data: bytes, encoding) -> tuple[list[int], list[int]]:
-        """Ids and byte ends. An offset that a later token's range begins at or after is a cut;
-        tokens within one character end where their bytes do."""
-        ids, spans = encoding.ids, encoding.offsets
-        at = range(len(unit) + 1) if len(data) == len(unit) else [0, *np.cumsum([len(c.encode()) for c in unit]).tolist()]
-        ends, end = [], 0
-        for k, i in enumerate(ids):
-            coarse = spans[k][1]
-            if k + 1 == len(ids) or spans[k + 1][0] >= coarse:
-                end = at[coarse]
-            else:
-                end += len(self.a_bytes[i])
-            ends.append(end)
-        return ids, ends
-
-    def b_cuts(self, proto) -> tuple[list[int], list[int]]:
-        """Ids and byte ends behind the space that B adds. Spans are the cuts, but a character's
-        bytes (all of them carry the character's place) end one by one."""
-        ids, ends, end = [], [], 0
-        for piece in proto.pieces:
-            i = piece.id
-            end = end + 1 if self.b_byte[i] else piece.end + 1
-            ids.append(i)
-            ends.append(end)
-        return ids, ends
-
-    def align(self, unit: str, encoding, proto) -> Unit:
-        data = unit.encode()
-        a, a_ends = self.a_cuts(unit, data, encoding)
-        b, b_ends = self.b_cuts(proto)
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != data or b"".join(b_parts) != data:
-            return Unit(False, [], [], [], [], [], [], b"")
-        if a_ends != np.cumsum([len(x) for x in a_parts]).tolist() or b_ends != np.cumsum([len(x) for x in b_parts]).tolist():
-            raise ValueError(f"spans and bytes of the tokens of {unit!r} don't agree")
-        width = len(self.b_bytes)
-        links, cuts, parts = [], [], []
-        i = j = i0 = j0 = 0
-        while i < len(a):
-            links.append(a[i] * width + b[j])
-            ea, eb = a_ends[i], b_ends[j]
-            i += ea <= eb
-            j += eb <= ea
-            if ea == eb:
-                cuts.append(ea)
-                parts.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-                i0, j0 = i, j
-        return Unit(True, a, a_ends, b, b_ends, cuts, links, ";".join(parts).encode())
+        self.a_side = Side([self.a_bytes.get(i, b"") for i in range(max(self.a_bytes) + 1)])
+        self.b_side = Side(self.b_bytes)
+        self.b_byte = np.array(self.b_byte)
+        self.kept: dict[str, Unit] = {}      # two generations of units
+        self.older: dict[str, Unit] = {}
+
+    def a_tokens(self, text: str, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, coarse byte ends, and which of them hold: an offset ends a token unless the next
+        token begins before it, in the same character. ``at``: byte of each character."""
+        found = self.a.encode(text, add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.int64)
+        spans = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)
+        return ids, at[spans[:, 1]], np.append(spans[1:, 0] >= spans[:-1, 1], np.ones(min(1, len(ids)), dtype=bool))
+
+    def b_tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of B, which puts the first space itself: spans hold but for a character's bytes."""
+        pieces = self.b.encode(text[1:], return_type="proto").pieces
+        ids = np.array([p.id for p in pieces], dtype=np.int64)
+        return ids, np.array([p.end for p in pieces], dtype=np.int64) + 1, ~self.b_byte[ids]
+
+    def encode(self, units: list[str]) -> list[Unit]:
+        """Units encoded as one text, which is cut between them; where the tokens don't give the
+        text's bytes, by halves."""
+        text = "".join(units)
+        data = text.encode()
+        raw = np.frombuffer(data, dtype=np.uint8)
+        bounds = offsets_of(np.array([len(u.encode()) for u in units]))
+        a, a_ends, a_same = self.a_side.spans(*self.a_tokens(text, np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))), raw)
+        b, b_ends, b_same = self.b_side.spans(*self.b_tokens(text), raw)
+        if not (a_same and b_same and np.isin(bounds[1:], a_ends).all() and np.isin(bounds[1:], b_ends).all()):
+            if len(units) == 1:
+                return [Unit(False, b"", b"", b"", b"", b"", b"", b"")]
+            half = len(units) // 2
+            return self.encode(units[:half]) + self.encode(units[half:])
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        # each stretch between neighbouring ends lies in one token of either side: a link
+        steps = np.union1d(a_ends, b_ends)
+        links = a[np.searchsorted(a_ends, steps)] * len(self.b_bytes) + b[np.searchsorted(b_ends, steps)]
+        written, text_ends = self.written(a, a_ends, b, b_ends, cuts)
+        columns = []
+        for ends, values in ((a_ends, a), (a_ends, None), (b_ends, b), (b_ends, None), (cuts, None), (steps, links)):
+            stop = np.searchsorted(ends, bounds[1:], side="right")
+            start = np.append(0, stop[:-1])
+            if values is None:
+                values = ends - np.repeat(bounds[:-1], stop - start)
+            columns.append((np.ascontiguousarray(values).tobytes(), (8 * start).tolist(), (8 * stop).tolist()))
+        stop = text_ends[np.searchsorted(cuts, bounds[1:])].tolist()
+        columns.append((written, [0, *(x + 1 for x in stop[:-1])], stop))
+        return [Unit(True, *parts) for parts in zip(*([body[i:j] for i, j in zip(lo, hi)] for body, lo, hi in columns))]
+
+    def written(self, a, a_ends, b, b_ends, cuts) -> tuple[bytes, np.ndarray]:
+        """All groups written out, and the end of each group's text."""
+        ga, gb = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)      # group of each token
+        place_a = np.arange(len(a)) + np.searchsorted(gb, ga)                      # behind B's of earlier groups
+        place_b = np.arange(len(b)) + np.searchsorted(ga, gb, side="right")        # behind A's up to its group
+        digits, n = self.a_side.digits, len(a) + len(b)
+        width = max(digits.shape[1], self.b_side.digits.shape[1])
+        rows, used = np.zeros((n, width), dtype=np.uint8), np.zeros(n, dtype=np.int64)
+        for place, ids, ends, side, last in ((place_a, a, a_ends, self.a_side, ord("|")), (place_b, b, b_ends, self.b_side, ord(";"))):
+            rows[place, width - side.digits.shape[1]:] = side.digits[ids]
+            rows[place, -1] = np.where(cuts[np.searchsorted(cuts, ends)] == ends, last, ord(","))
+            used[place] = side.length[ids]
+        body = rows[np.arange(width) >= width - used[:, None]]
+        ends = np.cumsum(used)[np.searchsorted(gb, np.arange(len(cuts)), side="right") + np.searchsorted(ga, np.arange(len(cuts)), side="right") - 1]
+        return body.tobytes(), ends - 1
 
     def units(self, texts: list[str]) -> list[Unit]:
-        """Of each unit, its tokens: from the cache, or encoded now."""
-        found = [self.cache.get(u) for u in texts]
-        new = [u for u, f in zip(texts, found) if f is None]
-        if new:
-            made = dict(zip(new, map(self.align, new, self.a.encode_batch(new, add_special_tokens=False),
-                                     self.b.encode([u[1:] for u in new], return_type="proto", num_threads=1))))
-            found = [made[u] if f is None else f for u, f in zip(texts, found)]
-            if len(self.cache) + len(made) > CACHE_UNITS:
-                self.cache.clear()
-            self.cache.update((u, f) for u, f in list(made.items())[:CACHE_UNITS] if len(u) <= CACHE_CHARS)
+        """Of each unit, its tokens: kept ones, or encoded now."""
+        found: list[Unit | None] = []
+        for u in texts:
+            f = self.kept.get(u)
+            if f is None and (f := self.older.get(u)) is not None:
+                self.kept[u] = f
+            found.append(f)
+        # white space at the end belongs to the end of a text: nothing may follow it
+        new = [i for i, f in enumerate(found) if f is None]
+        alone = [i for i in new if texts[i][-1].isspace() or len(texts[i]) > ENCODED]
+        others = [i for i in new if not (texts[i][-1].isspace() or len(texts[i]) > ENCODED)]
+        for at in [*([i] for i in alone), *(others[lo:lo + ENCODED] for lo in range(0, len(others), ENCODED))]:
+            for i, f in zip(at, self.encode([texts[i] for i in at])):
+                found[i] = f
+                if len(texts[i]) <= KEPT_CHARS:
+                    self.kept[texts[i]] = f
+            if len(self.kept) >= KEPT_UNITS:
+                self.kept, self.older = {}, self.kept
         return found
 
 
@@ -226,13 +283,11 @@ def _encode(shared, digest: bool):
         aligner, made = _aligner(shared), TaskContext.get().partitionId() << 32
         for batch in small(batches):
             block = Block(aligner, batch.column("text").to_pylist())
-            links = [u.links for u in block.units]
-            per_unit = np.array([len(x) for x in links], dtype=np.int64)
-            keys, of_link = np.unique(np.array([k for x in links for k in x], dtype=np.int64), return_inverse=True)
-            times = np.bincount(block.flat, minlength=len(links))
+            links, per_unit = joined(u.links for u in block.units)
+            keys, of_link = np.unique(links, return_inverse=True)
+            times = np.bincount(block.flat, minlength=len(per_unit))
             count = np.bincount(of_link, weights=np.repeat(times, per_unit), minlength=len(keys)).astype(np.int64)
-            figures = [block.totals([len(x) for x in column]) for column in zip(*((u.a, u.b, u.group_ends, u.links) for u in block.units))] \
-                if block.units else [np.zeros(batch.num_rows, dtype=np.int64)] * len(_FIGURES)
+            figures = [block.totals([len(getattr(u, c)) // 8 for u in block.units]) for c in ("a", "b", "group_ends", "links")]
             groups = [block.written(r) for r in block.rows]
             groups = [(sha256(g).hexdigest() if digest else g.decode()) if len(r) else "" for g, r in zip(groups, block.rows)]
             n = batch.num_rows
@@ -321,10 +376,10 @@ def _spans(shared):
             columns = {c: [] for c in _SPAN}
             for row in block.rows:
                 units = [block.units[u] for u in row.tolist()]
-                base = offsets_of(np.array([u.a_ends[-1] for u in units], dtype=np.int64))
+                size = np.array([np.frombuffer(u.a_ends[-8:], np.int64)[0] for u in units], dtype=np.int64)
                 for name, of in zip(_SPAN, ("a", "a_ends", "b", "b_ends", "group_ends")):
-                    ends = name.endswith("_ends")
-                    columns[name].append([x + int(o) * ends for u, o in zip(units, base) for x in getattr(u, of)])
+                    values, n = joined(getattr(u, of) for u in units)
+                    columns[name].append(values + np.repeat(offsets_of(size)[:-1], n) if name.endswith("_ends") else values)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(columns[c], pa.list_(pa.int64())) for c in _SPAN)], ["doc_id", *_SPAN])
         give_back()
     return run
