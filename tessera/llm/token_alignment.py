@@ -32,7 +32,6 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from hashlib import sha256
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +42,7 @@ from pyspark.sql import types as T
 from tessera.llm.common import Texts, give_back, list_array, materialise, offsets_of, ranges, small
 
 
-KEPT_UNITS = 100_000        # units a worker keeps from block to block, in each of two generations
+KEPT_UNITS = 100_000        # units a worker keeps from block to block, about (or a block's repeated ones)
 KEPT_CHARS = 64             # of a unit that is kept, at most
 ENCODED = 2048              # units encoded as one text
 
@@ -73,18 +72,11 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Unit(NamedTuple):
-    """Tokens of a unit: ids and byte ends of both sides, byte ends of the groups, the links as
-    id pairs (a * |B| + b), all as 64-bit integers, and the groups written out. ``good``: both
-    sides have its bytes."""
-    good: bool
-    a: bytes
-    a_ends: bytes
-    b: bytes
-    b_ends: bytes
-    group_ends: bytes
-    links: bytes
-    text: bytes
+#: Places of a unit's tuple: whether both sides have its bytes; ids and byte ends of both sides,
+#: byte ends of the groups and the links as id pairs (a * |B| + b), as bytes of 64-bit integers;
+#: the groups written out.
+GOOD, A, A_ENDS, B, B_ENDS, GROUP_ENDS, LINKS, TEXT = range(8)
+_BAD = (False, b"", b"", b"", b"", b"", b"", b"")
 
 
 def joined(parts) -> tuple[np.ndarray, np.ndarray]:
@@ -142,8 +134,7 @@ class Aligner:
         self.a_side = Side([self.a_bytes.get(i, b"") for i in range(max(self.a_bytes) + 1)])
         self.b_side = Side(self.b_bytes)
         self.b_byte = np.array(self.b_byte)
-        self.kept: dict[str, Unit] = {}      # two generations of units
-        self.older: dict[str, Unit] = {}
+        self.kept: dict[str, tuple] = {}
 
     def a_tokens(self, text: str, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, coarse byte ends, and which of them hold: an offset ends a token unless the next
@@ -159,7 +150,7 @@ class Aligner:
         ids = np.array([p.id for p in pieces], dtype=np.int64)
         return ids, np.array([p.end for p in pieces], dtype=np.int64) + 1, ~self.b_byte[ids]
 
-    def encode(self, units: list[str]) -> list[Unit]:
+    def encode(self, units: list[str]) -> list[tuple]:
         """Units encoded as one text, which is cut between them; where the tokens don't give the
         text's bytes, by halves."""
         text = "".join(units)
@@ -170,7 +161,7 @@ class Aligner:
         b, b_ends, b_same = self.b_side.spans(*self.b_tokens(text), raw)
         if not (a_same and b_same and np.isin(bounds[1:], a_ends).all() and np.isin(bounds[1:], b_ends).all()):
             if len(units) == 1:
-                return [Unit(False, b"", b"", b"", b"", b"", b"", b"")]
+                return [_BAD]
             half = len(units) // 2
             return self.encode(units[:half]) + self.encode(units[half:])
         cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
@@ -178,16 +169,17 @@ class Aligner:
         steps = np.union1d(a_ends, b_ends)
         links = a[np.searchsorted(a_ends, steps)] * len(self.b_bytes) + b[np.searchsorted(b_ends, steps)]
         written, text_ends = self.written(a, a_ends, b, b_ends, cuts)
-        columns = []
+        columns = [[True] * len(units)]
         for ends, values in ((a_ends, a), (a_ends, None), (b_ends, b), (b_ends, None), (cuts, None), (steps, links)):
             stop = np.searchsorted(ends, bounds[1:], side="right")
             start = np.append(0, stop[:-1])
             if values is None:
                 values = ends - np.repeat(bounds[:-1], stop - start)
-            columns.append((np.ascontiguousarray(values).tobytes(), (8 * start).tolist(), (8 * stop).tolist()))
-        stop = text_ends[np.searchsorted(cuts, bounds[1:])].tolist()
-        columns.append((written, [0, *(x + 1 for x in stop[:-1])], stop))
-        return [Unit(True, *parts) for parts in zip(*([body[i:j] for i, j in zip(lo, hi)] for body, lo, hi in columns))]
+            body = np.ascontiguousarray(values).tobytes()
+            columns.append([body[i:j] for i, j in zip((8 * start).tolist(), (8 * stop).tolist())])
+        stop = text_ends[np.searchsorted(cuts, bounds[1:])]
+        columns.append([written[i:j] for i, j in zip(np.append(0, stop[:-1] + 1).tolist(), stop.tolist())])
+        return list(zip(*columns))
 
     def written(self, a, a_ends, b, b_ends, cuts) -> tuple[bytes, np.ndarray]:
         """All groups written out, and the end of each group's text."""
@@ -205,27 +197,24 @@ class Aligner:
         ends = np.cumsum(used)[np.searchsorted(gb, np.arange(len(cuts)), side="right") + np.searchsorted(ga, np.arange(len(cuts)), side="right") - 1]
         return body.tobytes(), ends - 1
 
-    def units(self, texts: list[str]) -> list[Unit]:
+    def units(self, texts: list[str]) -> list[tuple]:
         """Of each unit, its tokens: kept ones, or encoded now."""
-        found: list[Unit | None] = []
-        for u in texts:
-            f = self.kept.get(u)
-            if f is None and (f := self.older.get(u)) is not None:
-                self.kept[u] = f
-            found.append(f)
-        # white space at the end belongs to the end of a text: nothing may follow it
+        found = list(map(self.kept.get, texts))
         new = [i for i, f in enumerate(found) if f is None]
-        alone = [i for i in new if texts[i][-1].isspace() or len(texts[i]) > ENCODED]
-        others = [i for i in new if not (texts[i][-1].isspace() or len(texts[i]) > ENCODED)]
+        # white space at the end belongs to the end of a text: nothing may follow it
+        alone = {i for i in new if texts[i][-1].isspace() or len(texts[i]) > ENCODED}
+        others = [i for i in new if i not in alone]
         for at in [*([i] for i in alone), *(others[lo:lo + ENCODED] for lo in range(0, len(others), ENCODED))]:
             for i, f in zip(at, self.encode([texts[i] for i in at])):
                 found[i] = f
-                if len(texts[i]) <= KEPT_CHARS:
-                    self.kept[texts[i]] = f
-            if len(self.kept) >= KEPT_UNITS:
-                self.kept, self.older = {}, self.kept
         return found
 
+    def keep(self, units: dict[str, tuple]) -> None:
+        """Units for the blocks to come; those of the last block alone where they get too many."""
+        if len(self.kept) + len(units) > KEPT_UNITS:
+            self.kept = {}
+        self.kept.update(units)
+
 
 _ALIGNERS: dict[int, Aligner] = {}
 
@@ -242,20 +231,31 @@ def _aligner(shared) -> Aligner:
     return _ALIGNERS[key]
 
 
+class Numbers(dict):
+    """Numbers the keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+
 class Block:
-    """Some texts as numbers of their distinct units."""
+    """Some texts as numbers of their distinct units; ``units`` holds each one's tuple."""
 
     def __init__(self, aligner: Aligner, texts: list[str | None]):
-        number: dict[str, int] = {}
+        number = Numbers()
         rows = []
         for t in texts:
-            rows.append(np.array([number.setdefault(u, len(number)) for u in UNIT.findall(" " + t)] if t else [], dtype=np.int64))
-        self.units = aligner.units(list(number))
-        good = np.array([u.good for u in self.units], dtype=bool)
-        self.rows = [r if good[r].all() else r[:0] for r in rows]
+            mine = UNIT.findall(" " + t) if t else []
+            rows.append(np.fromiter(map(number.__getitem__, mine), dtype=np.int64, count=len(mine)))
+        names = list(number)
+        self.units = aligner.units(names)
+        good = np.array([u[GOOD] for u in self.units], dtype=bool)
+        every = np.bincount(np.concatenate([*rows, np.zeros(0, dtype=np.int64)]), minlength=len(names))
+        aligner.keep({names[i]: self.units[i] for i in np.flatnonzero(every > 1).tolist() if len(names[i]) <= KEPT_CHARS})
+        self.rows = rows if good.all() else [r if good[r].all() else r[:0] for r in rows]
         self.sizes = np.array([len(r) for r in self.rows], dtype=np.int64)
         self.flat = np.concatenate([*self.rows, np.zeros(0, dtype=np.int64)])
-        self.owner = np.repeat(np.arange(len(rows)), self.sizes)
 
     def totals(self, of_unit) -> np.ndarray:
         """Of each text, the sum of a figure of its units."""
@@ -263,7 +263,7 @@ class Block:
         return sums(values[self.flat] if len(self.flat) else self.flat, offsets_of(self.sizes))
 
     def written(self, row: np.ndarray) -> bytes:
-        return b";".join([self.units[u].text for u in row.tolist()])
+        return b";".join([self.units[u][TEXT] for u in row.tolist()])
 
 
 def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -283,11 +283,11 @@ def _encode(shared, digest: bool):
         aligner, made = _aligner(shared), TaskContext.get().partitionId() << 32
         for batch in small(batches):
             block = Block(aligner, batch.column("text").to_pylist())
-            links, per_unit = joined(u.links for u in block.units)
+            links, per_unit = joined(u[LINKS] for u in block.units)
             keys, of_link = np.unique(links, return_inverse=True)
             times = np.bincount(block.flat, minlength=len(per_unit))
             count = np.bincount(of_link, weights=np.repeat(times, per_unit), minlength=len(keys)).astype(np.int64)
-            figures = [block.totals([len(getattr(u, c)) // 8 for u in block.units]) for c in ("a", "b", "group_ends", "links")]
+            figures = [block.totals([len(u[c]) // 8 for u in block.units]) for c in (A, B, GROUP_ENDS, LINKS)]
             groups = [block.written(r) for r in block.rows]
             groups = [(sha256(g).hexdigest() if digest else g.decode()) if len(r) else "" for g, r in zip(groups, block.rows)]
             n = batch.num_rows
@@ -376,9 +376,9 @@ def _spans(shared):
             columns = {c: [] for c in _SPAN}
             for row in block.rows:
                 units = [block.units[u] for u in row.tolist()]
-                size = np.array([np.frombuffer(u.a_ends[-8:], np.int64)[0] for u in units], dtype=np.int64)
-                for name, of in zip(_SPAN, ("a", "a_ends", "b", "b_ends", "group_ends")):
-                    values, n = joined(getattr(u, of) for u in units)
+                size = np.array([np.frombuffer(u[A_ENDS][-8:], np.int64)[0] for u in units], dtype=np.int64)
+                for name, of in zip(_SPAN, (A, A_ENDS, B, B_ENDS, GROUP_ENDS)):
+                    values, n = joined(u[of] for u in units)
                     columns[name].append(values + np.repeat(offsets_of(size)[:-1], n) if name.endswith("_ends") else values)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(columns[c], pa.list_(pa.int64())) for c in _SPAN)], ["doc_id", *_SPAN])
         give_back()

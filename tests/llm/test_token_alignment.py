@@ -94,10 +94,10 @@ def test_units_are_cut_where_both_tokenizers_cut(plain):
         block = ta.Block(aligner, [text])
         a, b, groups, links = whole(plain, text)
         units = [block.units[u] for u in block.rows[0].tolist()]
-        got = {c: ta.joined(getattr(u, c) for u in units)[0].tolist() for c in ("a", "b", "links")}
-        assert got["a"] == a and got["b"] == b, repr(text)
+        got = {c: ta.joined(u[c] for u in units)[0].tolist() for c in (ta.A, ta.B, ta.LINKS)}
+        assert got[ta.A] == a and got[ta.B] == b, repr(text)
         assert block.written(block.rows[0]).decode() == written(groups)
-        assert sorted(got["links"]) == sorted(i * WIDTH + j for i, j in links)
+        assert sorted(got[ta.LINKS]) == sorted(i * WIDTH + j for i, j in links)
 
 
 def test_against_brute_force(spark, plain):
