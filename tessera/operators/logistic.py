@@ -14,6 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.sparse_rows import sum_over
+
 
 def sigmoid(s: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
@@ -86,3 +88,38 @@ def gradient_and_loglik(df: DataFrame, features: list[Column], label: Column, w)
     r = df.agg(*[F.sum(err * x).alias(f"g{j}") for j, x in enumerate(xs)],
                F.sum(loglik_expr(s, ind)).alias("ll")).collect()[0]
     return np.array([r[f"g{j}"] for j in range(len(xs))]), r["ll"]
+
+
+def _sigmoid(s: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(s, -700, None)))
+
+
+def _add_gradient(total: np.ndarray, block, w: np.ndarray) -> None:
+    """Gradient by column (all rows but the last) and log likelihood (last row), by model. The
+    block's ``extra`` is 1 for the positive class, else 0."""
+    s, ind = block.dot(w), block.extra[:, None]
+    err = ind - _sigmoid(s)
+    for m in range(w.shape[1]):
+        total[:-1, m] += np.bincount(block.cols, weights=block.vals * err[block.row, m], minlength=len(w))
+    log1p = np.where(s < -30, -s, np.log1p(np.exp(-np.maximum(s, -30))))
+    total[-1] += ((ind - 1.0) * s - log1p).sum(axis=0)
+
+
+def sparse_ascent(blocks: DataFrame, d: int, models: list[tuple[float, float, int]]):
+    """Batch gradient ascent over packed sparse rows (``sparse_rows.pack``; column 0 is the
+    intercept, ``extra`` the indicator of the positive class) for many (step, l2, iterations)
+    at once: one pass per iteration, whose gradients are added up as arrays in the tasks.
+    Returns the weights (d, models) and the penalised log likelihood at them."""
+    w = np.zeros((d, len(models)))
+    step, l2, iterations = (np.array(x, dtype=float) for x in zip(*models))
+    loglik = np.zeros(len(models))
+    free = np.arange(d)[:, None] > 0
+    tasks = blocks.rdd.getNumPartitions()
+    for it in range(int(iterations.max()) + 1):
+        at = np.flatnonzero(iterations >= it)           # the last pass of a model gives its likelihood
+        total = sum_over(blocks, w[:, at], (d + 1, len(at)), _add_gradient, tasks)
+        done = iterations[at] == it
+        loglik[at[done]] = total[-1, done] - l2[at[done]] * (w[1:, at[done]] ** 2).sum(axis=0)
+        go = at[~done]
+        w[:, go] += step[go] * (total[:-1, ~done] - 2 * l2[go] * w[:, go] * free)
+    return w, loglik

@@ -12,3 +12,4 @@ from tessera.plans import topic_queries  # noqa: F401
 from tessera.plans import model_queries  # noqa: F401
 from tessera.plans import text_cluster_queries  # noqa: F401
 from tessera.plans import search_queries  # noqa: F401
+from tessera.plans import word_logistic_queries  # noqa: F401

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -89,3 +90,28 @@ def cut_lineage(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder the cluster names in ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df, name: str, partition_by: tuple[str, ...] = ()):
+    """``df`` as a table in the shared folder: a cut of the lineage that columns can be pruned
+    from. ``forget`` deletes it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def forget(*tables) -> None:
+    """Delete tables of ``written`` that nothing lazy reads any more."""
+    for t in tables:
+        path = getattr(t, "_scratch_path", None)
+        if path:
+            spark = t.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
