@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.relational import with_row_index
+from tessera.operators.text_features import idf_table, word_counts
+from tessera.session import cut_lineage, written
 
 BLOCK_ENTRIES = 1 << 18     # entries of a block, about (one row at least)
 MODEL_BYTES = 256 << 20     # of a model that is broadcast, and of a task's sum
@@ -90,18 +92,33 @@ def unpacked(batches) -> Iterator[Block]:
                         np.frombuffer(vals, np.float64), np.frombuffer(extra, np.float64))
 
 
-def vocabulary(weights: DataFrame) -> DataFrame:
-    """(word, number): dense numbers, the words of most rows first (so that a block's entries
-    meet few parts of a model)."""
-    df = weights.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    return with_row_index(df, [F.desc("df"), F.col("word")], "number").select("word", F.col("number").cast("int").alias("number"))
-
-
-def long_to_rows(weights: DataFrame, words: DataFrame, id_col: str, weight: str) -> DataFrame:
-    """Long form (id, word, weight) -> one row per id, columns in the order of their numbers."""
-    entry = F.struct("number", F.col(weight).cast("double").alias("v"))
-    rows = weights.join(words, "word").groupBy(F.col(id_col).alias("id")).agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    return rows.select("id", F.col("e.number").alias("cols"), F.col("e.v").alias("vals"), F.lit(0.0).alias("extra"))
+def tfidf_rows(docs: DataFrame, id_col: str, text_col: str = "text", unit: bool = True) -> tuple[DataFrame, DataFrame]:
+    """TF-IDF of a corpus as rows (id, cols, vals, extra), scaled to unit norm if asked, and its
+    vocabulary (word, idf, number), both written to the shared folder. Words are numbered from
+    the most frequent on, so that a block's entries meet few parts of a model; words of every
+    document have weight 0 and no number, documents without any weighted word no row."""
+    counts = cut_lineage(word_counts(docs, id_col, text_col))
+    words = with_row_index(idf_table(counts, docs.count()), [F.col("idf"), F.col("word")], "number")
+    words = written(words.withColumn("number", F.col("number").cast("int")), "vocabulary")
+    entry = F.struct("number", (F.col("count") * F.col("idf")).alias("v"))
+    rows = (counts.join(words, "word").groupBy(F.col(id_col).cast("bigint").alias("id"))
+            .agg(F.sort_array(F.collect_list(entry)).alias("e")).select("id", F.col("e.number").alias("cols"), F.col("e.v").alias("vals")))
+    if unit:
+        rows = rows.withColumn("_n", F.sqrt(F.aggregate("vals", F.lit(0.0), lambda a, v: a + v * v)))
+        rows = rows.where("_n > 0").select("id", "cols", F.transform("vals", lambda v: v / F.col("_n")).alias("vals"))
+    return written(rows.withColumn("extra", F.lit(0.0)), "tfidf"), words
+
+
+def count_rows(docs: DataFrame, id_col: str, without: list[str], text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Word counts of a corpus as rows (id, cols, vals, extra) without the given words, and the
+    vocabulary (word, df, number), both written to the shared folder."""
+    counts = cut_lineage(word_counts(docs, id_col, text_col).where(~F.col("word").isin(without)))
+    df = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    words = with_row_index(df, [F.desc("df"), F.col("word")], "number")
+    words = written(words.withColumn("number", F.col("number").cast("int")), "vocabulary")
+    rows = (counts.join(words, "word").groupBy(F.col(id_col).cast("bigint").alias("id"))
+            .agg(F.sort_array(F.collect_list(F.struct("number", F.col("count").cast("double").alias("v")))).alias("e")))
+    return written(rows.select("id", F.col("e.number").alias("cols"), F.col("e.v").alias("vals"), F.lit(0.0).alias("extra")), "counts"), words
 
 
 # ------------------------------------------------------------------ sums

@@ -6,18 +6,20 @@ formulation (LBFGS/OWLQN, GBT, LDA, k-means||), and searches that loop over fits
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
-                                       LogisticRegression)
-from pyspark.ml.clustering import LDA, BisectingKMeans, KMeans
+import pyarrow as pa
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import CountVectorizer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import bucket
 from tessera.functions.text import tokens
+from tessera.operators import gibbs_lda as LDA
 from tessera.operators import gmm as GM
 from tessera.operators import gram as G
 from tessera.operators import kmeans as KM
+from tessera.operators import sparse_rows as SR
 from tessera.operators.neighbors import topk_per_group
 from tessera.plans.classification_queries import dense_features, scored
 from tessera.plans.cluster_queries import xs, colours, gmm_start, init_centroids, vectors
@@ -26,7 +28,7 @@ from tessera.plans.regression_queries import LI_FEATURES, _normalised_system, li
 from tessera.plans.tree_queries import FEATURES as TREE_FEATURES
 from tessera.plans.tree_queries import tree_frame
 from tessera.registry import query
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, forget
 from tessera.sources.tables import Tables, spread
 
 
@@ -178,24 +180,6 @@ def tree_mllib(spark, sf_dir):
     return spark.createDataFrame(out, "max_depth bigint, split string, accuracy double, n_nodes bigint")
 
 
-@query("gbt_staged", rows=("C29",))
-def gbt_staged(spark, sf_dir):
-    """Gradient-boosted trees: one fit of 50 trees; classification error after every number of
-    trees on train and test, in one pass over the trees' running margins (no refit per size)."""
-    d = _tree_vectors(spark, sf_dir).persist()
-    m = GBTClassifier(maxIter=50, maxDepth=3, seed=1).fit(d.where(F.col("split") == "train"))
-    staged, margin, wrong = d, F.lit(0.0), []
-    for i, (tree, w) in enumerate(zip(m.trees, m.treeWeights)):
-        staged = tree.setPredictionCol(f"t{i}").transform(staged)
-        margin = margin + F.lit(float(w)) * F.col(f"t{i}")
-        wrong.append(F.avg(((margin > 0).cast("double") != F.col("label")).cast("double")).alias(str(i)))
-    errors = {r["split"]: r for r in staged.groupBy("split").agg(*wrong).collect()}
-    d.unpersist()
-    rows = [(i + 1, *[float(errors[s][str(i)]) if s in errors else None for s in ("train", "test")])
-            for i in range(len(m.trees))]
-    return spark.createDataFrame(rows, "n_trees bigint, train_error double, test_error double")
-
-
 @query("kmeans_seeds", rows=("K6", "K8"))
 def kmeans_seeds(spark, sf_dir):
     """Lloyd k-means (k = 5, until no row changes) from seven hash-chosen starts: final
@@ -245,47 +229,49 @@ def gmm_fit(spark, sf_dir):
     return spark.createDataFrame([(it, float(ll)) for it, ll in trace], "iteration bigint, loglik double")
 
 
-def _lda_input(spark, sf_dir):
-    """Stop-word-trimmed bags of words of all documents as count vectors over the whole vocabulary. Splitting and
-    removal (empty pieces and stop words via ``StopWordsRemover``) stay JVM-side."""
-    from pyspark.ml.feature import StopWordsRemover
-    from tessera.functions.text import WHITESPACE
-    docs = Tables(spark, sf_dir).documents
-    d = spread(docs.select("doc_id", "text")).select("doc_id", F.split(F.lower("text"), WHITESPACE).alias("pieces"))
-    d = StopWordsRemover(inputCol="pieces", outputCol="words", stopWords=STOP_WORDS + [""],
-                         caseSensitive=True).transform(d)
-    cv = CountVectorizer(inputCol="words", outputCol="features", minDF=1.0, vocabSize=WHOLE).fit(d)
-    return cv.transform(d).select("doc_id", "features").persist(), cv.vocabulary
+TOPICS, SWEEPS, LOCAL_SWEEPS, DRAWS, BURN, LDA_SEED = 10, 200, 10, 100, 5, 1
+_PRIOR = LDA.Setting("default", 50 / TOPICS, 0.1)
+LDA_SETTINGS = [_PRIOR, LDA.Setting("low_alpha", 1.0, 0.1), LDA.Setting("high_alpha", 50.0, 0.1),
+                LDA.Setting("low_beta", 50 / TOPICS, 0.02), LDA.Setting("high_beta", 50 / TOPICS, 0.5)]
 
 
-def _lda(x, k, seed, alpha=None, beta=None):
-    lda = LDA(k=k, maxIter=20, seed=seed, optimizer="online")
-    if alpha is not None:
-        lda = lda.setDocConcentration([alpha] * k)
-    if beta is not None:
-        lda = lda.setTopicConcentration(beta)
-    return lda.fit(x)
+class Topics:
+    """A fit on the stop-word-trimmed counts of all documents over the whole vocabulary."""
 
+    def __init__(self, spark, sf_dir, settings):
+        self.docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+        self.rows, self.words = SR.count_rows(self.docs, "doc_id", STOP_WORDS)
+        self.settings, self.n_words = settings, self.words.count()
+        self.state, self.counts, self.trace = LDA.fit(self.rows, self.n_words, TOPICS, settings, SWEEPS, LOCAL_SWEEPS, LDA_SEED)
+        forget(self.rows)
 
-LDA_SETTINGS = [("default", None, None), ("low_alpha", 0.05, None), ("high_alpha", 5.0, None),
-                ("low_beta", None, 0.002), ("high_beta", None, 0.5)]
+    def of_documents(self, found, keys=("setting",)):
+        """Every document has a row: one without words has equal shares."""
+        every = self.docs.select("doc_id")
+        if keys:
+            every = every.withColumn("setting", F.explode(F.array(*[F.lit(s.name) for s in self.settings])))
+        even = F.array_repeat(F.lit(1.0 / TOPICS), TOPICS)
+        found = found.withColumnRenamed("id", "doc_id")
+        return every.join(found, ["doc_id", *keys], "left").withColumn("distribution", F.coalesce("distribution", even))
 
 
 @query("lda_fit", rows=("M1", "M5", "M7"))
 def lda_fit(spark, sf_dir):
-    """LDA (10 topics, online variational Bayes) at low and high concentrations of topics in a
-    document and of words in a topic: each document's topic distribution and its heaviest topic."""
-    x, _ = _lda_input(spark, sf_dir)
-    out = None
-    for name, a, b in LDA_SETTINGS:
-        t = _lda(x, 10, 1, a, b).transform(x).select("doc_id", vector_to_array("topicDistribution").alias("td"))
-        best = F.array_max(F.transform("td", lambda v, i: F.struct(v.alias("w"), (-i).alias("ni"))))
-        r = t.select(F.lit(name).alias("setting"), "doc_id", F.col("td").alias("distribution"),
-                     (-best["ni"]).cast("bigint").alias("topic"), best["w"].alias("weight"))
-        r = cut_lineage(r)        # materialised in the shared folder before the input is released
-        out = r if out is None else out.unionByName(r)
-    x.unpersist()
-    return out
+    """Topic model (10 topics, collapsed Gibbs sampling, 200 sweeps) at low and high concentrations of
+    topics in a document and of words in a topic, all settings in the same rounds: each document's
+    topic distribution and its heaviest topic."""
+    t = Topics(spark, sf_dir, LDA_SETTINGS)
+    found = t.of_documents(LDA.distributions(t.state, t.settings, TOPICS))
+    best = F.array_max(F.transform("distribution", lambda v, i: F.struct(v.alias("w"), (-i).alias("ni"))))
+    return found.select("setting", "doc_id", "distribution", (-best["ni"]).cast("bigint").alias("topic"), best["w"].alias("weight"))
+
+
+@query("lda_likelihood", rows=("M1", "M7"))
+def lda_likelihood(spark, sf_dir):
+    """Log likelihood of the words given the topics after every round of sweeps."""
+    t = Topics(spark, sf_dir, [_PRIOR])
+    forget(t.state)
+    return spark.createDataFrame([(done, float(ll[0])) for done, ll in t.trace], "sweeps bigint, loglik double")
 
 
 @query("lda_neighbours", rows=("M9",))
@@ -293,11 +279,11 @@ def lda_neighbours(spark, sf_dir):
     """Retrieval on topic vectors: the 5 documents with the nearest topic distribution (cosine)
     for every document whose id is divisible by 50."""
     from tessera.operators.block_search import search
-    x, _ = _lda_input(spark, sf_dir)
-    t = cut_lineage(_lda(x, 10, 1).transform(x).select("doc_id", vector_to_array("topicDistribution").alias("vec")))
-    x.unpersist()
-    near = search(t.select(F.col("doc_id").alias("row"), F.lit(0).alias("label"), "vec"),
-                  t.where(F.col("doc_id") % 50 == 0).select(F.col("doc_id").alias("query_id"), "vec"), 6, metric="cosine")
+    t = Topics(spark, sf_dir, [_PRIOR])
+    found = cut_lineage(t.of_documents(LDA.distributions(t.state, t.settings, TOPICS)).select("doc_id", F.col("distribution").alias("vec")))
+    forget(t.state)
+    near = search(found.select(F.col("doc_id").alias("row"), F.lit(0).alias("label"), "vec"),
+                  found.where(F.col("doc_id") % 50 == 0).select(F.col("doc_id").alias("query_id"), "vec"), 6, metric="cosine")
     others = near.where(F.col("query_id") != F.col("row"))
     return topk_per_group(others, "query_id", [F.col("distance"), F.col("row")], 5).select(
         "query_id", F.col("row").alias("doc_id"), "rank", F.round("distance", 6).alias("distance"))
@@ -305,25 +291,25 @@ def lda_neighbours(spark, sf_dir):
 
 @query("lda_topics", rows=("M2",))
 def lda_topics(spark, sf_dir):
-    """Ten most probable words of each topic with their weights (topic rows sum to ≤ 1)."""
-    x, vocab = _lda_input(spark, sf_dir)
-    m = _lda(x, 10, 1)
-    topics = m.describeTopics(10).collect()
-    x.unpersist()
-    rows = [(int(r["topic"]), j + 1, vocab[ix], float(wt))
-            for r in topics for j, (ix, wt) in enumerate(zip(r["termIndices"], r["termWeights"]))]
-    return spark.createDataFrame(rows, "topic bigint, rank bigint, word string, weight double")
+    """Ten most probable words of each topic with their weights (topic rows sum to at most 1)."""
+    t = Topics(spark, sf_dir, [_PRIOR])
+    forget(t.state)
+    share = LDA.word_shares(t.counts[0], _PRIOR.beta)
+    parts = []
+    for k in range(TOPICS if len(share) else 0):
+        last = max(len(share) - 10, 0)
+        at = np.flatnonzero(share[:, k] >= np.partition(share[:, k], last)[last])       # with all ties
+        parts.append(pa.table({"topic": np.full(len(at), k), "number": at.astype(np.int32), "weight": share[at, k]}))
+    if not parts:
+        return spark.createDataFrame([], "topic bigint, rank bigint, word string, weight double")
+    named = spark.createDataFrame(pa.concat_tables(parts)).join(t.words.select("number", "word"), "number")
+    return topk_per_group(named, "topic", [F.desc("weight"), F.col("word")], 10).select("topic", "rank", "word", "weight")
 
 
 @query("lda_average", rows=("M6",))
 def lda_average(spark, sf_dir):
-    """Topic distribution of each document averaged over fits with three seeds, sorted."""
-    x, _ = _lda_input(spark, sf_dir)
-    acc = None
-    for seed in (1, 2, 3):
-        t = _lda(x, 10, seed).transform(x).select("doc_id", vector_to_array("topicDistribution").alias(f"t{seed}"))
-        t = cut_lineage(t)
-        acc = t if acc is None else acc.join(t, "doc_id")
-    x.unpersist()
-    avg = F.zip_with(F.zip_with("t1", "t2", lambda a, b: a + b), "t3", lambda a, b: (a + b) / 3.0)
-    return acc.select("doc_id", F.sort_array(avg, asc=False).alias("avg_sorted"))
+    """Topic distribution of each document under the fitted topics, averaged over 100 random draws
+    of its words' topics, sorted."""
+    t = Topics(spark, sf_dir, [_PRIOR])
+    drawn = LDA.average_prediction(t.state, LDA.word_shares(t.counts[0], _PRIOR.beta), _PRIOR.alpha, DRAWS, BURN, LDA_SEED)
+    return t.of_documents(drawn, ()).select("doc_id", F.sort_array("distribution", asc=False).alias("avg_sorted"))

@@ -125,8 +125,8 @@ def vec_dot_norm(spark, sf_dir):
 WITH {_EV_SQL}
 SELECT e.vec_id,
   list_transform(range(1, len(c.c) + 1),
-    lambda i: round((e.w[i] + c.c[i]) * (e.w[i] - c.c[i]) / 2 + pow(e.w[i], 2), 6)) AS combo,
-  list_transform(list_reverse_sort(e.w), lambda x: round(x, 6)) AS sorted_desc
+    lambda i: round((e.w[i] + c.c[i]) * (e.w[i] - c.c[i]) / 2 + pow(e.w[i], 2), 6) + 0.0) AS combo,
+  list_transform(list_reverse_sort(e.w), lambda x: round(x, 6) + 0.0) AS sorted_desc
 FROM ev e JOIN cent c ON e.label = c.query_id
 """)
 def vec_elementwise(spark, sf_dir):
@@ -136,8 +136,8 @@ def vec_elementwise(spark, sf_dir):
     combo = V.add(V.div(V.mul(V.add("w", "c"), V.sub("w", "c")),
                         F.array_repeat(F.lit(2.0), F.size("w"))), V.power("w", 2))
     return (ev.join(F.broadcast(cent), "label")
-            .select("vec_id", F.transform(combo, lambda x: F.round(x, 6)).alias("combo"),
-                    F.transform(F.sort_array("w", asc=False), lambda x: F.round(x, 6))
+            .select("vec_id", F.transform(combo, lambda x: F.round(x, 6) + F.lit(0.0)).alias("combo"),
+                    F.transform(F.sort_array("w", asc=False), lambda x: F.round(x, 6) + F.lit(0.0))
                     .alias("sorted_desc")))
 
 

@@ -8,38 +8,61 @@ result is checked against SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash32, sql_hash32
+from tessera.functions.hashing import hash32, sql_hash32, sql_uniform, uniform
 from tessera.functions.text import WHITESPACE
+from tessera.operators import packed_gmm as PG
+from tessera.operators import packed_kmeans as PK
 from tessera.operators import sparse_kmeans as SK
-from tessera.operators import text_features as TF
+from tessera.operators import sparse_rows as SR
 from tessera.operators.neighbors import topk_per_group
 from tessera.plans.sqlbits import WS, idf_sql, word_counts_sql
 from tessera.registry import query
-from tessera.session import cut_lineage
+from tessera.session import forget
 from tessera.sources.tables import Tables
 
 K, SEED, ITERS, SEEDS, MAX_ITER = 5, 61, 3, tuple(range(61, 68)), 400
 TOP_WORDS, TOP_DOCS, SNIPPET = 5, 8, 25
 
 
-def unit_tfidf(spark, sf_dir):
-    docs = Tables(spark, sf_dir).documents
-    _, _, weights = TF.fit_tfidf(docs, "doc_id")
-    return SK.unit_rows(weights, "doc_id", "tfidf")
+class Texts:
+    """Unit TF-IDF rows of all documents: a table, packed blocks, and the vocabulary."""
 
+    def __init__(self, spark, sf_dir):
+        self.rows, self.words = SR.tfidf_rows(Tables(spark, sf_dir).documents, "doc_id")
+        self.blocks = SR.pack(self.rows)
+        self.n_words = self.words.count()
 
-def starts(rows, seeds):
-    ids = rows.select("id").distinct()
-    out = None
+    def centroids(self, ids: list[int], k: int):
+        """Chosen documents as centroids (words, k); missing ones are zero."""
+        return PK.dense(self.rows, [*ids, *[-1] * (k - len(ids))], self.n_words)
+
+    def first(self, seed: int, k: int, members=None) -> list[int]:
+        """The k documents with the smallest hash, of ``members`` (id) or of all."""
+        ids = self.rows.select("id") if members is None else members
+        return [r["id"] for r in ids.orderBy(hash32("id", seed), "id").limit(k).collect()]     # k ids
+
+    def runs(self, seeds, k: int, branch: str = "", members=None) -> list[PK.Run]:
+        return [PK.Run(self.centroids(self.first(s, k, members), k), branch) for s in seeds]
+
+    def close(self) -> None:
+        self.blocks.unpersist()
+        forget(self.rows, self.words)
+
+
+def joined_runs(t: Texts, seeds, max_iter: int):
+    """The runs by the joined form, for vocabularies whose centroids no task can hold."""
+    long = t.rows.select("id", F.explode(F.arrays_zip("cols", "vals")).alias("e")).select("id", F.col("e.cols").cast("string").alias("word"), F.col("e.vals").alias("w"))
+    long = long.repartition("id").persist()
+    ids = None
     for s in seeds:
-        chosen = ids.orderBy(hash32("id", s), "id").limit(K)       # k rows of the table
-        named = chosen.withColumn("h", hash32("id", s)).select(
-            F.lit(s).alias("run"), (F.row_number().over(Window.orderBy("h", "id")) - 1).alias("k"), "id")
-        out = named if out is None else out.unionByName(named)
-    return SK.start(rows, out)
+        chosen = t.rows.sparkSession.createDataFrame([(s, i, d) for i, d in enumerate(t.first(s, K))], "run int, k int, id bigint")
+        ids = chosen if ids is None else ids.unionByName(chosen)
+    cents, members, trace = SK.lloyd(long, SK.start(long, ids), list(seeds), K, max_iter)
+    return long, cents, members, trace
 
 
 def _sql(iters: int) -> str:
@@ -78,17 +101,27 @@ def _trace_sql(iters: int) -> str:
 @query("kmeans_text", rows=("K1", "K2", "K3", "K4", "K5"), oracle=f"WITH {_sql(ITERS)}\n{_trace_sql(ITERS)}")
 def kmeans_text(spark, sf_dir):
     """Lloyd iterations over TF-IDF texts: heterogeneity and changed assignments."""
-    rows = unit_tfidf(spark, sf_dir)
-    _, _, trace = SK.lloyd(rows, starts(rows, [SEED]), [SEED], K, ITERS)
-    rows.unpersist()
-    return spark.createDataFrame([(it, round(h, 6), ch) for _, it, h, ch in trace],
+    t = Texts(spark, sf_dir)
+    if PK.fits(t.n_words, K):
+        (run,) = runs = t.runs([SEED], K)
+        PK.lloyd(t.blocks, runs, ITERS)
+        trace = run.trace
+    else:
+        trace = [x[1:] for x in joined_runs(t, [SEED], ITERS)[3]]
+    t.close()
+    return spark.createDataFrame([(it, round(h, 6), ch) for it, h, ch in trace],
                                  "iteration bigint, heterogeneity double, changed bigint")
 
 
 def _profile(spark, sf_dir):
-    rows = unit_tfidf(spark, sf_dir)
-    cents, _, _ = SK.lloyd(rows, starts(rows, [SEED]), [SEED], K, ITERS)
-    return rows, SK.assign(rows, cents, [SEED], K)
+    """Texts, and (id, cluster, sq_dist) of all documents after the iterations."""
+    t = Texts(spark, sf_dir)
+    if PK.fits(t.n_words, K):
+        (run,) = runs = t.runs([SEED], K)
+        PK.lloyd(t.blocks, runs, ITERS)
+        return t, PK.assign(t.blocks, run.centroids).drop("branch")
+    long, cents, _, _ = joined_runs(t, [SEED], ITERS)
+    return t, SK.assign(long, cents, [SEED], K).drop("run")
 
 
 @query("text_cluster_words", rows=("K10", "K21"), oracle=f"""WITH {_sql(ITERS)},
@@ -99,9 +132,11 @@ SELECT k::BIGINT AS cluster, rk::BIGINT AS rank, word, round(mean, 6) AS mean, r
 def text_cluster_words(spark, sf_dir):
     """Five heaviest words of each text cluster with the mean and variance of their weight over
     the cluster's documents."""
-    rows, members = _profile(spark, sf_dir)
+    t, members = _profile(spark, sf_dir)
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
-    m = (rows.join(members.select("id", "cluster"), "id").groupBy("cluster", "word")
+    long = t.rows.join(members.select("id", "cluster"), "id").select("cluster", F.explode(F.arrays_zip("cols", "vals")).alias("e"))
+    m = (long.select("cluster", F.col("e.cols").alias("number"), F.col("e.vals").alias("w"))
+         .join(t.words.select("number", "word"), "number").groupBy("cluster", "word")
          .agg(F.sum("w").alias("s"), F.sum(F.col("w") * F.col("w")).alias("q")).join(sizes, "cluster")
          .select("cluster", "word", (F.col("s") / F.col("n")).alias("mean"), (F.col("q") / F.col("n")).alias("sq")))
     top = topk_per_group(m, "cluster", [F.desc(F.round("mean", 9)), F.col("word")], TOP_WORDS)
@@ -129,53 +164,157 @@ def text_cluster_docs(spark, sf_dir):
 def kmeans_text_seeds(spark, sf_dir):
     """Text k-means from seven starts, all runs in the same passes, until no document changes
     (at most 400 iterations): heterogeneity, largest cluster, iterations and the best run."""
-    rows = unit_tfidf(spark, sf_dir)
-    _, members, trace = SK.lloyd(rows, starts(rows, SEEDS), list(SEEDS), K, MAX_ITER)
-    sizes = (members.groupBy("run", "cluster").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("run").agg(F.max("n").alias("n")).collect())
-    rows.unpersist()
-    last = {r: (it, h) for r, it, h, _ in trace}
-    best = min(last, key=lambda r: (last[r][1], r)) if last else None
-    return spark.createDataFrame(
-        [(r["run"], float(last[r["run"]][1]), r["n"], last[r["run"]][0] + 1, r["run"] == best) for r in sizes],
-        "seed bigint, heterogeneity double, largest_cluster bigint, iterations bigint, best boolean")
-
-
-BISECT_RUNS, BISECT_ITER = (71, 72, 73), 20
-
-
-def _bipartition(rows, members):
-    """Split the documents of ``members`` (id) in two: the best of several starts. Returns
-    (id, side) and the heterogeneity."""
-    inside = rows.join(members, "id").repartition("id").persist()
-    ids, out = members, None
-    for s in BISECT_RUNS:
-        two = ids.orderBy(hash32("id", s), "id").limit(2).withColumn("h", hash32("id", s))
-        named = two.select(F.lit(s).alias("run"), (F.row_number().over(Window.orderBy("h", "id")) - 1).alias("k"), "id")
-        out = named if out is None else out.unionByName(named)
-    _, found, trace = SK.lloyd(inside, SK.start(inside, out), list(BISECT_RUNS), 2, BISECT_ITER)
-    last = {r: h for r, _, h, _ in trace}
-    best = min(last, key=lambda r: (last[r], r))
-    inside.unpersist()
-    return found.where(F.col("run") == best).select("id", F.col("cluster").alias("side")), last[best]
+    t = Texts(spark, sf_dir)
+    if PK.fits(t.n_words, K):
+        runs = t.runs(SEEDS, K)
+        PK.lloyd(t.blocks, runs, MAX_ITER)
+        found = [(s, r.trace[-1][1], int(r.sizes.max()), r.trace[-1][0] + 1) for s, r in zip(SEEDS, runs) if r.trace]
+    else:
+        _, _, members, trace = joined_runs(t, SEEDS, MAX_ITER)
+        sizes = members.groupBy("run", "cluster").agg(F.count(F.lit(1)).alias("n")).groupBy("run").agg(F.max("n").alias("n")).collect()
+        last = {r: (it, h) for r, it, h, _ in trace}
+        found = [(r["run"], last[r["run"]][1], r["n"], last[r["run"]][0] + 1) for r in sizes]
+    t.close()
+    best = min(found, key=lambda r: (r[1], r[0]))[0] if found else None
+    return spark.createDataFrame([(s, float(h), n, it, s == best) for s, h, n, it in found],
+                                 "seed bigint, heterogeneity double, largest_cluster bigint, iterations bigint, best boolean")
+
+
+PP_SEED = 91
+_PP = ["p0 AS (SELECT 0 AS r, doc_id FROM x ORDER BY " + sql_hash32("doc_id", PP_SEED) + ", doc_id LIMIT 1)"]
+for _r in range(1, K):
+    _PP.append(f"""c{_r} AS (SELECT x.doc_id, min(round(x2 + y2 - 2 * coalesce(dot, 0), 9)) AS d FROM x
+  CROSS JOIN (SELECT p.doc_id AS c, x.x2 AS y2 FROM ({' UNION ALL '.join(f'SELECT * FROM p{j}' for j in range(_r))}) p JOIN x USING (doc_id)) y
+  LEFT JOIN (SELECT a.doc_id, b.doc_id AS c, sum(a.w * b.w) AS dot FROM u a JOIN u b USING (word)
+    WHERE b.doc_id IN ({' UNION ALL '.join(f'SELECT doc_id FROM p{j}' for j in range(_r))}) GROUP BY ALL) z ON z.doc_id = x.doc_id AND z.c = y.c GROUP BY x.doc_id),
+p{_r} AS (SELECT {_r} AS r, doc_id FROM c{_r} WHERE d > 0 ORDER BY ln({sql_uniform('doc_id', PP_SEED + _r)}) / d DESC, doc_id LIMIT 1)""")
+_PP_SQL = f"""WITH {_sql(0).split('ids AS')[0].rstrip().rstrip(',')}, {', '.join(_PP)}
+SELECT r::BIGINT AS round, doc_id FROM ({' UNION ALL '.join(f'SELECT * FROM p{j}' for j in range(K))})"""
+
+
+@query("kmeans_pp_text", rows=("K7", "X7"), oracle=_PP_SQL)
+def kmeans_pp_text(spark, sf_dir):
+    """k-means++ centres among the TF-IDF texts: a document's distance to the nearest centre so
+    far comes from one pass over the rows with the few centres; the draw in proportion to its
+    square is the greatest log(u) / D^2, u a hash of the document."""
+    t = Texts(spark, sf_dir)
+    ids = t.first(PP_SEED, 1)
+    for r in range(1, K):
+        d = PK.assign(t.blocks, t.centroids(ids, len(ids))).where("sq_dist > 0")
+        key = F.log(uniform("id", PP_SEED + r)) / F.col("sq_dist")
+        ids += [x["id"] for x in d.orderBy(F.desc(key), "id").limit(1).collect()]
+    t.close()
+    return spark.createDataFrame(list(enumerate(ids)), "round bigint, doc_id bigint")
+
+
+BISECT_RUNS, BISECT_ITER, BISECT_LEVELS = tuple(range(71, 77)), 100, 2
 
 
 @query("bipartition_text", rows=("K11",))
 def bipartition_text(spark, sf_dir):
     """Hierarchical clustering of the texts by repeated bipartition (k-means with two centres, the
-    best of three starts): the root and both its branches are split; size and heterogeneity of
-    every branch (named by its path)."""
-    rows = unit_tfidf(spark, sf_dir)
-    whole = rows.select("id").distinct()
-    out, todo = [], [("", whole)]
-    while todo:
-        name, members = todo.pop(0)
-        n = members.count()
-        if n < 2 or len(name) == 2:
-            out.append((name, n, None))
-            continue
-        sides, het = _bipartition(rows, members)
-        out.append((name, n, float(het)))
-        todo += [(name + str(side), cut_lineage(sides.where(F.col("side") == side).select("id"))) for side in (0, 1)]
-    rows.unpersist()
-    return spark.createDataFrame(out, "branch string, n bigint, heterogeneity_after_split double")
+    best of six starts, at most 100 iterations): the root and both its branches are split, all
+    branches of a level in the same passes; size and heterogeneity of every branch (named by its
+    path)."""
+    t = Texts(spark, sf_dir)
+    if not PK.fits(t.n_words, 2 * 2 ** BISECT_LEVELS):
+        raise ValueError("the vocabulary is too large for the packed form")
+    tree, out, level = {}, [], [""]
+    zero = PK.dense(t.rows.limit(0), [-1], t.n_words)
+    for _ in range(BISECT_LEVELS):
+        member = PK.assign(t.blocks, zero, tree).select("id", "branch").persist()
+        size = {r["branch"]: r["n"] for r in member.groupBy("branch").agg(F.count(F.lit(1)).alias("n")).collect()}
+        split = [b for b in level if size.get(b, 0) >= 2]
+        out += [(b, size.get(b, 0), None) for b in level if b not in split]
+        runs = {b: t.runs(BISECT_RUNS, 2, b, member.where(F.col("branch") == b).select("id")) for b in split}
+        member.unpersist()
+        PK.lloyd(t.blocks, [r for b in split for r in runs[b]], BISECT_ITER, tree)
+        best = {b: min(runs[b], key=lambda r: r.trace[-1][1]) for b in split}
+        out += [(b, size[b], float(best[b].trace[-1][1])) for b in split]
+        tree |= {b: best[b].centroids for b in split}
+        level = [b + side for b in split for side in "01"]
+    size = {r["branch"]: r["n"] for r in PK.assign(t.blocks, zero, tree).groupBy("branch").agg(F.count(F.lit(1)).alias("n")).collect()}
+    t.close()
+    return spark.createDataFrame(out + [(b, size.get(b, 0), None) for b in level], "branch string, n bigint, heterogeneity_after_split double")
+
+
+# ------------------------------------------------------------------ diagonal EM on the texts
+
+#: Variances count as at least this; EM stops at a gain below the second number.
+EM_SMOOTHING, EM_GAIN, EM_MAX, EM_SEED, EM_WORDS = 1e-5, 1e-5, 100, 5, 5
+
+
+def _kmeans_start(t: Texts) -> PG.Mixture:
+    if not PG.fits(t.n_words, K):
+        raise ValueError("the vocabulary is too large for the packed form")
+    (run,) = runs = t.runs([SEED], K)
+    PK.lloyd(t.blocks, runs, ITERS)
+    return PG.from_clusters(t.blocks, run.centroids, EM_SMOOTHING)
+
+
+_EM_SQL = f"""WITH {_sql(ITERS)},
+v AS MATERIALIZED (SELECT DISTINCT word FROM u),
+nd AS (SELECT count(*) AS nd FROM x),
+p0 AS MATERIALIZED (SELECT k, word, coalesce(s1 / n, 0) AS mu, greatest(coalesce(s2 / n - (s1 / n) ^ 2, 0), {EM_SMOOTHING}) AS var
+  FROM s{ITERS} CROSS JOIN v LEFT JOIN (SELECT a.k, u.word, sum(u.w) AS s1, sum(u.w * u.w) AS s2 FROM u JOIN a{ITERS} a USING (doc_id) GROUP BY ALL) z USING (k, word)),
+b0 AS (SELECT k, ln(any_value(s.n) / any_value(nd)) - 0.5 * sum(ln(2 * pi() * var) + mu * mu / var) AS base FROM p0 JOIN s{ITERS} s USING (k), nd GROUP BY k),
+j0 AS (SELECT u.doc_id, p0.k, any_value(base) + sum((u.w * mu - 0.5 * u.w * u.w) / var) AS lj FROM u JOIN p0 USING (word) JOIN b0 USING (k) GROUP BY u.doc_id, p0.k),
+l0 AS (SELECT doc_id, max(lj) + ln(sum(exp(lj - m))) AS lse FROM (SELECT *, max(lj) OVER (PARTITION BY doc_id) AS m FROM j0) GROUP BY doc_id),
+r0 AS MATERIALIZED (SELECT doc_id, k, exp(lj - lse) AS r FROM j0 JOIN l0 USING (doc_id)),
+n0 AS (SELECT k, sum(r) AS nk FROM r0 GROUP BY k),
+m1 AS (SELECT k, word, s1 / nk AS mean, greatest(s2 / nk - (s1 / nk) ^ 2, {EM_SMOOTHING}) AS var FROM (
+  SELECT k, word, sum(r * w) AS s1, sum(r * w * w) AS s2 FROM u JOIN r0 USING (doc_id) GROUP BY ALL) JOIN n0 USING (k))
+SELECT k::BIGINT AS component, round(nk / nd, 6) AS weight, rk::BIGINT AS rank, word, round(mean, 6) AS mean, round(var, 6) AS variance,
+  round((SELECT sum(lse) FROM l0) / nd / (SELECT count(*) FROM v), 6) AS loglik_per_word
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(mean, 9) DESC, word) AS rk FROM m1) JOIN n0 USING (k), nd WHERE rk <= {EM_WORDS}"""
+
+
+def _component_words(spark, t: Texts, mix: PG.Mixture, n: int):
+    """The n heaviest words of each component, ties by word: (component, rank, word, mean, variance).
+    Only words at or above a component's n-th mean meet the vocabulary."""
+    parts = []
+    for c in range(mix.means.shape[1]):
+        m = np.round(mix.means[:, c], 9)
+        at = np.flatnonzero(m >= np.partition(m, max(len(m) - n, 0))[max(len(m) - n, 0)]) if len(m) else np.zeros(0, int)
+        parts.append(pa.table({"component": np.full(len(at), c), "number": at.astype(np.int32), "mean": mix.means[at, c], "variance": mix.variances[at, c]}))
+    named = spark.createDataFrame(pa.concat_tables(parts)).join(t.words.select("number", "word"), "number")
+    top = topk_per_group(named, "component", [F.desc(F.round("mean", 9)), F.col("word")], n)
+    return top.select(F.col("component").cast("bigint").alias("component"), "rank", "word", F.round("mean", 6).alias("mean"),
+                      F.round("variance", 6).alias("variance"))
+
+
+@query("em_text_step", rows=("K18", "K19", "K21"), oracle=_EM_SQL)
+def em_text_step(spark, sf_dir):
+    """One diagonal EM step on the TF-IDF texts from the text k-means (means, shares, variances of
+    its clusters): new weights, the heaviest words with mean and variance, and the log likelihood
+    before the step per document and word of the vocabulary."""
+    t = Texts(spark, sf_dir)
+    n = t.rows.count()
+    mix, ll = PG.em_step(t.blocks, _kmeans_start(t), EM_SMOOTHING)
+    out = _component_words(spark, t, mix, EM_WORDS)
+    w = spark.createDataFrame([(c, round(float(x), 6)) for c, x in enumerate(mix.weights)], "component bigint, weight double")
+    out = out.join(F.broadcast(w), "component").withColumn("loglik_per_word", F.lit(round(ll / n / t.n_words, 6)))
+    t.blocks.unpersist()
+    return out.where("weight > 0")
+
+
+@query("em_text", rows=("K15", "K19", "K20"))
+def em_text(spark, sf_dir):
+    """Diagonal EM on the TF-IDF texts until it gains less than 1e-5 (at most 100 steps), from the
+    text k-means and from normal means with variances 1 to 5: log likelihood before every step."""
+    t = Texts(spark, sf_dir)
+    rows = []
+    for name, start in (("kmeans", _kmeans_start(t)), ("random", PG.random_start(t.n_words, K, EM_SEED))):
+        _, trace = PG.em(t.blocks, start, EM_SMOOTHING, EM_GAIN, EM_MAX)
+        rows += [(name, it, float(ll)) for it, ll in enumerate(trace)]
+    t.close()
+    return spark.createDataFrame(rows, "start string, iteration bigint, loglik double")
+
+
+@query("em_text_words", rows=("K21", "L5"))
+def em_text_words(spark, sf_dir):
+    """Heaviest words of each component, with mean and variance, after EM from the text k-means."""
+    t = Texts(spark, sf_dir)
+    mix, _ = PG.em(t.blocks, _kmeans_start(t), EM_SMOOTHING, EM_GAIN, EM_MAX)
+    t.blocks.unpersist()
+    return _component_words(spark, t, mix, EM_WORDS)

@@ -9,11 +9,10 @@ cents % 7 = 0, else −1; split: md5(rowkey:1) % 1000 < 800 → train; weight =
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import bucket, sql_hash32
+from tessera.operators import binned_boost as BB
 from tessera.operators import tree as T
 from tessera.registry import query
 from tessera.sources.tables import Tables
@@ -283,28 +282,10 @@ def weighted_split(spark, sf_dir):
 
 # ------------------------------------------------------------------ AdaBoost
 
-def _stump_value(f: int, left: int, right: int):
-    return F.when(F.col(FEATURES[f]) == 0, F.lit(left)).otherwise(F.lit(right))
-
-
-def adaboost_fit(d, rounds: int):
-    """AdaBoost on decision stumps. Row weight after t rounds = exp(−y·Σ α_s h_s(x)), a closed
-    form of the stumps so far (no state carried between passes): one aggregation per round."""
-    train = d.where(F.col("split") == "train")
-    stumps = []
-    ensemble = F.lit(0.0)
-    for _ in range(rounds):
-        weight = F.exp(-F.col("y").cast("double") * ensemble)
-        tree = T.build_tree(train, FEATURES, "y", 1, weight=weight)
-        root = tree[1]
-        if root.feature is None:
-            break
-        left, right = tree[2].prediction, tree[3].prediction
-        err = (tree[2].mistakes + tree[3].mistakes) / root.n
-        alpha = 0.5 * math.log((1 - err) / err)
-        stumps.append((root.feature, left, right, err, alpha))
-        ensemble = ensemble + F.lit(alpha) * _stump_value(root.feature, left, right)
-    return stumps
+def binned_frame(spark, sf_dir) -> BB.Binned:
+    """The fixture as counts of its different (features, label, split)."""
+    d = tree_frame(spark, sf_dir).select(*FEATURES, ((F.col("y") + 1) / 2).cast("bigint").alias("y"), (F.col("split") == "test").cast("bigint").alias("test"))
+    return BB.binned(d, FEATURES, [2] * len(FEATURES), "y", "test")
 
 
 def _ada_sql(rounds: int) -> str:
@@ -347,9 +328,9 @@ WITH {TREE_SQL},
 def adaboost(spark, sf_dir):
     """Three AdaBoost rounds on stumps: feature, leaf predictions, weighted error and
     α = ½·ln((1 − e)/e) of each."""
-    d = tree_frame(spark, sf_dir).persist()
-    stumps = adaboost_fit(d, ADA_ROUNDS)
-    d.unpersist()
+    data = binned_frame(spark, sf_dir)
+    stumps, _ = BB.adaboost(data, ADA_ROUNDS)
+    data.close()
     rows = [(t + 1, FEATURES[f], l, r, round(e, 9), round(a, 9))
             for t, (f, l, r, e, a) in enumerate(stumps)]
     return spark.createDataFrame(rows, "round bigint, feature string, left_prediction bigint, "
@@ -369,19 +350,58 @@ staged AS (""" + "\nUNION ALL\n".join(
 SELECT t::BIGINT AS n_stumps, split, round(avg(wrong), 6) AS error FROM staged GROUP BY t, split
 """)
 def adaboost_staged(spark, sf_dir):
-    """Train and test error of the ensemble of the first t stumps, t = 1..30, in one pass:
-    the staged margins are running sums over the stump index (sign, 0 → −1)."""
-    d = tree_frame(spark, sf_dir).persist()
-    stumps = adaboost_fit(d, STAGED_ROUNDS)
-    margins, acc = [], F.lit(0.0)
-    for t, (f, l, r, _e, a) in enumerate(stumps, start=1):
-        acc = acc + F.lit(a) * _stump_value(f, l, r)
-        margins.append(F.struct(F.lit(t).cast("bigint").alias("n_stumps"),
-                                F.when(acc > 0, 1).otherwise(-1).alias("pred")))
-    e = d.select("split", "y", F.explode(F.array(*margins)).alias("m"))
-    out = e.groupBy("m.n_stumps", "split").agg(
-        F.round(F.avg((F.col("m.pred") != F.col("y")).cast("double")), 6).alias("error"))
-    res = out.select("n_stumps", "split", "error")
-    res = spark.createDataFrame(res.collect(), res.schema)
-    d.unpersist()
-    return res
+    """Train and test error of the ensemble of the first t stumps, t = 1..30 (sign, 0 → −1): the
+    data is read once, as counts of its different rows, which every round weighs anew."""
+    data = binned_frame(spark, sf_dir)
+    _, errors = BB.adaboost(data, STAGED_ROUNDS)
+    data.close()
+    rows = [(t + 1, split, round(float(e), 6)) for t, both in enumerate(errors) for split, e in zip(("train", "test"), both) if e is not None]
+    return spark.createDataFrame(rows, "n_stumps bigint, split string, error double")
+
+
+# ------------------------------------------------------------------ gradient boosting
+
+GBT_TREES, GBT_DEPTH, GBT_RATE, GBT_PENALTY, GBT_STUMPS = 500, 6, 0.3, 1.0, 4
+
+
+def _gbt_sql(rounds: int) -> str:
+    d, parts = len(FEATURES), ["g0 AS (SELECT *, (y + 1) / 2 AS t, 0.0::DOUBLE AS m FROM base)"]
+    names = "[" + ", ".join(f"'{n}'" for n in FEATURES) + "]"
+    xs = "[" + ", ".join(FEATURES) + "]"
+    for r in range(1, rounds + 1):
+        sums = ", ".join(f"sum(CASE WHEN {c} = 0 THEN g ELSE 0 END) AS gl_{i}, sum(CASE WHEN {c} = 0 THEN h ELSE 0 END) AS hl_{i}" for i, c in enumerate(FEATURES))
+        parts.append(f"""h{r} AS (SELECT sum(g) AS gs, sum(h) AS hs, {sums} FROM (SELECT *, 1 / (1 + exp(-m)) - t AS g,
+  (1 / (1 + exp(-m))) * (1 - 1 / (1 + exp(-m))) AS h FROM g{r - 1} WHERE split = 'train')),
+f{r} AS (SELECT f, gl, hl, gs, hs, gl ^ 2 / (hl + {GBT_PENALTY}) + (gs - gl) ^ 2 / (hs - hl + {GBT_PENALTY}) - gs ^ 2 / (hs + {GBT_PENALTY}) AS gain FROM (
+  SELECT gs, hs, unnest(range({d})) AS f, unnest([{', '.join(f'gl_{i}' for i in range(d))}]) AS gl, unnest([{', '.join(f'hl_{i}' for i in range(d))}]) AS hl FROM h{r})
+  WHERE hl > 1e-12 AND hs - hl > 1e-12),
+b{r} AS (SELECT f, -{GBT_RATE} * gl / (hl + {GBT_PENALTY}) AS lv, -{GBT_RATE} * (gs - gl) / (hs - hl + {GBT_PENALTY}) AS rv FROM f{r}
+  WHERE gain >= (SELECT max(gain) FROM f{r}) * (1 - 1e-9) ORDER BY f LIMIT 1),
+g{r} AS (SELECT g.* EXCLUDE (m), m + CASE WHEN list_extract({xs}, b.f + 1) = 0 THEN b.lv ELSE b.rv END AS m FROM g{r - 1} g, b{r} b)""")
+    out = "\nUNION ALL\n".join(
+        f"SELECT {r}::BIGINT AS n_trees, list_extract({names}, (SELECT f FROM b{r}) + 1) AS feature, round((SELECT lv FROM b{r}), 9) AS left_value, "
+        f"round((SELECT rv FROM b{r}), 9) AS right_value, round(avg(CASE WHEN split = 'train' THEN ((m > 0) <> (t = 1))::INT END), 6) AS train_error, "
+        f"round(avg(CASE WHEN split = 'test' THEN ((m > 0) <> (t = 1))::INT END), 6) AS test_error FROM g{r}" for r in range(1, rounds + 1))
+    return f"WITH {TREE_SQL},\n" + ",\n".join(parts) + "\n" + out
+
+
+@query("gbt_stumps", rows=("C29",), oracle=_gbt_sql(GBT_STUMPS))
+def gbt_stumps(spark, sf_dir):
+    """The first four trees of depth 1 of the gradient boosting: cut, leaf values and errors."""
+    data = binned_frame(spark, sf_dir)
+    trees, errors = BB.boost(data, GBT_STUMPS, 1, GBT_RATE, GBT_PENALTY)
+    data.close()
+    rows = [(i + 1, FEATURES[t.feature[1]], round(float(t.value[2]), 9), round(float(t.value[3]), 9),
+             *[None if e is None else round(float(e), 6) for e in both]) for i, (t, both) in enumerate(zip(trees, errors[1:]))]
+    return spark.createDataFrame(rows, "n_trees bigint, feature string, left_value double, right_value double, train_error double, test_error double")
+
+
+@query("gbt_staged", rows=("C29",))
+def gbt_staged(spark, sf_dir):
+    """Gradient-boosted trees of depth 6: train and test error after every number of trees from 1
+    to 500, in one run (no refit per size)."""
+    data = binned_frame(spark, sf_dir)
+    _, errors = BB.boost(data, GBT_TREES, GBT_DEPTH, GBT_RATE, GBT_PENALTY)
+    data.close()
+    rows = [(i, *[None if e is None else float(e) for e in both]) for i, both in enumerate(errors) if i]
+    return spark.createDataFrame(rows, "n_trees bigint, train_error double, test_error double")
