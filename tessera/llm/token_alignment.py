@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 from tessera.llm.common import Texts, give_back, list_array, materialise, offsets_of, ranges, small
 
 
-KEPT_UNITS = 100_000        # units a worker keeps from block to block, about (or a block's repeated ones)
+KEPT_UNITS = 200_000        # units a worker keeps from block to block, about (or a block's repeated ones)
 KEPT_CHARS = 64             # of a unit that is kept, at most
 ENCODED = 2048              # units encoded as one text
 
@@ -82,7 +83,11 @@ _BAD = (False, b"", b"", b"", b"", b"", b"", b"")
 def joined(parts) -> tuple[np.ndarray, np.ndarray]:
     """Values of all parts and the size of each."""
     parts = list(parts)
-    return np.frombuffer(b"".join(parts), dtype=np.int64), np.array([len(p) for p in parts], dtype=np.int64) // 8
+    return np.frombuffer(b"".join(parts), dtype=np.int64), sizes_of(parts)
+
+
+def sizes_of(parts) -> np.ndarray:
+    return np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 8
 
 
 class Side:
@@ -141,7 +146,7 @@ class Aligner:
         token begins before it, in the same character. ``at``: byte of each character."""
         found = self.a.encode(text, add_special_tokens=False)
         ids = np.array(found.ids, dtype=np.int64)
-        spans = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)
+        spans = np.fromiter(chain.from_iterable(found.offsets), dtype=np.int64, count=2 * len(ids)).reshape(-1, 2)
         return ids, at[spans[:, 1]], np.append(spans[1:, 0] >= spans[:-1, 1], np.ones(min(1, len(ids)), dtype=bool))
 
     def b_tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -262,9 +267,6 @@ class Block:
         values = np.asarray(of_unit, dtype=np.int64)
         return sums(values[self.flat] if len(self.flat) else self.flat, offsets_of(self.sizes))
 
-    def written(self, row: np.ndarray) -> bytes:
-        return b";".join([self.units[u][TEXT] for u in row.tolist()])
-
 
 def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Exact sums of the parts [at[i], at[i + 1])."""
@@ -283,12 +285,14 @@ def _encode(shared, digest: bool):
         aligner, made = _aligner(shared), TaskContext.get().partitionId() << 32
         for batch in small(batches):
             block = Block(aligner, batch.column("text").to_pylist())
-            links, per_unit = joined(u[LINKS] for u in block.units)
+            columns = list(zip(*block.units)) or [()] * len(_BAD)
+            links, per_unit = joined(columns[LINKS])
             keys, of_link = np.unique(links, return_inverse=True)
             times = np.bincount(block.flat, minlength=len(per_unit))
             count = np.bincount(of_link, weights=np.repeat(times, per_unit), minlength=len(keys)).astype(np.int64)
-            figures = [block.totals([len(u[c]) // 8 for u in block.units]) for c in (A, B, GROUP_ENDS, LINKS)]
-            groups = [block.written(r) for r in block.rows]
+            figures = [block.totals(sizes_of(columns[c])) for c in (A, B, GROUP_ENDS, LINKS)]
+            text = columns[TEXT]
+            groups = [b";".join([text[u] for u in r.tolist()]) for r in block.rows]
             groups = [(sha256(g).hexdigest() if digest else g.decode()) if len(r) else "" for g, r in zip(groups, block.rows)]
             n = batch.num_rows
             numbers = block.flat.astype(np.uint32)
