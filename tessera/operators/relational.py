@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage
 
 
+FEW = 10_000
+
+
 def _n_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -59,6 +62,15 @@ def with_row_index(df: DataFrame, order_cols: list, name: str = "row_id",
             .select(*df.columns, name))
 
 
+def ranked(groups: DataFrame, order_cols: list, name: str) -> DataFrame:
+    """Rank from 1 of the rows of a grouped table: a table that measures at most ``FEW`` rows is
+    ranked in one window, a larger one by ``with_row_index``."""
+    groups = groups.persist()
+    if groups.count() <= FEW:
+        return groups.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
+    return with_row_index(groups, order_cols, name, start=1)
+
+
 def with_prefix_sums(df: DataFrame, order_cols: list, values: dict[str, Column],
                      index_name: str | None = None) -> DataFrame:
     """Running (inclusive) sums of expressions along a global order, plus optional row index.

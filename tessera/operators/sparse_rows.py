@@ -84,6 +84,22 @@ def pack(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(_pack, PACKED).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def summary_block(rows: DataFrame, limit: int = 1 << 16) -> Block | DataFrame:
+    """Rows that count equal ones as one: where at most ``limit`` different ones remain, a block to
+    pass over where the model is; else packed blocks."""
+    few = rows.limit(limit + 1).persist()
+    try:
+        if few.count() > limit:
+            return pack(rows)
+        got = few.orderBy("cols", "vals").toArrow()
+        size = got.column("cols").combine_chunks().value_lengths().to_numpy(zero_copy_only=False) if got.num_rows else np.zeros(0, dtype=np.int64)
+        flat = [got.column(c).combine_chunks().flatten().to_numpy() if got.num_rows else np.zeros(0) for c in ("cols", "vals")]
+        return Block(got.column("id").to_numpy(), np.concatenate([[0], np.cumsum(size)]).astype(np.int64), flat[0].astype(np.int32), flat[1],
+                     got.column("extra").to_numpy())
+    finally:
+        few.unpersist()
+
+
 def unpacked(batches) -> Iterator[Block]:
     for batch in batches:
         for r in range(batch.num_rows):
@@ -163,11 +179,16 @@ def gather(parts: DataFrame, shape: tuple[int, ...], tasks: int) -> np.ndarray:
     return out.reshape(shape)
 
 
-def sum_over(blocks: DataFrame, model, shape: tuple[int, ...], add: Callable, tasks: int | None = None) -> np.ndarray:
+def sum_over(blocks: DataFrame | Block, model, shape: tuple[int, ...], add: Callable, tasks: int | None = None) -> np.ndarray:
     """One pass: ``add(total, block, model)`` adds each block into its task's array of ``shape``;
     the sum over all tasks (``tasks``: their number, asked for here if not given). Adding must not
     depend on the order of the blocks."""
-    small = isinstance(model, np.ndarray) and model.nbytes <= CLOSURE_BYTES     # goes along with the task
+    if isinstance(blocks, Block):
+        total = np.zeros(shape)
+        add(total, blocks, model)
+        return total
+    arrays = [x for x in (model if isinstance(model, tuple) else (model,)) if x is not None]
+    small = all(isinstance(x, np.ndarray) for x in arrays) and sum(x.nbytes for x in arrays) <= CLOSURE_BYTES     # goes along with the task
     shared = model if small else blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -14,3 +14,4 @@ from tessera.plans import text_cluster_queries  # noqa: F401
 from tessera.plans import search_queries  # noqa: F401
 from tessera.plans import word_logistic_queries  # noqa: F401
 from tessera.plans import text_lsh_queries  # noqa: F401
+from tessera.plans import io_queries  # noqa: F401

@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import bucket, hash32, sql_hash32
 from tessera.operators import evaluate as E
 from tessera.operators import logistic as LG
+from tessera.operators import minibatch as MB
 from tessera.operators import text_features as TF
 from tessera.operators.relational import with_row_index
 from tessera.plans.fixtures import SCORED_LINEITEM_SQL, SELECTED_WORDS, scored_lineitem, \
     words_values_sql
 from tessera.registry import query
+from tessera.session import forget
 from tessera.sources.tables import Tables
 
 ROWKEY_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents"]
@@ -378,6 +380,46 @@ def sgd_epoch(spark, sf_dir):
                                        "w2 double")
 
 
+MINI_EPOCHS, MINI_BATCHES, MINI_STEPS = 3, 100, [10.0 ** e for e in range(-4, 3)]
+
+_MINI_LL = ("(b2.ind - 1) * (nw0 * b2.x0 + nw1 * b2.x1 + nw2 * b2.x2) - CASE WHEN (nw0 * b2.x0 + nw1 * b2.x1 + nw2 * b2.x2) < -30 "
+            "THEN -(nw0 * b2.x0 + nw1 * b2.x1 + nw2 * b2.x2) ELSE ln(1 + exp(-(nw0 * b2.x0 + nw1 * b2.x1 + nw2 * b2.x2))) END")
+
+
+@query("sgd_minibatch", rows=("C15", "C16", "C17"), oracle=f"""
+WITH RECURSIVE {DENSE_SQL.replace('FROM s)', ', ' + ROWKEY_SQL + ' AS rk FROM s)')},
+n AS (SELECT count(*) AS n FROM d),
+pos AS (""" + "\nUNION ALL ".join(
+    f"SELECT {e} AS epoch, d.*, row_number() OVER (ORDER BY {sql_hash32('rk', 15 + e)}, rk, x1, x2, ind) - 1 AS p FROM d"
+    for e in range(MINI_EPOCHS)) + f"""),
+b AS MATERIALIZED (SELECT epoch * {MINI_BATCHES} + p // (n.n // {MINI_BATCHES}) AS step, x0, x1, x2, ind FROM pos, n WHERE p < (n.n // {MINI_BATCHES}) * {MINI_BATCHES}),
+it(k, size, w0, w1, w2, ll) AS (
+  SELECT 0, size, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE FROM (SELECT unnest({MINI_STEPS}::DOUBLE[]) AS size)
+  UNION ALL
+  SELECT k + 1, size, nw0, nw1, nw2, avg({_MINI_LL})
+  FROM (SELECT k, size, w0 + size / cnt * g0 AS nw0, w1 + size / cnt * g1 AS nw1, w2 + size / cnt * g2 AS nw2
+        FROM (SELECT k, size, w0, w1, w2, count(*) AS cnt, sum(err * x0) AS g0, sum(err * x1) AS g1, sum(err * x2) AS g2
+              FROM (SELECT it.*, b.x0, b.x1, b.x2, b.ind - 1 / (1 + exp(-greatest(it.w0 * b.x0 + it.w1 * b.x1 + it.w2 * b.x2, -700))) AS err
+                    FROM it JOIN b ON b.step = it.k WHERE it.k < {MINI_EPOCHS * MINI_BATCHES})
+              GROUP BY k, size, w0, w1, w2)) u JOIN b b2 ON b2.step = u.k
+  GROUP BY k, size, nw0, nw1, nw2)
+SELECT size AS step_size, k::BIGINT AS step, round(ll, 5) AS batch_avg_loglik FROM it WHERE k > 0
+""")
+def sgd_minibatch(spark, sf_dir):
+    """Mini-batch ascent in batches of 1 % of the rows, three epochs with a new shuffle each, for
+    seven step sizes from 1e-4 to 1e2 at once: average log likelihood of every batch after its
+    update. Batches are partitions of a table; a step's scan has a partition filter."""
+    s_df = scored(spark, sf_dir)
+    x = F.array(*[f.cast("double") for f in dense_features()])
+    rows = s_df.select(rowkey(s_df).alias("rk"), x.alias("x"), F.when(F.col("label") == 1, 1.0).otherwise(0.0).alias("ind"))
+    order = [F.col("rk"), F.col("x")[1], F.col("x")[2], F.col("ind")]
+    table = MB.batch_table(rows, order, list(range(15, 15 + MINI_EPOCHS)), lambda salt: hash32("rk", salt), MINI_BATCHES)
+    out = MB.ascend(table, 3, MINI_EPOCHS * MINI_BATCHES, MINI_STEPS)
+    forget(table)
+    return spark.createDataFrame([(size, k, round(float(v), 5)) for k, ll, _ in out for size, v in zip(MINI_STEPS, ll)],
+                                 "step_size double, step bigint, batch_avg_loglik double")
+
+
 # ------------------------------------------------------------------ text model (log-odds weights)
 
 def labelled_word_counts(spark, sf_dir):

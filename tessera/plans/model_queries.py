@@ -14,15 +14,16 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import bucket
-from tessera.functions.text import tokens
+from tessera.functions.text import WHITESPACE, tokens
 from tessera.operators import gibbs_lda as LDA
-from tessera.operators import gmm as GM
 from tessera.operators import gram as G
+from tessera.operators import heavy_hitters as HH
 from tessera.operators import kmeans as KM
+from tessera.operators import packed_gmm as PG
 from tessera.operators import sparse_rows as SR
 from tessera.operators.neighbors import topk_per_group
 from tessera.plans.classification_queries import dense_features, scored
-from tessera.plans.cluster_queries import xs, colours, gmm_start, init_centroids, vectors
+from tessera.plans.cluster_queries import colours, gmm_start, init_centroids, vectors
 from tessera.plans.fixtures import STOP_WORDS
 from tessera.plans.regression_queries import LI_FEATURES, _normalised_system, li_frame
 from tessera.plans.tree_queries import FEATURES as TREE_FEATURES
@@ -36,16 +37,59 @@ from tessera.sources.tables import Tables, spread
 WHOLE = 2**31 - 1
 
 
+SKETCHED, COUNTERS, SHOWN = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 100, 3
+FREQUENT_COLUMNS = ["l_returnflag", "l_linestatus", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
 @query("sketch_summary", rows=("A6",))
 def sketch_summary(spark, sf_dir):
     """Sketch summary of the numeric lineitem columns: count, mean, stddev, min, approximate
-    quartiles, max, approximate distinct count (HyperLogLog++), in two scans."""
-    li = Tables(spark, sf_dir).lineitem
-    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    s = li.select(*cols).summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
-    d = li.agg(*[F.approx_count_distinct(c).cast("string").alias(c) for c in cols]) \
-        .select(F.lit("approx_distinct").alias("summary"), *cols)
-    return s.unionByName(d)
+    quartiles, max, approximate distinct count (HyperLogLog++) and the most frequent items with
+    the bounds of their counts (Misra-Gries, 100 counters), in three scans."""
+    li = Tables(spark, sf_dir).lineitem.select(*SKETCHED)
+    s = li.summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+    d = li.agg(*[F.approx_count_distinct(c).cast("string").alias(c) for c in SKETCHED]) \
+        .select(F.lit("approx_distinct").alias("summary"), *SKETCHED)
+    items = topk_per_group(HH.frequent_items(li, COUNTERS), "col", [F.desc("upper"), F.col("item")], SHOWN)
+    shown = F.concat(F.col("item"), F.lit(" ("), F.col("lower"), F.lit(".."), F.col("upper"), F.lit(")"))
+    f = items.groupBy("rank").pivot("col", SKETCHED).agg(F.first(shown)) \
+        .select(F.concat(F.lit("frequent_"), F.col("rank")).alias("summary"), *SKETCHED)
+    return s.unionByName(d).unionByName(f)
+
+
+def _frequent_sql(columns) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS col, {c}::VARCHAR AS item, count(*)::BIGINT AS n, true AS within FROM lineitem GROUP BY {c} "
+        f"HAVING count(*) * {COUNTERS + 1} > (SELECT count({c}) FROM lineitem)" for c in columns)
+
+
+@query("frequent_items", rows=("A6",), oracle=_frequent_sql(FREQUENT_COLUMNS))
+def frequent_items(spark, sf_dir):
+    """Items that hold more than 1/101 of a column's values: all of them have one of the 100
+    counters; a second scan counts the candidates, and checks each against its bounds."""
+    columns = FREQUENT_COLUMNS
+    li = Tables(spark, sf_dir).lineitem.select(*columns)
+    found = HH.frequent_items(li, COUNTERS)
+    values = li.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("item")) for c in columns])).alias("x")).select("x.*")
+    exact = values.join(F.broadcast(found.select("col", "item")), ["col", "item"], "left_semi").groupBy("col", "item").agg(F.count(F.lit(1)).alias("n"))
+    within = (F.col("lower") <= F.col("n")) & (F.col("n") <= F.col("upper"))        # 100 candidates a column
+    return (exact.join(F.broadcast(found), ["col", "item"]).where(F.col("n") * (COUNTERS + 1) > F.col("total"))
+            .select("col", "item", "n", within.alias("within")))
+
+
+@query("frequent_words", rows=("A6",), oracle=f"""
+WITH w AS (SELECT unnest(string_split_regex(lower(text), '[ \\t\\r\\n]+')) AS item FROM documents),
+v AS (SELECT item FROM w WHERE item <> '')
+SELECT item, count(*)::BIGINT AS n, true AS within FROM v GROUP BY item HAVING count(*) * {1001} > (SELECT count(*) FROM v)
+""")
+def frequent_words(spark, sf_dir):
+    """Words that make up more than 1/1001 of all words, from 1000 counters and a second scan."""
+    docs = spread(Tables(spark, sf_dir).documents.select("text"))
+    words = docs.select(F.explode(F.split(F.lower("text"), WHITESPACE)).alias("item")).where("item <> ''")
+    found = HH.frequent_items(words, 1000)
+    exact = words.join(F.broadcast(found.select("item")), "item", "left_semi").groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    within = (F.col("lower") <= F.col("n")) & (F.col("n") <= F.col("upper"))
+    return exact.join(F.broadcast(found), "item").where(F.col("n") * 1001 > F.col("total")).select("item", "n", within.alias("within"))
 
 
 @query("lasso_sparsity", rows=("R24",))
@@ -218,15 +262,19 @@ def bisect_clusters(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n"))
 
 
+EM_GAIN, EM_MAX = 1e-4, 1000
+
+
 @query("gmm_fit", rows=("K15", "K16"))
 def gmm_fit(spark, sf_dir):
-    """EM on the colour triples until the log-likelihood gain < 1e-4 (at most 10 iterations):
-    likelihood trace; must be non-decreasing."""
-    c = colours(spark, sf_dir).select(*xs()).persist()
-    w, m, cv = gmm_start(colours(spark, sf_dir))
-    w, m, cv, trace = GM.em_fit_full(c, xs(), w, m, cv, 10, 1e-4)
-    c.unpersist()
-    return spark.createDataFrame([(it, float(ll)) for it, ll in trace], "iteration bigint, loglik double")
+    """EM on the colour triples until the log likelihood gains less than 1e-4 (at most 1000 steps): log
+    likelihood before every step; must not fall. Equal triples are one weighted row."""
+    c = colours(spark, sf_dir)
+    rows = c.groupBy("r", "g", "b").agg(F.count(F.lit(1)).alias("n")).select(
+        F.monotonically_increasing_id().alias("id"), F.array(F.lit(0), F.lit(1), F.lit(2)).alias("cols"),
+        F.array("r", "g", "b").alias("vals"), F.col("n").cast("double").alias("extra"))
+    *_, trace = PG.em_full(SR.summary_block(rows), *gmm_start(c), EM_GAIN, EM_MAX)
+    return spark.createDataFrame(list(enumerate(trace)), "iteration bigint, loglik double")
 
 
 TOPICS, SWEEPS, LOCAL_SWEEPS, DRAWS, BURN, LDA_SEED = 10, 200, 10, 100, 5, 1

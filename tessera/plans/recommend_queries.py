@@ -164,6 +164,17 @@ def item_recommend(spark, sf_dir):
     return r.select(U, I, "rank", F.round("score", 6).alias("score"))
 
 
+@query("item_recommend_all", rows=("D3",), oracle=f"""
+WITH {INTER_SQL}, everyone AS (SELECT DISTINCT customer FROM inter),
+{_itemsim_sql('inter', 'everyone', 5)}
+SELECT customer, part, rank::BIGINT AS rank, round(score, 6) AS score FROM rec
+""")
+def item_recommend_all(spark, sf_dir):
+    """Item-similarity recommendations, top 5, for every customer."""
+    r = RC.item_recommend_all(interactions(spark, sf_dir), 5, U, I)
+    return r.select(U, I, "rank", F.round("score", 6).alias("score"))
+
+
 @query("top1_item_counts", rows=("A3", "D5"), oracle=f"""
 WITH {INTER_SQL}, {SAMPLE_SQL},
 {_itemsim_sql('inter', 'S', 1)}

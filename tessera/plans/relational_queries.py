@@ -250,8 +250,8 @@ def group_sum_sorted(spark, sf_dir):
     t = Tables(spark, sf_dir)
     s = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
          .groupBy("p_brand").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("total_qty")))
-    down = R.with_row_index(s, [F.desc("total_qty"), F.col("p_brand")], "rank_desc", start=1)
-    both = R.with_row_index(down, [F.col("total_qty"), F.col("p_brand")], "rank_asc", start=1)
+    down = R.ranked(s, [F.desc("total_qty"), F.col("p_brand")], "rank_desc")
+    both = R.ranked(down, [F.col("total_qty"), F.col("p_brand")], "rank_asc")
     return both.orderBy(F.desc("total_qty"), "p_brand")
 
 

@@ -1,9 +1,9 @@
 """Dense similarity search, vector math and LSH queries.
 
 Corpus: ``embeddings`` with each vector scaled by (1 + vec_id % 3), so Euclidean
-and cosine orders differ. Query points: the per-label mean vectors, derived by
-Spark from the same table (model-sized: labels × d), so the work is
-queries × corpus and grows with the table.
+and cosine orders differ. Queries: the vectors whose id is divisible by 50 against all rows,
+themselves included (as the first hit), in blocks; a task sends on only the nearest rows of
+each query. Vector arithmetic meets the mean vector of each label.
 """
 
 from __future__ import annotations
@@ -11,13 +11,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
+from tessera.operators import kmeans as KM
 from tessera.operators import lsh as L
 from tessera.operators import neighbors as NB
+from tessera.operators import packed_search as PS
+from tessera.operators import sparse_rows as SR
+from tessera.operators.block_search import search
 from tessera.registry import query
+from tessera.session import written
 from tessera.sources.tables import Tables, spread
 
 K_DENSE = 5
 LSH_BITS, LSH_SEED, LSH_RADIUS = 16, 42, 2
+EVERY, MAX_LABELS = 50, 4096
 SWEEP_BITS, SWEEP_SEED = 19, 43
 
 
@@ -28,26 +34,36 @@ def scaled_embeddings(spark, sf_dir):
 
 
 def label_centroids(ev):
-    """Mean vector per label as a small frame (query_id, c): posexplode + grouped mean,
-    partial aggregation map-side; the result is labels × d numbers. Means are rounded to 9
-    places, so that the order of summation does not reach what is derived from them."""
-    means = (ev.select("label", F.posexplode("w").alias("pos", "x"))
-             .groupBy("label", "pos").agg(F.round(F.avg("x"), 9).alias("a")))
-    rows = NB.collect_bounded(means, max_rows=NB.MAX_DENSE_QUERIES * 4096)
-    vecs: dict[int, dict[int, float]] = {}
-    for r in rows:
-        vecs.setdefault(r["label"], {})[r["pos"]] = r["a"]
-    data = [(lab, [d[i] for i in range(len(d))]) for lab, d in sorted(vecs.items())]
+    """Mean vector per label as a small frame (query_id, c), from vector sums added up in the tasks.
+    Means are rounded to 9 places, so that the order of summation does not reach what is derived
+    from them. At most ``MAX_LABELS`` labels."""
+    labels = [r["label"] for r in NB.collect_bounded(ev.select("label").distinct(), MAX_LABELS)]
+    sums = KM.cluster_sums(ev.where(F.col("label").isNotNull()), "w", F.col("label"))
+    data = [(int(lab), [round(float(x), 9) for x in sums[lab][1] / sums[lab][0]]) for lab in sorted(x for x in labels if x is not None)]
     return ev.sparkSession.createDataFrame(data, "query_id bigint, c array<double>")
 
 
+def asked(ev):
+    """The query vectors as (query_id, vec)."""
+    return ev.where(F.col("vec_id") % EVERY == 0).select(F.col("vec_id").alias("query_id"), F.col("w").alias("vec"))
+
+
+def packed_units(ev, n_bits: int, seed: int):
+    """Unit vectors packed with their signatures, and the query rows."""
+    planes = L.hyperplanes(n_bits, 64, seed)
+    rows = ev.select(F.col("vec_id").alias("id"), F.sequence(F.lit(0), F.size("w") - 1).alias("cols"),
+                     V.l2_normalize("w").alias("vals"), L.signature("w", planes).cast("double").alias("extra"))
+    return SR.pack(rows), rows.where(F.col("id") % EVERY == 0)
+
+
 _EV_SQL = """
 ev AS (SELECT vec_id, label::BIGINT AS label,
               list_transform(embedding, lambda x: x::DOUBLE * (1 + vec_id % 3)) AS w FROM embeddings),
 cent AS (SELECT label AS query_id, list(a ORDER BY i) AS c FROM (
            SELECT label, i, round(avg(x), 9) AS a FROM (
              SELECT label, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM ev) GROUP BY 1, 2)
-         GROUP BY 1)"""
+         GROUP BY 1),
+qs AS (SELECT vec_id AS query_id, w AS c FROM ev WHERE vec_id % 50 = 0)"""
 
 _EUCLID_SQL = "sqrt(list_sum(list_transform(range(1, len(c.c) + 1), lambda i: (e.w[i] - c.c[i]) ^ 2)))"
 _COSINE_SQL = ("1 - list_sum(list_transform(range(1, len(c.c) + 1), lambda i: e.w[i] * c.c[i])) / "
@@ -58,7 +74,7 @@ _COSINE_SQL = ("1 - list_sum(list_transform(range(1, len(c.c) + 1), lambda i: e.
 def _knn_sql(dist_sql: str, k: int) -> str:
     return f"""
 WITH {_EV_SQL},
-d AS (SELECT c.query_id, e.vec_id, {dist_sql} AS dist FROM ev e, cent c),
+d AS (SELECT c.query_id, e.vec_id, {dist_sql} AS dist FROM ev e, qs c),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 9), vec_id) AS rk FROM d)
 SELECT query_id, vec_id, rk::BIGINT AS rank, round(dist, 6) AS distance FROM r WHERE rk <= {k}
 """
@@ -66,14 +82,13 @@ SELECT query_id, vec_id, rk::BIGINT AS rank, round(dist, 6) AS distance FROM r W
 
 def _dense(spark, sf_dir, metric, k):
     ev = scaled_embeddings(spark, sf_dir)
-    cent = label_centroids(ev)
-    res = NB.dense_knn(ev, "vec_id", "w", cent, "query_id", "c", k, metric=metric)
-    return res
+    corpus = ev.select(F.col("vec_id").alias("row"), F.lit(0).alias("label"), F.col("w").alias("vec"))
+    return search(corpus, asked(ev), k, metric=metric).withColumnRenamed("row", "vec_id")
 
 
 @query("knn_euclid", oracle=_knn_sql(_EUCLID_SQL, K_DENSE), rows=("J6", "W1", "F19", "N1"))
 def knn_euclid(spark, sf_dir):
-    """5 nearest vectors (Euclidean) of each label's mean vector; rank 1 = nearest."""
+    """5 nearest vectors (Euclidean) of each query vector; rank 1 = nearest."""
     r = _dense(spark, sf_dir, "euclidean", K_DENSE)
     return r.select("query_id", "vec_id", "rank", F.round("distance", 6).alias("distance"))
 
@@ -87,7 +102,7 @@ def knn_cosine(spark, sf_dir):
 @query("nn_mean_distance", rows=("N4",), oracle=f"""
 SELECT query_id, round(avg(dist), 6) AS mean_distance FROM (
   WITH {_EV_SQL},
-  d AS (SELECT c.query_id, e.vec_id, {_EUCLID_SQL} AS dist FROM ev e, cent c)
+  d AS (SELECT c.query_id, e.vec_id, {_EUCLID_SQL} AS dist FROM ev e, qs c)
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 9), vec_id) AS rk FROM d)
 WHERE rk <= {K_DENSE} GROUP BY query_id
 """)
@@ -203,91 +218,67 @@ def lsh_bit_agreement(spark, sf_dir):
                     .cast("bigint").alias("agree")))
 
 
-def _lsh_candidates(spark, sf_dir, n_bits, seed, radius):
-    ev = scaled_embeddings(spark, sf_dir)
-    planes = L.hyperplanes(n_bits, 64, seed)
-    cent = label_centroids(ev)
-    qb = cent.withColumn("qbin", L.signature(F.col("c"), planes))
-    eb = ev.withColumn("bin", L.signature("w", planes)).select("vec_id", "w", "bin")
-    cand = L.candidates(qb, "query_id", "qbin", eb, "vec_id", "bin", n_bits, radius)
-    qv = qb.select("query_id", "c")
-    scored = (cand.join(F.broadcast(qv), "query_id")
-              .select("query_id", "vec_id", "radius", V.cosine_distance("w", "c").alias("distance")))
-    return ev, cent, scored
-
-
 @query("lsh_query", rows=("F25", "N8", "N9"), oracle=f"""
 WITH {_EV_SQL},
 {_bins_sql(LSH_BITS, LSH_SEED)},
-cb AS (SELECT c.query_id, sum(CASE WHEN list_sum(list_transform(range(1, len(p.p) + 1),
-         lambda i: c.c[i] * p.p[i])) >= 0 THEN (1::BIGINT << ({LSH_BITS - 1} - p.j)) ELSE 0 END)::BIGINT AS qbin
-       FROM cent c, planes_eb p GROUP BY c.query_id),
+cb AS (SELECT vec_id AS query_id, bin AS qbin FROM eb WHERE vec_id % 50 = 0),
 cand AS (SELECT cb.query_id, e.vec_id, {_COSINE_SQL} AS dist
          FROM cb JOIN eb ON bit_count(xor(cb.qbin, eb.bin)) <= {LSH_RADIUS}
-         JOIN ev e ON e.vec_id = eb.vec_id JOIN cent c ON c.query_id = cb.query_id),
+         JOIN ev e ON e.vec_id = eb.vec_id JOIN qs c ON c.query_id = cb.query_id),
 nc AS (SELECT query_id, count(*)::BIGINT AS n_candidates FROM cand GROUP BY 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 9), vec_id) AS rk FROM cand)
 SELECT query_id, vec_id, rk::BIGINT AS rank, round(dist, 6) AS distance, n_candidates
 FROM r JOIN nc USING (query_id) WHERE rk <= {K_DENSE}
 """)
 def lsh_query(spark, sf_dir):
-    """Multi-probe LSH search (radius ≤ 2) for each label mean, exact cosine rerank, top 5."""
-    _, _, scored = _lsh_candidates(spark, sf_dir, LSH_BITS, LSH_SEED, LSH_RADIUS)
-    nc = scored.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_candidates"))
-    top = NB.topk_per_group(scored, "query_id", [F.round("distance", 9), F.col("vec_id")], K_DENSE)
-    return top.join(nc, "query_id").select("query_id", "vec_id", "rank",
-                                           F.round("distance", 6).alias("distance"), "n_candidates")
+    """LSH search (radius ≤ 2) of each query vector, exact cosine of the candidates, top 5."""
+    blocks, queries = packed_units(scaled_embeddings(spark, sf_dir), LSH_BITS, LSH_SEED)
+    top, n = PS.search(blocks, queries, [(0, (1 << LSH_BITS) - 1, LSH_RADIUS)], K_DENSE)
+    return top.join(n, ["setting", "query_id"]).select("query_id", F.col("id").alias("vec_id"), "rank",
+                                                       (F.round("distance", 6) + F.lit(0.0)).alias("distance"), "n_candidates")
 
 
 @query("lsh_precision", rows=("U3", "N10", "N11"), oracle=f"""
 WITH {_EV_SQL},
 {_bins_sql(LSH_BITS, LSH_SEED)},
-cb AS (SELECT c.query_id, sum(CASE WHEN list_sum(list_transform(range(1, len(p.p) + 1),
-         lambda i: c.c[i] * p.p[i])) >= 0 THEN (1::BIGINT << ({LSH_BITS - 1} - p.j)) ELSE 0 END)::BIGINT AS qbin
-       FROM cent c, planes_eb p GROUP BY c.query_id),
+cb AS (SELECT vec_id AS query_id, bin AS qbin FROM eb WHERE vec_id % 50 = 0),
 alld AS (SELECT c.query_id, e.vec_id, {_COSINE_SQL} AS dist, bit_count(xor(cb.qbin, eb.bin)) AS radius
-         FROM ev e JOIN eb USING (vec_id), cent c JOIN cb USING (query_id)),
+         FROM ev e JOIN eb USING (vec_id), qs c JOIN cb USING (query_id)),
 truth AS (SELECT query_id, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id
             ORDER BY round(dist, 9), vec_id) AS rk FROM alld) WHERE rk <= 25),
 radii AS (SELECT r FROM range(0, 4) t(r)),
 lshk AS (SELECT * FROM (SELECT radii.r, alld.*, row_number() OVER (PARTITION BY radii.r, query_id
             ORDER BY round(dist, 9), vec_id) AS rk FROM alld JOIN radii ON alld.radius <= radii.r) WHERE rk <= 10),
-nq AS (SELECT count(*) AS n FROM cent),
 per AS (SELECT radii.r, c.query_id,
           (SELECT count(*) FROM alld WHERE alld.query_id = c.query_id AND alld.radius <= radii.r) AS n_cand,
           (SELECT count(*) FROM lshk JOIN truth USING (query_id, vec_id)
              WHERE lshk.r = radii.r AND lshk.query_id = c.query_id) AS hits,
           (SELECT avg(dist) FROM lshk WHERE lshk.r = radii.r AND lshk.query_id = c.query_id) AS md
-        FROM radii, cent c)
+        FROM radii, qs c)
 SELECT r::BIGINT AS radius, round(avg(hits / 10.0), 6) AS precision,
        round(avg(n_cand), 6) AS avg_candidates, round(avg(md), 6) AS avg_distance
 FROM per GROUP BY r
 """)
 def lsh_precision(spark, sf_dir):
     """Quality by search radius 0..3: precision of the LSH top 10 against the exact top 25,
-    candidates examined, mean distance of the returned 10 — averaged over the queries.
-
-    One candidate table at the largest radius carries each candidate's radius;
-    every smaller radius is a filter of it (exploded over the radii it belongs to).
-    """
-    max_r = 3
-    ev, cent, scored = _lsh_candidates(spark, sf_dir, LSH_BITS, LSH_SEED, max_r)
-    truth = NB.dense_knn(ev, "vec_id", "w", cent, "query_id", "c", 25, metric="cosine") \
-        .select("query_id", "vec_id", F.lit(1).alias("hit"))
-    per_r = scored.select("*", F.explode(F.sequence(F.col("radius"), F.lit(max_r))).alias("r"))
-    ncand = per_r.groupBy("r", "query_id").agg(F.count(F.lit(1)).alias("n_cand"))
-    w = NB.topk_per_group(per_r.withColumn("g", F.concat_ws(":", "r", "query_id")), "g",
-                          [F.round("distance", 9), F.col("vec_id")], 10)
-    top = (w.join(truth, ["query_id", "vec_id"], "left")
-           .groupBy("r", "query_id").agg(F.sum(F.coalesce("hit", F.lit(0))).alias("hits"),
-                                         F.avg("distance").alias("md")))
-    grid = cent.select("query_id", F.explode(F.sequence(F.lit(0), F.lit(max_r))).alias("r"))
-    per = grid.join(ncand, ["r", "query_id"], "left").join(top, ["r", "query_id"], "left")
-    return per.groupBy("r").agg(
-        F.round(F.avg(F.coalesce("hits", F.lit(0)) / 10.0), 6).alias("precision"),
-        F.round(F.avg(F.coalesce("n_cand", F.lit(0)).cast("double")), 6).alias("avg_candidates"),
-        F.round(F.avg("md"), 6).alias("avg_distance")).select(
-        F.col("r").cast("bigint").alias("radius"), "precision", "avg_candidates", "avg_distance")
+    candidates examined, mean distance of the returned 10 — averaged over the queries. All radii
+    and the exact search share one pass."""
+    blocks, queries = packed_units(scaled_embeddings(spark, sf_dir), LSH_BITS, LSH_SEED)
+    return _lsh_quality(blocks, queries, [(r, (1 << LSH_BITS) - 1, r) for r in range(4)]).withColumnRenamed("name", "radius")
+
+
+def _lsh_quality(blocks, queries, settings):
+    exact = len(settings)
+    top, n = PS.search(blocks, queries, [*((s, mask, radius) for s, (_, mask, radius) in enumerate(settings)), (exact, 0, 0)], 25)
+    top = written(top, "neighbours")
+    truth = top.where(F.col("setting") == exact).select("query_id", "id", F.lit(1).alias("hit"))
+    got = (top.where((F.col("setting") < exact) & (F.col("rank") <= 10)).join(truth, ["query_id", "id"], "left")
+           .groupBy("setting", "query_id").agg(F.sum(F.coalesce("hit", F.lit(0))).alias("hits"), F.avg("distance").alias("md")))
+    names = F.create_map(*[x for s, (name, _, _) in enumerate(settings) for x in (F.lit(s), F.lit(name).cast("bigint"))])
+    return (got.join(n, ["setting", "query_id"]).groupBy("setting")       # a query is a candidate of its own
+            .agg(F.round(F.avg(F.col("hits") / 10.0), 6).alias("precision"), F.round(F.avg(F.col("n_candidates").cast("double")), 6).alias("avg_candidates"),
+                 F.round(F.avg("md"), 6).alias("avg_distance"))
+            .select(names[F.col("setting")].alias("name"), "precision", "avg_candidates", "avg_distance"))
 
 
 # ---------------------------------------------------------------- kNN regression (2-d, exact)
@@ -374,10 +365,8 @@ _SWEEP_BITS = list(range(5, SWEEP_BITS + 1))
 @query("lsh_vectors_sweep", rows=("N12",), oracle=f"""
 WITH {_EV_SQL},
 {_bins_sql(SWEEP_BITS, SWEEP_SEED)},
-cb AS (SELECT c.query_id, sum(CASE WHEN list_sum(list_transform(range(1, len(p.p) + 1),
-         lambda i: c.c[i] * p.p[i])) >= 0 THEN (1::BIGINT << ({SWEEP_BITS - 1} - p.j)) ELSE 0 END)::BIGINT AS qbin
-       FROM cent c, planes_eb p GROUP BY c.query_id),
-alld AS (SELECT c.query_id, e.vec_id, {_COSINE_SQL} AS dist FROM ev e, cent c),
+cb AS (SELECT vec_id AS query_id, bin AS qbin FROM eb WHERE vec_id % 50 = 0),
+alld AS (SELECT c.query_id, e.vec_id, {_COSINE_SQL} AS dist FROM ev e, qs c),
 truth AS (SELECT query_id, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id
             ORDER BY round(dist, 9), vec_id) AS rk FROM alld) WHERE rk <= 25),
 bs AS (SELECT unnest(range(5, {SWEEP_BITS + 1})) AS b),
@@ -391,39 +380,14 @@ per AS (SELECT bs.b, c.query_id,
           (SELECT count(*) FROM top JOIN truth USING (query_id, vec_id) WHERE top.b = bs.b
              AND top.query_id = c.query_id) AS hits,
           (SELECT avg(dist) FROM top WHERE top.b = bs.b AND top.query_id = c.query_id) AS md
-        FROM bs, cent c)
+        FROM bs, qs c)
 SELECT b::BIGINT AS n_bits, round(avg(hits / 10.0), 6) AS precision, round(avg(n_cand), 6) AS avg_candidates,
        round(avg(md), 6) AS avg_distance FROM per GROUP BY b
 """)
 def lsh_vectors_sweep(spark, sf_dir):
     """LSH quality by number of hyperplanes (5..19), exact-bin candidates: precision of the top 10
     against the exact top 25, candidates, mean distance. One 19-bit signature serves every
-    length (its leading bits), one candidate join for all lengths."""
-    ev = scaled_embeddings(spark, sf_dir)
-    planes = L.hyperplanes(SWEEP_BITS, 64, SWEEP_SEED)
-    cent = label_centroids(ev)
-    qb = cent.withColumn("sig", L.signature(F.col("c"), planes))
-    eb = ev.withColumn("sig", L.signature("w", planes))
-
-    def prefixes(col):
-        return F.explode(F.array(*[F.struct(F.lit(b).cast("bigint").alias("b"),
-                                            F.shiftright(F.col(col), SWEEP_BITS - b).alias("bin"))
-                                   for b in _SWEEP_BITS])).alias("pb")
-    qp = qb.select("query_id", "c", prefixes("sig")).select("query_id", "c", "pb.*")
-    cp = eb.select("vec_id", "w", prefixes("sig")).select("vec_id", "w", "pb.*")
-    cand = (cp.join(F.broadcast(qp), ["b", "bin"])      # queries: labels × 15 prefixes
-            .select("b", "query_id", "vec_id", V.cosine_distance("w", "c").alias("distance")))
-    truth = NB.dense_knn(ev, "vec_id", "w", cent, "query_id", "c", 25, metric="cosine") \
-        .select("query_id", "vec_id", F.lit(1).alias("hit"))
-    ncand = cand.groupBy("b", "query_id").agg(F.count(F.lit(1)).alias("n_cand"))
-    top = NB.topk_per_group(cand.withColumn("g", F.concat_ws(":", "b", "query_id")), "g",
-                            [F.round("distance", 9), F.col("vec_id")], 10)
-    agg = (top.join(truth, ["query_id", "vec_id"], "left")
-           .groupBy("b", "query_id").agg(F.sum(F.coalesce("hit", F.lit(0))).alias("hits"),
-                                         F.avg("distance").alias("md")))
-    grid = cent.select("query_id", F.explode(F.array(*[F.lit(b).cast("bigint") for b in _SWEEP_BITS])).alias("b"))
-    per = grid.join(ncand, ["b", "query_id"], "left").join(agg, ["b", "query_id"], "left")
-    return per.groupBy(F.col("b").alias("n_bits")).agg(
-        F.round(F.avg(F.coalesce("hits", F.lit(0)) / 10.0), 6).alias("precision"),
-        F.round(F.avg(F.coalesce("n_cand", F.lit(0)).cast("double")), 6).alias("avg_candidates"),
-        F.round(F.avg("md"), 6).alias("avg_distance"))
+    length (its leading bits), in one pass over the vectors."""
+    blocks, queries = packed_units(scaled_embeddings(spark, sf_dir), SWEEP_BITS, SWEEP_SEED)
+    settings = [(b, ((1 << b) - 1) << (SWEEP_BITS - b), 0) for b in _SWEEP_BITS]
+    return _lsh_quality(blocks, queries, settings).withColumnRenamed("name", "n_bits")

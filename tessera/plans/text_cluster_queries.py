@@ -255,18 +255,18 @@ def _kmeans_start(t: Texts) -> PG.Mixture:
 _EM_SQL = f"""WITH {_sql(ITERS)},
 v AS MATERIALIZED (SELECT DISTINCT word FROM u),
 nd AS (SELECT count(*) AS nd FROM x),
-p0 AS MATERIALIZED (SELECT k, word, coalesce(s1 / n, 0) AS mu, greatest(coalesce(s2 / n - (s1 / n) ^ 2, 0), {EM_SMOOTHING}) AS var
+em_p0 AS MATERIALIZED (SELECT k, word, coalesce(s1 / n, 0) AS mu, greatest(coalesce(s2 / n - (s1 / n) ^ 2, 0), {EM_SMOOTHING}) AS var
   FROM s{ITERS} CROSS JOIN v LEFT JOIN (SELECT a.k, u.word, sum(u.w) AS s1, sum(u.w * u.w) AS s2 FROM u JOIN a{ITERS} a USING (doc_id) GROUP BY ALL) z USING (k, word)),
-b0 AS (SELECT k, ln(any_value(s.n) / any_value(nd)) - 0.5 * sum(ln(2 * pi() * var) + mu * mu / var) AS base FROM p0 JOIN s{ITERS} s USING (k), nd GROUP BY k),
-j0 AS (SELECT u.doc_id, p0.k, any_value(base) + sum((u.w * mu - 0.5 * u.w * u.w) / var) AS lj FROM u JOIN p0 USING (word) JOIN b0 USING (k) GROUP BY u.doc_id, p0.k),
-l0 AS (SELECT doc_id, max(lj) + ln(sum(exp(lj - m))) AS lse FROM (SELECT *, max(lj) OVER (PARTITION BY doc_id) AS m FROM j0) GROUP BY doc_id),
-r0 AS MATERIALIZED (SELECT doc_id, k, exp(lj - lse) AS r FROM j0 JOIN l0 USING (doc_id)),
-n0 AS (SELECT k, sum(r) AS nk FROM r0 GROUP BY k),
-m1 AS (SELECT k, word, s1 / nk AS mean, greatest(s2 / nk - (s1 / nk) ^ 2, {EM_SMOOTHING}) AS var FROM (
-  SELECT k, word, sum(r * w) AS s1, sum(r * w * w) AS s2 FROM u JOIN r0 USING (doc_id) GROUP BY ALL) JOIN n0 USING (k))
+em_b0 AS (SELECT k, ln(any_value(s.n) / any_value(nd)) - 0.5 * sum(ln(2 * pi() * var) + mu * mu / var) AS base FROM em_p0 JOIN s{ITERS} s USING (k), nd GROUP BY k),
+em_j0 AS (SELECT u.doc_id, em_p0.k, any_value(base) + sum((u.w * mu - 0.5 * u.w * u.w) / var) AS lj FROM u JOIN em_p0 USING (word) JOIN em_b0 USING (k) GROUP BY u.doc_id, em_p0.k),
+em_l0 AS (SELECT doc_id, max(lj) + ln(sum(exp(lj - m))) AS lse FROM (SELECT *, max(lj) OVER (PARTITION BY doc_id) AS m FROM em_j0) GROUP BY doc_id),
+em_r0 AS MATERIALIZED (SELECT doc_id, k, exp(lj - lse) AS r FROM em_j0 JOIN em_l0 USING (doc_id)),
+em_n0 AS (SELECT k, sum(r) AS nk FROM em_r0 GROUP BY k),
+em_m1 AS (SELECT k, word, s1 / nk AS mean, greatest(s2 / nk - (s1 / nk) ^ 2, {EM_SMOOTHING}) AS var FROM (
+  SELECT k, word, sum(r * w) AS s1, sum(r * w * w) AS s2 FROM u JOIN em_r0 USING (doc_id) GROUP BY ALL) JOIN em_n0 USING (k))
 SELECT k::BIGINT AS component, round(nk / nd, 6) AS weight, rk::BIGINT AS rank, word, round(mean, 6) AS mean, round(var, 6) AS variance,
-  round((SELECT sum(lse) FROM l0) / nd / (SELECT count(*) FROM v), 6) AS loglik_per_word
-FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(mean, 9) DESC, word) AS rk FROM m1) JOIN n0 USING (k), nd WHERE rk <= {EM_WORDS}"""
+  round((SELECT sum(lse) FROM em_l0) / nd / (SELECT count(*) FROM v), 6) AS loglik_per_word
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(mean, 9) DESC, word) AS rk FROM em_m1) JOIN em_n0 USING (k), nd WHERE rk <= {EM_WORDS}"""
 
 
 def _component_words(spark, t: Texts, mix: PG.Mixture, n: int):

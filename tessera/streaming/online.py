@@ -35,29 +35,37 @@ def score_stream(stream: DataFrame, weights) -> DataFrame:
                          F.when(m > 0, 1).otherwise(-1).alias("prediction"))
 
 
-def _has_versions(spark: SparkSession, model_dir: str) -> bool:
-    """Whether the folder holds a model version, asked of its own file system (any URI)."""
+def versions(spark: SparkSession, model_dir: str) -> list[int]:
+    """Model versions in the folder, asked of its own file system (any URI)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(model_dir)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(path) and any(s.getPath().getName().startswith("batch_id=") for s in fs.listStatus(path))
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
 
 
 def _latest_weights(spark: SparkSession, model_dir: str, below: int, d: int) -> np.ndarray:
-    """Weights of the newest version below a batch; zeros before the first. A folder that
-    can't be read raises."""
-    if not _has_versions(spark, model_dir):
+    """Weights of the newest version below a batch; zeros before the first. Only that version's
+    partition is read. A folder that can't be read raises."""
+    earlier = [v for v in versions(spark, model_dir) if v < below]
+    if not earlier:
         return np.zeros(d)
-    m = spark.read.schema("index bigint, weight double, batch_id bigint").parquet(model_dir)
-    prev = m.where(F.col("batch_id") < below).agg(F.max("batch_id")).collect()[0][0]
-    if prev is None:
-        return np.zeros(d)
-    rows = m.where(F.col("batch_id") == prev).orderBy("index").collect()
-    return np.array([r["weight"] for r in rows])
+    m = spark.read.schema("index bigint, weight double").parquet(f"{model_dir}/batch_id={earlier[-1]}")
+    return np.array([r["weight"] for r in m.orderBy("index").collect()])
+
+
+def compact(spark: SparkSession, model_dir: str, keep: int) -> None:
+    """Delete all versions but the newest ``keep``. A replayed batch needs the version before it, so
+    keep at least two while a query runs."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(model_dir)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for v in versions(spark, model_dir)[:-keep]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{model_dir}/batch_id={v}"), True)
 
 
 def online_logistic(stream: DataFrame, model_dir: str, step: float, checkpoint: str,
-                    trigger_once: bool = True):
-    """Start the online-learning query; returns the StreamingQuery."""
+                    trigger_once: bool = True, keep: int | None = None):
+    """Start the online-learning query; returns the StreamingQuery. With ``keep`` (two or more) older
+    model versions are deleted as new ones come."""
     spark = stream.sparkSession
 
     def step_batch(batch: DataFrame, batch_id: int) -> None:
@@ -73,6 +81,8 @@ def online_logistic(stream: DataFrame, model_dir: str, step: float, checkpoint:
                                     "batch_id bigint, index bigint, weight double")
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(model_dir))
+        if keep is not None:
+            compact(spark, model_dir, max(keep, 2))
 
     w = stream.writeStream.foreachBatch(step_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w
