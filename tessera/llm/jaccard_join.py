@@ -279,12 +279,18 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     inside = materialise(first.join(_distinct(_sizes(first)), ["parent", "key"]).select("member", "key", "n"), "inside")
     paths = inside.groupBy("member").agg(F.collect_list(F.when(F.col("n") > SMALL, F.col("key"))).alias("paths"))
     wanted = classes.join(paths, "member").select("member", "digest", "class_id", "paths")
-    found = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["class_id"])).select("text", "digest", "member", "paths")
-    sets = found.mapInArrow(_sets(shingle), "member bigint, tokens array<bigint>, paths array<bigint>")
-    twice = rows.select("doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if not twice.isEmpty():
-        sets = sets.dropDuplicates(["member"])
-    sets = materialise(sets, "sets")
+    by_id = rows.join(wanted, rows["doc_id"] == wanted["class_id"])
+    vague = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("vague"))
+    if not vague.isEmpty():
+        # an id that several rows have, or none, names no text: these rows meet their class by digest
+        several = rows.join(vague, F.col("doc_id").eqNullSafe(F.col("vague")), "left_semi")
+        tagged = several.select("text").mapInArrow(_tagged(shingle, ["text"]), "text string, digest string").dropDuplicates(["digest"])
+        theirs = wanted.join(vague, F.col("class_id").eqNullSafe(F.col("vague")), "left_semi")
+        columns = ["text", "digest", "member", "paths"]
+        by_id = (by_id.join(vague, F.col("doc_id") == F.col("vague"), "left_anti").select(columns)
+                 .unionByName(tagged.join(theirs, "digest").select(columns)))
+    found = by_id.select("text", "digest", "member", "paths")
+    sets = materialise(found.mapInArrow(_sets(shingle), "member bigint, tokens array<bigint>, paths array<bigint>"), "sets")
     release_shuffles(spark)
     scratch: list[DataFrame] = []
     leaves = materialise(_leaves(inside, sets, threshold, scratch), "leaves")

@@ -190,3 +190,29 @@ def test_decontamination_against_brute_force(spark, edge_docs, no_docs):
     assert decontaminate.find_contamination(no_docs, bench).count() == 0
     none = decontaminate.find_contamination(edge_docs, bench.where("false")).collect()
     assert len(none) == len(rows) and not any(r["hit_words"] for r in none)
+
+
+def test_rows_without_or_with_one_id_meet_their_class_once(spark):
+    """Thousands of texts without an id, and as many with one and the same: each class is read
+    once, and near copies among them link."""
+    import random
+
+    from tessera.llm import jaccard_join
+    rng = random.Random(11)
+    base = [[f"w{rng.randrange(5000)}" for _ in range(60)] for _ in range(400)]
+
+    def near(words, k):
+        out = list(words)
+        out[k] = "changed"
+        return " ".join(out)
+    rows = [(None, near(w, 0)) for w in base] + [(None, near(w, 59)) for w in base] + [(7, near(w, 1)) for w in base] + [(7, " ".join(w)) for w in base]
+    rows += [(10_000 + i, " ".join(w)) for i, w in enumerate(base[:50])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = jaccard_join.similar(docs).collect()
+    assert len(got) == len(rows)
+    # the four texts of a base are near copies of one another; the last is there twice for 50 of them
+    by = {}
+    for r in got:
+        by.setdefault(r["n_links"], 0)
+        by[r["n_links"]] += 1
+    assert set(by) <= {3, 4} and by[4] == 50 * 5 and by[3] == 350 * 4
