@@ -136,14 +136,74 @@ def test_quality_model_finds_an_interaction():
     assert np.allclose(m.score(x[:5]), 1 / (1 + np.exp(-logit)))
 
 
-def test_presence_of_ngrams():
-    texts = ["aB1c", "", "é", "xyz", "ab"]
+def byte_grams(text):
+    """Distinct n-grams (n = 2, 3, 4) of the lower-cased bytes, other bytes than letters as blanks."""
+    raw = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in text.encode())
+    return {raw[i:i + n] for n in (2, 3, 4) for i in range(len(raw) - n + 1)}
+
+
+def as_bytes(texts):
     raw = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(b) for b in raw])]).astype(np.int64)
-    p = language_id.presence(np.frombuffer(b"".join(raw), dtype=np.uint8), offsets)
-    assert p.sum(axis=1).tolist() == [6.0, 0.0, 1.0, 3.0, 1.0]        # distinct n-grams of 2, 3 and 4 bytes
-    one = language_id.presence(np.frombuffer(raw[0], dtype=np.uint8), np.array([0, len(raw[0])]))
-    assert (p[0] == one[0]).all()
+    return np.frombuffer(b"".join(raw), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in raw])]).astype(np.int64)
+
+
+def test_presence_of_ngrams():
+    texts = ["aB1c", "", "é", "xyz", "ab", "ab ab é ab!ab", "Ünï ünï", "z", "the quick brown fox " * 300]
+    marks = ["ab1cd", "é ab", "the lazy fox", "xyz"]
+    data, offsets = as_bytes(marks)
+    codes = language_id.gram_codes(data, offsets)
+    for level, n in enumerate((2, 3, 4)):
+        assert len(np.unique(codes[level][0])) == len({g for m in marks for g in byte_grams(m) if len(g) == n})
+    grams = language_id.Grams([c for c, _ in codes])
+    known = {g for m in marks for g in byte_grams(m)}
+    assert grams.size == len(known)
+    p, own = grams.presence(*as_bytes(texts)), grams.presence(data, offsets)
+    for i, t in enumerate(texts):
+        assert p[i].sum() == len(byte_grams(t) & known)
+        for j, m in enumerate(marks):
+            assert p[i] @ own[j] == len(byte_grams(t) & byte_grams(m))      # the kernel, exactly
+
+
+def test_kernel_ridge_against_brute_force(spark):
+    """Landmark map and solution from Python sets and one dense system."""
+    rng = random.Random(8)
+    make = {"": "abcd", "bb": "cdwx", "cc": "éèabw"}
+    rows = [(i, " ".join("".join(rng.choices(make[k], k=rng.randrange(2, 9))) for _ in range(rng.randrange(1, 30))), k) for i in range(40) for k in make]
+    rows += rows[:9]                                                        # repeated rows
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    model = language_id.fit(docs, landmarks=12)
+    assert model.langs == ["", "bb", "cc"]                                  # an empty string is a language
+    marks = {r.tobytes(): r for r in np.round(model.landmarks.T * np.sqrt((model.landmarks > 0).sum(axis=0))[:, None]).astype(int)}
+    assert len(marks) == 12
+    # landmarks as sets: read back from the texts whose presence they are
+    presence = {t: model.grams.presence(*as_bytes([t]))[0].astype(int) for _, t, _ in rows}
+    chosen = [next(t for t in presence if set(np.flatnonzero(presence[t])) == set(np.flatnonzero(m))) for m in model.landmarks.T > 0]
+    known = set().union(*map(byte_grams, chosen))
+    k = np.array([[len(byte_grams(t) & byte_grams(c)) / np.sqrt(len(byte_grams(c)) * max(1, len(byte_grams(t) & known))) for c in chosen] for _, t, _ in rows])
+    lang = np.array([model.langs.index(x) for *_, x in rows])
+    weight = 1 / np.bincount(lang)[lang]
+    inner = np.array([[len(byte_grams(a) & byte_grams(b)) / np.sqrt(len(byte_grams(a)) * len(byte_grams(b))) for b in chosen] for a in chosen])
+    y = np.where(lang[:, None] == np.arange(3), 1, -0.5)
+    want = np.linalg.solve((k * weight[:, None]).T @ k + language_id.RIDGE * inner + 1e-8 * np.eye(12), (k * weight[:, None]).T @ y)
+    values = k @ want
+    assert np.allclose(model.values(np.array([presence[t] for _, t, _ in rows], dtype=np.float32)), values, atol=2e-3)
+    got = {(r["doc_id"], r["lang_pred"]): r["score"] for r in language_id.predict(docs, model).collect()}
+    for (i, t, x), v in zip(rows, values):
+        best = model.langs[int(v.argmax())]
+        if np.sort(v)[-1] - np.sort(v)[-2] > 1e-2:
+            assert got[i, best] == pytest.approx(min(max((1 + v.max()) / 2, 0), 1), abs=2e-3)
+
+
+def test_language_of_a_text_longer_than_a_batch(spark):
+    """A text of ten million bytes keeps its language: the kernel counts the landmarks' n-grams only."""
+    rng = random.Random(9)
+    make = {"aa": "abcdefgh", "bb": "abcdwxyz"}
+    rows = [(i, " ".join("".join(rng.choices(make[k], k=6)) for _ in range(40)), k) for i in range(60) for k in make]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    block = " ".join("".join(rng.choices(make["bb"], k=6)) for _ in range(30_000))
+    long = spark.createDataFrame([(1, " ".join([block] * 48)), (2, rows[0][1])], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(long, model).collect()}
+    assert len(block) * 48 > 10_000_000 and got == {1: "bb", 2: "aa"}
 
 
 def test_language(spark, edge_docs, no_docs):
