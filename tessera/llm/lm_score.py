@@ -197,6 +197,11 @@ def word_vectors(emb: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> np.nd
     return np.concatenate([sums / counts[:, None].astype(np.float32), emb[[START]]])
 
 
+def sums_by(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by group number."""
+    return np.stack([np.bincount(group, values[:, k], n) for k in range(values.shape[1])], axis=1).astype(np.float32)
+
+
 class Trainer:
     """Local steps (Adagrad) from shared parameters."""
 
@@ -209,19 +214,26 @@ class Trainer:
 
     def step(self, tokens: Tokens, flat: np.ndarray, counts: np.ndarray, classes: np.ndarray, text, start, size) -> None:
         word, inside = inputs_of(tokens.first, tokens.which, text, start)
-        x = word_vectors(self.p["emb"], flat, counts)[word]
+        # the distinct words of these windows, the text's start (-1) first where it occurs
+        used, at = np.unique(word, return_inverse=True)
+        at, starts = at.ravel(), int(used[0] < 0)
+        n = counts[used[starts:]]
+        subs = flat[ranges(offsets_of(counts)[:-1][used[starts:]], n)]
+        share = (1 / np.repeat(n, n)).astype(np.float32)[:, None]
+        emb = self.p["emb"]
+        vectors = np.add.reduceat(emb[subs] * share, offsets_of(n)[:-1], axis=0) if len(n) else emb[:0]
+        x = np.concatenate([emb[[START]][:starts], vectors])[at].reshape(*word.shape, DIM)
         y, real = targets_of(tokens, classes, text, start, size)
         g, dx, loss = gradients(self.p, x, inside, y, real)
         dx[~inside] = 0
-        # words' gradients go to their subwords, the start's to its own row
-        per_word = np.zeros((len(counts) + 1, DIM), dtype=np.float32)
-        np.add.at(per_word, word.ravel(), dx.reshape(-1, DIM))
-        emb = np.zeros_like(self.p["emb"])
-        emb[START] = per_word[-1]
-        used = np.flatnonzero(np.abs(per_word[:-1]).sum(axis=1))
-        n = counts[used]
-        np.add.at(emb, flat[ranges(offsets_of(counts)[:-1][used], n)], np.repeat(per_word[used] / n[:, None].astype(np.float32), n, axis=0))
-        g["emb"] = emb
+        # words' gradients go to their subwords, the start's to its own row; other rows don't move
+        per_word = sums_by(at, dx.reshape(-1, DIM), len(used))
+        rows, row = np.unique(np.concatenate([np.full(starts, START), subs]), return_inverse=True)
+        parts = np.concatenate([per_word[:starts], np.repeat(per_word[starts:], n, axis=0) * share])
+        change = sums_by(row, parts, len(rows))
+        seen = self.seen["emb"]
+        seen[rows] += change * change
+        emb[rows] -= np.float32(RATE) * change / np.sqrt(seen[rows])
         for k, v in g.items():
             self.seen[k] += v * v
             self.p[k] -= np.float32(RATE) * v / np.sqrt(self.seen[k])
