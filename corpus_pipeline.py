@@ -16,14 +16,18 @@ from tessera.sources.tables import table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts. A missing text is judged as an empty one, equal
+    rows alike, rows without id too (they are never learned from); without labels all documents have
+    score 0.5 and stay; an empty table stays empty. Other columns are handed through."""
     model = quality_model(docs, table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model, carry=tuple(docs.columns))
     return scored.where(F.col("score") >= quality.SCORE_BOUND).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, the one with the smallest id. Texts without a
+    word (missing, empty) link with nothing and all stay; repeated rows are one document; in a group
+    without any id one row of each set of shingles stays."""
     return jaccard_join.keep_one(docs)
 
 
@@ -43,14 +47,16 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark passage."""
+    """Documents without any benchmark passage. Texts without a word are never hit; equal rows are
+    judged alike, rows without id too; an empty benchmark hits nothing."""
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=tuple(docs.columns))
     return found.where(F.size("hit_words") == 0).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document (binary: little-endian unsigned 32-bit), their number and
-    digest, and the digest of the text that decoding them gives."""
+    digest, and the digest of the text that decoding them gives. A missing or empty text has no
+    tokens; every row has its row, with the id it has."""
     vocabulary = bpe.share(docs, vocabulary_path())
     out = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
     return out.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
