@@ -116,25 +116,30 @@ def tfidf_rows(docs: DataFrame, id_col: str, text_col: str = "text", unit: bool
     counts = cut_lineage(word_counts(docs, id_col, text_col))
     words = with_row_index(idf_table(counts, docs.count()), [F.col("idf"), F.col("word")], "number")
     words = written(words.withColumn("number", F.col("number").cast("int")), "vocabulary")
-    entry = F.struct("number", (F.col("count") * F.col("idf")).alias("v"))
-    rows = (counts.join(words, "word").groupBy(F.col(id_col).cast("bigint").alias("id"))
-            .agg(F.sort_array(F.collect_list(entry)).alias("e")).select("id", F.col("e.number").alias("cols"), F.col("e.v").alias("vals")))
+    weights = counts.join(words, "word").select(F.col(id_col).cast("bigint").alias("id"), "number", (F.col("count") * F.col("idf")).alias("v"))
+    return written(rows_of(weights, unit), "tfidf"), words
+
+
+def rows_of(weights: DataFrame, unit: bool = False) -> DataFrame:
+    """(id, number, v) -> rows (id, cols, vals, extra 0), scaled to unit norm if asked (then without
+    rows of norm 0)."""
+    rows = (weights.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("number", F.col("v").cast("double").alias("v")))).alias("e"))
+            .select("id", F.col("e.number").alias("cols"), F.col("e.v").alias("vals")))
     if unit:
         rows = rows.withColumn("_n", F.sqrt(F.aggregate("vals", F.lit(0.0), lambda a, v: a + v * v)))
         rows = rows.where("_n > 0").select("id", "cols", F.transform("vals", lambda v: v / F.col("_n")).alias("vals"))
-    return written(rows.withColumn("extra", F.lit(0.0)), "tfidf"), words
+    return rows.withColumn("extra", F.lit(0.0))
 
 
-def count_rows(docs: DataFrame, id_col: str, without: list[str], text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Word counts of a corpus as rows (id, cols, vals, extra) without the given words, and the
-    vocabulary (word, df, number), both written to the shared folder."""
+def count_rows(docs: DataFrame, id_col: str, without: list[str], text_col: str = "text", unit: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Word counts of a corpus as rows (id, cols, vals, extra) without the given words, scaled to unit
+    norm if asked, and the vocabulary (word, df, number), both written to the shared folder."""
     counts = cut_lineage(word_counts(docs, id_col, text_col).where(~F.col("word").isin(without)))
     df = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     words = with_row_index(df, [F.desc("df"), F.col("word")], "number")
     words = written(words.withColumn("number", F.col("number").cast("int")), "vocabulary")
-    rows = (counts.join(words, "word").groupBy(F.col(id_col).cast("bigint").alias("id"))
-            .agg(F.sort_array(F.collect_list(F.struct("number", F.col("count").cast("double").alias("v")))).alias("e")))
-    return written(rows.select("id", F.col("e.number").alias("cols"), F.col("e.v").alias("vals"), F.lit(0.0).alias("extra")), "counts"), words
+    weights = counts.join(words, "word").select(F.col(id_col).cast("bigint").alias("id"), "number", F.col("count").alias("v"))
+    return written(rows_of(weights, unit), "counts"), words
 
 
 # ------------------------------------------------------------------ sums

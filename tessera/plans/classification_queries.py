@@ -386,25 +386,31 @@ _MINI_LL = ("(b2.ind - 1) * (nw0 * b2.x0 + nw1 * b2.x1 + nw2 * b2.x2) - CASE WHE
             "THEN -(nw0 * b2.x0 + nw1 * b2.x1 + nw2 * b2.x2) ELSE ln(1 + exp(-(nw0 * b2.x0 + nw1 * b2.x1 + nw2 * b2.x2))) END")
 
 
-@query("sgd_minibatch", rows=("C15", "C16", "C17"), oracle=f"""
+def minibatch_sql(epochs: int, batches: int, salt: int, steps: list[float], columns: str) -> str:
+    """Oracle of mini-batch ascent: one recursion over the steps of all epochs, for all step sizes."""
+    return f"""
 WITH RECURSIVE {DENSE_SQL.replace('FROM s)', ', ' + ROWKEY_SQL + ' AS rk FROM s)')},
 n AS (SELECT count(*) AS n FROM d),
 pos AS (""" + "\nUNION ALL ".join(
-    f"SELECT {e} AS epoch, d.*, row_number() OVER (ORDER BY {sql_hash32('rk', 15 + e)}, rk, x1, x2, ind) - 1 AS p FROM d"
-    for e in range(MINI_EPOCHS)) + f"""),
-b AS MATERIALIZED (SELECT epoch * {MINI_BATCHES} + p // (n.n // {MINI_BATCHES}) AS step, x0, x1, x2, ind FROM pos, n WHERE p < (n.n // {MINI_BATCHES}) * {MINI_BATCHES}),
+        f"SELECT {e} AS epoch, d.*, row_number() OVER (ORDER BY {sql_hash32('rk', salt + e)}, rk, x1, x2, ind) - 1 AS p FROM d"
+        for e in range(epochs)) + f"""),
+b AS MATERIALIZED (SELECT epoch * {batches} + p // (n.n // {batches}) AS step, x0, x1, x2, ind FROM pos, n WHERE p < (n.n // {batches}) * {batches}),
 it(k, size, w0, w1, w2, ll) AS (
-  SELECT 0, size, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE FROM (SELECT unnest({MINI_STEPS}::DOUBLE[]) AS size)
+  SELECT 0, size, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE FROM (SELECT unnest({steps}::DOUBLE[]) AS size)
   UNION ALL
   SELECT k + 1, size, nw0, nw1, nw2, avg({_MINI_LL})
   FROM (SELECT k, size, w0 + size / cnt * g0 AS nw0, w1 + size / cnt * g1 AS nw1, w2 + size / cnt * g2 AS nw2
         FROM (SELECT k, size, w0, w1, w2, count(*) AS cnt, sum(err * x0) AS g0, sum(err * x1) AS g1, sum(err * x2) AS g2
               FROM (SELECT it.*, b.x0, b.x1, b.x2, b.ind - 1 / (1 + exp(-greatest(it.w0 * b.x0 + it.w1 * b.x1 + it.w2 * b.x2, -700))) AS err
-                    FROM it JOIN b ON b.step = it.k WHERE it.k < {MINI_EPOCHS * MINI_BATCHES})
+                    FROM it JOIN b ON b.step = it.k WHERE it.k < {epochs * batches})
               GROUP BY k, size, w0, w1, w2)) u JOIN b b2 ON b2.step = u.k
   GROUP BY k, size, nw0, nw1, nw2)
-SELECT size AS step_size, k::BIGINT AS step, round(ll, 5) AS batch_avg_loglik FROM it WHERE k > 0
-""")
+SELECT {columns} FROM it WHERE k > 0
+"""
+
+
+@query("sgd_minibatch", rows=("C15", "C16", "C17"), oracle=minibatch_sql(
+    MINI_EPOCHS, MINI_BATCHES, 15, MINI_STEPS, "size AS step_size, k::BIGINT AS step, round(ll, 5) AS batch_avg_loglik"))
 def sgd_minibatch(spark, sf_dir):
     """Mini-batch ascent in batches of 1 % of the rows, three epochs with a new shuffle each, for
     seven step sizes from 1e-4 to 1e2 at once: average log likelihood of every batch after its

@@ -11,6 +11,8 @@ Fixtures (fixed values):
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as V
@@ -381,17 +383,15 @@ def gmm_top(spark, sf_dir):
 
 def _diag_init(ev, assignment):
     """Shares, means and per-dimension variances (floored at 1e-8) of a hard assignment."""
-    x = assignment.select("cluster", F.posexplode("v").alias("i", "x"))
-    st = (x.groupBy("cluster", "i").agg(F.avg("x").alias("m"), F.var_pop("x").alias("var"))).collect()
-    n = {r["cluster"]: r["n"] for r in assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+    stat = Summarizer.metrics("mean", "variance")
+    st = (assignment.select("cluster", array_to_vector("v").alias("x")).groupBy("cluster")
+          .agg(F.count(F.lit(1)).alias("n"), stat.summary(F.col("x")).alias("s")).collect())        # one row per cluster
+    n = {r["cluster"]: r["n"] for r in st}
     total = sum(n.values())
     ks = sorted(n)
-    d = 1 + max(r["i"] for r in st)
-    means = {k: np.zeros(d) for k in ks}
-    vars_ = {k: np.zeros(d) for k in ks}
-    for r in st:
-        means[r["cluster"]][r["i"]] = r["m"]
-        vars_[r["cluster"]][r["i"]] = max(r["var"], 1e-8)
+    means = {r["cluster"]: r["s"]["mean"].toArray() for r in st}
+    # the summary's variance divides by n - 1
+    vars_ = {r["cluster"]: np.maximum(r["s"]["variance"].toArray() * (r["n"] - 1) / r["n"], 1e-8) for r in st}
     return ks, [n[k] / total for k in ks], [means[k] for k in ks], [vars_[k] for k in ks]
 
 

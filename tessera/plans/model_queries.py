@@ -13,16 +13,17 @@ from pyspark.ml.feature import CountVectorizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import bucket
+from tessera.functions.hashing import bucket, hash32
 from tessera.functions.text import WHITESPACE, tokens
 from tessera.operators import gibbs_lda as LDA
 from tessera.operators import gram as G
 from tessera.operators import heavy_hitters as HH
 from tessera.operators import kmeans as KM
+from tessera.operators import minibatch as MB
 from tessera.operators import packed_gmm as PG
 from tessera.operators import sparse_rows as SR
 from tessera.operators.neighbors import topk_per_group
-from tessera.plans.classification_queries import dense_features, scored
+from tessera.plans.classification_queries import MINI_STEPS, dense_features, minibatch_sql, rowkey, scored
 from tessera.plans.cluster_queries import colours, gmm_start, init_centroids, vectors
 from tessera.plans.fixtures import STOP_WORDS
 from tessera.plans.regression_queries import LI_FEATURES, _normalised_system, li_frame
@@ -164,43 +165,19 @@ def logistic_multiclass(spark, sf_dir):
                  F.count(F.lit(1)).alias("n")))
 
 
-@query("sgd_stepsize", rows=("C17",))
+@query("sgd_stepsize", rows=("C17",), oracle=minibatch_sql(
+    1, 10, 5, MINI_STEPS, "size AS step_size, k::BIGINT AS batch, round(ll, 5) AS avg_loglik"))
 def sgd_stepsize(spark, sf_dir):
     """Mini-batch gradient ascent over a step-size grid: average log likelihood of every batch
     (one epoch of 10 batches per step size; all step sizes advance in the same batch pass)."""
-    from tessera.operators import logistic as LG
-    from tessera.operators.relational import with_row_index
-    from tessera.functions.hashing import hash32
-    from tessera.plans.classification_queries import rowkey
     s = scored(spark, sf_dir)
-    base = s.select(rowkey(s).alias("rk"), *[f.cast("double").alias(f"x{i}") for i, f in
-                                             enumerate(dense_features())],
-                    F.when(F.col("label") == 1, 1.0).otherwise(0.0).alias("ind"))
-    n = base.count()
-    nb = 10
-    bsize = n // nb
-    pos = with_row_index(base.withColumn("_h", hash32("rk", 5)),
-                         [F.col("_h"), F.col("rk"), F.col("x1"), F.col("x2"), F.col("ind")], "p")
-    b = pos.where(F.col("p") < bsize * nb).select((F.col("p") / bsize).cast("bigint").alias("batch"),
-                                                  "x0", "x1", "x2", "ind").persist()
-    steps = [10.0 ** e for e in range(-4, 3)]
-    xs = [F.col("x0"), F.col("x1"), F.col("x2")]
-    ws = {st: np.zeros(3) for st in steps}
-    rows = []
-    for k in range(nb):
-        batch = b.where(F.col("batch") == k)
-        aggs = [F.count(F.lit(1)).alias("c")]
-        for j, st in enumerate(steps):
-            err = F.col("ind") - LG.sigmoid(LG.margin(ws[st], xs))
-            aggs += [F.sum(err * x).alias(f"g{j}_{i}") for i, x in enumerate(xs)]
-        r = batch.agg(*aggs).collect()[0]
-        for j, st in enumerate(steps):
-            ws[st] = ws[st] + st / r["c"] * np.array([r[f"g{j}_{i}"] for i in range(3)])
-        lls = batch.agg(*[F.avg(LG.loglik_expr(LG.margin(ws[st], xs), F.col("ind"))).alias(f"l{j}")
-                          for j, st in enumerate(steps)]).collect()[0]
-        rows += [(st, k + 1, float(lls[f"l{j}"])) for j, st in enumerate(steps)]
-    b.unpersist()
-    return spark.createDataFrame(rows, "step_size double, batch bigint, avg_loglik double")
+    x = F.array(*[f.cast("double") for f in dense_features()])
+    rows = s.select(rowkey(s).alias("rk"), x.alias("x"), F.when(F.col("label") == 1, 1.0).otherwise(0.0).alias("ind"))
+    table = MB.batch_table(rows, [F.col("rk"), F.col("x")[1], F.col("x")[2], F.col("ind")], [5], lambda salt: hash32("rk", salt), 10)
+    out = MB.ascend(table, 3, 10, MINI_STEPS)
+    forget(table)
+    return spark.createDataFrame([(size, k, round(float(v), 5)) for k, ll, _ in out for size, v in zip(MINI_STEPS, ll)],
+                                 "step_size double, batch bigint, avg_loglik double")
 
 
 def _tree_vectors(spark, sf_dir):

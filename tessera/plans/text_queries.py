@@ -5,28 +5,25 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import neighbors as NB
+from tessera.operators import packed_search as PS
+from tessera.operators import sparse_rows as SR
 from tessera.operators import text_features as TF
 from tessera.plans.sqlbits import idf_sql, word_counts_sql
 from tessera.registry import query
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
 K_RETRIEVE = 5
 
 
-def benchmark_neighbours_with_counts(spark, sf_dir, k=K_RETRIEVE):
-    """(neighbours, document bag of words, benchmark bag of words): the bags are computed once
-    (documents materialised) and reused by queries that need them beside the neighbours."""
-    t = Tables(spark, sf_dir)
-    counts, idf, doc_tfidf = TF.fit_tfidf(t.documents, "doc_id")
-    q_counts = TF.word_counts(t.benchmark, "item_id")
-    q_tfidf = TF.tfidf(q_counts, idf, "item_id")
-    res = NB.sparse_cosine_topk(q_tfidf, doc_tfidf, "item_id", "doc_id", k)
-    res = res.select("item_id", "doc_id", "rank", F.round("distance", 6).alias("distance"))
-    return res, counts, q_counts
-
-
 def benchmark_tfidf_neighbours(spark, sf_dir, k=K_RETRIEVE):
-    return benchmark_neighbours_with_counts(spark, sf_dir, k)[0]
+    """(item_id, doc_id, rank, distance): the documents are packed once, the items come in blocks."""
+    t = Tables(spark, sf_dir)
+    rows, words = SR.tfidf_rows(t.documents, "doc_id")
+    items = TF.word_counts(t.benchmark, "item_id").join(words, "word")
+    queries = SR.rows_of(items.select(F.col("item_id").cast("bigint").alias("id"), "number", (F.col("count") * F.col("idf")).alias("v")), unit=True)
+    top, _ = PS.search(SR.pack(rows), queries.persist(), [(0, 0, 0)], k)
+    return top.select(F.col("query_id").alias("item_id"), F.col("id").alias("doc_id"), "rank", F.round("distance", 6).alias("distance"))
 
 
 _TFIDF_COSINE_SQL = f"""
@@ -233,10 +230,11 @@ FROM nn JOIN qw ON qw.item_id = nn.item_id JOIN dw ON dw.doc_id = nn.doc_id AND
 def join_common_words(spark, sf_dir):
     """Words shared by each benchmark item and its nearest document, with both counts
     (the clashing ``count`` columns renamed before the join)."""
-    res, d_counts, q_counts = benchmark_neighbours_with_counts(spark, sf_dir)
-    nn = res.where(F.col("rank") == 1).select("item_id", "doc_id")
-    qw = q_counts.withColumnsRenamed({"count": "count_item"})
-    dw = d_counts.withColumnsRenamed({"count": "count_doc"})
+    t = Tables(spark, sf_dir)
+    nn = cut_lineage(benchmark_tfidf_neighbours(spark, sf_dir, 1).select("item_id", "doc_id"))
+    qw = TF.word_counts(t.benchmark, "item_id").withColumnsRenamed({"count": "count_item"})
+    near = t.documents.select("doc_id", "text").join(nn.select("doc_id").distinct(), "doc_id", "left_semi")
+    dw = TF.word_counts(near, "doc_id").withColumnsRenamed({"count": "count_doc"})
     return (nn.join(qw, "item_id").join(dw, ["doc_id", "word"])
             .select("item_id", "doc_id", "word", "count_item", "count_doc"))
 
@@ -275,20 +273,16 @@ def rank_position(spark, sf_dir):
 
     Position = number of candidates ordered before the target; an aggregate, no full sort.
     """
-    res, d_counts, q_counts = benchmark_neighbours_with_counts(spark, sf_dir)
-    qc = q_counts.withColumn("w", F.col("count").cast("double"))
-    dc = d_counts.withColumn("w", F.col("count").cast("double"))
-    sc = NB.sparse_cosine_scores(qc, dc, "item_id", "doc_id", weight="w") \
-        .withColumn("rd", F.round("distance", 9))
-    nn = res.where(F.col("rank") == 1).select("item_id", F.col("doc_id").alias("target"))
-    tgt = nn.join(sc.select("item_id", F.col("doc_id").alias("target"), F.col("rd").alias("td")),
-                  ["item_id", "target"])
-    before = (F.col("rd") < F.col("td")) | ((F.col("rd") == F.col("td")) &
-                                            (F.col("doc_id") < F.col("target")))
-    return (tgt.join(sc, "item_id").groupBy("item_id", "target")
-            .agg(F.count_if(before).cast("bigint").alias("pos_counts"))
-            .select("item_id", F.col("target").alias("doc_id"), F.lit(0).cast("bigint")
-                    .alias("pos_tfidf"), "pos_counts"))
+    t = Tables(spark, sf_dir)
+    nearest = cut_lineage(benchmark_tfidf_neighbours(spark, sf_dir, 1).select(F.col("item_id").alias("query_id"), F.col("doc_id").alias("id")))
+    rows, words = SR.count_rows(t.documents, "doc_id", [], unit=True)
+    counts = TF.word_counts(t.benchmark, "item_id")
+    norm = counts.groupBy("item_id").agg(F.sqrt(F.sum(F.col("count") * F.col("count"))).alias("norm"))      # over all words of the item
+    items = counts.join(norm, "item_id").join(words, "word")
+    queries = SR.rows_of(items.select(F.col("item_id").cast("bigint").alias("id"), "number", (F.col("count") / F.col("norm")).alias("v")))
+    found = PS.positions(SR.pack(rows), queries.persist(), nearest)
+    return found.select(F.col("query_id").alias("item_id"), F.col("id").alias("doc_id"), F.lit(0).cast("bigint").alias("pos_tfidf"),
+                        F.col("position").alias("pos_counts"))
 
 
 @query("sparse_triples", rows=("S8", "F23", "F14"), oracle=f"""

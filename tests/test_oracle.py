@@ -14,10 +14,8 @@ SAMPLE = ["tfidf_cosine", "group_sum_sorted", "grouped_quartiles", "moving_avera
           "lasso_path", "ridge_kfold", "pr_curve", "roc_curve", "logistic_ga", "sgd_epoch",
           "tree_levelwise", "adaboost", "kmeans_lloyd", "gmm_em_step", "popularity_recommend",
           "item_recommend", "topic_cdf_count", "knn_choose_k", "word_list_counts", "vec_elementwise",
-          "kmeans_text", "kmeans_pp_text", "text_cluster_words", "em_text_step", "lsh_text_query", "lsh_text_radius",
-          "lsh_precision", "lsh_vectors_sweep", "adaboost_staged", "gbt_stumps", "frequent_items", "frequent_words",
-          "csv_table", "model_reload", "kmeans_by_k", "online_events", "scored_events", "function_surfaces",
-          "item_recommend_all"]
+          "kmeans_text", "em_text_step", "lsh_text_radius", "lsh_precision", "adaboost_staged", "gbt_stumps",
+          "frequent_items", "csv_table", "online_events", "scored_events", "function_surfaces"]
 
 
 @pytest.fixture(scope="module")

@@ -167,6 +167,20 @@ def test_search_settings(spark, monkeypatch, density):
     assert PS.search(SR.pack(rows), rows.where("false"), settings, 4)[0].count() == 0
 
 
+def test_positions(spark):
+    m = matrix(9, 110, 18, 0.3, unit=True)
+    rows = rows_of(spark, np.vstack([m, m[:5]]))                # five rows twice: ties by id
+    targets = {0: 7, 20: 112, 40: 40, 60: 3}
+    got = {r["query_id"]: (r["id"], r["position"]) for r in PS.positions(
+        SR.pack(rows), rows.where(F.col("id").isin(list(targets))), spark.createDataFrame(list(targets.items()), "query_id bigint, id bigint")).collect()}
+    both = np.vstack([m, m[:5]])
+    for q, t in targets.items():
+        d = np.round(1 - both @ m[q], 9)
+        ok = (both[:, m[q] != 0] != 0).any(axis=1)
+        if ok[t]:
+            assert got[q] == (t, sum(ok & ((d < d[t]) | ((d == d[t]) & (np.arange(len(d)) < t)))))
+
+
 def test_sparse_ascent(spark):
     rng = np.random.default_rng(8)
     m = np.hstack([np.ones((80, 1)), matrix(8, 80, 6)])

@@ -24,7 +24,8 @@ def test_topk_per_group_is_limited_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", ["tfidf_cosine", "knn_euclid", "lsh_query", "knn_regression",
-                                  "popularity_recommend", "item_recommend", "rank_position"])
+                                  "popularity_recommend", "item_recommend", "rank_position",
+                                  "knn_cosine", "lsh_query", "frequent_items", "word_list_counts", "item_recommend_all"])
 def test_no_cross_or_nested_loop_join(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
