@@ -307,6 +307,8 @@ def _encode(shared, digest: bool):
                  list_array(of_link.astype(np.int32), [len(of_link)], pa.int32()), list_array(per_unit.astype(np.int32), [len(per_unit)], pa.int32())],
                 _NAMES)
             made += 1
+            # or the next block would be made beside this one
+            block = columns = text = groups = figures = links = of_link = keys = numbers = None
     return run
 
 
