@@ -327,7 +327,7 @@ def test_lm_beats_its_base_on_held_out_texts(spark):
 
 def test_oracles(spark):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in queries.ORACLES.items():
         got = queries.QUERIES[name](spark, SF)
