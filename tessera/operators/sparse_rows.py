@@ -120,15 +120,49 @@ def tfidf_rows(docs: DataFrame, id_col: str, text_col: str = "text", unit: bool
     return written(rows_of(weights, unit), "tfidf"), words
 
 
+def _listed(unit: bool):
+    """Entries sorted by (id, number) -> rows; a row that goes on in the next batch waits for it."""
+    def rows(parts):
+        ids, number, v = (np.concatenate(c) for c in zip(*parts))
+        start = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        size = np.diff(np.append(start, len(ids)))
+        keep = np.ones(len(start), dtype=bool)
+        if unit:
+            norm = np.sqrt(np.add.reduceat(v * v, start))
+            keep = norm > 0
+            entry = np.repeat(keep, size)
+            v = v[entry] / np.repeat(norm[keep], size[keep])
+            number = number[entry]
+        at = pa.array(np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids[start][keep]), pa.ListArray.from_arrays(at, pa.array(number)), pa.ListArray.from_arrays(at, pa.array(v)),
+             pa.array(np.zeros(int(keep.sum())))], ["id", "cols", "vals", "extra"])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            part = [batch.column(c).to_numpy() for c in ("id", "number", "v")]
+            if n >= BLOCK_ENTRIES:
+                # the rows before this batch's first id are complete, and so is that id's if it changes here
+                cut = int(np.searchsorted(part[0], held[-1][0][-1], side="right"))
+                if cut < len(part[0]):
+                    yield rows([*held, [c[:cut] for c in part]])
+                    held, n, part = [], 0, [c[cut:] for c in part]
+            held.append(part)
+            n += len(part[0])
+        if held:
+            yield rows(held)
+    return run
+
+
 def rows_of(weights: DataFrame, unit: bool = False) -> DataFrame:
-    """(id, number, v) -> rows (id, cols, vals, extra 0), scaled to unit norm if asked (then without
-    rows of norm 0)."""
-    rows = (weights.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("number", F.col("v").cast("double").alias("v")))).alias("e"))
-            .select("id", F.col("e.number").alias("cols"), F.col("e.v").alias("vals")))
-    if unit:
-        rows = rows.withColumn("_n", F.sqrt(F.aggregate("vals", F.lit(0.0), lambda a, v: a + v * v)))
-        rows = rows.where("_n > 0").select("id", "cols", F.transform("vals", lambda v: v / F.col("_n")).alias("vals"))
-    return rows.withColumn("extra", F.lit(0.0))
+    """(id, number, v) -> rows (id, cols, vals, extra 0) with ascending columns, scaled to unit norm if
+    asked (then without rows of norm 0). Entries without an id are left out."""
+    entries = weights.where("id is not null").select(F.col("id").cast("bigint"), F.col("number").cast("int"), F.col("v").cast("double"))
+    entries = entries.repartition("id").sortWithinPartitions("id", "number")
+    return entries.mapInArrow(_listed(unit), "id bigint, cols array<int>, vals array<double>, extra double")
 
 
 def count_rows(docs: DataFrame, id_col: str, without: list[str], text_col: str = "text", unit: bool = False) -> tuple[DataFrame, DataFrame]:
