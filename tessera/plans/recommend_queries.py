@@ -146,7 +146,7 @@ SELECT qpart AS qitem, part, rk::BIGINT AS rank, round(sim, 6) AS sim FROM (
 """)
 def similar_items_all(spark, sf_dir):
     """Five most similar parts of every part."""
-    s = RC.jaccard_all(interactions(spark, sf_dir), U, I)
+    s = RC.jaccard_all(interactions(spark, sf_dir), U, I, 5)
     top = topk_per_group(s, "qitem", [F.desc(F.round("sim", 9)), F.col(I)], 5)
     return top.select("qitem", I, "rank", F.round("sim", 6).alias("sim"))
 
