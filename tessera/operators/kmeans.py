@@ -1,7 +1,7 @@
 """k-means over array-valued rows: assignment, centroid revision, heterogeneity, k-means++.
 
-Centroids are model state (k × d) embedded as literals; each Lloyd iteration is
-one scan in Arrow batches: nearest centroid (first index wins ties), the previous
+Centroids are model state (k × d) that goes along with the tasks; each Lloyd iteration is
+one scan of rows packed once: nearest centroid (first index wins ties), the previous
 assignment for the change count, the heterogeneity of the previous step, and per-cluster
 vector sums for the next centroids. Several starts share the scans.
 """
@@ -9,6 +9,8 @@ vector sums for the next centroids. Several starts share the scans.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -45,33 +47,56 @@ def revise(old: np.ndarray, sums: dict) -> np.ndarray:
     return new
 
 
+PACK_ROWS = 4096            # of a packed block
+COLLECT_BYTES = 8 << 20     # of all tasks' sums that the driver takes in one job
+
+
 def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
 
 
+def _nearest_of(x: np.ndarray, square: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """argmin of ``_squared`` by row: a product of matrices where its error can't matter, the
+    differences themselves where the two nearest centroids are about as near (or not numbers)."""
+    if len(c) == 1:
+        return np.zeros(len(x), dtype=np.int64)
+    norms = (c * c).sum(axis=1)
+    d = square[:, None] - 2 * (x @ c.T) + norms
+    near = d.argmin(axis=1)
+    two = np.partition(d, 1, axis=1)
+    close = np.flatnonzero(~(two[:, 1] - two[:, 0] > 1e-9 * (square + norms.max())))
+    near[close] = _squared(x[close], c).argmin(axis=1)
+    return near
+
+
+def _pack(batches):
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        x = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
+        for lo in range(0, len(x), PACK_ROWS):
+            part = x[lo:lo + PACK_ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array([len(part)], pa.int64()), pa.array([part.tobytes()], pa.binary())], ["n", "x"])
+
+
 def _passes(cur: dict[int, np.ndarray], prev: dict[int, np.ndarray]):
-    """One scan for all runs: per run the members' count and sum of each cluster, and against
-    the previous centroids the changed rows and the heterogeneity of the previous assignment
-    about the current means. Every distance is computed once."""
+    """One scan of packed rows for all runs: per run the members' count and sum of each cluster,
+    and against the previous centroids the changed rows and the heterogeneity of the previous
+    assignment about the current means."""
     def run(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            column = batch.column("v")
-            x = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
-            for lo in range(0, len(x), 4096):
-                part = x[lo:lo + 4096]
+            for n, x in zip(batch.column("n").to_pylist(), batch.column("x")):
+                part = np.frombuffer(x.as_buffer(), np.float64).reshape(n, -1)
+                square = (part * part).sum(axis=1)
                 for r, c in cur.items():
                     k, d = c.shape
-                    dist = _squared(part, c)
-                    near = dist.argmin(axis=1)
-                    sums = np.zeros((k, d))
-                    np.add.at(sums, near, part)
+                    near = _nearest_of(part, square, c)
+                    sums = np.array([part[near == j].sum(axis=0) for j in range(k)])
                     changed = het = 0.0
                     if r in prev:
-                        old = _squared(part, prev[r]).argmin(axis=1)
-                        changed, het = float((old != near).sum()), float(dist[np.arange(len(part)), old].sum())
+                        old = _nearest_of(part, square, prev[r])
+                        changed, het = float((old != near).sum()), float(((part - c[old]) ** 2).sum(axis=1).sum())
                     got = np.concatenate([[changed, het], np.bincount(near, minlength=k), sums.ravel()])
                     total[r] = total[r] + got if r in total else got
         if total:
@@ -84,7 +109,8 @@ def lloyd_runs(df: DataFrame, vec: str, init: dict[int, np.ndarray], max_iter: i
     assignment changes; record heterogeneity (new centroids, current assignment) and change
     count. A record's heterogeneity is read in the following scan. Returns by run
     (centroids, trace[(iteration, heterogeneity, changed or None)])."""
-    rows = df.select(F.col(vec).alias("v"))
+    rows = df.select(F.col(vec).alias("v")).mapInArrow(_pack, "n bigint, x binary").persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = rows.rdd.getNumPartitions()
     cur = {r: np.asarray(c, dtype=float) for r, c in init.items()}
     prev: dict[int, np.ndarray] = {}
     traces: dict[int, list] = {r: [] for r in cur}
@@ -93,7 +119,8 @@ def lloyd_runs(df: DataFrame, vec: str, init: dict[int, np.ndarray], max_iter: i
         live = {r: c for r, c in cur.items() if r not in done}
         if not live:
             break
-        sums = sum_arrays(rows.mapInArrow(_passes(live, {r: prev[r] for r in live if r in prev}), SCHEMA))
+        size = tasks * sum(8 * (2 + len(c) + c.size) for c in live.values())
+        sums = sum_arrays(rows.mapInArrow(_passes(live, {r: prev[r] for r in live if r in prev}), SCHEMA), size <= COLLECT_BYTES)
         for r, c in live.items():
             k, d = c.shape
             got = sums.get(r, np.zeros(2 + k + k * d))
@@ -107,6 +134,7 @@ def lloyd_runs(df: DataFrame, vec: str, init: dict[int, np.ndarray], max_iter: i
             prev[r] = c
             cur[r] = revise(c, {j: (n[j], s[j]) for j in range(k)})
             traces[r].append([it, None, changed])
+    rows.unpersist()
     return done
 
 
