@@ -97,10 +97,14 @@ def _sigmoid(s: np.ndarray) -> np.ndarray:
 def _add_gradient(total: np.ndarray, block, w: np.ndarray) -> None:
     """Gradient by column (all rows but the last) and log likelihood (last row), by model. The
     block's ``extra`` is 1 for the positive class, else 0."""
-    s, ind = block.dot(w), block.extra[:, None]
+    x, ind = block.table(len(w)), block.extra[:, None]
+    s = block.dot(w) if x is None else x @ w
     err = ind - _sigmoid(s)
-    for m in range(w.shape[1]):
-        total[:-1, m] += np.bincount(block.cols, weights=block.vals * err[block.row, m], minlength=len(w))
+    if x is not None:
+        total[:-1] += x.T @ err
+    else:
+        for m in range(w.shape[1]):
+            total[:-1, m] += np.bincount(block.cols, weights=block.vals * err[block.row, m], minlength=len(w))
     log1p = np.where(s < -30, -s, np.log1p(np.exp(-np.maximum(s, -30))))
     total[-1] += ((ind - 1.0) * s - log1p).sum(axis=0)
 

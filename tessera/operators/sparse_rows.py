@@ -29,6 +29,8 @@ MODEL_BYTES = 256 << 20     # of a model that is broadcast, and of a task's sum
 CHUNK = 1 << 17             # entries of a chunk of a sum
 COLLECT_BYTES = 8 << 20     # of all tasks' sums that the driver takes as they are
 CLOSURE_BYTES = 1 << 16     # of a model that isn't worth a broadcast
+DENSE = 8                   # cells of a dense matrix for each entry, at most
+TASK_ENTRIES = 1 << 22      # entries that a task of a pass takes, at most about
 
 PACKED = "ids binary, at binary, cols binary, vals binary, extra binary"
 PARTS = "part bigint, keys binary, sums binary"
@@ -51,6 +53,15 @@ class Block:
         """Rows times a matrix by column number (columns, k) -> (rows, k)."""
         return self.fold(self.vals[:, None] * m[self.cols])
 
+    def table(self, columns: int) -> np.ndarray | None:
+        """The rows as a dense matrix (rows, columns), where that is no more than some times their
+        entries. A row names a column once."""
+        if len(self.ids) * columns > DENSE * len(self.cols):
+            return None
+        out = np.zeros((len(self.ids), columns))
+        out[self.row, self.cols] = self.vals
+        return out
+
     def fold(self, entries: np.ndarray) -> np.ndarray:
         """Sum of the entries' values (entries, k) by row."""
         out = np.zeros((len(self.ids), entries.shape[1]))
@@ -77,6 +88,15 @@ def _pack(batches):
             lo = hi
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a table dealt evenly to as many tasks as there are cores (to a multiple of that where a
+    task had too much), for fits of many passes: a pass is as long as its longest task, and a task
+    costs some milliseconds however little it does."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    entries = rows.agg(F.sum(F.size("cols"))).first()[0] or 0
+    return rows.repartition(cores * max(1, -(-entries // (cores * TASK_ENTRIES))))
+
+
 def pack(rows: DataFrame) -> DataFrame:
     """(id bigint, cols array<int>, vals array<double>, extra double) -> packed blocks, persisted."""
     rows = rows.select(F.col("id").cast("bigint"), F.col("cols").cast("array<int>"), F.col("vals").cast("array<double>"),

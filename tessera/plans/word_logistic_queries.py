@@ -21,7 +21,7 @@ from tessera.operators import sparse_rows as SR
 from tessera.operators import text_features as TF
 from tessera.plans.sqlbits import word_counts_sql
 from tessera.registry import query
-from tessera.session import scratch_path
+from tessera.session import scratch_path, written
 from tessera.sources.tables import Tables, read_word_list
 
 LISTED, PLAIN, PATH = 193, 301, 501
@@ -89,7 +89,8 @@ def labelled_blocks(spark, sf_dir):
     rows = (train.join(docs.select("doc_id"), "doc_id").join(bags, "doc_id", "left").withColumn("e", F.coalesce("e", empty))
             .select(F.col("doc_id").alias("id"), F.concat(F.array(F.lit(0)), F.col("e.j")).alias("cols"),
                     F.concat(F.array(F.lit(1.0)), F.col("e.v")).alias("vals"), "extra"))
-    blocks = SR.pack(rows)
+    rows = written(rows, "labelled")
+    blocks = SR.pack(SR.dealt(rows))
     n = sum(r["n"] for r in blocks.select((F.length("ids") / 8).cast("bigint").alias("n")).groupBy().sum("n").withColumnRenamed("sum(n)", "n").collect() if r["n"])
     return blocks, n, [INTERCEPT] + [r["word"] for r in words.orderBy("j").collect()]
 
