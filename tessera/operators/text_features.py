@@ -38,7 +38,7 @@ def idf_table(counts: DataFrame, n_docs: int) -> DataFrame:
 
 def tfidf(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
     """(id, word, tfidf) = count · idf. Words without an idf (unseen in the fit corpus) drop out."""
-    return (counts.join(idf, "word")
+    return (counts.join(idf.hint("shuffle_hash"), "word")
             .select(id_col, "word", (F.col("count") * F.col("idf")).alias("tfidf")))
 
 
