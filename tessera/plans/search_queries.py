@@ -15,7 +15,7 @@ from tessera.functions import vectors as V
 from tessera.functions.hashing import bucket, sql_hash32
 from tessera.operators.block_search import search
 from tessera.registry import query
-from tessera.sources.tables import Tables
+from tessera.sources.tables import Tables, spread
 
 MAX_K = 15
 
@@ -66,7 +66,7 @@ def _neighbours(spark, sf_dir):
     norms = train.agg(*[F.sqrt(F.sum(F.col("f")[i] * F.col("f")[i])).alias(str(i)) for i in range(len(FEATURES))]).first()
     scaled = F.transform("f", lambda x, i: x / F.array(*[F.lit(float(v)) for v in norms])[i])
     queries = p.where("asked")
-    near = search(train.select(F.col("id").alias("row"), F.lit(0).alias("label"), scaled.alias("vec")),
+    near = search(spread(train.select(F.col("id").alias("row"), F.lit(0).alias("label"), scaled.alias("vec"))),
                   queries.select(F.col("id").alias("query_id"), scaled.alias("vec")), MAX_K)
     return (near.join(train.select(F.col("id").alias("row"), "y"), "row")
             .join(queries.select(F.col("id").alias("query_id"), F.col("y").alias("qy")), "query_id"))
