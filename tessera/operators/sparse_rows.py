@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.relational import with_row_index
-from tessera.operators.text_features import idf_table, word_counts
-from tessera.session import cut_lineage, written
+from tessera.operators.text_features import FREQUENT, idf_table, with_words, word_counts
+from tessera.session import forget, written
 
 BLOCK_ENTRIES = 1 << 18     # entries of a block, about (one row at least)
 MODEL_BYTES = 256 << 20     # of a model that is broadcast, and of a task's sum
@@ -131,20 +131,58 @@ def unpacked(batches) -> Iterator[Block]:
 def tfidf_rows(docs: DataFrame, id_col: str, text_col: str = "text", unit: bool = True, signs: Column | None = None,
                bits: int = 0) -> tuple[DataFrame, DataFrame]:
     """TF-IDF of a corpus as rows (id, cols, vals, extra), scaled to unit norm if asked, and its
-    vocabulary (word, idf, number), both written to the shared folder. Words are numbered from
+    vocabulary (word, df, idf, number), both written to the shared folder. Words are numbered from
     the most frequent on, so that a block's entries meet few parts of a model; words of every
     document have weight 0 and no number, documents without any weighted word no row.
 
     ``signs`` is a number by ``word`` whose first ``bits`` bits are the word's signs on as many
     hyperplanes; ``extra`` is then the row's signature (see ``_listed``), else 0."""
-    counts = cut_lineage(word_counts(docs, id_col, text_col))
-    words = with_row_index(idf_table(counts, docs.count()), [F.col("idf"), F.col("word")], "number")
-    words = written(words.withColumn("number", F.col("number").cast("int")), "vocabulary")
+    counts = written(word_counts(docs, id_col, text_col), "counts")
+    words = vocabulary(counts, docs.count())
     known = words if signs is None else words.withColumn("h", signs.bitwiseAND(F.lit((1 << bits) - 1)).cast("int"))
-    # the vocabulary's part is hashed: sorting all entries by word would be most of the work
-    weights = counts.join(known.hint("shuffle_hash"), "word").select(
+    weights = with_words(counts, known).select(
         F.col(id_col).cast("bigint").alias("id"), "number", (F.col("count") * F.col("idf")).alias("v"), *(["h"] if bits else []))
-    return written(rows_of(weights, unit, bits), "tfidf"), words
+    out = written(rows_of(weights, unit, bits), "tfidf")
+    forget(counts)
+    return out, words
+
+
+def vocabulary(counts: DataFrame, n_docs: int) -> DataFrame:
+    """(word, df, idf, number) of a corpus' word counts, written to the shared folder."""
+    words = with_row_index(idf_table(counts, n_docs), [F.col("idf"), F.col("word")], "number")
+    return written(words.withColumn("number", F.col("number").cast("int")), "vocabulary")
+
+
+def _matching(entries: DataFrame, asked: DataFrame) -> DataFrame:
+    """Entries of the asked words (word, number): broadcast where they measure at most ``FREQUENT``."""
+    return entries.join(F.broadcast(asked) if asked.count() <= FREQUENT else asked, "word")
+
+
+def asked_tfidf_rows(counts: DataFrame, n_docs: int, id_col: str, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``tfidf_rows`` for a search by the words of ``queries`` (id, word, count) in a written table of a corpus'
+    ``counts``: unit rows by the norm over all words, of which only the entries that a query can meet are
+    kept; and the queries' unit rows. Rows that share no word with any query are left out."""
+    words = vocabulary(counts, n_docs)
+    asked = written(queries.join(words, "word"), "queries")
+    known = asked.select("word", "idf", "number").distinct()
+    norms = (with_words(counts, words.select("word", "df", "idf")).groupBy(id_col)
+             .agg(F.sqrt(F.sum(F.col("count") * F.col("idf") * F.col("count") * F.col("idf"))).alias("norm")))
+    hits = _matching(counts, known).join(norms, id_col).select(
+        F.col(id_col).cast("bigint").alias("id"), "number", (F.col("count") * F.col("idf") / F.col("norm")).alias("v"))
+    of_queries = asked.select(F.col("id").cast("bigint").alias("id"), "number", (F.col("count") * F.col("idf")).alias("v"))
+    return rows_of(hits), rows_of(of_queries, unit=True)
+
+
+def asked_count_rows(counts: DataFrame, id_col: str, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``asked_tfidf_rows``, weighted by plain counts; words that no text has count for the queries' norms."""
+    queries = written(queries, "queries")
+    asked = written(with_row_index(queries.select("word").distinct(), [F.col("word")], "number"), "vocabulary")
+
+    def rows(entries, key):
+        norms = entries.groupBy(key).agg(F.sqrt(F.sum(F.col("count") * F.col("count"))).alias("norm"))
+        hits = _matching(entries, asked).join(norms, key)
+        return rows_of(hits.select(F.col(key).cast("bigint").alias("id"), "number", (F.col("count") / F.col("norm")).alias("v")))
+    return rows(counts, id_col), rows(queries, "id")
 
 
 def _listed(unit: bool, bits: int = 0):
@@ -205,12 +243,14 @@ def rows_of(weights: DataFrame, unit: bool = False, bits: int = 0) -> DataFrame:
 def count_rows(docs: DataFrame, id_col: str, without: list[str], text_col: str = "text", unit: bool = False) -> tuple[DataFrame, DataFrame]:
     """Word counts of a corpus as rows (id, cols, vals, extra) without the given words, scaled to unit
     norm if asked, and the vocabulary (word, df, number), both written to the shared folder."""
-    counts = cut_lineage(word_counts(docs, id_col, text_col).where(~F.col("word").isin(without)))
+    counts = written(word_counts(docs, id_col, text_col).where(~F.col("word").isin(without)), "counts")
     df = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     words = with_row_index(df, [F.desc("df"), F.col("word")], "number")
     words = written(words.withColumn("number", F.col("number").cast("int")), "vocabulary")
-    weights = counts.join(words, "word").select(F.col(id_col).cast("bigint").alias("id"), "number", F.col("count").alias("v"))
-    return written(rows_of(weights, unit), "counts"), words
+    weights = with_words(counts, words).select(F.col(id_col).cast("bigint").alias("id"), "number", F.col("count").alias("v"))
+    out = written(rows_of(weights, unit), "rows")
+    forget(counts)
+    return out, words
 
 
 # ------------------------------------------------------------------ sums

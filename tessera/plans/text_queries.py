@@ -10,18 +10,25 @@ from tessera.operators import sparse_rows as SR
 from tessera.operators import text_features as TF
 from tessera.plans.sqlbits import idf_sql, word_counts_sql
 from tessera.registry import query
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, written
 from tessera.sources.tables import Tables
 
 K_RETRIEVE = 5
 
 
-def benchmark_tfidf_neighbours(spark, sf_dir, k=K_RETRIEVE):
-    """(item_id, doc_id, rank, distance): the documents are packed once, the items come in blocks."""
-    t = Tables(spark, sf_dir)
-    rows, words = SR.tfidf_rows(t.documents, "doc_id")
-    items = TF.word_counts(t.benchmark, "item_id").join(words, "word")
-    queries = SR.rows_of(items.select(F.col("item_id").cast("bigint").alias("id"), "number", (F.col("count") * F.col("idf")).alias("v")), unit=True)
+def _document_counts(spark, sf_dir):
+    return written(TF.word_counts(Tables(spark, sf_dir).documents, "doc_id"), "counts")
+
+
+def _item_counts(spark, sf_dir):
+    return TF.word_counts(Tables(spark, sf_dir).benchmark, "item_id").withColumnRenamed("item_id", "id")
+
+
+def benchmark_tfidf_neighbours(spark, sf_dir, k=K_RETRIEVE, counts=None):
+    """(item_id, doc_id, rank, distance): the documents' words that an item has are packed once, the
+    items come in blocks."""
+    counts = _document_counts(spark, sf_dir) if counts is None else counts
+    rows, queries = SR.asked_tfidf_rows(counts, Tables(spark, sf_dir).documents.count(), "doc_id", _item_counts(spark, sf_dir))
     top, _ = PS.search(SR.pack(rows), queries.persist(), [(0, 0, 0)], k)
     return top.select(F.col("query_id").alias("item_id"), F.col("id").alias("doc_id"), "rank", F.round("distance", 6).alias("distance"))
 
@@ -273,13 +280,9 @@ def rank_position(spark, sf_dir):
 
     Position = number of candidates ordered before the target; an aggregate, no full sort.
     """
-    t = Tables(spark, sf_dir)
-    nearest = cut_lineage(benchmark_tfidf_neighbours(spark, sf_dir, 1).select(F.col("item_id").alias("query_id"), F.col("doc_id").alias("id")))
-    rows, words = SR.count_rows(t.documents, "doc_id", [], unit=True)
-    counts = TF.word_counts(t.benchmark, "item_id")
-    norm = counts.groupBy("item_id").agg(F.sqrt(F.sum(F.col("count") * F.col("count"))).alias("norm"))      # over all words of the item
-    items = counts.join(norm, "item_id").join(words, "word")
-    queries = SR.rows_of(items.select(F.col("item_id").cast("bigint").alias("id"), "number", (F.col("count") / F.col("norm")).alias("v")))
+    counts = _document_counts(spark, sf_dir)
+    nearest = cut_lineage(benchmark_tfidf_neighbours(spark, sf_dir, 1, counts).select(F.col("item_id").alias("query_id"), F.col("doc_id").alias("id")))
+    rows, queries = SR.asked_count_rows(counts, "doc_id", _item_counts(spark, sf_dir))
     found = PS.positions(SR.pack(rows), queries.persist(), nearest)
     return found.select(F.col("query_id").alias("item_id"), F.col("id").alias("doc_id"), F.lit(0).cast("bigint").alias("pos_tfidf"),
                         F.col("position").alias("pos_counts"))
@@ -294,6 +297,6 @@ def sparse_triples(spark, sf_dir):
     """TF-IDF dict column → (row, word id, value) sparse matrix: dense word ids in word order
     from a distributed row index over the distinct words; values rounded half-to-even."""
     from tessera.operators.relational import with_row_index
-    _, _, t = TF.fit_tfidf(Tables(spark, sf_dir).documents, "doc_id")
-    wid = with_row_index(t.select("word").distinct(), [F.col("word")], "word_id")
-    return t.join(wid, "word").select("doc_id", "word_id", F.bround("tfidf", 4).alias("value"))
+    counts, idf, _ = TF.fit_tfidf(Tables(spark, sf_dir).documents, "doc_id")
+    words = written(with_row_index(idf, [F.col("word")], "word_id"), "words")
+    return TF.with_words(counts, words).select("doc_id", "word_id", F.bround(F.col("count") * F.col("idf"), 4).alias("value"))

@@ -15,7 +15,7 @@ from tessera.operators.neighbors import topk_per_group
 from tessera.operators.relational import distinct_values, with_prefix_sums
 from tessera.plans.fixtures import STOP_WORDS, words_values_sql
 from tessera.registry import query
-from tessera.session import cut_lineage
+from tessera.session import written
 from tessera.sources.tables import Tables
 
 
@@ -23,14 +23,14 @@ def topic_word_counts(spark, sf_dir):
     docs = Tables(spark, sf_dir).documents
     stop = F.broadcast(spark.createDataFrame([(w,) for w in STOP_WORDS], "word string"))
     # materialised once: the counts feed the topic table, its totals and the projections
-    wc = cut_lineage(TF.word_counts(docs, "doc_id").join(stop, "word", "left_anti"))
+    wc = written(TF.word_counts_by(docs, "doc_id", "source").join(stop, "word", "left_anti"), "topic-counts")
     return docs, wc
 
 
 def topic_table(spark, sf_dir):
-    docs, wc = topic_word_counts(spark, sf_dir)
-    tw = (wc.join(docs.select("doc_id", F.col("source").alias("topic")), "doc_id")
-          .groupBy("topic", "word").agg(F.sum("count").alias("cnt")))
+    _, wc = topic_word_counts(spark, sf_dir)
+    by_list = wc.groupBy("source", "word").agg(F.sum("count").alias("cnt"))
+    tw = by_list.select(F.explode("source").alias("topic"), "word", "cnt").groupBy("topic", "word").agg(F.sum("cnt").alias("cnt"))
     tot = tw.groupBy("topic").agg(F.sum("cnt").alias("total"))
     return tw.join(tot, "topic"), wc
 
@@ -102,10 +102,11 @@ def topic_weight_counts(spark, sf_dir):
     topics = distinct_values(tt, "topic")          # bounded (checked) number of topics
     # topic-word weights as one wide row per word: the projection is then one join on word
     # and compiled multiply-adds, instead of a (doc, word, topic) row per shared word
-    phi = (tt.select("topic", "word", (F.col("cnt") / F.col("total")).alias("p"))
-           .groupBy("word").pivot("topic", topics).agg(F.first("p")).na.fill(0.0))
-    cols = [F.col(f"`{t}`") for t in topics]
-    s = wc.join(phi, "word").groupBy("doc_id").agg(
+    names = [f"p{i}" for i in range(len(topics))]
+    phi = written(tt.groupBy("word").agg(F.sum("cnt").alias("df"), *[
+        F.coalesce(F.max(F.when(F.col("topic") == t, F.col("cnt") / F.col("total"))), F.lit(0.0)).alias(n) for t, n in zip(topics, names)]), "phi")
+    cols = [F.col(n) for n in names]
+    s = TF.with_words(wc.select("doc_id", "word", "count"), phi).groupBy("doc_id").agg(
         *[F.sum(F.col("count") * c).alias(f"s{i}") for i, c in enumerate(cols)])
     z = sum(F.col(f"s{i}") for i in range(len(topics)))
     theta = [F.col(f"s{i}") / z for i in range(len(topics))]

@@ -63,7 +63,7 @@ SELECT doc_id, sum(n)::BIGINT AS n_listed, count_if(n > 0)::BIGINT AS n_distinct
 def word_list_counts(spark, sf_dir):
     """Bag of words restricted to the JSON word list: how many listed words each document has,
     and the digest of its 193 counts in word order (zeros where absent)."""
-    counts = cleaned_counts(spark, sf_dir)
+    counts = written(cleaned_counts(spark, sf_dir), "counts")
     words = word_list(spark, counts)
     bags = (counts.join(F.broadcast(words), "word").groupBy("doc_id")
             .agg(F.map_from_entries(F.collect_list(F.struct("j", "count"))).alias("m")))       # 193 entries at most
