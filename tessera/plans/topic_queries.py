@@ -27,11 +27,17 @@ def topic_word_counts(spark, sf_dir):
     return docs, wc
 
 
-def topic_table(spark, sf_dir):
+def topic_sums(spark, sf_dir):
+    """(topic, word, cnt) dealt by word, (topic, total) and the documents' word counts."""
     _, wc = topic_word_counts(spark, sf_dir)
-    by_list = wc.groupBy("source", "word").agg(F.sum("count").alias("cnt"))
-    tw = by_list.select(F.explode("source").alias("topic"), "word", "cnt").groupBy("topic", "word").agg(F.sum("cnt").alias("cnt"))
-    tot = tw.groupBy("topic").agg(F.sum("cnt").alias("total"))
+    by_list = written(wc.groupBy("source", "word").agg(F.sum("count").alias("cnt")), "topic-words")
+    each = by_list.select(F.explode("source").alias("topic"), "word", "cnt")
+    tw = each.repartition("word").groupBy("topic", "word").agg(F.sum("cnt").alias("cnt"))
+    return tw, each.groupBy("topic").agg(F.sum("cnt").alias("total")), wc
+
+
+def topic_table(spark, sf_dir):
+    tw, tot, wc = topic_sums(spark, sf_dir)
     return tw.join(tot, "topic"), wc
 
 
@@ -98,8 +104,9 @@ SELECT doc_id, count_if(theta > 0.3)::BIGINT AS n_high,
 def topic_weight_counts(spark, sf_dir):
     """Per document: number of topics with weight > 0.3 and < 0.05, where the document's
     topic weights are its word counts projected on the topic-word table, normalised."""
-    tt, wc = topic_table(spark, sf_dir)
-    topics = distinct_values(tt, "topic")          # bounded (checked) number of topics
+    tw, tot, wc = topic_sums(spark, sf_dir)
+    topics = distinct_values(tot, "topic")         # bounded (checked) number of topics
+    tt = tw.join(F.broadcast(tot), "topic")
     # topic-word weights as one wide row per word: the projection is then one join on word
     # and compiled multiply-adds, instead of a (doc, word, topic) row per shared word
     names = [f"p{i}" for i in range(len(topics))]
