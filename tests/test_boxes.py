@@ -50,3 +50,25 @@ def test_task_sends_k_rows_of_a_query(spark):
     shared = spark.sparkContext.broadcast((ids, q))
     sent = rows.mapInArrow(block_search._search(shared, "euclidean", 4, 9), block_search.FOUND)
     assert sent.count() == 2 * 4 * 100
+
+
+def test_knn_parts_makes_no_candidate_rows(spark, tmp_path):
+    """Before, each query and size asked for 30 ranks, each a row of a join."""
+    from tessera.plans.similarity_queries import KNN_MAX_K, _knn_parts
+    rng = np.random.default_rng(5)
+    parts = [(int(i), int(rng.integers(1, 9)), float(rng.integers(900, 2000))) for i in rng.permutation(400)]
+    spark.createDataFrame(parts, "p_partkey bigint, p_size int, p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
+    nn = _knn_parts(spark, str(tmp_path))
+    assert "sequence(" not in nn._jdf.queryExecution().toString()
+    from tessera.functions.hashing import bucket
+    asked = {r[0] for r in spark.range(400).where(bucket("id", 51) >= 800).collect()}
+    size, price = {i: s for i, s, _ in parts}, {i: y for i, _, y in parts}
+    train = [i for i in size if i not in asked]
+    ns, nk = (np.sqrt(sum(v * v for v in values)) for values in ([size[i] for i in train], train))
+    got = {}
+    for r in nn.collect():
+        assert r["y"] == price[r["rid"]] and r["qy"] == price[r["qid"]]
+        got.setdefault(r["qid"], []).append((r["rank"], r["rid"]))
+    for q in asked:
+        near = sorted((round(np.hypot((size[q] - size[i]) / ns, (q - i) / nk), 12), i) for i in train)[:KNN_MAX_K]
+        assert [i for _, i in sorted(got[q])] == [i for _, i in near]
