@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import WHITESPACE
 from tessera.session import written
+from tessera.sources.tables import spread
 
 FREQUENT = 1 << 17      # words of a vocabulary that are broadcast, at most
 
 
 def word_counts(docs: DataFrame, id_col: str, text_col: str = "text",
-                lower: bool = True) -> DataFrame:
-    """(id, word, count) for every word of every text (whole texts, no prefix)."""
+                lower: bool = True, dealt: bool = True) -> DataFrame:
+    """(id, word, count) for every word of every text (whole texts, no prefix). Texts are dealt by
+    document first, or (``dealt`` False) counted where they are and then dealt by document and word."""
     t = F.lower(F.col(text_col)) if lower else F.col(text_col)
-    return (docs.select(id_col, text_col).repartition(id_col)
+    texts = docs.select(id_col, text_col)
+    return ((texts.repartition(id_col) if dealt else spread(texts))
             .select(id_col, F.explode(F.split(t, WHITESPACE)).alias("word"))
             .where(F.col("word") != "")          # empty pieces dropped after the explode (compiled)
             .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("count")))

@@ -183,7 +183,7 @@ WHERE rk <= 5
 """)
 def doc_top_words(spark, sf_dir):
     """Five most common words of every document (dict → rows, then top-k per document)."""
-    wc = TF.word_counts(Tables(spark, sf_dir).documents, "doc_id")
+    wc = TF.word_counts(Tables(spark, sf_dir).documents, "doc_id", dealt=False)     # limited before the words are dealt by document
     return NB.topk_per_group(wc, "doc_id", [F.desc("count"), F.col("word")], 5)
 
 
